@@ -72,10 +72,15 @@ def _literal_map(entries: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 
 
+# Everything below the arrows except the two signs: dropped first, by a class that is fast to test.
+NO_EMOJI_RUN = r"[\x{0}-\x{A8}\x{AA}-\x{AD}\x{AF}-\x{2193}]+"
+
+
 def emoji_list(text: Column) -> Column:
     """The emoji of a text, in order, one entry per code point."""
-    only = F.regexp_replace(text, f"[^{EMOJI_RANGES}]", "")
-    return F.when(only == "", F.array().cast("array<string>")).otherwise(F.split(only, ""))
+    symbols = F.regexp_replace(text, NO_EMOJI_RUN, "")
+    only = F.regexp_replace(symbols, f"[^{EMOJI_RANGES}]+", "")
+    return F.filter(F.split(only, ""), lambda e: e != "")
 
 
 def emoji_score(emojis: Column, weights: dict[str, float] | None = None) -> Column:
@@ -88,11 +93,16 @@ def emoji_score(emojis: Column, weights: dict[str, float] | None = None) -> Colu
     return F.round(total, 3)
 
 
-def emoji_tokens(text: Column, names: dict[str, str] = EMOJI_NAMES) -> Column:
-    """Replace each named emoji (and a variation selector after it) by `` :name: ``."""
+def emoji_tokens(text: Column, emojis: Column, names: dict[str, str] = EMOJI_NAMES) -> Column:
+    """Replace each named emoji (and a variation selector after it) by `` :name: ``.
+
+    ``emojis`` lists the emoji of the text, so texts without any cost nothing.
+    """
     table = _literal_map({e: f" :{n}: " for e, n in names.items()})
-    plain = F.regexp_replace(text, f"([{''.join(names)}])\\x{{FE0F}}", "$1")
-    spelled = F.array_join(
-        F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
-    )
-    return F.when(text.rlike(f"[{''.join(names)}]"), spelled).otherwise(text)
+    named = F.filter(F.array_distinct(emojis), lambda e: F.map_contains_key(table, e))
+
+    def spell(acc: Column, e: Column) -> Column:
+        token = F.try_element_at(table, e)
+        return F.replace(F.replace(acc, F.concat(e, F.lit(VARIATION_SELECTOR)), token), e, token)
+
+    return F.aggregate(named, text, spell)

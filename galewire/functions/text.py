@@ -7,9 +7,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# The URL pattern, and the whitespace set stripped around texts.
+# The URL pattern, and the control characters that count as white space.
 URL_PATTERN = r"https?://\S+|www\.\S+"
-SPACE = r"[\s\x1C-\x1F]"
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 # English contractions, applied in this order; groups keep the case of the first letters.
 CONTRACTIONS = [
@@ -29,17 +29,24 @@ CONTRACTIONS = [
 ]
 
 
+def _plain_spaces(c: Column) -> Column:
+    """Separator control characters, rare and unknown to ``\\s``, as blanks."""
+    blanks = F.translate(c, SEPARATORS, " " * len(SEPARATORS))
+    return F.when(c.rlike(f"[{SEPARATORS}]"), blanks).otherwise(c)
+
+
 def pytrim(c: Column) -> Column:
     """Strip every kind of white space at both ends, not only blanks."""
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(_plain_spaces(c), r"(?U)^\s+|\s+$", "")
 
 
 def normalize_ws(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, rf"(?U){SPACE}+", " "))
+    """Each run of white space becomes one blank; none is left at the ends."""
+    return F.trim(F.regexp_replace(_plain_spaces(c), r"(?U)\s+", " "))
 
 
 def is_blank(c: Column) -> Column:
-    return ~c.rlike(rf"(?U)[^\s\x1C-\x1F]")
+    return ~_plain_spaces(c).rlike(r"(?U)\S")
 
 
 def text_hash(c: Column) -> Column:

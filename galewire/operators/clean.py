@@ -28,7 +28,7 @@ def clean_posts(df: DataFrame, strict_codepoint: bool = False, contractions=X.CO
     normal = df.withColumn("_nfkc", X.nfkc(F.col("text"))).withColumn(
         "emoji_list", E.emoji_list(F.col("_nfkc"))
     )
-    spelled = X.expand_hashtags(E.emoji_tokens(F.col("_nfkc")), F.col("hashtags"))
+    spelled = X.expand_hashtags(E.emoji_tokens(F.col("_nfkc"), F.col("emoji_list")), F.col("hashtags"))
     tidy = X.normalize_ws(X.expand_contractions(X.strip_urls(spelled), contractions))
     cleaned = normal.withColumns(
         {

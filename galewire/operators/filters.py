@@ -35,9 +35,8 @@ def newer_than(df: DataFrame, mark: DataFrame, id_column: str = "id") -> DataFra
     """Rows whose id is above the mark, a one-row table as ``next_high_water_mark`` makes it;
     all rows when the mark is null (first run). Ids compare as numbers: as texts, 9 would
     follow 10."""
-    above = F.col(id_column).cast("decimal(38,0)") > F.col("high_water_mark").cast("decimal(38,0)")
-    marked = df.crossJoin(mark.select("high_water_mark"))
-    return marked.where(F.col("high_water_mark").isNull() | above).drop("high_water_mark")
+    newest = mark.select(F.col("high_water_mark").cast("decimal(38,0)")).scalar()
+    return df.where(newest.isNull() | (F.col(id_column).cast("decimal(38,0)") > newest))
 
 
 def next_high_water_mark(df: DataFrame, id_column: str = "id") -> DataFrame:

@@ -12,24 +12,30 @@ def location_key(location: Column) -> Column:
     return F.when(~is_blank(location), F.lower(pytrim(location)))
 
 
-def join_place(raw: DataFrame, places: DataFrame) -> DataFrame:
-    """Fill ``place`` of raw posts from their place id; unmatched posts keep what they have."""
+def _post_id(df: DataFrame) -> str:
+    return "tweet_id" if "tweet_id" in df.columns else "id"
+
+
+def join_place(posts: DataFrame, places: DataFrame) -> DataFrame:
+    """Fill ``place`` of raw or parsed posts from their place id; unmatched posts keep what they
+    have."""
+    place_id = "place_id" if "place_id" in posts.columns else "geo.place_id"
     table = places.groupBy(F.col("id").alias("_place_id")).agg(
         F.min_by(F.struct("id", "full_name", "geo"), "full_name").alias("_place")
     )
-    keyed = raw.withColumn("_place_id", F.col("geo.place_id"))
-    found = lookup_join(keyed, table, ["_place_id"], spread="id")
-    return found.withColumn("place", F.coalesce("_place", "place")).select(*raw.columns)
+    keyed = posts.withColumn("_place_id", F.col(place_id))
+    found = lookup_join(keyed, table, ["_place_id"], spread=_post_id(posts))
+    return found.withColumn("place", F.coalesce("_place", "place")).select(*posts.columns)
 
 
-def join_user_location(raw: DataFrame, users: DataFrame) -> DataFrame:
+def join_user_location(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Fill ``user_location`` from the users table (id, location); known authors override."""
     table = users.groupBy(F.col("id").alias("author_id")).agg(
         F.max("location").alias("_location"), F.lit(True).alias("_known")
     )
-    found = lookup_join(raw, table, ["author_id"], spread="id")
+    found = lookup_join(posts, table, ["author_id"], spread=_post_id(posts))
     location = F.when(F.col("_known"), F.col("_location")).otherwise(F.col("user_location"))
-    return found.withColumn("user_location", location).select(*raw.columns)
+    return found.withColumn("user_location", location).select(*posts.columns)
 
 
 def gazetteer_join(df: DataFrame, gazetteer: DataFrame) -> DataFrame:

@@ -20,17 +20,14 @@ PROFILE_SIZE = 400
 FLOOR = -12000
 
 
-def char_trigrams(text: Column) -> Column:
-    """All overlapping three-character pieces of the whole text, lower-cased."""
-    chars = F.split(F.lower(text), "")
+# Three characters from every position on; the look-ahead takes no character away, and a position
+# inside a surrogate pair does not count.
+TRIGRAM = r"(?s)(?=\P{Cs})(?=(...))"
 
-    def join(a, b):
-        return F.concat(a, b)
 
-    n = F.size(chars)
-    pairs = F.zip_with(chars, F.slice(chars, F.lit(2), n), join)
-    grams = F.zip_with(pairs, F.slice(chars, F.lit(3), n), join)
-    return F.filter(grams, lambda g: g.isNotNull())
+def char_trigrams(text: Column) -> Column:
+    """All overlapping three-character pieces of the whole text, lower-cased."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TRIGRAM), F.lit(1))
 
 
 def train_profiles(labelled: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:

@@ -24,7 +24,7 @@ def is_repost(text: Column) -> Column:
 
 
 def flatten_posts(raw: DataFrame) -> DataFrame:
-    """Twelve flat fields per raw post, with defaults. Posts without an id are dropped."""
+    """One flat row per raw post, with defaults. Posts without an id are dropped."""
     return raw.where(F.col("id").isNotNull()).select(
         F.col("id").alias("tweet_id"),
         F.to_json(F.struct(*raw.columns)).alias("raw_json"),
@@ -34,6 +34,7 @@ def flatten_posts(raw: DataFrame) -> DataFrame:
         F.coalesce("lang", F.lit("unknown")).alias("lang"),
         geojson_point(F.col("geo")).alias("coordinates"),
         "place",
+        F.col("geo.place_id").alias("place_id"),
         "user_location",
         is_repost(F.col("text")).alias("retweet_status"),
         F.coalesce(F.col("public_metrics.retweet_count"), F.lit(0)).alias("retweet_count"),
@@ -97,6 +98,7 @@ def parse_posts(flat: DataFrame) -> DataFrame:
         "lang",
         "coordinates",
         "place",
+        "place_id",
         "user_location",
         "retweet_status",
         "retweet_count",

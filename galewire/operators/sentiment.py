@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galewire.functions.text import is_blank
+from galewire.functions.text import is_blank, stable_round
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -56,7 +56,7 @@ def finalize_sentiment(raw_score: Column, emoji_score: Column) -> tuple[Column,
         .when(score < NEGATIVE_THRESHOLD, "negative")
         .otherwise("neutral")
     )
-    return F.round(score, 3), label
+    return stable_round(score, 3), label
 
 
 def label_to_score(label: Column, confidence: Column) -> Column:
@@ -138,7 +138,7 @@ def lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
             .agg(F.sum(F.col("weight") * factor).cast("double").alias("total"))
         )
         total = F.coalesce("total", F.lit(0.0))
-        compound = F.round(total / F.sqrt(total * total + LEXICON_ALPHA), 4)
+        compound = stable_round(total / F.sqrt(total * total + LEXICON_ALPHA), 4)
         return (
             df.select("tweet_id")
             .join(sums, "tweet_id", "left")
@@ -153,55 +153,64 @@ def lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
     return score
 
 
-def score_sentiment(
-    df: DataFrame,
+def sentiment_scores(
+    texts: DataFrame,
     english: Scorer | None = None,
     multilingual: Scorer | None = None,
     fallback: Scorer | None = None,
-) -> DataFrame:
-    """Adds the four sentiment columns.
+) -> DataFrame | None:
+    """Scorer table of (tweet_id, text_clean, detected_lang) rows, or None without any scorer.
 
     English posts go to the English scorer, others to the multilingual one; a missing scorer
     hands its posts to the next one in that order. Each scorer sees only its own posts.
+    ``detected_lang`` is needed only with an English scorer.
     """
-    blank = is_blank(F.coalesce("text_clean", F.lit("")))
-    is_english = F.coalesce("detected_lang", F.lit("en")) == "en"
-    narrow = df.select("tweet_id", "text_clean", "detected_lang").where(~blank)
+    written = texts.where(~is_blank(F.coalesce("text_clean", F.lit(""))))
     others = multilingual or fallback
-    if english and others:
-        scores = english(narrow.where(is_english)).unionByName(others(narrow.where(~is_english)))
-    elif english:
-        scores = english(narrow.where(is_english))
-    elif others:
-        scores = others(narrow)
-    else:
-        scores = None
+    if english is None:
+        return None if others is None else others(written)
+    is_english = F.coalesce("detected_lang", F.lit("en")) == "en"
+    scores = english(written.where(is_english))
+    return scores if others is None else scores.unionByName(others(written.where(~is_english)))
+
+
+def apply_sentiment(df: DataFrame, scores: DataFrame | None) -> DataFrame:
+    """The four sentiment columns from the scorer table, by tweet_id. Blank posts are neutral."""
     if scores is None:
-        nothing = F.lit(None)
-        scored = df.withColumns(
-            {
-                "raw_score": nothing.cast("double"),
-                "raw_confidence": nothing.cast("double"),
-                "raw_method": nothing.cast("string"),
-            }
-        )
+        scored = df.withColumn("_raw", F.lit(None).cast(
+            "struct<raw_score: double, raw_confidence: double, raw_method: string>"
+        ))
     else:
-        scored = df.join(scores, "tweet_id", "left")
-    # No scorer for this post, or a scorer that gave no answer.
-    routed = F.lit(others is not None) | (F.lit(english is not None) & is_english)
-    missing = F.when(routed, "error").otherwise("unavailable")
-    known = F.col("raw_score").isNotNull()
-    score, label = finalize_sentiment(F.col("raw_score"), F.col("emoji_sentiment_score"))
+        raw = F.struct("raw_score", "raw_confidence", "raw_method").alias("_raw")
+        scored = df.join(scores.select("tweet_id", raw), "tweet_id", "left")
+    known = F.col("_raw.raw_score").isNotNull()
+    score, label = finalize_sentiment(F.col("_raw.raw_score"), F.col("emoji_sentiment_score"))
+    # A scorer that was asked and gave no answer, as against no scorer for this post.
+    missing = F.when(F.col("_raw").isNotNull(), "error").otherwise("unavailable")
+    method = (
+        F.when(is_blank(F.coalesce("text_clean", F.lit(""))), "empty_text")
+        .when(known, F.col("_raw.raw_method"))
+        .otherwise(missing)
+    )
     return scored.withColumns(
         {
-            "sentiment_score": F.when(~blank & known, score).otherwise(F.lit(0.0)),
-            "sentiment_label": F.when(~blank & known, label).otherwise("neutral"),
-            "sentiment_method": F.when(blank, "empty_text")
-            .when(known, F.col("raw_method"))
-            .otherwise(missing),
-            "sentiment_confidence": F.when(~blank & known, F.col("raw_confidence")).otherwise(
+            "sentiment_score": F.when(known, score).otherwise(F.lit(0.0)),
+            "sentiment_label": F.when(known, label).otherwise("neutral"),
+            "sentiment_method": method,
+            "sentiment_confidence": F.when(known, F.col("_raw.raw_confidence")).otherwise(
                 F.lit(0.0)
             ),
             "processing_stage": F.lit("sentiment_computed"),
         }
-    ).drop("raw_score", "raw_confidence", "raw_method")
+    ).drop("_raw")
+
+
+def score_sentiment(
+    df: DataFrame,
+    english: Scorer | None = None,
+    multilingual: Scorer | None = None,
+    fallback: Scorer | None = None,
+) -> DataFrame:
+    """Route, score and label posts that carry text_clean, detected_lang and the emoji score."""
+    texts = df.select("tweet_id", "text_clean", "detected_lang")
+    return apply_sentiment(df, sentiment_scores(texts, english, multilingual, fallback))

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewire.functions.geo import cells_within, grid_column, grid_row, haversine_km
+from galewire.functions.text import stable_round
 from galewire.functions.times import iso_seconds, parse_timestamp
 from galewire.operators.joins import lookup_join
 
@@ -176,15 +177,15 @@ def rollup_columns(divisor: float = UNIT_DIVISOR) -> dict[str, Column]:
     """Window sums to the reported metrics, one decimal each."""
 
     def metric(c: Column) -> Column:
-        return F.round(c.cast("double") / divisor, 1)
+        return stable_round(c.cast("double") / divisor, 1)
 
     tmax, tmin = F.col("tmax").cast("double"), F.col("tmin").cast("double")
     return {
-        "weather_temp_c": F.round((tmax / divisor + tmin / divisor) / 2, 1),
+        "weather_temp_c": stable_round((tmax / divisor + tmin / divisor) / 2, 1),
         "weather_temp_max_c": metric(F.col("tmax")),
         "weather_temp_min_c": metric(F.col("tmin")),
         "weather_precip_mm": metric(F.col("prcp")),
-        "weather_wind_speed_ms": F.round(
+        "weather_wind_speed_ms": stable_round(
             F.when(F.col("wind_n") > 0, F.col("wind").cast("double") / F.col("wind_n")) / divisor, 1
         ),
     }

@@ -7,8 +7,13 @@ from galewire.operators.dedup import dedup_chain
 from galewire.operators.geo import join_place, join_user_location, resolve_geo
 from galewire.operators.lang import detect_language, profile_scores
 from galewire.operators.parse import flatten_posts, parse_posts
-from galewire.operators.sentiment import Scorer, lexicon_scorer, score_sentiment
-from galewire.operators.weather import WEATHER_COLUMNS, enrich_weather
+from galewire.operators.sentiment import (
+    Scorer,
+    apply_sentiment,
+    lexicon_scorer,
+    sentiment_scores,
+)
+from galewire.operators.weather import enrich_weather
 from galewire.sources.scratch import materialize
 from galewire.sources.tables import References
 
@@ -17,13 +22,20 @@ GEO_COLUMNS = [
 ]
 
 
-def prepare_posts(raw: DataFrame, refs: References) -> DataFrame:
-    """Raw posts to typed rows, with places and user locations filled in."""
+def parsed_posts(raw: DataFrame) -> DataFrame:
+    return parse_posts(flatten_posts(raw))
+
+
+def locate_posts(posts: DataFrame, refs: References) -> DataFrame:
+    """Position of each post, on narrow rows: (tweet_id, created_at, position columns)."""
+    narrow = posts.select(
+        "tweet_id", "created_at", "coordinates", "place", "place_id", "author_id", "user_location"
+    )
     if refs.places is not None:
-        raw = join_place(raw, refs.places)
+        narrow = join_place(narrow, refs.places)
     if refs.users is not None:
-        raw = join_user_location(raw, refs.users)
-    return parse_posts(flatten_posts(raw))
+        narrow = join_user_location(narrow, refs.users)
+    return resolve_geo(narrow, refs.gazetteer).select("tweet_id", "created_at", *GEO_COLUMNS)
 
 
 def enrich_posts(
@@ -39,20 +51,13 @@ def enrich_posts(
     """
     texts = cleaned.select("tweet_id", "text_clean", "lang")
     detector = None if refs.profiles is None else profile_scores(texts, refs.profiles)
-    lang = detect_language(texts, detector).select(
-        "tweet_id", "detected_lang", "lang_confidence", "lang_method"
-    )
-    located = resolve_geo(
-        cleaned.select("tweet_id", "created_at", "coordinates", "place", "user_location"),
-        refs.gazetteer,
-    )
-    weather = enrich_weather(located, refs.stations, refs.observations).select(
-        "tweet_id", *GEO_COLUMNS, *WEATHER_COLUMNS, "weather_outcome"
-    )
-    wide = cleaned.join(lang, "tweet_id", "left").join(weather, "tweet_id", "left")
-    return score_sentiment(
-        wide, english, multilingual, fallback=lexicon_scorer(refs.lexicon)
-    )
+    weather = enrich_weather(locate_posts(cleaned, refs), refs.stations, refs.observations)
+    weather = weather.drop("created_at", "processing_stage")
+    if english is not None:
+        texts = detect_language(texts, detector)
+    scores = sentiment_scores(texts, english, multilingual, lexicon_scorer(refs.lexicon))
+    wide = detect_language(cleaned, detector).join(weather, "tweet_id", "left")
+    return apply_sentiment(wide, scores)
 
 
 def run(
@@ -66,6 +71,5 @@ def run(
     The cleaned posts are written once to the shared folder: the narrow steps after it each read
     only their columns, and a lost executor does not bring parsing and dedup back.
     """
-    cleaned = clean_posts(dedup_chain(prepare_posts(raw, refs)))
-    staged = materialize(cleaned, "cleaned")
-    return enrich_posts(staged, refs, english, multilingual)
+    cleaned = clean_posts(dedup_chain(parsed_posts(raw)))
+    return enrich_posts(materialize(cleaned, "cleaned"), refs, english, multilingual)

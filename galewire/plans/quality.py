@@ -27,10 +27,9 @@ def _shares(df: DataFrame, column: str, values: list[str], total: str) -> DataFr
 
 def language_share(raw: DataFrame, k: int = 10) -> DataFrame:
     counts = raw.groupBy(F.coalesce("lang", F.lit("unknown")).alias("lang")).agg(_n().alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
+    total = counts.agg(F.sum("n")).scalar()
     return (
-        counts.crossJoin(total)
-        .select("lang", "n", _percent(F.col("n"), F.col("total")).alias("pct"))
+        counts.select("lang", "n", _percent(F.col("n"), total).alias("pct"))
         .orderBy(F.desc("n"), "lang")
         .limit(k)
     )
@@ -91,13 +90,11 @@ def dedup_report(outcomes: DataFrame) -> DataFrame:
 
 
 def language_method_report(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("lang_method")
-        .agg(_n().alias("n"))
-        .crossJoin(df.agg(_n().alias("total")))
-        .select("lang_method", "n", _percent(F.col("n"), F.col("total")).alias("pct"))
-        .orderBy("lang_method")
-    )
+    counts = df.groupBy("lang_method").agg(_n().alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select(
+        "lang_method", "n", _percent(F.col("n"), total).alias("pct")
+    ).orderBy("lang_method")
 
 
 def geo_tier_report(df: DataFrame) -> DataFrame:

@@ -195,9 +195,8 @@ def heat_points(analytics: DataFrame, k: int = 1000) -> DataFrame:
 
 def total_counts(processed: DataFrame, analytics: DataFrame) -> DataFrame:
     """Number of processed rows and of rows that made it into the analytics table."""
-    return processed.agg(_n().alias("total_tweets")).crossJoin(
-        analytics.agg(_n().alias("quality_tweets"))
-    )
+    quality = analytics.agg(_n()).scalar()
+    return processed.agg(_n().alias("total_tweets")).withColumn("quality_tweets", quality)
 
 
 # ---------------------------------------------------------------- chart data (unrounded means)

@@ -1,7 +1,5 @@
 """Fixed schemas (DDL strings) for every table the engine reads or writes."""
 
-from pyspark.sql import types as T
-
 RAW_POST = """
     id string, text string, created_at string, author_id string, lang string, user_location string,
     geo struct<place_id: string, coordinates: struct<type: string, coordinates: array<double>>>,
@@ -55,7 +53,3 @@ ANALYTICS_COLUMNS = [
     "noaa_match_quality", "hashtag_count", "mention_count", "emoji_count",
     "emoji_sentiment_score", "processing_date",
 ]
-
-
-def columns(ddl: str) -> list[str]:
-    return T.StructType.fromDDL(ddl).fieldNames()

@@ -11,10 +11,11 @@ from galewire.functions.geo import haversine_km, place_centroid
 from galewire.functions.times import iso_seconds, parse_timestamp
 from galewire.operators import dedup, filters, geo, lang, sentiment, weather
 from galewire.operators.clean import clean_posts, text_features
-from galewire.operators.parse import flatten_posts, is_repost, parse_posts, reject_reason
+from galewire.operators.joins import lookup_join
+from galewire.operators.parse import flatten_posts, is_repost, reject_reason
 from galewire.plans import quality, reports
-from galewire.plans.enrich import prepare_posts, run
-from galewire.schemas import ANALYTICS_COLUMNS, RAW_POST
+from galewire.plans.enrich import GEO_COLUMNS, locate_posts, run
+from galewire.schemas import RAW_POST
 from galewire.sources import posts as post_files
 from galewire.sources import storage
 from galewire.sources.scratch import scratch_path
@@ -268,7 +269,8 @@ def emoji_score(spark, sf):
 
 @query
 def emoji_tokens(spark, sf):
-    spelled = _normal(spark, sf).withColumn("x", E.emoji_tokens(F.col("t")))
+    listed = _normal(spark, sf).withColumn("e", E.emoji_list(F.col("t")))
+    spelled = listed.withColumn("x", E.emoji_tokens(F.col("t"), F.col("e")))
     return spelled.select("tweet_id", F.md5("x").alias("text_md5"), F.length("x").alias("n"))
 
 
@@ -361,25 +363,13 @@ def gazetteer_join(spark, sf):
     return geo.gazetteer_join(keyed, A.gazetteer(spark, sf))
 
 
-def _prepared(spark, sf) -> DataFrame:
-    return prepare_posts(A.raw_posts(spark, sf), A.references(spark, sf))
-
-
 def _located(spark, sf) -> DataFrame:
-    narrow = _prepared(spark, sf).select(
-        "tweet_id", "created_at", "coordinates", "place", "user_location"
-    )
-    return geo.resolve_geo(narrow, A.gazetteer(spark, sf))
-
-
-GEO = [
-    "geo_lat", "geo_lon", "geo_confidence", "geo_source", "place_name", "user_location_string",
-]
+    return locate_posts(A.parsed_posts(spark, sf), A.references(spark, sf))
 
 
 @query
 def geo_resolve(spark, sf):
-    return _located(spark, sf).select("tweet_id", *GEO)
+    return _located(spark, sf).select("tweet_id", *GEO_COLUMNS)
 
 
 @query
@@ -421,7 +411,7 @@ def _stationed(spark, sf) -> DataFrame:
         "tweet_id", "created_at", F.col("geo_lat").alias("lat"), F.col("geo_lon").alias("lon")
     )
     found = weather.nearest_station(_points(spark, sf), A.stations(spark, sf))
-    return geo.lookup_join(
+    return lookup_join(
         located, found.select("lat", "lon", "station_id", "distance_km"), ["lat", "lon"], "tweet_id"
     )
 
@@ -756,11 +746,8 @@ def stream_dedup_posts(spark, sf):
 def stream_enriched(spark, sf):
     """The whole chain as a stream over JSON files, then counts from its output table."""
     refs = A.references(spark, sf)
-    raw = geo.join_user_location(
-        geo.join_place(A.raw_posts(spark, sf), refs.places), refs.users
-    )
     source, out = scratch_path(spark, "incoming"), scratch_path(spark, "stream-out")
-    post_files.save_posts(raw, source)
+    post_files.save_posts(A.raw_posts(spark, sf), source)
     stream = stream_run.start(
         spark, source, refs, out, scratch_path(spark, "stream-log"), once=True, delay="60 days"
     )
