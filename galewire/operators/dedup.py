@@ -100,27 +100,26 @@ def greedy_pairs(pairs: DataFrame) -> DataFrame:
     gathering a group. Each round is two pre-aggregated group-bys and two anti joins, written to
     the shared folder so that the lineage stays short.
     """
-    spark = pairs.sparkSession
     alive = materialize(
         pairs.groupBy("tweet_id", "text_hash").agg(F.min("created_at").alias("created_at")),
         "pairs",
     )
     place = F.struct("created_at", "tweet_id", "text_hash")
-    kept = spark.createDataFrame([], alive.schema)
+    kept = None
     while not alive.isEmpty():
         first_of_id = alive.groupBy("tweet_id").agg(F.min(place).alias("p")).select("p.*")
         first_of_text = alive.groupBy("text_hash").agg(F.min(place).alias("p")).select("p.*")
         settled = materialize(
             first_of_id.join(first_of_text, ["tweet_id", "text_hash", "created_at"]), "settled"
         )
-        kept = kept.unionByName(settled)
+        kept = settled if kept is None else kept.unionByName(settled)
         alive = materialize(
             alive.join(settled.select("tweet_id"), "tweet_id", "left_anti").join(
                 settled.select("text_hash"), "text_hash", "left_anti"
             ),
             "pairs",
         )
-    return kept
+    return alive if kept is None else kept
 
 
 def dedup_greedy(df: DataFrame) -> DataFrame:

@@ -1,25 +1,33 @@
 """Sentiment: routing to scorers by language, emoji adjustment, labels.
 
-A scorer maps posts (tweet_id, text_clean, ...) to a table (tweet_id, raw_score, raw_confidence,
-raw_method) with at most one row per post.
+A scorer adds, under a given name, ``struct<score, confidence, method>`` to the posts that meet a
+condition, from their text_clean; other posts get null.
 """
 
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from galewire.functions.text import is_blank, stable_round
+from galewire.sources.tables import lexicon_table
 
-Scorer = Callable[[DataFrame], DataFrame]
+Scorer = Callable[[DataFrame, str, Column], DataFrame]
 
 # Label thresholds, emoji share, and the constants of the lexicon method
-# (normalisation 15 and negation factor -0.74, Hutto and Gilbert 2014).
+# (normalisation 15 and negation factor -0.74, here in hundredths; Hutto and Gilbert 2014).
 POSITIVE_THRESHOLD = 0.3
 NEGATIVE_THRESHOLD = -0.3
 EMOJI_SHARE = 0.2
 LEXICON_ALPHA = 15
-NEGATION_FACTOR = "-0.74"
+NEGATED, PLAIN = -74, 100
+
+# Lexicon weights are summed as whole thousandths.
+WEIGHT_UNIT = 1000
+MAX_LEXICON_ROWS = 200_000
 
 NEGATIONS = [
     "not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "cannot",
@@ -43,7 +51,7 @@ DEFAULT_LEXICON = {
 
 
 def default_lexicon(spark) -> DataFrame:
-    return spark.createDataFrame(list(DEFAULT_LEXICON.items()), "token string, weight double")
+    return lexicon_table(spark, DEFAULT_LEXICON)
 
 
 def finalize_sentiment(raw_score: Column, emoji_score: Column) -> tuple[Column, Column]:
@@ -76,14 +84,14 @@ def classifier_scorer(classify: Callable[[Column], Column], method: str) -> Scor
     the whole text; cutting it to a model's input size is the classifier's business.
     """
 
-    def score(df: DataFrame) -> DataFrame:
-        out = df.select("tweet_id", classify(F.col("text_clean")).alias("_c"))
-        return out.select(
-            "tweet_id",
-            label_to_score(F.col("_c.label"), F.col("_c.score")).alias("raw_score"),
-            F.round("_c.score", 3).alias("raw_confidence"),
-            F.lit(method).alias("raw_method"),
+    def score(df: DataFrame, name: str, chosen: Column) -> DataFrame:
+        out = df.withColumn("_class", classify(F.when(chosen, F.col("text_clean"))))
+        answer = F.struct(
+            label_to_score(F.col("_class.label"), F.col("_class.score")).alias("score"),
+            F.round("_class.score", 3).alias("confidence"),
+            F.lit(method).alias("method"),
         )
+        return out.withColumn(name, F.when(chosen, answer)).drop("_class")
 
     return score
 
@@ -93,124 +101,127 @@ def word_tokens(text: Column) -> Column:
     return F.filter(words, lambda w: w != "")
 
 
-def lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
+def _compound(total: Column, method: str) -> Column:
+    squashed = stable_round(total / F.sqrt(total * total + LEXICON_ALPHA), 4)
+    return F.struct(
+        squashed.alias("score"),
+        F.round(F.abs(squashed), 3).alias("confidence"),
+        F.lit(method).alias("method"),
+    )
+
+
+def lexicon_scorer(
+    lexicon: DataFrame, method: str = "lexicon", max_rows: int = MAX_LEXICON_ROWS
+) -> Scorer:
     """Rule-based scorer: weights of the words found in the lexicon, turned round when one of
     the three words before is a negation, summed and squashed to [-1, 1].
 
-    Words meet the lexicon in an equality join; its measured size decides how. The sum of a post
-    is finished in the task that read it, so one row per scored post is shuffled. Weights are
-    decimals: sums are exact in any order.
+    A lexicon of up to ``max_rows`` entries travels to the tasks and posts are scored in the row.
+    A larger one is joined. Both sum whole numbers, so they agree to the last digit.
     """
-    # One row per token, whatever the table holds.
-    weights = lexicon.groupBy("token").agg(
-        F.max(F.col("weight").cast("decimal(9,3)")).alias("weight")
+    table = lexicon.groupBy("token").agg(
+        F.max(F.round(F.col("weight") * WEIGHT_UNIT).cast("long")).alias("weight")
     )
+    rows = table.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return _joined_lexicon(table, method)
+    return _carried_lexicon({row.token: row.weight for row in rows}, method)
+
+
+def _carried_lexicon(weights: dict[str, int], method: str) -> Scorer:
+    negations = frozenset(NEGATIONS)
+    word = re.compile(r"\w+")
+
+    def total(text: str | None) -> int | None:
+        if text is None:
+            return None
+        words = word.findall(text)
+        return sum(
+            weights[w] * (NEGATED if negations.intersection(words[max(i - 3, 0) : i]) else PLAIN)
+            for i, w in enumerate(words)
+            if w in weights
+        )
+
+    @F.pandas_udf(LongType())
+    def totals(texts: pd.Series) -> pd.Series:
+        return pd.Series([total(t) for t in texts], dtype="Int64")
+
+    def score(df: DataFrame, name: str, chosen: Column) -> DataFrame:
+        summed = df.withColumn("_total", totals(F.lower(F.when(chosen, F.col("text_clean")))))
+        answer = _compound(F.col("_total") / float(WEIGHT_UNIT * PLAIN), method)
+        return summed.withColumn(name, F.when(chosen, answer)).drop("_total")
+
+    return score
+
+
+def _joined_lexicon(table: DataFrame, method: str) -> Scorer:
+    """Words as rows, met with the lexicon in an equality join; the sum of a post is started in
+    the task that read it."""
 
     def before(tokens: Column, n: int) -> Column:
         return F.concat(F.array(*[F.lit("")] * n), tokens)
 
-    def score(df: DataFrame) -> DataFrame:
+    def score(df: DataFrame, name: str, chosen: Column) -> DataFrame:
         tokens = F.col("_tokens")
-        words = (
-            df.select("tweet_id", word_tokens(F.col("text_clean")).alias("_tokens"))
-            .select(
-                "tweet_id",
-                F.inline(
-                    F.arrays_zip(
-                        tokens.alias("token"),
-                        before(tokens, 1).alias("p1"),
-                        before(tokens, 2).alias("p2"),
-                        before(tokens, 3).alias("p3"),
-                    )
-                ).alias("token", "p1", "p2", "p3"),
-            )
-            .where(F.col("token").isNotNull())
-        )
+        columns = [tokens.alias("token")]
+        columns += [before(tokens, n).alias(f"p{n}") for n in (1, 2, 3)]
+        texts = df.where(chosen).select("tweet_id", word_tokens(F.col("text_clean")).alias("_tokens"))
+        words = texts.select("tweet_id", F.inline(F.arrays_zip(*columns))).where("token IS NOT NULL")
         negated = F.lit(False)
         for previous in ("p1", "p2", "p3"):
             negated = negated | F.col(previous).isin(*NEGATIONS)
-        factor = F.when(negated, F.lit(NEGATION_FACTOR).cast("decimal(3,2)")).otherwise(
-            F.lit("1").cast("decimal(3,2)")
-        )
-        sums = (
-            words.join(weights, "token")
-            .groupBy("tweet_id")
-            .agg(F.sum(F.col("weight") * factor).cast("double").alias("total"))
-        )
-        total = F.coalesce("total", F.lit(0.0))
-        compound = stable_round(total / F.sqrt(total * total + LEXICON_ALPHA), 4)
-        return (
-            df.select("tweet_id")
-            .join(sums, "tweet_id", "left")
-            .select(
-                "tweet_id",
-                compound.alias("raw_score"),
-                F.round(F.abs(compound), 3).alias("raw_confidence"),
-                F.lit(method).alias("raw_method"),
-            )
-        )
+        weighted = F.col("weight") * F.when(negated, F.lit(NEGATED)).otherwise(F.lit(PLAIN))
+        sums = words.join(table, "token").groupBy("tweet_id").agg(F.sum(weighted).alias("_total"))
+        summed = df.join(sums, "tweet_id", "left")
+        total = F.coalesce("_total", F.lit(0)) / float(WEIGHT_UNIT * PLAIN)
+        return summed.withColumn(name, F.when(chosen, _compound(total, method))).drop("_total")
 
     return score
 
 
-def sentiment_scores(
-    texts: DataFrame,
+def score_sentiment(
+    df: DataFrame,
     english: Scorer | None = None,
     multilingual: Scorer | None = None,
     fallback: Scorer | None = None,
-) -> DataFrame | None:
-    """Scorer table of (tweet_id, text_clean, detected_lang) rows, or None without any scorer.
+) -> DataFrame:
+    """Adds the four sentiment columns to posts with text_clean, detected_lang and the emoji
+    score.
 
     English posts go to the English scorer, others to the multilingual one; a missing scorer
-    hands its posts to the next one in that order. Each scorer sees only its own posts.
-    ``detected_lang`` is needed only with an English scorer.
+    hands its posts to the next one in that order. Each scorer sees only its own posts. A post
+    whose classifier gave no answer goes to the fallback, too.
     """
-    written = texts.where(~is_blank(F.coalesce("text_clean", F.lit(""))))
-    others = multilingual or fallback
-    if english is None:
-        return None if others is None else others(written)
+    blank = is_blank(F.coalesce("text_clean", F.lit("")))
     is_english = F.coalesce("detected_lang", F.lit("en")) == "en"
-    scores = english(written.where(is_english))
-    return scores if others is None else scores.unionByName(others(written.where(~is_english)))
-
-
-def apply_sentiment(df: DataFrame, scores: DataFrame | None) -> DataFrame:
-    """The four sentiment columns from the scorer table, by tweet_id. Blank posts are neutral."""
-    if scores is None:
-        scored = df.withColumn("_raw", F.lit(None).cast(
-            "struct<raw_score: double, raw_confidence: double, raw_method: string>"
-        ))
-    else:
-        raw = F.struct("raw_score", "raw_confidence", "raw_method").alias("_raw")
-        scored = df.join(scores.select("tweet_id", raw), "tweet_id", "left")
-    known = F.col("_raw.raw_score").isNotNull()
-    score, label = finalize_sentiment(F.col("_raw.raw_score"), F.col("emoji_sentiment_score"))
-    # A scorer that was asked and gave no answer, as against no scorer for this post.
-    missing = F.when(F.col("_raw").isNotNull(), "error").otherwise("unavailable")
+    out = df.withColumn("_open", ~blank)
+    nothing = "struct<score: double, confidence: double, method: string>"
+    answer, asked = F.lit(None).cast(nothing), F.lit(False)
+    for name, scorer, mine in (
+        ("_english", english, is_english),
+        ("_multilingual", multilingual, ~is_english | F.lit(english is None)),
+        ("_fallback", fallback, F.lit(True)),
+    ):
+        if scorer is None:
+            continue
+        unanswered = answer["score"].isNull()
+        out = scorer(out, name, F.col("_open") & mine & unanswered)
+        answer = F.when(unanswered, F.col(name)).otherwise(answer)
+        asked = asked | mine
+    known = answer["score"].isNotNull()
+    final, label = finalize_sentiment(answer["score"], F.col("emoji_sentiment_score"))
     method = (
-        F.when(is_blank(F.coalesce("text_clean", F.lit(""))), "empty_text")
-        .when(known, F.col("_raw.raw_method"))
-        .otherwise(missing)
+        F.when(blank, "empty_text")
+        .when(known, answer["method"])
+        .when(asked, "error")
+        .otherwise("unavailable")
     )
-    return scored.withColumns(
+    return out.withColumns(
         {
-            "sentiment_score": F.when(known, score).otherwise(F.lit(0.0)),
+            "sentiment_score": F.when(known, final).otherwise(F.lit(0.0)),
             "sentiment_label": F.when(known, label).otherwise("neutral"),
             "sentiment_method": method,
-            "sentiment_confidence": F.when(known, F.col("_raw.raw_confidence")).otherwise(
-                F.lit(0.0)
-            ),
+            "sentiment_confidence": F.when(known, answer["confidence"]).otherwise(F.lit(0.0)),
             "processing_stage": F.lit("sentiment_computed"),
         }
-    ).drop("_raw")
-
-
-def score_sentiment(
-    df: DataFrame,
-    english: Scorer | None = None,
-    multilingual: Scorer | None = None,
-    fallback: Scorer | None = None,
-) -> DataFrame:
-    """Route, score and label posts that carry text_clean, detected_lang and the emoji score."""
-    texts = df.select("tweet_id", "text_clean", "detected_lang")
-    return apply_sentiment(df, sentiment_scores(texts, english, multilingual, fallback))
+    ).drop("_open", "_english", "_multilingual", "_fallback")

@@ -1,18 +1,15 @@
 """From raw posts to the processed table."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from galewire.operators.clean import clean_posts
 from galewire.operators.dedup import dedup_chain
 from galewire.operators.geo import join_place, join_user_location, resolve_geo
-from galewire.operators.lang import detect_language, profile_scores
+from galewire.operators.lang import Detector, detect_language, profile_detector
 from galewire.operators.parse import flatten_posts, parse_posts
-from galewire.operators.sentiment import (
-    Scorer,
-    apply_sentiment,
-    lexicon_scorer,
-    sentiment_scores,
-)
+from galewire.operators.sentiment import Scorer, lexicon_scorer, score_sentiment
 from galewire.operators.weather import enrich_weather
 from galewire.sources.scratch import materialize
 from galewire.sources.tables import References
@@ -38,38 +35,47 @@ def locate_posts(posts: DataFrame, refs: References) -> DataFrame:
     return resolve_geo(narrow, refs.gazetteer).select("tweet_id", "created_at", *GEO_COLUMNS)
 
 
-def enrich_posts(
-    cleaned: DataFrame,
-    refs: References,
-    english: Scorer | None = None,
-    multilingual: Scorer | None = None,
-) -> DataFrame:
-    """Language, position, weather and sentiment of cleaned posts with unique ids.
+@dataclass(frozen=True)
+class TextModels:
+    """What tags texts; each part is optional."""
+
+    detector: Detector | None = None
+    second_detector: Detector | None = None
+    english: Scorer | None = None
+    multilingual: Scorer | None = None
+    fallback: Scorer | None = None
+
+
+def text_models(refs: References, **plugged) -> TextModels:
+    """Profile detector and lexicon fallback from the reference tables, made once per run; model
+    plug-ins by name."""
+    detector = None if refs.profiles is None else profile_detector(refs.profiles)
+    defaults = {"detector": detector, "fallback": lexicon_scorer(refs.lexicon)}
+    return TextModels(**(defaults | plugged))
+
 
-    Each step works on the few columns it needs and yields a narrow table by tweet_id; the wide
-    rows are shuffled once, by tweet_id, and all narrow tables join them there.
+def tag_texts(cleaned: DataFrame, models: TextModels) -> DataFrame:
+    """Language and sentiment, in the row."""
+    tagged = detect_language(cleaned, models.detector, models.second_detector)
+    return score_sentiment(tagged, models.english, models.multilingual, models.fallback)
+
+
+def add_weather(posts: DataFrame, refs: References) -> DataFrame:
+    """Position and weather of posts with unique ids.
+
+    All lookups run on narrow rows; the wide rows are shuffled once, by tweet_id, to meet them.
     """
-    texts = cleaned.select("tweet_id", "text_clean", "lang")
-    detector = None if refs.profiles is None else profile_scores(texts, refs.profiles)
-    weather = enrich_weather(locate_posts(cleaned, refs), refs.stations, refs.observations)
-    weather = weather.drop("created_at", "processing_stage")
-    if english is not None:
-        texts = detect_language(texts, detector)
-    scores = sentiment_scores(texts, english, multilingual, lexicon_scorer(refs.lexicon))
-    wide = detect_language(cleaned, detector).join(weather, "tweet_id", "left")
-    return apply_sentiment(wide, scores)
-
-
-def run(
-    raw: DataFrame,
-    refs: References,
-    english: Scorer | None = None,
-    multilingual: Scorer | None = None,
-) -> DataFrame:
+    weather = enrich_weather(locate_posts(posts, refs), refs.stations, refs.observations)
+    return posts.join(weather.drop("created_at", "processing_stage"), "tweet_id", "left")
+
+
+def run(raw: DataFrame, refs: References, models: TextModels | None = None) -> DataFrame:
     """Whole chain over a batch of raw posts.
 
-    The cleaned posts are written once to the shared folder: the narrow steps after it each read
-    only their columns, and a lost executor does not bring parsing and dedup back.
+    Posts go from JSON to tagged texts in one pass and are written once to the shared folder;
+    the position and weather steps read only their columns from there, and a lost executor does
+    not bring parsing and dedup back.
     """
     cleaned = clean_posts(dedup_chain(parsed_posts(raw)))
-    return enrich_posts(materialize(cleaned, "cleaned"), refs, english, multilingual)
+    tagged = tag_texts(cleaned, models or text_models(refs))
+    return add_weather(materialize(tagged, "tagged"), refs)

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,5 +52,11 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEXICON).parquet(path)
 
 
+def lexicon_table(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
+    """A lexicon given in code as a table whose size the planner knows."""
+    rows = pd.DataFrame(list(weights.items()), columns=["token", "weight"])
+    return spark.createDataFrame(rows, schema=LEXICON)
+
+
 def emoji_lexicon(spark: SparkSession, strict_codepoint: bool = False) -> DataFrame:
-    return spark.createDataFrame(list(base_weights(strict_codepoint).items()), LEXICON)
+    return lexicon_table(spark, base_weights(strict_codepoint))

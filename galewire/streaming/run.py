@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from galewire.operators.clean import clean_posts
 from galewire.operators.filters import topic_filter
 from galewire.operators.parse import flatten_posts, parse_posts
-from galewire.plans.enrich import enrich_posts
+from galewire.plans.enrich import TextModels, add_weather, tag_texts, text_models
 from galewire.sources.posts import stream_posts
 from galewire.sources.scratch import materialize
 from galewire.sources.storage import PARTITION, to_processed
@@ -28,16 +28,15 @@ def cleaned_stream(raw: DataFrame, delay: str = "1 day", only_topic: bool = Fals
     return clean_posts(stream_dedup(parse_posts(flatten_posts(chosen)), delay))
 
 
-def write_batch(cleaned: DataFrame, refs: References, out: str, batch_id: int) -> None:
-    """Enrich one micro-batch and write it twice: Parquet table and raw JSON.
+def write_batch(tagged: DataFrame, refs: References, out: str, batch_id: int) -> None:
+    """Add weather to one micro-batch and write it twice: Parquet table and raw JSON.
 
     Each batch owns its folder and replaces it, so a batch that is run again after a failure
     leaves no second copy, whatever the date.
     """
-    staged = materialize(cleaned, "batch")
-    enriched = enrich_posts(staged, refs)
+    staged = materialize(tagged, "batch")
     (
-        to_processed(enriched)
+        to_processed(add_weather(staged, refs))
         .write.mode("overwrite")
         .partitionBy(PARTITION)
         .option("compression", "snappy")
@@ -58,12 +57,14 @@ def start(
     interval: str = WRITE_INTERVAL,
     delay: str = "1 day",
     files_per_trigger: int = 1000,
+    models: TextModels | None = None,
 ) -> StreamingQuery:
-    """Start the query on a folder of JSON Lines files. References are static tables; weather
-    and sentiment aggregate per post, so they run inside each micro-batch."""
+    """Start the query on a folder of JSON Lines files. References are static tables; the weather
+    lookup aggregates, so it runs inside each micro-batch."""
     cleaned = cleaned_stream(stream_posts(spark, folder, files_per_trigger), delay)
+    tagged = tag_texts(cleaned, models or text_models(refs))
     return (
-        cleaned.writeStream.foreachBatch(
+        tagged.writeStream.foreachBatch(
             lambda batch, batch_id: write_batch(batch, refs, out, batch_id)
         )
         .option("checkpointLocation", checkpoint)

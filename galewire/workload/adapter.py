@@ -14,7 +14,7 @@ from galewire.functions.text import text_hash
 from galewire.operators.parse import flatten_posts, parse_posts
 from galewire.operators.weather import weather_event
 from galewire.session import configure
-from galewire.sources.tables import References
+from galewire.sources.tables import References, lexicon_table
 
 EPOCH_2024 = 1704067200
 MINUTES_30_DAYS = 43200
@@ -30,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
+    """All cores for a text table that is one file with one row group, hence one task. Folders
+    with a file per core or more stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def _pick(condition: Column, value) -> Column:
     return F.when(condition, value if isinstance(value, Column) else F.lit(value)).otherwise("")
 
@@ -135,7 +142,7 @@ def messy_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_posts(flatten_posts(raw_posts(spark, sf_dir)))
+    return parse_posts(flatten_posts(spread(raw_posts(spark, sf_dir), "id")))
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,11 +250,11 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(TEXT_LEXICON.items()), "token string, weight double")
+    return lexicon_table(spark, TEXT_LEXICON)
 
 
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return train_profiles(table(spark, sf_dir, "documents").select("text", "lang"))
+    return train_profiles(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")))
 
 
 def references(spark: SparkSession, sf_dir: str) -> References:

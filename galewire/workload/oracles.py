@@ -741,4 +741,5 @@ DETAIL = {
             SELECT o.tweet_id, o.created_at, o.h AS text_hash FROM ordered o JOIN final USING (tweet_id, h))""",
 }
 
+DETAIL["lexicon_sentiment_joined"] = DETAIL["lexicon_sentiment"]
 ORACLES: dict[str, str] = {name: _q(sql) for name, sql in (DETAIL | REPORTS).items()}

@@ -492,14 +492,16 @@ def lang_profiles(spark, sf):
 
 @query
 def lang_profile_score(spark, sf):
-    return lang.profile_scores(_cleaned(spark, sf), A.profiles(spark, sf)).select(
-        "tweet_id", "det_lang", "det_conf"
+    detect = lang.profile_detector(A.profiles(spark, sf))
+    found = _cleaned(spark, sf).withColumn("d", detect(F.col("text_clean")))
+    return found.where(F.col("d.lang").isNotNull()).select(
+        "tweet_id", F.col("d.lang").alias("det_lang"), F.col("d.confidence").alias("det_conf")
     )
 
 
 def _tagged(spark, sf) -> DataFrame:
     texts = _cleaned(spark, sf).select("tweet_id", "text_clean", "lang")
-    return lang.detect_language(texts, lang.profile_scores(texts, A.profiles(spark, sf)))
+    return lang.detect_language(texts, lang.profile_detector(A.profiles(spark, sf)))
 
 
 @query
@@ -512,10 +514,24 @@ def report_lang_method(spark, sf):
     return quality.language_method_report(_tagged(spark, sf))
 
 
+def _lexicon_scores(spark, sf, **options) -> DataFrame:
+    scorer = sentiment.lexicon_scorer(A.lexicon(spark), **options)
+    texts = _cleaned(spark, sf).select("tweet_id", "text_clean")
+    return scorer(texts, "s", F.lit(True)).select(
+        "tweet_id", F.col("s.score").alias("raw_score"),
+        F.col("s.confidence").alias("raw_confidence"), F.col("s.method").alias("raw_method"),
+    )
+
+
 @query
 def lexicon_sentiment(spark, sf):
-    scorer = sentiment.lexicon_scorer(A.lexicon(spark))
-    return scorer(_cleaned(spark, sf).select("tweet_id", "text_clean"))
+    return _lexicon_scores(spark, sf)
+
+
+@query
+def lexicon_sentiment_joined(spark, sf):
+    """The way taken by lexicons too large to travel to the tasks."""
+    return _lexicon_scores(spark, sf, max_rows=0)
 
 
 def _routed(spark, sf) -> DataFrame:
