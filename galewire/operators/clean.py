@@ -7,6 +7,16 @@ from galewire.functions import emoji as E
 from galewire.functions import text as X
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A projected column is copied by the optimizer into each place that uses it, and chains of
+    text steps that look at their input twice would grow exponentially. A one-element generator
+    is not inlined.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def text_features(text: Column, url_count: Column) -> dict[str, Column]:
     length, words = F.length(text), X.word_count(text)
     return {
@@ -25,20 +35,20 @@ def clean_posts(df: DataFrame, strict_codepoint: bool = False, contractions=X.CO
     Adds text_clean, text_original, the emoji columns and the text features.
     """
     weights = E.base_weights(strict_codepoint)
-    normal = df.withColumn("_nfkc", X.nfkc(F.col("text"))).withColumn(
-        "emoji_list", E.emoji_list(F.col("_nfkc"))
+    spelled = X.expand_hashtags(
+        E.emoji_tokens(F.col("_nfkc"), F.col("emoji_list")), F.col("hashtags")
     )
-    spelled = X.expand_hashtags(E.emoji_tokens(F.col("_nfkc"), F.col("emoji_list")), F.col("hashtags"))
-    tidy = X.normalize_ws(X.expand_contractions(X.strip_urls(spelled), contractions))
-    cleaned = normal.withColumns(
+    steps = df.transform(once, "_nfkc", X.nfkc(F.col("text")))
+    steps = steps.transform(once, "emoji_list", E.emoji_list(F.col("_nfkc")))
+    steps = steps.transform(once, "_plain", X.strip_urls(spelled))
+    steps = steps.transform(once, "_full", X.expand_contractions(F.col("_plain"), contractions))
+    steps = steps.transform(once, "text_clean", X.normalize_ws(F.col("_full")))
+    return steps.withColumns(
         {
-            "text_clean": tidy,
             "text_original": F.col("text"),
             "emoji_count": F.size("emoji_list"),
             "emoji_sentiment_score": E.emoji_score(F.col("emoji_list"), weights),
+            **text_features(F.col("text_clean"), F.col("url_count")),
+            "processing_stage": F.lit("cleaned"),
         }
-    )
-    return cleaned.withColumns(
-        text_features(F.col("text_clean"), F.col("url_count"))
-        | {"processing_stage": F.lit("cleaned")}
-    ).drop("_nfkc")
+    ).drop("_nfkc", "_plain", "_full")

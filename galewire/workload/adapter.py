@@ -8,6 +8,7 @@ size and content grow with the tables.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galewire.operators.clean import once
 from galewire.operators.lang import train_profiles
 from galewire.operators.sentiment import DEFAULT_LEXICON
 from galewire.functions.text import text_hash
@@ -75,8 +76,10 @@ def post_stamp(ts: Column, lang: Column) -> Column:
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw post per document."""
-    docs = table(spark, sf_dir, "documents")
     k = F.col("doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    docs = docs.transform(once, "text", post_text(k, F.col("text")))
+    docs = docs.transform(once, "created_at", post_stamp(post_time(k), F.col("lang")))
     lat = F.lit(25.0) + k % 10 * 2 + (k % 7 - 3) * 0.2
     lon = F.lit(-120.0) + F.expr("(doc_id div 10) % 10") * 5 + (k % 3 - 1) * 0.1
     point = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
@@ -92,8 +95,8 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = F.when(k % 7 == 0, F.array(F.struct(link.alias("url"))))
     return docs.select(
         k.cast("string").alias("id"),
-        post_text(k, F.col("text")).alias("text"),
-        post_stamp(post_time(k), F.col("lang")).alias("created_at"),
+        "text",
+        "created_at",
         F.concat(F.lit("u"), (k * 3 % 4000).cast("string")).alias("author_id"),
         "lang",
         F.when(
@@ -142,7 +145,7 @@ def messy_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_posts(flatten_posts(spread(raw_posts(spark, sf_dir), "id")))
+    return parse_posts(flatten_posts(raw_posts(spark, sf_dir)))
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
