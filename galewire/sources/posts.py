@@ -9,17 +9,26 @@ from galewire.schemas import RAW_POST
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt() -> T.StructType:
-    return T.StructType.fromDDL(RAW_POST).add(CORRUPT, T.StringType())
-
-
 def read_posts(spark: SparkSession, path: str, json_array: bool = False) -> DataFrame:
-    """Raw posts from JSON Lines (splittable), or from files that hold one array or object.
+    """Raw posts from JSON Lines (splittable), or from files that each hold one array or object.
 
     Unreadable records come back with only ``_corrupt_record`` filled.
     """
-    reader = spark.read.schema(_with_corrupt()).option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.option("multiLine", json_array).json(path)
+    schema = T.StructType.fromDDL(RAW_POST)
+    if json_array:
+        whole = spark.read.option("wholetext", True).text(path)
+        parsed = whole.withColumn("posts", F.from_json("value", T.ArrayType(schema)))
+        broken = F.when(F.col("posts").isNull(), F.col("value"))
+        return parsed.select(F.explode_outer("posts").alias("p"), broken.alias(CORRUPT)).select(
+            "p.*", CORRUPT
+        )
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    record = F.from_json(
+        "value",
+        schema.add(CORRUPT, T.StringType()),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    return lines.select(record.alias("p")).select("p.*")
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
