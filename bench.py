@@ -13,14 +13,14 @@ from galewire.session import local_session
 from galewire.workload.queries import QUERIES
 
 HEADLINE = [
-    "enriched_posts", "flatten_post", "parse_post", "topic_filter", "dedup_by_id",
+    "flatten_post", "parse_post", "topic_filter", "dedup_by_id",
     "dedup_by_text", "dedup_chain", "dedup_outcomes", "dedup_greedy", "dedup_vs_history",
     "clean_text", "geo_resolve", "nearest_station", "weather_enrich", "lang_profile_score",
     "lang_cascade", "lexicon_sentiment", "sentiment_route", "final_analytics",
     "scan_partitioned_parquet", "q1_sentiment_distribution", "q2_negative_locations",
     "q3_sentiment_by_event", "q4_daily_trend", "q5_language_distribution", "q6_geo_quality",
     "q7_match_quality", "q8_emoji_buckets", "q9_weather_severity", "q10_heatmap_export",
-    "stats_top_hashtags", "stream_daily_trend",
+    "stats_top_hashtags", "stream_daily_trend", "enriched_posts",
 ]
 
 

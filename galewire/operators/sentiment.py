@@ -68,10 +68,11 @@ def finalize_sentiment(raw_score: Column, emoji_score: Column) -> tuple[Column,
 
 
 def label_to_score(label: Column, confidence: Column) -> Column:
-    """Signed score of a classifier's label."""
+    """Signed score of a classifier's label; no label, no score."""
     name = F.upper(label)
     return (
-        F.when(name.contains("POSITIVE") | (name == "POS"), confidence)
+        F.when(label.isNull(), F.lit(None).cast("double"))
+        .when(name.contains("POSITIVE") | (name == "POS"), confidence)
         .when(name.contains("NEGATIVE") | (name == "NEG"), -confidence)
         .otherwise(F.lit(0.0))
     )
