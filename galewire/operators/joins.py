@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 4096
+NULL_SLOTS = 4095
 
 
 def lookup_join(facts: DataFrame, table: DataFrame, keys: list[str], spread: str) -> DataFrame:
@@ -17,7 +17,10 @@ def lookup_join(facts: DataFrame, table: DataFrame, keys: list[str], spread: str
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    slot = F.when(no_key, F.pmod(F.xxhash64(spread), F.lit(NULL_SPREAD - 1)).cast("int") + 1)
-    left = facts.withColumn("_slot", F.coalesce(slot, F.lit(0)))
-    right = table.withColumn("_slot", F.lit(0))
+    # Slot 0 for every real key. It is written as a computation on both sides: a literal would be
+    # folded out of the join keys, and the null rows would meet in one partition after all.
+    matched = F.pmod(F.xxhash64(*keys), F.lit(1))
+    spread_out = F.pmod(F.xxhash64(spread), F.lit(NULL_SLOTS)) + 1
+    left = facts.withColumn("_slot", F.when(no_key, spread_out).otherwise(matched))
+    right = table.withColumn("_slot", matched)
     return left.join(right, [*keys, "_slot"], "left").drop("_slot")

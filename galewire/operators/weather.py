@@ -1,5 +1,7 @@
 """Nearest weather station, its observations around the post, and the classes made from them."""
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +124,14 @@ def window_days(created_at: Column) -> tuple[Column, Column]:
     return F.to_date(created_at - hour), F.to_date(created_at + hour)
 
 
+def observations_between(observations: DataFrame, first: date, last: date) -> DataFrame:
+    """Observations that can matter to posts written between two UTC dates. The condition is on
+    the ISO text, so it reaches the Parquet scan; one more day on each side covers offsets."""
+    low, high = first - timedelta(days=2), last + timedelta(days=3)
+    stamp = F.col("timestamp")
+    return observations.where((stamp >= low.isoformat()) & (stamp < high.isoformat()))
+
+
 def observation_windows(observations: DataFrame) -> DataFrame:
     """Weather per station and post window, made once instead of once per post.
 

@@ -1,8 +1,9 @@
 """From raw posts to the processed table."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from galewire.operators.clean import clean_posts
 from galewire.operators.dedup import dedup_chain
@@ -10,7 +11,7 @@ from galewire.operators.geo import join_place, join_user_location, resolve_geo
 from galewire.operators.lang import Detector, detect_language, profile_detector
 from galewire.operators.parse import flatten_posts, parse_posts
 from galewire.operators.sentiment import Scorer, lexicon_scorer, score_sentiment
-from galewire.operators.weather import enrich_weather
+from galewire.operators.weather import enrich_weather, observations_between
 from galewire.sources.scratch import materialize
 from galewire.sources.tables import References
 
@@ -69,6 +70,14 @@ def add_weather(posts: DataFrame, refs: References) -> DataFrame:
     return posts.join(weather.drop("created_at", "processing_stage"), "tweet_id", "left")
 
 
+def bounded(refs: References, staged: DataFrame) -> References:
+    """References with only the observations of the days the staged posts were written on."""
+    first, last = staged.agg(F.to_date(F.min("created_at")), F.to_date(F.max("created_at"))).first()
+    if first is None:
+        return refs
+    return replace(refs, observations=observations_between(refs.observations, first, last))
+
+
 def run(raw: DataFrame, refs: References, models: TextModels | None = None) -> DataFrame:
     """Whole chain over a batch of raw posts.
 
@@ -78,4 +87,5 @@ def run(raw: DataFrame, refs: References, models: TextModels | None = None) -> D
     """
     cleaned = clean_posts(dedup_chain(parsed_posts(raw)))
     tagged = tag_texts(cleaned, models or text_models(refs))
-    return add_weather(materialize(tagged, "tagged"), refs)
+    staged = materialize(tagged, "tagged")
+    return add_weather(staged, bounded(refs, staged))

@@ -28,11 +28,17 @@ def to_processed(df: DataFrame, processing_date: str | None = None, source: str
     return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def write_processed(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Date-partitioned Parquet. Rebalancing makes files of even size: large dates are split
-    over several tasks, small ones end up in one file."""
-    balanced = df.hint("rebalance", PARTITION)
-    balanced.write.mode(mode).partitionBy(PARTITION).option("compression", "snappy").parquet(path)
+def write_processed(
+    df: DataFrame, path: str, mode: str = "append", many_dates: bool = False
+) -> None:
+    """Date-partitioned Parquet.
+
+    A run normally carries one date and is written as it is. Rows of many dates are rebalanced
+    first, at the price of a shuffle: large dates are split over several tasks, small ones end up
+    in one file, instead of one file per task and date.
+    """
+    rows = df.hint("rebalance", PARTITION) if many_dates else df
+    rows.write.mode(mode).partitionBy(PARTITION).option("compression", "snappy").parquet(path)
 
 
 def write_raw_json(df: DataFrame, path: str, mode: str = "append") -> None:

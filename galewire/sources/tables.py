@@ -4,7 +4,6 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from galewire.functions.emoji import base_weights
 from galewire.schemas import GAZETTEER, LEXICON, OBSERVATION, PLACE, STATION
@@ -27,17 +26,8 @@ def read_stations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATION).parquet(path)
 
 
-def read_observations(
-    spark: SparkSession, path: str, first_date: str | None = None, last_date: str | None = None
-) -> DataFrame:
-    """Observations, optionally only those of a date range (compared on the ISO text, so the
-    condition reaches the Parquet scan)."""
-    df = spark.read.schema(OBSERVATION).parquet(path)
-    if first_date is not None:
-        df = df.where(F.col("timestamp") >= first_date)
-    if last_date is not None:
-        df = df.where(F.col("timestamp") < F.date_add(F.lit(last_date), 1).cast("string"))
-    return df
+def read_observations(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(OBSERVATION).parquet(path)
 
 
 def read_places(spark: SparkSession, path: str) -> DataFrame:

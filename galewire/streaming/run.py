@@ -1,12 +1,15 @@
 """The chain as a streaming query."""
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from galewire.operators.clean import clean_posts
 from galewire.operators.filters import topic_filter
 from galewire.operators.parse import flatten_posts, parse_posts
-from galewire.plans.enrich import TextModels, add_weather, tag_texts, text_models
+from galewire.plans.enrich import TextModels, add_weather, bounded, tag_texts, text_models
 from galewire.sources.posts import stream_posts
 from galewire.sources.scratch import materialize
 from galewire.sources.storage import PARTITION, to_processed
@@ -34,9 +37,10 @@ def write_batch(tagged: DataFrame, refs: References, out: str, batch_id: int) ->
     Each batch owns its folder and replaces it, so a batch that is run again after a failure
     leaves no second copy, whatever the date.
     """
-    staged = materialize(tagged, "batch")
+    place = hashlib.md5(out.encode()).hexdigest()
+    staged = materialize(tagged, "batch", slot=place)
     (
-        to_processed(add_weather(staged, refs))
+        to_processed(add_weather(staged, bounded(refs, staged)))
         .write.mode("overwrite")
         .partitionBy(PARTITION)
         .option("compression", "snappy")
@@ -50,7 +54,7 @@ def write_batch(tagged: DataFrame, refs: References, out: str, batch_id: int) ->
 def start(
     spark: SparkSession,
     folder: str,
-    refs: References,
+    refs: References | Callable[[], References],
     out: str,
     checkpoint: str,
     once: bool = False,
@@ -59,13 +63,21 @@ def start(
     files_per_trigger: int = 1000,
     models: TextModels | None = None,
 ) -> StreamingQuery:
-    """Start the query on a folder of JSON Lines files. References are static tables; the weather
-    lookup aggregates, so it runs inside each micro-batch."""
+    """Start the query on a folder of JSON Lines files.
+
+    The weather lookup aggregates, so it runs inside each micro-batch, on the observations of the
+    batch's days. ``refs`` may be a function: it is called for every batch and can return tables
+    that have grown since.
+    """
+
+    def tables() -> References:
+        return refs() if callable(refs) else refs
+
     cleaned = cleaned_stream(stream_posts(spark, folder, files_per_trigger), delay)
-    tagged = tag_texts(cleaned, models or text_models(refs))
+    tagged = tag_texts(cleaned, models or text_models(tables()))
     return (
         tagged.writeStream.foreachBatch(
-            lambda batch, batch_id: write_batch(batch, refs, out, batch_id)
+            lambda batch, batch_id: write_batch(batch, tables(), out, batch_id)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(once, interval))

@@ -151,7 +151,7 @@ def parsed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with repeated ids, repeated texts and exact copies: documents and conversation
     turns share one id space, and pages of the same number arrive a second time."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.col("doc_id").alias("k"), post_time(F.col("doc_id")).alias("created_at"), "text"
     )
     turns = table(spark, sf_dir, "conversations").select(

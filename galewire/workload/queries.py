@@ -69,7 +69,7 @@ def high_water_mark(spark, sf):
 
 def _stored(spark, sf) -> tuple[str, DataFrame]:
     path = scratch_path(spark, "processed")
-    storage.write_processed(A.processed(spark, sf), path)
+    storage.write_processed(A.processed(spark, sf), path, many_dates=True)
     return path, storage.scan_processed(spark, path)
 
 

@@ -21,7 +21,7 @@ def processed(spark):
 
 def test_partitioned_write_read_prune(spark, processed, tmp_path):
     path = str(tmp_path / "processed")
-    storage.write_processed(processed, path)
+    storage.write_processed(processed, path, many_dates=True)
     assert any(f.startswith("processing_date=2024-01-") for f in os.listdir(path))
     back = storage.scan_processed(spark, path)
     assert back.columns == processed.columns and back.count() == processed.count()
@@ -116,3 +116,18 @@ def test_lookup_join_spreads_null_keys_and_keeps_all_rows(spark):
     table = spark.createDataFrame([("hot", 1), ("4", 2)], "key string, v int")
     got = lookup_join(facts, table, ["key"], spread="id")
     assert got.count() == 1000 and got.where("v = 1").count() == 334 and got.where("v = 2").count() == 1
+
+
+def test_null_keys_are_part_of_the_shuffle_key(spark):
+    from galewire.operators.joins import lookup_join
+    facts = spark.range(1000).select("id", F.when(F.col("id") < 0, 1.0).alias("lat"), F.rand(1).alias("lon"))
+    table = spark.createDataFrame([(1.0, 2.0, 3)], "lat double, lon double, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(facts, table, ["lat", "lon"], spread="id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and all("_slot" in line for line in exchanges)

@@ -99,3 +99,12 @@ def test_match_quality(spark, km, minutes, want):
 def test_repeated_observations_do_not_multiply_posts(spark):
     posts = [(str(i), NOON, 40.0, -74.0, "high") for i in range(50)]
     assert len(enrich(spark, posts, BASIC * 40)) == 50
+
+
+def test_observations_of_the_days_around(spark):
+    day = dt.date(2024, 1, 15)
+    stamps = ["2024-01-12T23:59:59", "2024-01-13T00:00:00", "2024-01-15T23:30:00-05:00", "2024-01-17T23:59:59",
+              "2024-01-18T00:00:00"]
+    rows = observations(spark, [("S1", s, "TMAX", 1.0) for s in stamps])
+    kept = W.observations_between(rows, day, day)
+    assert [r.timestamp for r in kept.collect()] == stamps[1:4]
