@@ -61,12 +61,15 @@ def tag_texts(cleaned: DataFrame, models: TextModels) -> DataFrame:
     return score_sentiment(tagged, models.english, models.multilingual, models.fallback)
 
 
-def add_weather(posts: DataFrame, refs: References) -> DataFrame:
+def add_weather(posts: DataFrame, refs: References, slot: str | None = None) -> DataFrame:
     """Position and weather of posts with unique ids.
 
     All lookups run on narrow rows; the wide rows are shuffled once, by tweet_id, to meet them.
+    Positions are needed twice, for the distinct points and for the posts, so they are written
+    once in between.
     """
-    weather = enrich_weather(locate_posts(posts, refs), refs.stations, refs.observations)
+    located = materialize(locate_posts(posts, refs), "located", slot)
+    weather = enrich_weather(located, refs.stations, refs.observations)
     return posts.join(weather.drop("created_at", "processing_stage"), "tweet_id", "left")
 
 

@@ -16,8 +16,7 @@ from galewire.sources.storage import PARTITION, to_processed
 from galewire.sources.tables import References
 from galewire.streaming.dedup import stream_dedup
 
-# How often to look for new posts, and how often to write.
-POLL_INTERVAL = "30 seconds"
+# Fixed value: how often to read what has arrived and write it.
 WRITE_INTERVAL = "300 seconds"
 
 
@@ -40,7 +39,7 @@ def write_batch(tagged: DataFrame, refs: References, out: str, batch_id: int) ->
     place = hashlib.md5(out.encode()).hexdigest()
     staged = materialize(tagged, "batch", slot=place)
     (
-        to_processed(add_weather(staged, bounded(refs, staged)))
+        to_processed(add_weather(staged, bounded(refs, staged), slot=place))
         .write.mode("overwrite")
         .partitionBy(PARTITION)
         .option("compression", "snappy")
@@ -62,6 +61,7 @@ def start(
     delay: str = "1 day",
     files_per_trigger: int = 1000,
     models: TextModels | None = None,
+    only_topic: bool = False,
 ) -> StreamingQuery:
     """Start the query on a folder of JSON Lines files.
 
@@ -73,7 +73,8 @@ def start(
     def tables() -> References:
         return refs() if callable(refs) else refs
 
-    cleaned = cleaned_stream(stream_posts(spark, folder, files_per_trigger), delay)
+    raw = stream_posts(spark, folder, files_per_trigger)
+    cleaned = cleaned_stream(raw, delay, only_topic)
     tagged = tag_texts(cleaned, models or text_models(tables()))
     return (
         tagged.writeStream.foreachBatch(
