@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +29,13 @@ def line(i, text, minute=0):
     return json.dumps({"id": str(i), "text": text, "created_at": at.isoformat() + "Z"})
 
 
+def arrive(folder, n, *lines):
+    """File number n; files are read in the order of their times."""
+    path = folder / f"{n}.json"
+    path.write_text("\n".join(lines))
+    os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+
+
 def drain(writer, checkpoint):
     query = writer.option("checkpointLocation", str(checkpoint)).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -64,7 +73,7 @@ def test_resumes_after_what_it_has_read(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
     for n, posts in enumerate(([line(1, "a"), line(2, "b")], [line(3, "c")])):
-        (source / f"{n}.json").write_text("\n".join(posts))
+        arrive(source, n, *posts)
         stream = stream_posts(spark, str(source)).select("id")
         drain(stream.writeStream.format("parquet").option("path", out), tmp_path / "log")
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
@@ -73,8 +82,8 @@ def test_resumes_after_what_it_has_read(spark, tmp_path):
 def test_stream_dedup_across_batches(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
-    (source / "0.json").write_text("\n".join([line(1, "A"), line(1, "A", 1), line(2, " a ", 2), line(3, "RT @x: A")]))
-    (source / "1.json").write_text("\n".join([line(1, "later", 3), line(4, "A", 4), line(5, "new", 5)]))
+    arrive(source, 0, line(1, "A"), line(1, "A", 1), line(2, " a ", 2), line(3, "RT @x: A"))
+    arrive(source, 1, line(1, "later", 3), line(4, "A", 4), line(5, "new", 5))
     parsed = R.parse_posts(R.flatten_posts(stream_posts(spark, str(source), 1)))
     kept = stream_dedup(parsed, "1 day").select("tweet_id", text_hash(F.col("text")).alias("h"))
     drain(kept.writeStream.format("parquet").option("path", out), tmp_path / "log")
@@ -86,7 +95,7 @@ def test_state_is_bounded_by_the_watermark(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
     for n, (i, minute) in enumerate(((1, 0), (2, 600), (3, 1200), (1, 1300))):
-        (source / f"{n}.json").write_text(line(i, f"text {n}", minute))
+        arrive(source, n, line(i, f"text {n}", minute))
     parsed = R.parse_posts(R.flatten_posts(stream_posts(spark, str(source), 1)))
     query = drain(stream_dedup(parsed, "1 hour").select("tweet_id").writeStream.format("parquet")
                   .option("path", out), tmp_path / "log")
@@ -98,8 +107,8 @@ def test_state_is_bounded_by_the_watermark(spark, tmp_path):
 def test_stage_counters(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    (source / "0.json").write_text("\n".join([line(1, "A"), line(2, "RT @x: b")]))
-    (source / "1.json").write_text(line(3, "C"))
+    arrive(source, 0, line(1, "A"), line(2, "RT @x: b"))
+    arrive(source, 1, line(3, "C"))
     totals = StageTotals()
     spark.streams.addListener(totals)
     try:
@@ -109,7 +118,6 @@ def test_stage_counters(spark, tmp_path):
         for _ in range(50):
             if totals.totals.get("flatten", {}).get("processed") == 3:
                 break
-            import time
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(totals)
