@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewire.llm import quality_rules
+from galewire.llm import mixing, quality_rules, sharding
 from galewire.llm.text import table
+from galewire.sources.scratch import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +79,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        bits = 0 AS kept, bits::BIGINT AS failed_bits, 'web-2' AS policy
 FROM b
 """
+
+
+# ---------------------------------------------------------------- mixing and sharding
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).documents.select(
+        F.col("carry.doc_id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    digest = F.struct(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
+        F.crc32("text").alias("text_crc32"),
+    )
+    rows = materialize(docs.select(digest.alias("digest"), "source"), "shard-rows")
+    return sharding.interleave(rows, "digest", "source").select(
+        "digest.*", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
