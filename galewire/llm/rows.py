@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from galewire.sources.scratch import materialize
 
-SLICE_ROWS = 1 << 15  # rows a single sort of a ranked group holds, about
+SLICE_ROWS = 1 << 12  # rows a single sort of a ranked group holds, about
 
 
 def with_row_id(docs: DataFrame) -> DataFrame:
