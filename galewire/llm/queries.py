@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewire.llm import mixing, quality_rules, sharding
+from galewire.llm import decontamination, mixing, quality_rules, sharding
 from galewire.llm.text import table
 from galewire.sources.scratch import materialize
 
@@ -105,3 +105,70 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "digest.*", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# ---------------------------------------------------------------- decontamination
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, tests = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    judged = decontamination.judge(
+        decontamination.find_matches(docs, tests.select("item_id", "text"), ["doc_id"])
+    )
+    return judged.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated", "longest",
+    )
+
+
+ORACLES["op8_decontamination"] = r"""
+WITH fold AS (
+    SELECT 'd' AS kind, row_number() OVER () AS rid, text, NULL AS item FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), text, CAST(item_id AS VARCHAR) FROM benchmark
+), split AS (
+    SELECT kind, rid, item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM fold
+), sizes AS (
+    SELECT DISTINCT least(13, len(w)) AS l FROM split WHERE kind = 'b' AND len(w) > 0
+), word AS (
+    SELECT kind, rid, item, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM split
+), runs AS (
+    SELECT kind, rid, item, n, i, l, string_agg(x, ' ') OVER (
+        PARTITION BY kind, rid, l ORDER BY i ROWS BETWEEN CURRENT ROW AND l - 1 FOLLOWING) AS g
+    FROM word, sizes
+), met AS (
+    SELECT d.rid, d.i, d.l, b.item
+    FROM runs d JOIN runs b ON d.l = b.l AND d.g = b.g
+    WHERE d.kind = 'd' AND b.kind = 'b' AND d.i + d.l - 1 <= d.n
+      AND b.i + b.l - 1 <= b.n AND b.l = least(13, b.n)
+), hit AS (
+    SELECT rid, count(DISTINCT i + k) AS n FROM met, range(0, 13) AS r(k) WHERE k < l GROUP BY rid
+), listed AS (
+    SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT rid, item FROM met WHERE item IS NOT NULL) GROUP BY rid
+), docs AS (
+    SELECT row_number() OVER () AS rid, doc_id FROM documents
+), deep AS (
+    -- Neighbouring windows of one item that follow each other in the text make a longer match.
+    SELECT rid, max(c) AS longest FROM (
+        SELECT rid, item_rid, lag_, count(*) + 12 AS c FROM (
+            SELECT d.rid, b.rid AS item_rid, d.i - b.i AS lag_, d.i - row_number() OVER (
+                PARTITION BY d.rid, b.rid, d.i - b.i ORDER BY d.i) AS island
+            FROM runs d JOIN runs b ON d.l = b.l AND d.g = b.g
+            WHERE d.kind = 'd' AND b.kind = 'b' AND d.i + d.l - 1 <= d.n
+              AND b.i + b.l - 1 <= b.n AND b.l = least(13, b.n) AND b.l = 13
+        ) GROUP BY rid, item_rid, lag_, island
+    ) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+       coalesce(listed.n, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated,
+       coalesce(longest, 0)::BIGINT AS longest
+FROM docs JOIN (SELECT rid, w FROM split WHERE kind = 'd') USING (rid)
+LEFT JOIN hit USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN deep USING (rid)
+"""
