@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewire.llm import decontamination, mixing, quality_rules, sharding
+from galewire.llm import decontamination, mixing, quality_rules, sharding, simhash
 from galewire.llm.text import table
 from galewire.sources.scratch import materialize
 
@@ -172,3 +172,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
 FROM docs JOIN (SELECT rid, w FROM split WHERE kind = 'd') USING (rid)
 LEFT JOIN hit USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN deep USING (rid)
 """
+
+
+# ---------------------------------------------------------------- near duplicates
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    marked = simhash.component_ids(simhash.near_duplicates(docs))
+    return marked.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
