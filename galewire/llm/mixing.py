@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galewire.llm.rows import key_shift, order_key, ranked
+from galewire.llm.rows import key_shift, order_key, ranked, with_row_id
 from galewire.llm.text import word_count
 from galewire.sources.scratch import materialize
 
@@ -190,3 +190,19 @@ def mix(
         "slot", "carry", (low - F.col("start")).alias("doc_first"), "n_words"
     )
     return Mixture(sources, schedule.select("slot", "source_no", "block", "first", "last"), pieces, documents)
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
+    """The input rows, each as often as the mix takes it to the nearest whole number: 0 to
+    ``MAX_REPEATS`` times. Rows without words have no part in the shares and stay as they are."""
+    named = with_row_id(docs)
+    narrow = named.select(
+        "rid", F.col(f"row.`{text}`").alias("text"), F.col(f"row.`{source}`").alias("source")
+    )
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5))
+    taken = mix(narrow, ["rid"]).documents.select(F.col("carry.rid").alias("rid"), times.cast("int").alias("times"))
+    return (
+        named.join(taken.filter("times > 0"), "rid")
+        .select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
+        .select("row.*")
+    )

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from galewire.llm.rows import SLICE_ROWS, key_shift, order_key, ranked
+from galewire.llm.rows import SLICE_ROWS, key_shift, order_key, ranked, with_row_id
 from galewire.sources.scratch import materialize
 
 SHARDS = 16
@@ -70,3 +70,12 @@ def write_shards(docs: DataFrame, path: str) -> None:
     docs.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
         "shard"
     ).mode("overwrite").parquet(path)
+
+
+def shard_documents(docs: DataFrame, n_shards: int = SHARDS, source: str = "source") -> DataFrame:
+    """The input rows with ``shard`` and ``slot``; input columns of these names are replaced."""
+    named = with_row_id(docs)
+    rows = materialize(named.select("rid", F.col(f"row.`{source}`").alias("source")), "shard-rows")
+    placed = interleave(rows, "rid", "source", n_shards)
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
+    return named.join(placed, "rid").select(*kept, "shard", "slot")

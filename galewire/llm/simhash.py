@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewire.llm.components import connected
+from galewire.llm.rows import with_row_id
 from galewire.sources.scratch import materialize
 
 SHINGLE = 3
@@ -323,3 +324,16 @@ def component_ids(marked: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``marked`` with ``component_id``, the least id of each class."""
     least = marked.groupBy("class").agg(F.min(f"row.{doc_id}").alias("component_id"))
     return marked.join(least, "class")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input rows without near duplicates: of each class the row with the least id stays (a
+    null id counts as the greatest; rows that share an id, by their place)."""
+    named = with_row_id(docs)
+    narrow = named.select(
+        "rid", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text")
+    )
+    marked = near_duplicates(narrow, ["rid", "doc_id"])
+    first = F.min(F.struct(F.col("row.doc_id").isNull().alias("last"), "row.doc_id", "row.rid"))
+    kept = marked.groupBy("class").agg(first.alias("first")).select(F.col("first.rid").alias("rid"))
+    return named.join(kept, "rid", "left_semi").select("row.*")
