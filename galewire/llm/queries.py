@@ -5,9 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewire.llm import decontamination, mixing, quality_rules, sharding, simhash
+from galewire.llm import decontamination, langid, mixing, quality_rules, sharding, simhash, warc
 from galewire.llm.text import table
-from galewire.sources.scratch import materialize
+from galewire.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,3 +186,35 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+# ---------------------------------------------------------------- languages
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out")
+    )
+    prototypes = langid.train(docs.filter("NOT held_out").select("text", "lang"))
+    return langid.predict(docs, prototypes, ["doc_id", "held_out"]).select(
+        "row.doc_id", "row.held_out", "lang_pred", "score"
+    )
+
+
+# ---------------------------------------------------------------- web archives
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages, path)
+    kind = dict(pages.dtypes)["page_id"]
+    return warc.resolved(warc.read_archives(spark, path, with_payload=False)).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
+        "problem",
+    )
