@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewire.llm import decontamination, langid, mixing, quality_rules, sharding, simhash, warc
+from galewire.llm import decontamination, langid, mixing, ngram_trie, quality_rules, sharding, simhash, warc
 from galewire.llm.text import table
 from galewire.sources.scratch import materialize, scratch_path
 
@@ -218,3 +218,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast(kind).alias("refers_to"),
         "problem",
     )
+
+
+# ---------------------------------------------------------------- language model
+
+
+@query
+def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = ngram_trie.held_out(F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    return ngram_trie.score(docs, F.col("held_out"), ["doc_id", "held_out"]).select(
+        "row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
