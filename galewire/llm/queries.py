@@ -5,7 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galewire.llm import decontamination, langid, mixing, ngram_trie, quality_rules, sharding, simhash, warc
+from galewire.llm import (
+    decontamination, langid, line_dedup, mixing, ngram_trie, quality_rules, sharding, simhash,
+    token_rollups, warc,
+)
 from galewire.llm.text import table
 from galewire.sources.scratch import materialize, scratch_path
 
@@ -230,3 +233,58 @@ def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_trie.score(docs, F.col("held_out"), ["doc_id", "held_out"]).select(
         "row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+# ---------------------------------------------------------------- lines of a site
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kept = line_dedup.drop_site_lines(
+        pages, line_dedup.url_host(F.col("url")), line_dedup.html_lines(F.col("html")), ["page_id"]
+    )
+    return kept.select(
+        F.col("row.page_id").alias("page_id"), "host", "host_pages", "n_lines",
+        (F.col("n_lines") - F.size("kept_lines")).alias("n_dropped"),
+        F.md5(F.array_join("kept_lines", "\n")).alias("kept_md5"),
+    )
+
+
+ORACLES["op3_line_dedup"] = rf"""
+WITH p AS (
+    SELECT row_number() OVER () AS rid, page_id,
+           nullif(lower(regexp_extract(url, '{line_dedup.HOST}', 1)), '') AS host,
+           list_filter(list_transform(string_split(
+               regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+                   '{line_dedup.UNSEEN}', '', 'g'), '{line_dedup.BREAKS}', chr(10), 'g'), '{line_dedup.TAGS}', '', 'g'),
+               chr(10)), lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')),
+               lambda x: x <> '') AS l
+    FROM pages
+), total AS (
+    SELECT host, count(*) AS pages FROM p WHERE host IS NOT NULL GROUP BY host
+), line AS (
+    SELECT rid, host, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM p
+), often AS (
+    SELECT host, x FROM (SELECT DISTINCT rid, host, x FROM line) JOIN total USING (host)
+    WHERE pages >= {line_dedup.LEAST_PAGES}
+    GROUP BY host, x, pages HAVING count(*) > {line_dedup.RATIO}::DOUBLE * pages
+), kept AS (
+    SELECT rid, count(*) AS n, string_agg(x, chr(10) ORDER BY i) AS t
+    FROM line ANTI JOIN often USING (host, x) GROUP BY rid
+)
+SELECT page_id, host, coalesce(pages, 0)::BIGINT AS host_pages, len(l)::BIGINT AS n_lines,
+       (len(l) - coalesce(n, 0))::BIGINT AS n_dropped, md5(coalesce(t, '')) AS kept_md5
+FROM p LEFT JOIN total USING (host) LEFT JOIN kept USING (rid)
+"""
+
+
+# ---------------------------------------------------------------- token counts
+
+
+@query
+def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = [token_rollups.Words("words-1"), token_rollups.ByteBpe.load("byte_bpe_50k-1")]
+    ledger = token_rollups.TokenLedger(spark, scratch_path(spark, "tokens"), versions)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return token_rollups.replayed_history(docs, ledger)
