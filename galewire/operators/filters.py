@@ -34,14 +34,20 @@ def drop_reposts(df: DataFrame) -> DataFrame:
 def newer_than(df: DataFrame, mark: DataFrame, id_column: str = "id") -> DataFrame:
     """Rows whose id is above the mark, a one-row table as ``next_high_water_mark`` makes it;
     all rows when the mark is null (first run). Ids compare as numbers: as texts, 9 would
-    follow 10."""
+    follow 10. An id that is no number has no place in that order: such rows are not newer; see
+    ``without_number``."""
     newest = mark.select(F.col("high_water_mark").cast("decimal(38,0)")).scalar()
-    return df.where(newest.isNull() | (F.col(id_column).cast("decimal(38,0)") > newest))
+    return df.where(newest.isNull() | (F.col(id_column).try_cast("decimal(38,0)") > newest))
+
+
+def without_number(df: DataFrame, id_column: str = "id") -> DataFrame:
+    """Rows that no since-id read can place: their id is null or no number."""
+    return df.where(F.col(id_column).try_cast("decimal(38,0)").isNull())
 
 
 def next_high_water_mark(df: DataFrame, id_column: str = "id") -> DataFrame:
     """One row with the newest id."""
-    newest = F.max(F.col(id_column).cast("decimal(38,0)")).cast("string")
+    newest = F.max(F.col(id_column).try_cast("decimal(38,0)")).cast("string")
     return df.agg(newest.alias("high_water_mark"))
 
 

@@ -22,11 +22,8 @@ MIN_CONFIDENCE = 0.5
 SHORT_TEXT_CONFIDENCE = 0.5
 FALLBACK_CONFIDENCE = 0.3
 
-# Profile parameters: n-grams kept per language, and the log-probability (in thousandths, like
-# all weights here) of an n-gram outside the profile.
-PROFILE_SIZE = 400
+# The log-probability (in thousandths, like all weights here) of an n-gram outside the profile.
 FLOOR = -12000
-MAX_PROFILE_ROWS = 200_000
 
 PRIMARY_METHOD = "ngram_profile"
 SECONDARY_METHOD = "second_detector"
@@ -43,16 +40,19 @@ def char_trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TRIGRAM), F.lit(1))
 
 
-def train_profiles(labelled: DataFrame, size: int = PROFILE_SIZE) -> DataFrame:
-    """Most frequent trigrams per language with their weight, from (text, lang) rows."""
+def train_profiles(labelled: DataFrame, size: int | None = None) -> DataFrame:
+    """Trigrams per language with their weight, from (text, lang) rows: all of them, or the
+    ``size`` most frequent where a model of fixed size is wanted."""
     counts = (
         labelled.select("lang", F.explode(char_trigrams(F.col("text"))).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= size)
+    top = counts
+    if size is not None:
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+        top = counts.withColumn("rank", rank).where(F.col("rank") <= size)
     log_p = F.round(F.log(F.col("n") / F.col("total")) * 1000).cast("long")
     return top.join(totals, "lang").select("lang", "gram", (log_p - FLOOR).alias("weight"))
 
@@ -65,13 +65,12 @@ def _gram_code(a, b, c):
 def profile_detector(profiles: DataFrame) -> Detector:
     """Naive Bayes over the trigram profiles.
 
-    A profile table has a fixed number of rows per language, so it travels with the function.
+    A profile table has a row for each trigram of a language, which grows with its alphabet and
+    not with the posts, so it travels with the function.
     The trigrams of a text are looked up as one sorted-array search; exploding them into rows
     costs ten times the CPU. Weights are whole numbers: sums are exact in any order.
     """
-    rows = profiles.select("lang", "gram", "weight").limit(MAX_PROFILE_ROWS + 1).collect()
-    if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError(f"a profile table holds at most {MAX_PROFILE_ROWS} rows")
+    rows = profiles.select("lang", "gram", "weight").collect()
     langs = sorted({row.lang for row in rows})
     codes = [_gram_code(*map(ord, row.gram)) for row in rows]
     grams = np.unique(np.array(codes, dtype=np.int64))

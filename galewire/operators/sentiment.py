@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from galewire.functions.text import is_blank, stable_round
+from galewire.operators.joins import lookup_join
 from galewire.sources.tables import lexicon_table
 
 Scorer = Callable[[DataFrame, str, Column], DataFrame]
@@ -27,7 +28,6 @@ NEGATED, PLAIN = -74, 100
 
 # Lexicon weights are summed as whole thousandths.
 WEIGHT_UNIT = 1000
-MAX_LEXICON_ROWS = 200_000
 
 NEGATIONS = [
     "not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "cannot",
@@ -111,22 +111,25 @@ def _compound(total: Column, method: str) -> Column:
     )
 
 
-def lexicon_scorer(
-    lexicon: DataFrame, method: str = "lexicon", max_rows: int = MAX_LEXICON_ROWS
-) -> Scorer:
+def _weights(lexicon: DataFrame) -> DataFrame:
+    return lexicon.groupBy("token").agg(
+        F.max(F.round(F.col("weight") * WEIGHT_UNIT).cast("long")).alias("weight")
+    )
+
+
+def lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
     """Rule-based scorer: weights of the words found in the lexicon, turned round when one of
     the three words before is a negation, summed and squashed to [-1, 1].
 
-    A lexicon of up to ``max_rows`` entries travels to the tasks and posts are scored in the row.
-    A larger one is joined. Both sum whole numbers, so they agree to the last digit.
+    The lexicon, a word list, travels to the tasks and posts are scored in the row. For a table
+    that does not fit a task use ``joined_lexicon_scorer``, which gives the same scores.
     """
-    table = lexicon.groupBy("token").agg(
-        F.max(F.round(F.col("weight") * WEIGHT_UNIT).cast("long")).alias("weight")
-    )
-    rows = table.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return _joined_lexicon(table, method)
-    return _carried_lexicon({row.token: row.weight for row in rows}, method)
+    return _carried_lexicon({row.token: row.weight for row in _weights(lexicon).collect()}, method)
+
+
+def joined_lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
+    """``lexicon_scorer`` for a lexicon of any size, by a join on words."""
+    return _joined_lexicon(_weights(lexicon), method)
 
 
 def _carried_lexicon(weights: dict[str, int], method: str) -> Scorer:
@@ -156,8 +159,9 @@ def _carried_lexicon(weights: dict[str, int], method: str) -> Scorer:
 
 
 def _joined_lexicon(table: DataFrame, method: str) -> Scorer:
-    """Words as rows, met with the lexicon in an equality join; the sum of a post is started in
-    the task that read it."""
+    """Words as rows, met with the lexicon in an equality join. Scores belong to texts: each text
+    is scored once and found again by its digest, so repeated and missing ids do not matter. The
+    sum of a text is started in the task that read it."""
 
     def before(tokens: Column, n: int) -> Column:
         return F.concat(F.array(*[F.lit("")] * n), tokens)
@@ -166,16 +170,24 @@ def _joined_lexicon(table: DataFrame, method: str) -> Scorer:
         tokens = F.col("_tokens")
         columns = [tokens.alias("token")]
         columns += [before(tokens, n).alias(f"p{n}") for n in (1, 2, 3)]
-        texts = df.where(chosen).select("tweet_id", word_tokens(F.col("text_clean")).alias("_tokens"))
-        words = texts.select("tweet_id", F.inline(F.arrays_zip(*columns))).where("token IS NOT NULL")
+        keyed = df.withColumn("_text_key", F.when(chosen, F.sha2("text_clean", 256)))
+        texts = (
+            keyed.where("_text_key IS NOT NULL").groupBy("_text_key")
+            .agg(F.min("text_clean").alias("_text"))
+            .select("_text_key", word_tokens(F.col("_text")).alias("_tokens"))
+        )
+        words = texts.select("_text_key", F.inline(F.arrays_zip(*columns))).where("token IS NOT NULL")
         negated = F.lit(False)
         for previous in ("p1", "p2", "p3"):
             negated = negated | F.col(previous).isin(*NEGATIONS)
         weighted = F.col("weight") * F.when(negated, F.lit(NEGATED)).otherwise(F.lit(PLAIN))
-        sums = words.join(table, "token").groupBy("tweet_id").agg(F.sum(weighted).alias("_total"))
-        summed = df.join(sums, "tweet_id", "left")
-        total = F.coalesce("_total", F.lit(0)) / float(WEIGHT_UNIT * PLAIN)
-        return summed.withColumn(name, F.when(chosen, _compound(total, method))).drop("_total")
+        sums = words.join(table, "token").groupBy("_text_key").agg(F.sum(weighted).alias("_total"))
+        summed = lookup_join(keyed, sums, ["_text_key"], spread="tweet_id")
+        total = F.when(
+            F.col("_text_key").isNotNull(), F.coalesce("_total", F.lit(0)) / float(WEIGHT_UNIT * PLAIN)
+        )
+        answer = _compound(total, method)
+        return summed.withColumn(name, F.when(chosen, answer)).drop("_total", "_text_key")
 
     return score
 

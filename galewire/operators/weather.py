@@ -138,8 +138,7 @@ def observation_windows(observations: DataFrame) -> DataFrame:
     A window is one whole UTC day or two consecutive ones, because the source answers by date.
     Maximum, minimum, sum and count all combine, so days are rolled up first (with partial
     aggregation) and then joined into the windows. Sums are decimal: order cannot change them.
-    ``times`` holds the distinct observation times in whole seconds, the precision of the feed,
-    hence at most 86400 numbers per day.
+    ``times`` holds the distinct observation times of a station and window in microseconds.
     """
     at = parse_timestamp(F.col("timestamp"))
     exact = F.col("value").cast("decimal(18,6)")
@@ -158,7 +157,7 @@ def observation_windows(observations: DataFrame) -> DataFrame:
             F.sum(of("AWND")).alias("wind"),
             F.count(of("AWND")).alias("wind_n"),
             F.count(F.lit(1)).alias("n_obs"),
-            F.collect_set(F.unix_seconds("_at")).alias("times"),
+            F.collect_set(F.unix_micros("_at")).alias("times"),
         )
         .where(F.col("day").isNotNull())
     )
@@ -202,12 +201,12 @@ def rollup_columns(divisor: float = UNIT_DIVISOR) -> dict[str, Column]:
 
 
 def closest_time(times: Column, created_at: Column) -> Column:
-    """``{diff, at}``: distance in microseconds and time (epoch seconds) of the nearest
-    observation; the earlier one wins a tie."""
+    """``{diff, at}``: distance and time of the nearest observation, both in microseconds; the
+    earlier one wins a tie."""
     post = F.unix_micros(created_at)
     return F.array_min(
         F.transform(
-            times, lambda t: F.struct(F.abs(t * 1000000 - post).alias("diff"), t.alias("at"))
+            times, lambda t: F.struct(F.abs(t - post).alias("diff"), t.alias("at"))
         )
     )
 
@@ -276,7 +275,7 @@ def enrich_weather(
             "weather_station_name": F.col("station_name"),
             "weather_station_distance_km": F.col("distance_km"),
             "weather_event_type": F.when(observed, event),
-            "weather_observation_time": iso_seconds(F.timestamp_seconds("_closest.at")),
+            "weather_observation_time": iso_seconds(F.timestamp_micros("_closest.at")),
             "noaa_match_quality": F.when(~station, "no_geolocation")
             .when(~observed, "no_observations")
             .otherwise(quality),

@@ -32,10 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """All cores for a text table that is one file with one row group, hence one task. Folders
-    with a file per core or more stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    """Text rows dealt anew by key: a benchmark table is one row group, hence one task, however
+    many cores there are. Only the adapter does this; the operators take rows as they come."""
+    return df.repartition(key)
 
 
 def _pick(condition: Column, value) -> Column:
@@ -195,7 +194,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("ST"), (F.col("user_id") % 100).cast("string")).alias("station_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         F.when(kind == "click", "TMAX")
         .when(kind == "view", "TMIN")
         .when(kind == "purchase", "PRCP")

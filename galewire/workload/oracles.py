@@ -7,7 +7,7 @@ import re
 
 from galewire.functions.emoji import EMOJI_NAMES, EMOJI_RANGES, VARIATION_SELECTOR, base_weights
 from galewire.functions.text import CONTRACTIONS, URL_PATTERN
-from galewire.operators.lang import FLOOR, PROFILE_SIZE
+from galewire.operators.lang import FLOOR
 from galewire.operators.sentiment import NEGATIONS
 from galewire.workload.adapter import TEXT_LEXICON
 
@@ -179,7 +179,7 @@ CTES = {
             -120.0::DOUBLE + (s_suppkey // 10) % 10 * 5 AS longitude, s_acctbal AS elevation
         FROM supplier""",
     "observations": """
-        SELECT 'ST' || (user_id % 100) AS station_id, date_trunc('second', ts) AS obs_at,
+        SELECT 'ST' || (user_id % 100) AS station_id, ts AS obs_at,
             CASE event_type WHEN 'click' THEN 'TMAX' WHEN 'view' THEN 'TMIN'
                 WHEN 'purchase' THEN 'PRCP' WHEN 'error' THEN 'AWND' ELSE 'SNOW' END AS datatype,
             CASE WHEN event_type = 'click' THEN round(value * 4 - 100, 2) ELSE value END AS value
@@ -286,9 +286,7 @@ CTES = {
     "gram_counts": "SELECT lang, gram, count(*) AS n FROM grams GROUP BY lang, gram",
     "profiles": f"""
         SELECT lang, gram, CAST(round(ln(n / total) * 1000) AS BIGINT) + {-FLOOR} AS weight
-        FROM (SELECT *, sum(n) OVER (PARTITION BY lang) AS total,
-              row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rk FROM gram_counts)
-        WHERE rk <= {PROFILE_SIZE}""",
+        FROM (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM gram_counts)""",
     "post_grams": f"""
         SELECT id, c[i] || c[i + 1] || c[i + 2] AS gram FROM (
             SELECT id, c, unnest(range(1, len(c) - 1)) AS i
@@ -666,7 +664,7 @@ DETAIL = {
         FROM (SELECT DISTINCT geo_lat AS lat, geo_lon AS lon FROM geo WHERE geo_lat IS NOT NULL) p
             LEFT JOIN nearest n USING (lat, lon)""",
     "observation_units": """
-        SELECT station_id, strftime(obs_at, '%Y-%m-%dT%H:%M:%S') AS "timestamp", datatype, value,
+        SELECT station_id, strftime(obs_at, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", datatype, value,
             CASE WHEN datatype = 'TMAX' THEN value / 10 END AS temperature_max_c,
             CASE WHEN datatype = 'TMIN' THEN value / 10 END AS temperature_min_c,
             CASE WHEN datatype = 'PRCP' THEN value / 10 END AS precipitation_mm,

@@ -449,7 +449,7 @@ def closest_observation(spark, sf):
     )
     return found.where(F.col("n_obs").isNotNull()).select(
         "tweet_id",
-        iso_seconds(F.timestamp_seconds("c.at")).alias("weather_observation_time"),
+        iso_seconds(F.timestamp_micros("c.at")).alias("weather_observation_time"),
         F.round(F.col("c.diff") / 60e6, 6).alias("minutes"),
     )
 
@@ -514,8 +514,8 @@ def report_lang_method(spark, sf):
     return quality.language_method_report(_tagged(spark, sf))
 
 
-def _lexicon_scores(spark, sf, **options) -> DataFrame:
-    scorer = sentiment.lexicon_scorer(A.lexicon(spark), **options)
+def _lexicon_scores(spark, sf, make=sentiment.lexicon_scorer) -> DataFrame:
+    scorer = make(A.lexicon(spark))
     texts = _cleaned(spark, sf).select("tweet_id", "text_clean")
     return scorer(texts, "s", F.lit(True)).select(
         "tweet_id", F.col("s.score").alias("raw_score"),
@@ -531,7 +531,7 @@ def lexicon_sentiment(spark, sf):
 @query
 def lexicon_sentiment_joined(spark, sf):
     """The way taken by lexicons too large to travel to the tasks."""
-    return _lexicon_scores(spark, sf, max_rows=0)
+    return _lexicon_scores(spark, sf, sentiment.joined_lexicon_scorer)
 
 
 def _routed(spark, sf) -> DataFrame:

@@ -84,7 +84,7 @@ def test_lexicon_both_ways(spark):
             ("  ", "en", 0.0)]
     df = posts(spark, *rows)
     carried = scored(S.score_sentiment(df, fallback=S.lexicon_scorer(lexicon(spark))))
-    joined = scored(S.score_sentiment(df, fallback=S.lexicon_scorer(lexicon(spark), max_rows=1)))
+    joined = scored(S.score_sentiment(df, fallback=S.joined_lexicon_scorer(lexicon(spark))))
     assert carried == joined
 
     def compound(total):
