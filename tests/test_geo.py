@@ -11,51 +11,51 @@ from galewire.schemas import GAZETTEER, PLACE, RAW_POST, STATION
 POST = ("tweet_id string, coordinates struct<lat: double, lon: double>, "
         "place struct<id: string, full_name: string, geo: struct<type: string, bbox: array<double>, "
         "coordinates: array<array<array<double>>>>>, user_location string")
-MIAMI = [-80.3182, 25.7090, -80.1918, 25.8557]
+HOBART = [147.1, -43.0, 147.5, -42.7]
 
 
-def place(name="Miami, FL", bbox=None, ring=None):
+def place(name="Hobart", bbox=None, ring=None):
     return ("p1", name, ("Feature", bbox, ring))
 
 
 def resolve(spark, point=None, spot=None, location=None):
     posts = spark.createDataFrame([("1", point, spot, location)], POST)
-    gazetteer = spark.createDataFrame([("new york, ny", 40.7128, -74.0060)], GAZETTEER)
+    gazetteer = spark.createDataFrame([("quito", -0.18, -78.47)], GAZETTEER)
     return resolve_geo(posts, gazetteer).first()
 
 
 def test_point_is_high(spark):
-    row = resolve(spark, (29.7604, -95.3698), place(bbox=MIAMI), "New York, NY")
-    assert (row.geo_lat, row.geo_lon, row.geo_confidence) == (29.7604, -95.3698, "high")
+    row = resolve(spark, (-33.9, 18.4), place(bbox=HOBART), "Quito")
+    assert (row.geo_lat, row.geo_lon, row.geo_confidence) == (-33.9, 18.4, "high")
     assert row.geo_source == "coordinates" and row.place_name is None
 
 
 def test_place_is_medium(spark):
-    row = resolve(spark, None, place(bbox=MIAMI), "New York, NY")
-    assert MIAMI[1] < row.geo_lat < MIAMI[3] and MIAMI[0] < row.geo_lon < MIAMI[2]
-    assert (row.geo_confidence, row.geo_source, row.place_name) == ("medium", "place_centroid", "Miami, FL")
+    row = resolve(spark, None, place(bbox=HOBART), "Quito")
+    assert HOBART[1] < row.geo_lat < HOBART[3] and HOBART[0] < row.geo_lon < HOBART[2]
+    assert (row.geo_confidence, row.geo_source, row.place_name) == ("medium", "place_centroid", "Hobart")
     assert row.user_location_string is None
 
 
 def test_centroids(spark):
-    box = resolve(spark, None, place(bbox=[-80.0, 25.0, -79.0, 26.0]))
-    ring = resolve(spark, None, place(ring=[[[-80.0, 25.0], [-79.0, 25.0], [-79.0, 26.0], [-80.0, 26.0]]]))
-    assert (box.geo_lat, box.geo_lon) == (ring.geo_lat, ring.geo_lon) == (25.5, -79.5)
+    box = resolve(spark, None, place(bbox=[10.0, 60.0, 14.0, 61.0]))
+    ring = resolve(spark, None, place(ring=[[[10.0, 60.0], [14.0, 60.0], [14.0, 61.0], [10.0, 61.0]]]))
+    assert (box.geo_lat, box.geo_lon) == (ring.geo_lat, ring.geo_lon) == (60.5, 12.0)
     assert resolve(spark, None, place(bbox=[1.0, 2.0])).geo_confidence == "unavailable"
 
 
 def test_location_text_is_low(spark):
-    row = resolve(spark, None, None, "  New York, NY ")
-    assert (row.geo_lat, row.geo_lon, row.geo_confidence) == (40.7128, -74.0060, "low")
-    assert row.user_location_string == "  New York, NY "
+    row = resolve(spark, None, None, "  Quito ")
+    assert (row.geo_lat, row.geo_lon, row.geo_confidence) == (-0.18, -78.47, "low")
+    assert row.user_location_string == "  Quito "
 
 
 def test_unavailable_and_fallbacks(spark):
     assert resolve(spark).geo_confidence == "unavailable"
     assert resolve(spark, location="   ").geo_confidence == "unavailable"
     assert resolve(spark, location="Atlantis").geo_source == "unavailable"
-    assert resolve(spark, (None, None), place(bbox=MIAMI)).geo_confidence == "medium"
-    assert resolve(spark, (None, 1.0), None, "new york, ny").geo_confidence == "low"
+    assert resolve(spark, (None, None), place(bbox=HOBART)).geo_confidence == "medium"
+    assert resolve(spark, (None, 1.0), None, "quito").geo_confidence == "low"
 
 
 def test_place_and_user_joins(spark):
@@ -66,10 +66,10 @@ def test_place_and_user_joins(spark):
         "geo struct<place_id: string, coordinates: struct<type: string, coordinates: array<double>>>, "
         "place struct<id: string, full_name: string, geo: struct<type: string, bbox: array<double>, "
         "coordinates: array<array<array<double>>>>>")
-    places = spark.createDataFrame([place(bbox=MIAMI)], PLACE)
+    places = spark.createDataFrame([place(bbox=HOBART)], PLACE)
     users = spark.createDataFrame([("u1", "Oslo"), ("u2", None)], "id string, location string")
     got = {r.id: r for r in join_user_location(join_place(raw, places), users).collect()}
-    assert got["1"].place.full_name == "Miami, FL" and got["2"].place is None
+    assert got["1"].place.full_name == "Hobart" and got["2"].place is None
     assert got["3"].place.full_name == "Own"
     assert [got[i].user_location for i in "123"] == ["Oslo", None, "Kept"]
 

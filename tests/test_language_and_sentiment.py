@@ -131,3 +131,17 @@ def test_routing_and_plug_in(spark):
     only = scored(S.score_sentiment(df, english=english))
     assert [g[2] for g in only] == ["model_en", "unavailable", "unavailable", "error", "model_en"]
     assert scored(S.score_sentiment(df))[0] == (0.0, "neutral", "unavailable", 0.0)
+
+
+def test_joined_lexicon_scores_texts_not_ids(spark):
+    df = spark.createDataFrame(
+        [("1", "good day"), ("1", "bad day"), (None, "great"), (None, "not good"), ("2", None)],
+        "tweet_id string, text_clean string")
+
+    def scores(make):
+        out = make(lexicon(spark))(df, "s", F.lit(True))
+        return {r.text_clean: r.s.score for r in out.collect()}
+
+    assert scores(S.lexicon_scorer) == scores(S.joined_lexicon_scorer)
+    found = scores(S.joined_lexicon_scorer)
+    assert found["good day"] > 0 > found["bad day"] and found[None] is None

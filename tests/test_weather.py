@@ -108,3 +108,11 @@ def test_observations_of_the_days_around(spark):
     rows = observations(spark, [("S1", s, "TMAX", 1.0) for s in stamps])
     kept = W.observations_between(rows, day, day)
     assert [r.timestamp for r in kept.collect()] == stamps[1:4]
+
+
+def test_closest_observation_below_a_second(spark):
+    at = spark.sql("SELECT timestamp '2024-05-01 12:00:00.900' AS post, "
+                   "array(unix_micros(timestamp '2024-05-01 12:00:00.100'), "
+                   "unix_micros(timestamp '2024-05-01 12:00:01.950')) AS times")
+    best = at.select(W.closest_time(F.col("times"), F.col("post")).alias("c")).first().c
+    assert best.diff == 800_000 and best.at % 1_000_000 == 100_000
