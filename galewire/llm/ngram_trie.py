@@ -47,7 +47,7 @@ from galewire.sources.scratch import materialize
 
 DISCOUNT = 0.75
 STEPS = 4096  # quantised parts of a decade
-SHARD_TOKENS = 2_500_000
+SHARD_TOKENS = 1_500_000
 FLUSH = 400_000
 
 BEGIN, END = b" begin", b" end"  # words hold no blank
@@ -446,7 +446,10 @@ def _score_shard(listed: Listed):
         cuts = np.searchsorted(block[first], np.arange(len(parts) + 1))
         for k, part in enumerate(parts):
             at = slice(cuts[k], cuts[k + 1])
-            out.append(_row(SUMS, part[0], 0, pack(narrow(doc[first[at]]), *(s[at] for s in sums))))
+            # Scores are quantised anyway, so a short float holds a shard's part of one.
+            score, base_part, known_part = (x[at] for x in sums)
+            out.append(_row(SUMS, part[0], 0, pack(
+                narrow(doc[first[at]]), score.astype(np.float32), base_part, narrow(known_part.astype(np.int64)))))
         # What is left: words to be looked up by their own shard, and listed contexts' shares.
         ask = np.flatnonzero((missing & (~cold | (hot[word] < 0)))[back])
         numbers = np.array([part[0] for part in parts], np.int64)
@@ -507,8 +510,8 @@ def _unigrams(listed: Listed, distinct: np.ndarray):
             doc = np.concatenate([d for d, _ in found])
             total = np.bincount(doc, np.concatenate([p for _, p in found]))
             used = np.unique(doc)
-            none = np.zeros(len(used))
-            out.append(_row(SUMS, number, 0, pack(narrow(used), total[used], none, none)))
+            none = np.zeros(len(used), np.uint8)
+            out.append(_row(SUMS, number, 0, pack(narrow(used), total[used].astype(np.float32), none, none)))
         return pa.Table.from_pylist(out, _SCHEMA)
 
     return run
