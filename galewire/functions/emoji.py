@@ -1,5 +1,8 @@
 """Emoji features. Emoji are matched per code point, by a character class."""
 
+import re
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,12 +53,33 @@ EMOJI_RANGES = (
     r"\x{2733}\x{2734}\x{2744}\x{2747}\x{274C}\x{274E}\x{2753}-\x{2755}\x{2757}\x{2763}\x{2764}"
     r"\x{2795}-\x{2797}\x{27A1}\x{27B0}\x{27BF}\x{2934}\x{2935}\x{2B05}-\x{2B07}\x{2B1B}\x{2B1C}"
     r"\x{2B50}\x{2B55}\x{3030}\x{303D}\x{1F004}\x{1F0CF}\x{1F170}\x{1F171}\x{1F17E}\x{1F17F}"
-    r"\x{1F18E}\x{1F191}-\x{1F19A}\x{1F300}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F7E0}-\x{1F7F0}"
-    r"\x{1F90C}-\x{1F9FF}\x{1FA70}-\x{1FAFF}"
+    r"\x{1F18E}\x{1F191}-\x{1F19A}\x{1F300}-\x{1F321}\x{1F324}-\x{1F393}\x{1F396}\x{1F397}"
+    r"\x{1F399}-\x{1F39B}\x{1F39E}-\x{1F3F0}\x{1F3F3}-\x{1F3F5}\x{1F3F7}-\x{1F4FD}"
+    r"\x{1F4FF}-\x{1F53D}\x{1F549}-\x{1F54E}\x{1F550}-\x{1F567}\x{1F56F}\x{1F570}"
+    r"\x{1F573}-\x{1F57A}\x{1F587}\x{1F58A}-\x{1F58D}\x{1F590}\x{1F595}\x{1F596}\x{1F5A4}\x{1F5A5}"
+    r"\x{1F5A8}\x{1F5B1}\x{1F5B2}\x{1F5BC}\x{1F5C2}-\x{1F5C4}\x{1F5D1}-\x{1F5D3}"
+    r"\x{1F5DC}-\x{1F5DE}\x{1F5E1}\x{1F5E3}\x{1F5E8}\x{1F5EF}\x{1F5F3}\x{1F5FA}-\x{1F64F}"
+    r"\x{1F680}-\x{1F6C5}\x{1F6CB}-\x{1F6D2}\x{1F6D5}-\x{1F6D9}\x{1F6DC}-\x{1F6E5}\x{1F6E9}"
+    r"\x{1F6EB}\x{1F6EC}\x{1F6F0}\x{1F6F3}-\x{1F6FC}\x{1F7E0}-\x{1F7EB}\x{1F7F0}"
+    r"\x{1F90C}-\x{1F93A}\x{1F93C}-\x{1F945}\x{1F947}-\x{1F9FF}\x{1FA70}-\x{1FA7C}"
+    r"\x{1FA80}-\x{1FAC6}\x{1FAC8}\x{1FACC}-\x{1FADD}\x{1FADF}-\x{1FAEB}"
+    r"\x{1FAEF}-\x{1FAFA}"
 )
 VARIATION_SELECTOR = "️"
 
 
+def emoji_points(ranges: str = EMOJI_RANGES) -> list[str]:
+    """Every character of the class."""
+    spans = re.findall(r"\\x\{(\w+)\}(?:-\\x\{(\w+)\})?", ranges)
+    return [chr(c) for low, high in spans for c in range(int(low, 16), int(high or low, 16) + 1)]
+
+
+def all_names(first: dict[str, str] = EMOJI_NAMES) -> dict[str, str]:
+    """A name for every emoji: the given one, else the character's Unicode name in lower case."""
+    known = {e: unicodedata.name(e, "") for e in emoji_points()}
+    return {e: n.lower().replace(" ", "_") for e, n in known.items() if n} | first
+
+
 def base_weights(strict_codepoint: bool = False) -> dict[str, float]:
     """Weights by single code point.
 
@@ -93,12 +117,13 @@ def emoji_score(emojis: Column, weights: dict[str, float] | None = None) -> Colu
     return F.round(total, 3)
 
 
-def emoji_tokens(text: Column, emojis: Column, names: dict[str, str] = EMOJI_NAMES) -> Column:
-    """Replace each named emoji (and a variation selector after it) by `` :name: ``.
+def emoji_tokens(text: Column, emojis: Column, names: dict[str, str] | None = None) -> Column:
+    """Replace each named emoji (and a variation selector after it) by `` :name: ``; by default
+    every emoji has a name.
 
     ``emojis`` lists the emoji of the text, so texts without any cost nothing.
     """
-    table = _literal_map({e: f" :{n}: " for e, n in names.items()})
+    table = _literal_map({e: f" :{n}: " for e, n in (names or all_names()).items()})
     named = F.filter(F.array_distinct(emojis), lambda e: F.map_contains_key(table, e))
 
     def spell(acc: Column, e: Column) -> Column:

@@ -18,16 +18,31 @@ CONTRACTIONS = [
     (r"(?i)\b(sha)n['’]t\b", "$1ll not"),
     (r"(?i)\b(a)in['’]t\b", "$1re not"),
     (r"(?i)n['’]t\b", " not"),
+    (r"(?i)\b(not)['’]ve\b", "$1 have"),
+    (r"(?i)\b(y)['’]all\b", "$1ou all"),
+    (r"(?i)\b(ma)['’]am\b", "$1dam"),
+    (r"(?i)\b(o)['’]clock\b", "$1f the clock"),
+    (r"(?i)(^|\s)['’](em)\b", "$1th$2"),
+    (r"(?i)(^|\s)['’]t(is|was)\b", "$1it $2"),
     (r"(?i)\b(let)['’]s\b", "$1 us"),
     (r"(?i)\b(he|she|it|that|there|here|what|where|who|how|when|why)['’]s\b", "$1 is"),
     (r"(?i)\b(i)['’]m\b", "$1 am"),
     (r"(?i)\b(you|we|they|who|what|there)['’]re\b", "$1 are"),
-    (r"(?i)\b(i|you|we|they|who|would|could|should|might|must)['’]ve\b", "$1 have"),
-    (r"(?i)\b(i|you|he|she|it|we|they|that|there|who|what)['’]ll\b", "$1 will"),
-    (r"(?i)\b(i|you|he|she|it|we|they|that|there|who)['’]d\b", "$1 would"),
+    (r"(?i)\b(i|you|we|they|who|would|could|should|might|must|all)['’]ve\b", "$1 have"),
+    (r"(?i)\b(i|you|he|she|it|we|they|that|there|who|what|all)['’]ll\b", "$1 will"),
+    (r"(?i)\b(i|you|he|she|it|we|they|that|there|who|all)['’]d\b", "$1 would"),
+    (r"(?i)\b(i|you|he|she|it|we|they|that|there|who|all) would['’]ve\b", "$1 would have"),
     (r"(?i)['’](cause)\b", "be$1"),
 ]
 
+# Spoken forms without an apostrophe.
+SPOKEN = [
+    (r"(?i)\b(go)nna\b", "$1ing to"),
+    (r"(?i)\b(wan)na\b", "$1t to"),
+    (r"(?i)\b(got)ta\b", "$1 to"),
+    (r"(?i)\b(g)imme\b", "$1ive me"),
+]
+
 
 def _plain_spaces(c: Column) -> Column:
     """Separator control characters, rare and unknown to ``\\s``, as blanks."""
@@ -69,11 +84,17 @@ def strip_urls(c: Column) -> Column:
     return F.regexp_replace(c, URL_PATTERN, "")
 
 
-def expand_contractions(c: Column, rules=CONTRACTIONS) -> Column:
-    out = c
+def _replace_all(c: Column, rules) -> Column:
     for pattern, replacement in rules:
-        out = F.regexp_replace(out, pattern, replacement)
-    return F.when(c.rlike("['’]"), out).otherwise(c)
+        c = F.regexp_replace(c, pattern, replacement)
+    return c
+
+
+def expand_contractions(c: Column, rules=CONTRACTIONS, spoken=SPOKEN) -> Column:
+    """Written and spoken short forms in full; most texts hold none and are only searched once."""
+    if spoken:
+        c = F.when(c.rlike("|".join(p for p, _ in spoken)), _replace_all(c, spoken)).otherwise(c)
+    return F.when(c.rlike("['’]"), _replace_all(c, rules)).otherwise(c)
 
 
 def split_camel(c: Column) -> Column:

@@ -29,7 +29,7 @@ def text_features(text: Column, url_count: Column) -> dict[str, Column]:
     }
 
 
-def clean_posts(df: DataFrame, strict_codepoint: bool = False, contractions=X.CONTRACTIONS) -> DataFrame:
+def clean_posts(df: DataFrame, strict_codepoint: bool = False, contractions=X.CONTRACTIONS, spoken=X.SPOKEN) -> DataFrame:
     """Normalise Unicode, spell out emoji and hashtags, remove links, expand contractions.
 
     Adds text_clean, text_original, the emoji columns and the text features.
@@ -41,7 +41,7 @@ def clean_posts(df: DataFrame, strict_codepoint: bool = False, contractions=X.CO
     steps = df.transform(once, "_nfkc", X.nfkc(F.col("text")))
     steps = steps.transform(once, "emoji_list", E.emoji_list(F.col("_nfkc")))
     steps = steps.transform(once, "_plain", X.strip_urls(spelled))
-    steps = steps.transform(once, "_full", X.expand_contractions(F.col("_plain"), contractions))
+    steps = steps.transform(once, "_full", X.expand_contractions(F.col("_plain"), contractions, spoken))
     steps = steps.transform(once, "text_clean", X.normalize_ws(F.col("_full")))
     return steps.withColumns(
         {

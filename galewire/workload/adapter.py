@@ -59,6 +59,9 @@ def post_text(k: Column, text: Column) -> Column:
         _pick(k % 17 == 0, " 🌞❤️"),
         _pick(k % 10 == 3, "  \t storm   warning\n "),
         _pick(k % 14 == 1, " flood"),
+        # An emoji without weight, symbols that are none, and characters NFKC takes apart.
+        _pick(k % 19 == 2, " strong 💪💪 day 🥆🔾 ﬁne ½"),
+        _pick(k % 23 == 5, " y’all wouldn't've gone at six o'clock, ma'am, gonna be VERY good!!"),
     )
 
 

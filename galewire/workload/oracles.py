@@ -5,14 +5,24 @@
 
 import re
 
-from galewire.functions.emoji import EMOJI_NAMES, EMOJI_RANGES, VARIATION_SELECTOR, base_weights
-from galewire.functions.text import CONTRACTIONS, URL_PATTERN
 from galewire.operators.lang import FLOOR
 from galewire.operators.sentiment import NEGATIONS
 from galewire.workload.adapter import TEXT_LEXICON
 
 WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-EMOJI_CLASS = EMOJI_RANGES
+
+# What the posts hold, spelled out here so that the engine's own tables are not asked.
+EMOJI = {
+    "😢": ("crying_face", -0.8), "🌞": ("sun_with_face", 0.7), "❤": ("red_heart", 0.9),
+    "💪": ("flexed_biceps", 0.0),
+}
+SELECTOR = "\ufe0f"
+SHORT_FORMS = {
+    "Don't": "Do not", "we'll": "we will", "it's": "it is", "can't": "cannot",
+    "y’all": "you all", "wouldn't've": "would not have", "o'clock": "of the clock",
+    "ma'am": "madam", "gonna": "going to",
+}
+COMPATIBLE = {"ﬁ": "fi", "½": "1⁄2"}
 
 
 def s(text: str) -> str:
@@ -36,12 +46,12 @@ def normalize_ws(x: str) -> str:
 
 
 def strip_urls(x: str) -> str:
-    return f"regexp_replace({x}, {s(URL_PATTERN)}, '', 'g')"
+    return rf"regexp_replace({x}, '(https?://|www\.)\S+', '', 'g')"
 
 
 def contractions(x: str) -> str:
-    for pattern, replacement in CONTRACTIONS:
-        x = f"regexp_replace({x}, {s(pattern)}, {s(replacement.replace('$', chr(92)))}, 'g')"
+    for short, full in SHORT_FORMS.items():
+        x = f"replace({x}, {s(short)}, {s(full)})"
     return x
 
 
@@ -51,8 +61,8 @@ def camel(x: str) -> str:
 
 
 def emoji_spelled(x: str) -> str:
-    for e, name in EMOJI_NAMES.items():
-        x = f"replace(replace({x}, {s(e + VARIATION_SELECTOR)}, {s(e)}), {s(e)}, {s(f' :{name}: ')})"
+    for e, (name, _) in EMOJI.items():
+        x = f"replace(replace({x}, {s(e + SELECTOR)}, {s(e)}), {s(e)}, {s(f' :{name}: ')})"
     return x
 
 
@@ -61,17 +71,23 @@ def chars(x: str) -> str:
 
 
 def emoji_list(x: str) -> str:
-    return f"regexp_extract_all({x}, '[{EMOJI_CLASS}]')"
+    return f"regexp_extract_all({x}, '[{''.join(EMOJI)}]')"
 
 
 def emoji_score(x: str) -> str:
-    cases = " ".join(f"WHEN {s(e)} THEN {w}" for e, w in base_weights().items())
+    cases = " ".join(f"WHEN {s(e)} THEN {w}" for e, (_, w) in EMOJI.items())
     return (
         f"CAST(coalesce(list_sum(list_transform({x}, lambda e: "
         f"CASE e {cases} ELSE 0.0 END)), 0) AS DOUBLE)"
     )
 
 
+def compatible(x: str) -> str:
+    for char, plain in COMPATIBLE.items():
+        x = f"replace({x}, {s(char)}, {s(plain)})"
+    return x
+
+
 def hashtags_spelled(x: str) -> str:
     for tag, words in (("ClimateChange", "climate change"), ("Flood2024", "flood 2024")):
         x = f"CASE WHEN list_contains(hashtags, '{tag}') THEN replace({x}, '#{tag}', '{words}') ELSE {x} END"
@@ -122,7 +138,10 @@ TEXT = """concat(
     CASE WHEN doc_id % 11 = 0 THEN ' 😢' ELSE '' END,
     CASE WHEN doc_id % 17 = 0 THEN ' 🌞❤️' ELSE '' END,
     CASE WHEN doc_id % 10 = 3 THEN '  ' || chr(9) || ' storm   warning' || chr(10) || ' ' ELSE '' END,
-    CASE WHEN doc_id % 14 = 1 THEN ' flood' ELSE '' END)"""
+    CASE WHEN doc_id % 14 = 1 THEN ' flood' ELSE '' END,
+    CASE WHEN doc_id % 19 = 2 THEN ' strong 💪💪 day 🥆🔾 ﬁne ½' ELSE '' END,
+    CASE WHEN doc_id % 23 = 5 THEN
+        ' y’all wouldn''t''ve gone at six o''clock, ma''am, gonna be VERY good!!' ELSE '' END)"""
 
 
 def _stamp(ts: str) -> str:
@@ -248,8 +267,8 @@ CTES = {
             CASE WHEN s.geo_lat IS NULL THEN 'no_geo' WHEN s.station_id IS NULL THEN 'no_station'
                 WHEN o.tweet_id IS NULL THEN 'no_observations' ELSE 'enriched' END AS weather_outcome
         FROM stationed s LEFT JOIN rollup o USING (tweet_id)""",
-    "normal": """
-        SELECT *, nfc_normalize(text) AS t0 FROM posts""",
+    "normal": f"""
+        SELECT *, {compatible('nfc_normalize(text)')} AS t0 FROM posts""",
     "cleaned": f"""
         SELECT *, length(text_clean) AS text_length,
             CASE WHEN text_clean = '' THEN 0 ELSE len(string_split(text_clean, ' ')) END AS word_count,

@@ -43,6 +43,20 @@ def test_contractions(spark):
                    "I would go, you have gone, let us stay"]
 
 
+def test_double_and_spoken_forms(spark):
+    got = one(spark, X.expand_contractions, "Y'all couldn't've known", "see 'em at six o'clock, ma’am",
+              "'Tis what they'd've wanted", "Gonna rain, wanna wait, gotta go, gimme shade", "lasagna")
+    assert got == ["You all could not have known", "see them at six of the clock, madam",
+                   "it is what they would have wanted", "Going to rain, want to wait, got to go, give me shade",
+                   "lasagna"]
+
+
+def test_only_emoji_are_emoji(spark):
+    assert one(spark, E.emoji_list, "🌢🎔🔾🥆🛓 ok", "💪🏽🫠🥇") == [[], ["💪", "🏽", "🫠", "🥇"]]
+    got = one(spark, lambda c: E.emoji_tokens(c, E.emoji_list(c)), "strong 💪 day")
+    assert got == ["strong  :flexed_biceps:  day"]
+
+
 def test_nfkc(spark):
     texts = ["ﬁne ① ½ plain", "plain", "é", None]
     want = [t and unicodedata.normalize("NFKC", t) for t in texts]
