@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from galewire.functions.text import text_hash
 from galewire.operators.filters import drop_reposts
-from galewire.sources.scratch import materialize
+from galewire.sources.scratch import materialize, scratch_path
 
 
 def _first_per(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -97,29 +97,31 @@ def greedy_pairs(pairs: DataFrame) -> DataFrame:
     maximal matching between ids and texts, greedy in time order. A pair that is the earliest
     alive one for both its id and its text is always kept, and rules out every other pair of
     that id or text; repeating this until nothing is alive gives the same set without ever
-    gathering a group. Each round is two pre-aggregated group-bys and two anti joins, written to
-    the shared folder so that the lineage stays short.
+    gathering a group. Each round is two pre-aggregated group-bys and two anti joins. Kept pairs are
+    appended to one table in the shared folder and the rest is written anew, so the plan does not
+    grow with the rounds.
     """
     alive = materialize(
         pairs.groupBy("tweet_id", "text_hash").agg(F.min("created_at").alias("created_at")),
         "pairs",
     )
     place = F.struct("created_at", "tweet_id", "text_hash")
-    kept = None
-    while not alive.isEmpty():
+    spark, kept = pairs.sparkSession, scratch_path(pairs.sparkSession, "kept-pairs")
+    while True:
         first_of_id = alive.groupBy("tweet_id").agg(F.min(place).alias("p")).select("p.*")
         first_of_text = alive.groupBy("text_hash").agg(F.min(place).alias("p")).select("p.*")
         settled = materialize(
             first_of_id.join(first_of_text, ["tweet_id", "text_hash", "created_at"]), "settled"
         )
-        kept = settled if kept is None else kept.unionByName(settled)
+        settled.write.mode("append").parquet(kept)
+        if settled.isEmpty():
+            return spark.read.schema(settled.schema).parquet(kept)
         alive = materialize(
             alive.join(settled.select("tweet_id"), "tweet_id", "left_anti").join(
                 settled.select("text_hash"), "text_hash", "left_anti"
             ),
             "pairs",
         )
-    return alive if kept is None else kept
 
 
 def dedup_greedy(df: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from galewire.functions.text import is_blank
 from galewire.functions.times import parse_timestamp
 
 TAGS = "array<string>"
+# Where readers leave the text of a record they cannot read.
+CORRUPT = "_corrupt_record"
 
 
 def geojson_point(geo: Column) -> Column:
@@ -62,6 +64,23 @@ def rejected_posts(flat: DataFrame) -> DataFrame:
     return reject_reason(flat).where(F.col("reject_reason").isNotNull())
 
 
+def chain_rejects(raw: DataFrame) -> DataFrame:
+    """The raw posts that the chain does not take, whole, each with the reason: posts that break a
+    rule and, where the reader marks them, records that could not be read."""
+    posts = [c for c in raw.columns if c != CORRUPT]
+    flat = raw.select(
+        F.col("id").alias("tweet_id"), "text", "created_at",
+        F.to_json(F.struct(*posts)).alias("raw_json"),
+        (F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")).alias(CORRUPT),
+    )
+    unread = F.col(CORRUPT).isNotNull()
+    reason = F.when(unread, "corrupt_record").otherwise(F.col("reject_reason"))
+    return reject_reason(flat).withColumn("reject_reason", reason).where("reject_reason IS NOT NULL").select(
+        "tweet_id", "created_at", "reject_reason",
+        F.when(unread, F.col(CORRUPT)).otherwise(F.col("raw_json")).alias("raw_json"),
+    )
+
+
 def entity_names(entries: Column, field: str) -> Column:
     names = F.transform(entries, lambda e: F.coalesce(e[field], F.lit("")))
     return F.coalesce(names, F.array().cast(TAGS))

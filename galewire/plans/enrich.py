@@ -5,20 +5,29 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from galewire.functions.times import parse_timestamp
 from galewire.operators.clean import clean_posts
 from galewire.operators.dedup import dedup_chain
+from galewire.operators.filters import topic_filter
 from galewire.operators.geo import join_place, join_user_location, resolve_geo
 from galewire.operators.lang import Detector, detect_language, profile_detector
-from galewire.operators.parse import flatten_posts, parse_posts
+from galewire.operators.parse import CORRUPT, chain_rejects, flatten_posts, parse_posts
 from galewire.operators.sentiment import Scorer, lexicon_scorer, score_sentiment
 from galewire.operators.weather import enrich_weather, observations_between
 from galewire.sources.scratch import materialize
+from galewire.sources.storage import (
+    PARTITION, scan_processed, to_processed, today, write_processed, write_raw_json,
+)
 from galewire.sources.tables import References
 
 GEO_COLUMNS = [
     "geo_lat", "geo_lon", "geo_confidence", "geo_source", "place_name", "user_location_string",
 ]
 
+# Columns of the parsed and of the cleaned posts that no later step and no table reads.
+UNUSED_PARSED = ["raw_json", "mentions", "urls", "parse_timestamp"]
+UNUSED_CLEANED = ["text", "hashtags", "emoji_list"]
+
 
 def parsed_posts(raw: DataFrame) -> DataFrame:
     return parse_posts(flatten_posts(raw))
@@ -81,14 +90,49 @@ def bounded(refs: References, staged: DataFrame) -> References:
     return replace(refs, observations=observations_between(refs.observations, first, last))
 
 
-def run(raw: DataFrame, refs: References, models: TextModels | None = None) -> DataFrame:
+def run(
+    raw: DataFrame, refs: References, models: TextModels | None = None, only_topic: bool = False
+) -> DataFrame:
     """Whole chain over a batch of raw posts.
 
     Posts go from JSON to tagged texts in one pass and are written once to the shared folder;
     the position and weather steps read only their columns from there, and a lost executor does
-    not bring parsing and dedup back.
+    not bring parsing and dedup back. What no later step reads is left out before the shuffles.
     """
-    cleaned = clean_posts(dedup_chain(parsed_posts(raw)))
-    tagged = tag_texts(cleaned, models or text_models(refs))
+    chosen = topic_filter(raw) if only_topic else raw
+    cleaned = clean_posts(dedup_chain(parsed_posts(chosen).drop(*UNUSED_PARSED)))
+    tagged = tag_texts(cleaned, models or text_models(refs)).drop(*UNUSED_CLEANED)
     staged = materialize(tagged, "tagged")
     return add_weather(staged, bounded(refs, staged))
+
+
+def store(
+    raw: DataFrame,
+    refs: References,
+    out: str,
+    models: TextModels | None = None,
+    processing_date: str | None = None,
+    only_topic: bool = False,
+) -> DataFrame:
+    """Run the chain and write its three outputs under ``out``: the processed table, the raw JSON
+    of the posts in it, and the rejected records with their reasons, each by processing date.
+
+    Raw JSON skips the chain: it is taken from the raw posts that the written table names (of
+    those that share an id, the one written at its time with its text). Returns the written table.
+    """
+    spark = raw.sparkSession
+    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+    processed = materialize(
+        to_processed(run(good, refs, models, only_topic), processing_date), "processed"
+    )
+    write_processed(processed, f"{out}/processed")
+    named = processed.select("tweet_id", "created_at", F.md5("text_original").alias("_text"))
+    again = flatten_posts(good).select(
+        "tweet_id", parse_timestamp(F.col("created_at")).alias("created_at"),
+        F.md5("text").alias("_text"), "raw_json",
+    )
+    kept = again.join(named, ["tweet_id", "created_at", "_text"], "left_semi")
+    once = kept.groupBy("tweet_id", "created_at").agg(F.min("raw_json").alias("raw_json"))
+    write_raw_json(once.withColumn(PARTITION, today(processing_date)), f"{out}/raw")
+    write_raw_json(chain_rejects(raw).withColumn(PARTITION, today(processing_date)), f"{out}/rejects")
+    return scan_processed(spark, f"{out}/processed")

@@ -1,6 +1,6 @@
 """The processed and analytics tables on storage."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,6 +8,13 @@ from galewire.operators.filters import is_quality_row
 from galewire.schemas import ANALYTICS_COLUMNS, PROCESSED
 
 PARTITION = "processing_date"
+# A stream's tables are cut by date and, so that a batch can be written again, by batch.
+BATCH = "batch_id"
+
+
+def today(processing_date: str | None = None) -> Column:
+    """The given date, else the UTC date of the run."""
+    return F.lit(processing_date) if processing_date else F.date_format(F.current_timestamp(), "yyyy-MM-dd")
 
 
 def to_processed(df: DataFrame, processing_date: str | None = None, source: str = "posts") -> DataFrame:
@@ -15,13 +22,12 @@ def to_processed(df: DataFrame, processing_date: str | None = None, source: str
 
     Without a date the UTC date of the run is used.
     """
-    day = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
     full = df.withColumns(
         {
             "processing_ts": F.current_timestamp(),
             "raw_json_path": F.lit(None).cast("string"),
             "source": F.lit(source),
-            PARTITION: F.lit(processing_date) if processing_date else day,
+            PARTITION: today(processing_date),
         }
     )
     fields = T.StructType.fromDDL(PROCESSED).fields
@@ -46,6 +52,23 @@ def write_raw_json(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).partitionBy(PARTITION).json(path)
 
 
+def batch_folder(path: str, day: str, batch_id: int) -> str:
+    return f"{path}/{PARTITION}={day}/{BATCH}={batch_id}"
+
+
+def batch_date(spark: SparkSession, out: str, batch_id: int) -> str:
+    """The UTC date a batch was first written on, noted beside the tables: a batch that is run
+    again after midnight goes where its first run went."""
+    note = f"{out}/batches/{BATCH}={batch_id}"
+    now = spark.range(1).select(today().alias("day"))
+    now.write.mode("ignore").json(note)
+    known = spark.read.schema("day string").json(note).first()
+    if known is None:  # a run was lost while it wrote its note
+        now.write.mode("overwrite").json(note)
+        known = spark.read.schema("day string").json(note).first()
+    return known.day
+
+
 def scan_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROCESSED).parquet(path)
 
@@ -63,14 +86,20 @@ def partition_counts(processed: DataFrame) -> DataFrame:
     return processed.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def create_processed_table(spark: SparkSession, path: str, name: str = "processed_tweets") -> None:
-    """Table over existing partition folders, so that SQL texts can use its name."""
+def create_processed_table(
+    spark: SparkSession, path: str, name: str = "processed_tweets", by_batch: bool = False
+) -> None:
+    """Table over existing partition folders, so that SQL texts can use its name. The table of a
+    stream is cut ``by_batch``, too, and has that column besides."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     body = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromDDL(PROCESSED).fields
     )
+    cut = f"{PARTITION}, {BATCH}" if by_batch else PARTITION
+    if by_batch:
+        body += f", `{BATCH}` bigint"
     spark.sql(
-        f"CREATE TABLE {name} ({body}) USING parquet PARTITIONED BY ({PARTITION}) "
+        f"CREATE TABLE {name} ({body}) USING parquet PARTITIONED BY ({cut}) "
         f"LOCATION '{path}' "
         "TBLPROPERTIES ('description'='Processed posts with sentiment and weather')"
     )

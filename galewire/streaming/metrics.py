@@ -15,7 +15,8 @@ def count_stage(df: DataFrame, stage: str, **conditions) -> DataFrame:
 
 
 class StageTotals(StreamingQueryListener):
-    """Adds up the counters of all stages over the batches of a query."""
+    """Adds up the counters of all stages over the batches of a query, and under ``late`` the rows
+    that came after the watermark and were dropped."""
 
     def __init__(self) -> None:
         self.totals: dict[str, dict[str, int]] = {}
@@ -29,6 +30,11 @@ class StageTotals(StreamingQueryListener):
             for name, value in row.asDict().items():
                 sums[name] = sums.get(name, 0) + (value or 0)
 
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        if late:
+            sums = self.totals.setdefault("late", {"dropped": 0})
+            sums["dropped"] += late
+
     def onQueryIdle(self, event) -> None:
         pass
 

@@ -4,17 +4,19 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from galewire.operators.clean import clean_posts
 from galewire.operators.filters import topic_filter
-from galewire.operators.parse import flatten_posts, parse_posts
+from galewire.operators.parse import CORRUPT, chain_rejects, flatten_posts, parse_posts
 from galewire.plans.enrich import TextModels, add_weather, bounded, tag_texts, text_models
 from galewire.sources.posts import stream_posts
 from galewire.sources.scratch import materialize
-from galewire.sources.storage import PARTITION, to_processed
+from galewire.sources.storage import BATCH, PARTITION, batch_date, batch_folder, to_processed
 from galewire.sources.tables import References
 from galewire.streaming.dedup import stream_dedup
+from galewire.streaming.metrics import count_stage
 
 # Fixed value: how often to read what has arrived and write it.
 WRITE_INTERVAL = "300 seconds"
@@ -24,29 +26,67 @@ def trigger_options(once: bool, interval: str) -> dict:
     return {"availableNow": True} if once else {"processingTime": interval}
 
 
+def readable(raw: DataFrame) -> DataFrame:
+    return raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) if CORRUPT in raw.columns else raw
+
+
 def cleaned_stream(raw: DataFrame, delay: str = "1 day", only_topic: bool = False) -> DataFrame:
-    """Parsed, deduplicated and cleaned posts of a raw stream."""
-    chosen = topic_filter(raw) if only_topic else raw
-    return clean_posts(stream_dedup(parse_posts(flatten_posts(chosen)), delay))
+    """Parsed, deduplicated and cleaned posts of a raw stream, with counters of each stage."""
+    good = readable(raw)
+    chosen = topic_filter(good) if only_topic else good
+    flat = count_stage(flatten_posts(chosen), "flatten", reposts=F.col("retweet_status"))
+    parsed = count_stage(parse_posts(flat), "parse")
+    return count_stage(
+        clean_posts(stream_dedup(parsed, delay)), "clean", with_emoji=F.col("emoji_count") > 0
+    )
 
 
 def write_batch(tagged: DataFrame, refs: References, out: str, batch_id: int) -> None:
-    """Add weather to one micro-batch and write it twice: Parquet table and raw JSON.
+    """Add weather to one micro-batch and write it twice: Parquet table and raw JSON, each under
+    its processing date.
 
-    Each batch owns its folder and replaces it, so a batch that is run again after a failure
-    leaves no second copy, whatever the date.
+    Each batch owns its folder and replaces it, and keeps the date of its first run, so a batch
+    that is run again after a failure leaves no second copy.
     """
     place = hashlib.md5(out.encode()).hexdigest()
     staged = materialize(tagged, "batch", slot=place)
+    day = batch_date(staged.sparkSession, out, batch_id)
+    enriched = add_weather(staged.drop("raw_json"), bounded(refs, staged), slot=place)
     (
-        to_processed(add_weather(staged, bounded(refs, staged), slot=place))
+        to_processed(enriched, day).drop(PARTITION)
         .write.mode("overwrite")
-        .partitionBy(PARTITION)
         .option("compression", "snappy")
-        .parquet(f"{out}/processed/batch_id={batch_id}")
+        .parquet(batch_folder(f"{out}/processed", day, batch_id))
     )
     staged.select("tweet_id", "created_at", "raw_json").write.mode("overwrite").json(
-        f"{out}/raw/batch_id={batch_id}"
+        batch_folder(f"{out}/raw", day, batch_id)
+    )
+
+
+def write_rejects(raw: DataFrame, out: str, batch_id: int) -> None:
+    day = batch_date(raw.sparkSession, f"{out}/rejects-log", batch_id)
+    chain_rejects(raw).write.mode("overwrite").json(batch_folder(f"{out}/rejects", day, batch_id))
+
+
+def start_rejects(
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    checkpoint: str,
+    once: bool = False,
+    interval: str = WRITE_INTERVAL,
+    files_per_trigger: int = 1000,
+) -> StreamingQuery:
+    """The query beside the chain that keeps what the chain does not take: unreadable lines and
+    posts that break a rule, each with its reason, by processing date. It holds no state."""
+    raw = count_stage(
+        stream_posts(spark, folder, files_per_trigger), "read", corrupt=F.col(CORRUPT).isNotNull()
+    )
+    return (
+        raw.writeStream.foreachBatch(lambda batch, batch_id: write_rejects(batch, out, batch_id))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_options(once, interval))
+        .start()
     )
 
 
@@ -63,7 +103,8 @@ def start(
     models: TextModels | None = None,
     only_topic: bool = False,
 ) -> StreamingQuery:
-    """Start the query on a folder of JSON Lines files.
+    """Start the query on a folder of JSON Lines files. ``start_rejects`` keeps what it leaves out,
+    and ``metrics.StageTotals`` adds up its counters.
 
     The weather lookup aggregates, so it runs inside each micro-batch, on the observations of the
     batch's days. ``refs`` may be a function: it is called for every batch and can return tables
@@ -75,7 +116,7 @@ def start(
 
     raw = stream_posts(spark, folder, files_per_trigger)
     cleaned = cleaned_stream(raw, delay, only_topic)
-    tagged = tag_texts(cleaned, models or text_models(tables()))
+    tagged = count_stage(tag_texts(cleaned, models or text_models(tables())), "tag")
     return (
         tagged.writeStream.foreachBatch(
             lambda batch, batch_id: write_batch(batch, tables(), out, batch_id)
@@ -87,4 +128,9 @@ def start(
 
 
 def read_output(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/processed").drop("batch_id")
+    return spark.read.parquet(f"{out}/processed").drop(BATCH)
+
+
+def read_rejects(spark: SparkSession, out: str) -> DataFrame:
+    schema = "tweet_id string, created_at string, reject_reason string, raw_json string"
+    return spark.read.schema(f"{schema}, {PARTITION} string, {BATCH} bigint").json(f"{out}/rejects")

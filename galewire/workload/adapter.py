@@ -146,6 +146,26 @@ def messy_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw posts, some of which lack a field or hold one that cannot be used."""
+    k = F.col("id").cast("long") % 29
+    return raw_posts(spark, sf_dir).select(
+        F.col("id").alias("_key"),
+        F.when(k != 1, F.col("id")).alias("id"),
+        F.when(k == 4, F.lit(" \t ")).when(k != 2, F.col("text")).alias("text"),
+        F.when(k == 5, F.lit("yesterday")).when(k != 3, F.col("created_at")).alias("created_at"),
+        "author_id", "lang", "user_location", "geo", "place", "entities", "public_metrics",
+    )
+
+
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as JSON lines, some of them cut short."""
+    posts = faulty_posts(spark, sf_dir)
+    whole = F.to_json(F.struct(*[c for c in posts.columns if c != "_key"]))
+    short = F.concat(F.lit('{"id": "'), F.col("_key"), F.lit('", "text": '))
+    return posts.select(F.when(F.col("_key").cast("long") % 29 == 6, short).otherwise(whole).alias("value"))
+
+
 def parsed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_posts(flatten_posts(raw_posts(spark, sf_dir)))
 

@@ -298,6 +298,12 @@ CTES = {
             WHEN created_at IS NULL THEN 'missing_created_at'
             WHEN {pytrim('text')} = '' THEN 'blank_text'
             WHEN created_at = 'yesterday' THEN 'bad_timestamp' END AS reject_reason FROM messy""",
+    "faults": """
+        SELECT k, k % 29 AS fault, CASE WHEN k % 29 <> 1 THEN id END AS tweet_id,
+            CASE k % 29 WHEN 1 THEN 'missing_tweet_id' WHEN 2 THEN 'missing_text'
+                WHEN 3 THEN 'missing_created_at' WHEN 4 THEN 'blank_text' WHEN 5 THEN 'bad_timestamp'
+                ELSE 'corrupt_record' END AS reject_reason
+        FROM posts WHERE k % 29 BETWEEN 1 AND 6""",
     "grams": f"""
         SELECT lang, c[i] || c[i + 1] || c[i + 2] AS gram FROM (
             SELECT lang, c, unnest(range(1, len(c) - 1)) AS i
@@ -737,6 +743,16 @@ DETAIL = {
         SELECT detected_lang, sentiment_label, count(*) AS n,
             CAST(sum(text_length) AS BIGINT) AS sum_text_length
         FROM enriched GROUP BY detected_lang, sentiment_label""",
+    "stream_table_scan": """
+        SELECT detected_lang, lang_method, count(*) AS n, CAST(sum(text_length) AS BIGINT) AS sum_text_length
+        FROM enriched GROUP BY detected_lang, lang_method""",
+    "rejects_of_chain": "SELECT tweet_id, reject_reason, count(*) AS n FROM faults WHERE fault <> 6 GROUP BY ALL",
+    "raw_audit_of_chain": """
+        SELECT id AS tweet_id, '2024-01-31' AS processing_date, md5(text) AS text_md5 FROM survivors""",
+    "rejects_of_stream": """
+        SELECT CASE WHEN fault <> 6 THEN tweet_id END AS tweet_id, reject_reason,
+            CASE WHEN fault = 6 THEN md5('{"id": "' || k || '", "text": ') END AS line_md5, count(*) AS n
+        FROM faults GROUP BY ALL""",
     "dedup_greedy": """
         SELECT tweet_id, created_at, text_hash FROM (
             WITH RECURSIVE ordered AS (

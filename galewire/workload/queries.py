@@ -14,7 +14,7 @@ from galewire.operators.clean import clean_posts, text_features
 from galewire.operators.joins import lookup_join
 from galewire.operators.parse import flatten_posts, is_repost, reject_reason
 from galewire.plans import quality, reports
-from galewire.plans.enrich import GEO_COLUMNS, locate_posts, run
+from galewire.plans.enrich import GEO_COLUMNS, locate_posts, run, store
 from galewire.schemas import RAW_POST
 from galewire.sources import posts as post_files
 from galewire.sources import storage
@@ -28,6 +28,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+REJECTS = "tweet_id string, created_at string, reject_reason string, raw_json string"
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -131,6 +134,24 @@ def raw_json_audit(spark, sf):
     return back.select("tweet_id", "created_at", "processing_date", F.md5("text").alias("text_md5"))
 
 
+@query
+def rejects_of_chain(spark, sf):
+    """What the chain's third output holds after a run over faulty posts."""
+    out = scratch_path(spark, "chain-out")
+    store(A.faulty_posts(spark, sf).drop("_key"), A.references(spark, sf), out, processing_date="2024-01-31")
+    rejects = spark.read.schema(REJECTS).json(f"{out}/rejects")
+    return rejects.groupBy("tweet_id", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def raw_audit_of_chain(spark, sf):
+    """The raw JSON copies a run of the chain leaves."""
+    out = scratch_path(spark, "chain-out")
+    store(A.raw_posts(spark, sf), A.references(spark, sf), out, processing_date="2024-01-31")
+    copies = spark.read.schema("tweet_id string, raw_json string, processing_date string").json(f"{out}/raw")
+    return copies.select("tweet_id", "processing_date", F.md5(F.get_json_object("raw_json", "$.text")).alias("text_md5"))
+
+
 # ---------------------------------------------------------------- parsing and filters
 
 
@@ -772,3 +793,34 @@ def stream_enriched(spark, sf):
     return written.groupBy("detected_lang", "sentiment_label").agg(
         F.count(F.lit(1)).alias("n"), F.sum("text_length").alias("sum_text_length")
     )
+
+
+@query
+def stream_table_scan(spark, sf):
+    """What the stream wrote, through a table over its folder."""
+    refs = A.references(spark, sf)
+    source, out = scratch_path(spark, "incoming"), scratch_path(spark, "stream-out")
+    post_files.save_posts(A.raw_posts(spark, sf), source)
+    stream_run.start(
+        spark, source, refs, out, scratch_path(spark, "stream-log"), once=True, delay="60 days"
+    ).awaitTermination()
+    storage.create_processed_table(spark, f"{out}/processed", "streamed_posts_scan", by_batch=True)
+    return spark.sql(
+        "SELECT detected_lang, lang_method, COUNT(*) AS n, SUM(text_length) AS sum_text_length "
+        "FROM streamed_posts_scan WHERE processing_date >= '2024-01-01' "
+        "GROUP BY detected_lang, lang_method"
+    )
+
+
+@query
+def rejects_of_stream(spark, sf):
+    """Unreadable lines and invalid posts that the stream keeps, with their reasons."""
+    source, out = scratch_path(spark, "incoming"), scratch_path(spark, "stream-out")
+    A.faulty_lines(spark, sf).write.text(source)
+    stream_run.start_rejects(
+        spark, source, out, scratch_path(spark, "stream-log"), once=True
+    ).awaitTermination()
+    line = F.when(F.col("reject_reason") == "corrupt_record", F.md5("raw_json"))
+    return stream_run.read_rejects(spark, out).groupBy(
+        "tweet_id", "reject_reason", line.alias("line_md5")
+    ).agg(F.count(F.lit(1)).alias("n"))

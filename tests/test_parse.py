@@ -126,3 +126,19 @@ def test_ids_that_are_no_numbers_do_not_stop_a_read(spark):
     assert mark.first()[0] == "9"
     assert [r.id for r in filters.newer_than(df, mark).collect()] == ["12"]
     assert {r.id for r in filters.without_number(df).collect()} == {"x9", None}
+
+
+def test_array_elements_are_read_alone(spark, tmp_path):
+    good = json.dumps(POSTS[0])
+    files = {"mixed": f"[{good}, 7, {good}, null]", "none": "[]", "one": good, "cut": f"[{good}, {{"}
+    found = {}
+    for name, body in files.items():
+        (tmp_path / f"{name}.json").write_text(body)
+        read = read_posts(spark, str(tmp_path / f"{name}.json"), json_array=True)
+        posts, bad = split_corrupt(read)
+        found[name] = ([r.id for r in posts.collect()], [r[0] for r in bad.collect()])
+    first = POSTS[0]["id"]
+    assert found["mixed"] == ([first, first], ["7", "null"])
+    assert found["none"] == ([], [])
+    assert found["one"] == ([first], [])
+    assert found["cut"] == ([], [files["cut"]])

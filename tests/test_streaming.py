@@ -11,8 +11,9 @@ from galewire.operators.dedup import dedup_chain
 from galewire.plans.enrich import run, text_models
 from galewire.schemas import RAW_POST
 from galewire.sources.posts import save_posts, stream_posts
+from galewire.sources.storage import batch_date
 from galewire.streaming import run as R
-from galewire.streaming.dedup import stream_dedup
+from galewire.streaming.dedup import SALTS, stream_dedup
 from galewire.streaming.metrics import StageTotals, count_stage
 from galewire.workload import adapter as A
 
@@ -104,6 +105,62 @@ def test_state_is_bounded_by_the_watermark(spark, tmp_path):
     assert all(s["numRowsTotal"] <= 2 for s in state)
 
 
+def test_rejects_keep_lines_and_reasons(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    arrive(source, 0, line(1, "fine"), '{"id": "2", "te', line(3, " "), json.dumps({"text": "no id"}))
+    arrive(source, 1, json.dumps({"id": "4", "text": "x", "created_at": "soon"}))
+    for log in ("log", "again"):  # a second run from the start writes the same batches again
+        R.start_rejects(spark, str(source), out, str(tmp_path / log), once=True,
+                        files_per_trigger=1).awaitTermination()
+    rows = R.read_rejects(spark, out).collect()
+    assert sorted((r.tweet_id or "", r.reject_reason) for r in rows) == [
+        ("", "corrupt_record"), ("", "missing_tweet_id"), ("3", "blank_text"), ("4", "bad_timestamp")]
+    assert {r.raw_json for r in rows if r.reject_reason == "corrupt_record"} == {'{"id": "2", "te'}
+
+
+def test_replay_on_a_later_day_keeps_the_first_date(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first = batch_date(spark, out, 3)
+    note = spark.createDataFrame([("2024-01-31",)], "day string")
+    note.write.mode("overwrite").json(f"{out}/batches/batch_id=3")
+    assert batch_date(spark, out, 3) == "2024-01-31" != first
+
+
+def test_viral_text_meets_in_small_numbers(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    arrive(source, 0, *[line(i, "everybody says this", i) for i in range(2000)])
+    parsed = R.parse_posts(R.flatten_posts(stream_posts(spark, str(source), 1)))
+    query = drain(stream_dedup(parsed, "1 day").select("tweet_id").writeStream.format("parquet")
+                  .option("path", out), tmp_path / "log")
+    assert spark.read.parquet(out).count() == 1
+    batch = max(query.recentProgress, key=lambda p: p["numInputRows"])
+    dropped = [s["customMetrics"]["numDroppedDuplicateRows"] for s in batch["stateOperators"]]
+    assert sum(dropped) == 1999 and min(dropped) == 0
+    assert sorted(dropped)[1] == SALTS - 1  # what was left for the last step, by text alone
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for n, (i, minute) in enumerate(((1, 600), (2, 1200), (3, 5))):
+        arrive(source, n, line(i, f"text {n}", minute))
+    totals = StageTotals()
+    spark.streams.addListener(totals)
+    try:
+        kept = stream_dedup(R.parse_posts(R.flatten_posts(stream_posts(spark, str(source), 1))), "1 hour")
+        drain(kept.select("tweet_id").writeStream.format("parquet").option("path", str(tmp_path / "out")),
+              tmp_path / "log")
+        for _ in range(50):
+            if "late" in totals.totals:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(totals)
+    assert totals.totals["late"] == {"dropped": 1}
+
+
 def test_stage_counters(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
