@@ -1,6 +1,7 @@
 """Column helpers for text cleaning. All stay in the JVM except ``nfkc``."""
 
 import unicodedata
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -69,6 +70,22 @@ def text_hash(c: Column) -> Column:
     return F.md5(F.lower(pytrim(c)))
 
 
+# Texts are worked on together, up to so many characters at a time; a longer one alone.
+CHUNK_CHARS = 1 << 20
+
+
+def chunks(sizes: Sequence[int], limit: int = CHUNK_CHARS) -> Iterator[slice]:
+    """Consecutive runs of texts of about ``limit`` characters together."""
+    start, held = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and held + size > limit:
+            yield slice(start, at)
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 @F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from galewire.functions.text import pytrim
+from galewire.functions.text import chunks, pytrim
 
 Detector = Callable[[Column], Column]
 
@@ -78,25 +78,38 @@ def profile_detector(profiles: DataFrame) -> Detector:
     for row, code in zip(rows, codes):
         weights[np.searchsorted(grams, code), langs.index(row.lang)] = row.weight
 
-    def best(text: str | None) -> tuple[str | None, float | None]:
-        if text is None or len(text) < 3 or not langs:
-            return None, None
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    def scored(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best language (-1: none) and its probability, for texts taken together."""
+        sizes = np.array([len(t) for t in texts])
+        joined = "".join(texts).encode("utf-32-le", "surrogatepass")
+        points = np.frombuffer(joined, np.uint32).astype(np.int64)
         seen = _gram_code(points[:-2], points[1:-1], points[2:])
+        owner = np.repeat(np.arange(len(texts)), sizes)
         at = np.minimum(np.searchsorted(grams, seen), len(grams) - 1)
-        hits = at[grams[at] == seen]
-        if not len(hits):
-            return None, None
-        scores = weights[hits].sum(axis=0)
-        found = np.flatnonzero(scores)
+        hit = (grams[at] == seen) & (owner[:-2] == owner[2:])
+        at, owner = at[hit], owner[:-2][hit]
+        # Sums of whole numbers: exact in doubles, in any order.
+        scores = np.stack(
+            [np.bincount(owner, weights[at, k], minlength=len(texts)) for k in range(len(langs))], axis=1
+        )
+        known = np.where(scores != 0, scores, -np.inf)
         # Of equal scores the last language in order wins.
-        top = found[len(found) - 1 - np.argmax(scores[found][::-1])]
-        odds = np.exp((scores[found] - scores[top]) / 1000.0).sum()
-        return langs[top], float(1.0 / odds)
+        top = len(langs) - 1 - np.argmax(known[:, ::-1], axis=1)
+        best = known[np.arange(len(texts)), top]
+        found = np.isfinite(best)
+        odds = np.exp((known - np.where(found, best, 0)[:, None]) / 1000.0).sum(axis=1)
+        return np.where(found, top, -1), np.where(found, odds, np.nan)
 
     @F.pandas_udf(DETECTED)
     def detect(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([best(t) for t in texts], columns=["lang", "confidence"])
+        names, sure = np.full(len(texts), None, object), np.full(len(texts), np.nan)
+        asked = np.flatnonzero((texts.str.len() >= 3).to_numpy(bool, na_value=False)) if langs else []
+        chosen = [texts.iat[i] for i in asked]
+        for run in chunks([len(t) for t in chosen]):
+            top, odds = scored(chosen[run])
+            names[asked[run]] = np.array([*langs, None], object)[top]
+            sure[asked[run]] = 1.0 / odds
+        return pd.DataFrame({"lang": names, "confidence": sure})
 
     def detector(text: Column) -> Column:
         found = detect(F.lower(text))

@@ -4,15 +4,17 @@ A scorer adds, under a given name, ``struct<score, confidence, method>`` to the
 condition, from their text_clean; other posts get null.
 """
 
-import re
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from galewire.functions.text import is_blank, stable_round
+from galewire.functions.text import chunks, is_blank, stable_round
 from galewire.operators.joins import lookup_join
 from galewire.sources.tables import lexicon_table
 
@@ -50,6 +52,10 @@ DEFAULT_LEXICON = {
 }
 
 
+# What lies between two words, for Java's and Arrow's patterns alike.
+NO_WORD = r"[^\p{L}\p{N}_]+"
+
+
 def default_lexicon(spark) -> DataFrame:
     return lexicon_table(spark, DEFAULT_LEXICON)
 
@@ -98,7 +104,7 @@ def classifier_scorer(classify: Callable[[Column], Column], method: str) -> Scor
 
 
 def word_tokens(text: Column) -> Column:
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
+    words = F.split(F.lower(text), NO_WORD)
     return F.filter(words, lambda w: w != "")
 
 
@@ -133,22 +139,30 @@ def joined_lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer
 
 
 def _carried_lexicon(weights: dict[str, int], method: str) -> Scorer:
-    negations = frozenset(NEGATIONS)
-    word = re.compile(r"\w+")
-
-    def total(text: str | None) -> int | None:
-        if text is None:
-            return None
-        words = word.findall(text)
-        return sum(
-            weights[w] * (NEGATED if negations.intersection(words[max(i - 3, 0) : i]) else PLAIN)
-            for i, w in enumerate(words)
-            if w in weights
-        )
+    tokens = list(weights)
+    values = np.array([weights[t] for t in tokens] + [0], np.int64)
+
+    def sums(texts: pd.Series) -> np.ndarray:
+        """The words of all texts in one column, looked up together."""
+        split = pc.split_pattern_regex(pa.array(texts, pa.large_string()), NO_WORD)
+        words, row = pc.list_flatten(split), pc.list_parent_indices(split).to_numpy()
+        real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+        words, row = words.filter(pa.array(real)), row[real]
+        found = pc.fill_null(pc.index_in(words, pa.array(tokens, words.type)), len(tokens)).to_numpy()
+        negation = pc.is_in(words, pa.array(NEGATIONS, words.type)).to_numpy(zero_copy_only=False)
+        negated = np.zeros(len(row), bool)
+        for back in (1, 2, 3):
+            negated[back:] |= negation[:-back] & (row[back:] == row[:-back])
+        each = values[found] * np.where(negated, NEGATED, PLAIN)
+        # Sums of whole numbers: exact in doubles, in any order.
+        return np.bincount(row, each, minlength=len(texts)).astype(np.int64)
 
     @F.pandas_udf(LongType())
     def totals(texts: pd.Series) -> pd.Series:
-        return pd.Series([total(t) for t in texts], dtype="Int64")
+        sizes = texts.str.len().fillna(0).astype(int).tolist()
+        each = [sums(texts.iloc[run]) for run in chunks(sizes)]
+        total = np.concatenate([np.empty(0, np.int64), *each])
+        return pd.Series(total, dtype="Int64").mask(texts.isna().to_numpy())
 
     def score(df: DataFrame, name: str, chosen: Column) -> DataFrame:
         summed = df.withColumn("_total", totals(F.lower(F.when(chosen, F.col("text_clean")))))

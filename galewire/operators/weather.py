@@ -248,15 +248,20 @@ def match_quality(distance_km: Column, minutes: Column) -> Column:
 
 
 def enrich_weather(
-    df: DataFrame, stations: DataFrame, observations: DataFrame, divisor: float = UNIT_DIVISOR
+    df: DataFrame,
+    stations: DataFrame,
+    observations: DataFrame,
+    divisor: float = UNIT_DIVISOR,
+    dataset_id: str | None = None,
 ) -> DataFrame:
-    """Weather columns for posts with tweet_id, created_at, geo_lat, geo_lon, geo_confidence."""
+    """Weather columns for posts with tweet_id, created_at, geo_lat, geo_lon, geo_confidence;
+    with ``dataset_id`` from the stations of that dataset only."""
     usable = (F.col("geo_confidence") != "unavailable") & F.col("created_at").isNotNull()
     located = df.withColumns(
         {"lat": F.when(usable, F.col("geo_lat")), "lon": F.when(usable, F.col("geo_lon"))}
     )
     points = located.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("lat", "lon")
-    nearest = nearest_station(points, stations).select(
+    nearest = nearest_station(points, stations, dataset_id=dataset_id).select(
         "lat", "lon", "station_id", "station_name", "distance_km"
     )
     placed = lookup_join(located, nearest, ["lat", "lon"], spread="tweet_id")

@@ -78,7 +78,9 @@ def add_weather(posts: DataFrame, refs: References, slot: str | None = None) ->
     once in between.
     """
     located = materialize(locate_posts(posts, refs), "located", slot)
-    weather = enrich_weather(located, refs.stations, refs.observations)
+    weather = enrich_weather(
+        located, refs.stations, refs.observations, dataset_id=refs.dataset_id
+    )
     return posts.join(weather.drop("created_at", "processing_stage"), "tweet_id", "left")
 
 

@@ -11,7 +11,8 @@ from galewire.schemas import GAZETTEER, LEXICON, OBSERVATION, PLACE, STATION
 
 @dataclass(frozen=True)
 class References:
-    """The tables a run joins with; places and users are optional."""
+    """The tables a run joins with; places and users are optional. ``dataset_id`` names the
+    dataset whose stations count; without it all do."""
 
     stations: DataFrame
     observations: DataFrame
@@ -20,6 +21,7 @@ class References:
     profiles: DataFrame | None = None
     places: DataFrame | None = None
     users: DataFrame | None = None
+    dataset_id: str | None = None
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -50,3 +52,15 @@ def lexicon_table(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
 
 def emoji_lexicon(spark: SparkSession, strict_codepoint: bool = False) -> DataFrame:
     return lexicon_table(spark, base_weights(strict_codepoint))
+
+
+def read_references(spark: SparkSession, folder: str, **options) -> References:
+    """The tables of a run from Parquet folders named after them; options set the other parts."""
+    return References(
+        stations=read_stations(spark, f"{folder}/stations"),
+        observations=read_observations(spark, f"{folder}/observations"),
+        gazetteer=read_gazetteer(spark, f"{folder}/gazetteer"),
+        lexicon=read_lexicon(spark, f"{folder}/lexicon"),
+        places=read_places(spark, f"{folder}/places"),
+        **options,
+    )

@@ -10,7 +10,7 @@ from galewire.functions import text as X
 from galewire.functions.geo import haversine_km, place_centroid
 from galewire.functions.times import iso_seconds, parse_timestamp
 from galewire.operators import dedup, filters, geo, lang, sentiment, weather
-from galewire.operators.clean import clean_posts, text_features
+from galewire.operators.clean import clean_posts, once, text_features
 from galewire.operators.joins import lookup_join
 from galewire.operators.parse import flatten_posts, is_repost, reject_reason
 from galewire.plans import quality, reports
@@ -514,7 +514,7 @@ def lang_profiles(spark, sf):
 @query
 def lang_profile_score(spark, sf):
     detect = lang.profile_detector(A.profiles(spark, sf))
-    found = _cleaned(spark, sf).withColumn("d", detect(F.col("text_clean")))
+    found = _cleaned(spark, sf).transform(once, "d", detect(F.col("text_clean")))
     return found.where(F.col("d.lang").isNotNull()).select(
         "tweet_id", F.col("d.lang").alias("det_lang"), F.col("d.confidence").alias("det_conf")
     )

@@ -145,3 +145,11 @@ def test_joined_lexicon_scores_texts_not_ids(spark):
     assert scores(S.lexicon_scorer) == scores(S.joined_lexicon_scorer)
     found = scores(S.joined_lexicon_scorer)
     assert found["good day"] > 0 > found["bad day"] and found[None] is None
+
+
+def test_texts_are_chunked_whole():
+    from galewire.functions.text import chunks
+    assert list(chunks([])) == []
+    runs = list(chunks([3, 3, 9, 0, 1, 20, 2], limit=6))
+    assert [i for r in runs for i in range(r.start, r.stop)] == list(range(7))
+    assert [(r.start, r.stop) for r in runs] == [(0, 2), (2, 3), (3, 5), (5, 6), (6, 7)]

@@ -133,3 +133,45 @@ def test_null_keys_are_part_of_the_shuffle_key(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
     assert len(exchanges) == 2 and all("_slot" in line for line in exchanges)
+
+
+def test_references_from_folders(spark, tmp_path):
+    from galewire.functions.emoji import base_weights
+    from galewire.sources.tables import emoji_lexicon, read_references
+    for name in ("stations", "observations", "gazetteer", "places"):
+        getattr(A, name)(spark, FOLDER).write.parquet(str(tmp_path / name))
+    emoji_lexicon(spark).write.parquet(str(tmp_path / "lexicon"))
+    refs = read_references(spark, str(tmp_path), dataset_id="GHCND")
+    for name in ("stations", "observations", "gazetteer", "places"):
+        want = getattr(A, name)(spark, FOLDER)
+        assert getattr(refs, name).exceptAll(want).isEmpty() and getattr(refs, name).count() == want.count()
+    assert {r.token: r.weight for r in refs.lexicon.collect()} == base_weights()
+    assert refs.users is None and refs.dataset_id == "GHCND"
+
+
+def test_only_stations_of_the_dataset_count(spark):
+    from galewire.operators.weather import enrich_weather
+    posts = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), 10.0, 20.0, "high")],
+                                  "tweet_id string, created_at timestamp, geo_lat double, geo_lon double, "
+                                  "geo_confidence string")
+    stations = spark.createDataFrame([("a", "A", 10.0, 20.0, 0.0, "X"), ("b", "B", 10.1, 20.0, 0.0, "Y")],
+                                     A.stations(spark, FOLDER).schema)
+    found = [enrich_weather(posts, stations, A.observations(spark, FOLDER), dataset_id=d).first().weather_station_id
+             for d in (None, "Y", "Z")]
+    assert found == ["a", "b", None]
+
+
+def test_dedup_does_not_shuffle_raw_json(spark):
+    from galewire.operators.dedup import dedup_chain
+    from galewire.plans.enrich import UNUSED_PARSED, parsed_posts
+    plan = dedup_chain(parsed_posts(A.raw_posts(spark, FOLDER)).drop(*UNUSED_PARSED))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in text and "raw_json" not in text
+
+
+def test_processing_date_is_given_or_the_day_of_the_run(spark, processed):
+    from galewire.streaming.run import trigger_options
+    day = spark.range(1).select(storage.today().alias("d"), storage.today("2024-01-31").alias("g")).first()
+    assert day.g == "2024-01-31" and day.d == dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    assert trigger_options(True, "5 seconds") == {"availableNow": True}
+    assert trigger_options(False, "5 seconds") == {"processingTime": "5 seconds"}
