@@ -34,16 +34,16 @@ CONTRACTIONS = [
     (r"(?i)\b(i|you|he|she|it|we|they|that|there|who|all)['’]d\b", "$1 would"),
     (r"(?i)\b(i|you|he|she|it|we|they|that|there|who|all) would['’]ve\b", "$1 would have"),
     (r"(?i)['’](cause)\b", "be$1"),
-]
-
-# Spoken forms without an apostrophe.
-SPOKEN = [
+    # Spoken forms without an apostrophe.
     (r"(?i)\b(go)nna\b", "$1ing to"),
     (r"(?i)\b(wan)na\b", "$1t to"),
     (r"(?i)\b(got)ta\b", "$1 to"),
     (r"(?i)\b(g)imme\b", "$1ive me"),
 ]
 
+# What a text must hold for one of these rules to apply; most hold none and are searched once.
+CONTRACTION_HINT = r"['’]|[nN][nN][aA]\b|[tT][tT][aA]\b|[mM][mM][eE]\b"
+
 
 def _plain_spaces(c: Column) -> Column:
     """Separator control characters, rare and unknown to ``\\s``, as blanks."""
@@ -101,17 +101,11 @@ def strip_urls(c: Column) -> Column:
     return F.regexp_replace(c, URL_PATTERN, "")
 
 
-def _replace_all(c: Column, rules) -> Column:
+def expand_contractions(c: Column, rules=CONTRACTIONS, hint: str = CONTRACTION_HINT) -> Column:
+    out = c
     for pattern, replacement in rules:
-        c = F.regexp_replace(c, pattern, replacement)
-    return c
-
-
-def expand_contractions(c: Column, rules=CONTRACTIONS, spoken=SPOKEN) -> Column:
-    """Written and spoken short forms in full; most texts hold none and are only searched once."""
-    if spoken:
-        c = F.when(c.rlike("|".join(p for p, _ in spoken)), _replace_all(c, spoken)).otherwise(c)
-    return F.when(c.rlike("['’]"), _replace_all(c, rules)).otherwise(c)
+        out = F.regexp_replace(out, pattern, replacement)
+    return F.when(c.rlike(hint), out).otherwise(c)
 
 
 def split_camel(c: Column) -> Column:
