@@ -123,7 +123,9 @@ def emoji_tokens(text: Column, emojis: Column, names: dict[str, str] | None = No
 
     ``emojis`` lists the emoji of the text, so texts without any cost nothing.
     """
-    table = _literal_map({e: f" :{n}: " for e, n in (names or all_names()).items()})
+    # One literal: a map built entry by entry would take the planner seconds.
+    pairs = "\n".join(f"{e}\t :{n}: " for e, n in (names or all_names()).items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
     named = F.filter(F.array_distinct(emojis), lambda e: F.map_contains_key(table, e))
 
     def spell(acc: Column, e: Column) -> Column:
