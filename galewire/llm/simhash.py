@@ -36,7 +36,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewire.llm.components import connected
-from galewire.llm.rows import with_row_id
 from galewire.sources.scratch import materialize
 
 SHINGLE = 3
@@ -52,6 +51,16 @@ PROBE_COST = 16.0
 # ---------------------------------------------------------------- fingerprints
 
 
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many rows of hashes (one or more words each) have each bit set."""
+    bits = np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8), axis=1)
+    # Sums of up to 255 bits fit a byte: eight bit columns are added at a time.
+    padded = np.zeros((-(-len(bits) // 255) * 255, bits.shape[1]), np.uint8)
+    padded[: len(bits)] = bits
+    sums = padded.view(np.uint64).reshape(-1, 255, bits.shape[1] // 8).sum(1)
+    return sums.view(np.uint8).reshape(-1, bits.shape[1]).sum(0, dtype=np.int64)
+
+
 def fingerprint(text: bytes | None, shingle: int) -> int:
     found = text.lower().split() if text else []
     if not found:
@@ -63,12 +72,7 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     hashes = np.fromiter((digest(join(r), SEED) for r in runs), ">u8", n)
     ones = np.zeros(64, np.int64)
     for k in range(0, n, 255 * 256):
-        bits = np.unpackbits(hashes[k : k + 255 * 256].view(np.uint8)).reshape(-1, 64)
-        # Sums of up to 255 bits fit a byte: eight bit columns are added at a time.
-        padded = np.zeros((-(-len(bits) // 255) * 255, 64), np.uint8)
-        padded[: len(bits)] = bits
-        sums = padded.view(np.uint64).reshape(-1, 255, 8).sum(1)
-        ones += sums.view(np.uint8).reshape(-1, 64).sum(0, dtype=np.int64)
+        ones += set_bits(hashes[k : k + 255 * 256].reshape(-1, 1))
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
@@ -203,7 +207,7 @@ def probe_masks(groups: Sequence[Sequence[int]], thresholds: Sequence[int]) -> l
 # ---------------------------------------------------------------- links
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least index each of n members is linked with, directly or not."""
     label = np.arange(n)
     while True:
@@ -234,7 +238,7 @@ def _bucket_links(distance: int):
             b.append(close + step)
             step += 1
         none = np.empty(0, np.int64)
-        label = _forest(n, np.concatenate([none, *a]), np.concatenate([none, *b]))
+        label = forest(n, np.concatenate([none, *a]), np.concatenate([none, *b]))
         moved = np.flatnonzero(label != np.arange(n))
         return pa.RecordBatch.from_arrays(
             [pa.array(fp[moved].view(np.int64)), pa.array(fp[label[moved]].view(np.int64))], names=["a", "b"]
@@ -324,16 +328,3 @@ def component_ids(marked: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``marked`` with ``component_id``, the least id of each class."""
     least = marked.groupBy("class").agg(F.min(f"row.{doc_id}").alias("component_id"))
     return marked.join(least, "class")
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input rows without near duplicates: of each class the row with the least id stays (a
-    null id counts as the greatest; rows that share an id, by their place)."""
-    named = with_row_id(docs)
-    narrow = named.select(
-        "rid", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text")
-    )
-    marked = near_duplicates(narrow, ["rid", "doc_id"])
-    first = F.min(F.struct(F.col("row.doc_id").isNull().alias("last"), "row.doc_id", "row.rid"))
-    kept = marked.groupBy("class").agg(first.alias("first")).select(F.col("first.rid").alias("rid"))
-    return named.join(kept, "rid", "left_semi").select("row.*")

@@ -17,6 +17,7 @@ from galewire.llm import (
 from galewire.llm.queries import ORACLES, QUERIES
 from galewire.sources.scratch import materialize, scratch_path
 from tests.compare import compare, duck
+from tests.llm.test_near_copies import plain_first
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -360,14 +361,11 @@ def test_stages_take_odd_rows_and_empty_tables(spark, odd, empty):
 
 def test_pipeline_against_plain_stages(spark):
     """Rules, dedup and decontamination judged one by one in Python over the whole table."""
-    from tests.llm.test_simhash import plain_components, plain_fingerprint
-
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     book = quality_rules.apply_policy(quality_rules.ledger(spark.read.parquet(f"{FOLDER}/documents.parquet")))
     good = {r.row.doc_id for r in book.filter("kept").collect()}
     left = [(i, t) for i, t in docs if i in good]
-    parts = plain_components([(i, plain_fingerprint(t)) for i, t in left])
-    first = {c for _, _, c in parts}
+    first = plain_first(left)
     tests = decontamination.Suffixes(
         [(str(r.item_id), r.text.encode()) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()], 13)
     clean = set()
