@@ -6,7 +6,7 @@ read again as the next stage's input. The last adds ``shard`` and ``slot``.
 
 from pyspark.sql import DataFrame, SparkSession
 
-from galewire.llm import decontamination, mixing, quality_rules, sharding, simhash
+from galewire.llm import decontamination, mixing, near_copies, quality_rules, sharding
 from galewire.llm.text import table
 from galewire.sources.scratch import materialize
 
@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies: SimHash over five-word shingles, similarity 0.8."""
+    return near_copies.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
