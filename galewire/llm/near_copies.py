@@ -11,8 +11,9 @@ The pigeonhole is that of ``simhash``, in expectation: the bits are cut into par
 threshold (-1 skips it, 0 asks for equal bits, 1 leaves one bit out), and dynamic programming picks
 the thresholds, and the size of a partition, that cost the least by estimated candidate counts while
 a pair of the asked similarity misses all probes with probability ``MISS`` at most. Candidates are
-verified on all 512 bits. Larger tables get longer partitions, so a document's candidates do not
-grow with the table; its probes grow with the logarithm's share of it, about n to the power 0.24.
+verified on all 512 bits. The bits come from independent hashes, so a partition is a random cut and not
+a group of correlated bits as in ``simhash``. Larger tables get longer partitions, so a document's
+candidates grow slowly; its probes grow with about the 0.24th power of the table.
 
 Copies are folded first: only distinct fingerprints are probed. A bucket of more than ``BUCKET``
 fingerprints is dealt out to tiles of that size by hash, and ``PIVOTS`` of its members go to every
