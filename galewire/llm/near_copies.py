@@ -16,9 +16,9 @@ a group of correlated bits as in ``simhash``. Larger tables get longer partition
 candidates grow slowly; its probes grow with about the 0.24th power of the table.
 
 Copies are folded first: only distinct fingerprints are probed. A bucket of more than ``BUCKET``
-fingerprints is dealt out to tiles of that size by hash, and ``PIVOTS`` of its members go to every
-tile, so that a crowd hangs together and no task holds it. Two members that are like neither each
-other's tile nor a pivot can still meet in other partitions. A bucket yields a forest of its links.
+fingerprints is cut by hash into tiles of half that size, and every two tiles meet in a group of their
+own: no task holds the bucket and each two members are compared. Its cost grows with the square of the
+bucket. A bucket or group yields a forest of its links.
 
 Defined results: as in ``simhash``: null, empty and blank texts are alike; fewer words than a shingle
 make one shingle of all of them; an empty table gives no rows.
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galewire.llm.components import connected
@@ -46,7 +46,6 @@ BITS = 64 * WORDS
 SLACK = 1.5
 MISS = 0.03
 BUCKET = 1 << 12
-PIVOTS = 64
 ROUNDS = 8  # times the bits are cut into partitions, each time in another order
 #: Cost of writing and moving one probe, in verified candidates.
 PROBE_COST = 64.0
@@ -277,18 +276,16 @@ def find_links(distinct: DataFrame, similarity: float = SIMILARITY, bucket: int
     counts = probes(distinct, masks, with_fp=False).groupBy("key").agg(F.count("*").alias("n"))
     # One bucket in many is full: a short list, whatever the size of those buckets.
     full = materialize(counts.filter(F.col("n") > bucket), "full-buckets").withColumn(
-        "tiles", F.ceil(F.col("n") / bucket).cast("long")
+        "tiles", F.ceil(2 * F.col("n") / bucket).cast("long")
     )
     if not full.isEmpty():
-        order = F.xxhash64("fp")
-        joined = dealt.drop("tile").join(full, "key", "left")
-        first = F.row_number().over(Window.partitionBy("key").orderBy(order, "fp"))
-        pivots = (
-            joined.filter("tiles IS NOT NULL").withColumn("at", first).filter(F.col("at") <= PIVOTS)
-            .select("key", "fp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"))
+        tiles, own = F.col("tiles"), F.pmod(F.xxhash64("fp"), F.col("tiles"))
+        others = F.filter(F.sequence(F.lit(0).cast("long"), tiles - 1), lambda x: x != own)
+        groups = F.transform(others, lambda x: F.least(own, x) * tiles + F.greatest(own, x))
+        alone = F.array(F.lit(0).cast("long"))
+        dealt = dealt.drop("tile").join(full, "key", "left").select(
+            "key", "fp", F.explode(F.when(tiles.isNull(), alone).otherwise(groups)).alias("tile")
         )
-        tile = F.coalesce(F.pmod(order, F.col("tiles")), F.lit(0).cast("long"))
-        dealt = joined.select("key", "fp", tile.alias("tile")).unionByName(pivots)
     return (
         dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").select("key", "tile", "fp")
         .mapInArrow(_bucket_links(limit), "a binary, b binary")

@@ -117,6 +117,26 @@ def test_links_against_all_pairs(spark, bucket):
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, classes.values()))
 
 
+def test_small_groups_of_copies_in_full_buckets(spark):
+    """Texts over one template fill their buckets; each is like one other text only."""
+    rng = random.Random(7)
+    shared = [rng.randbytes(64) for _ in range(2)]
+    prints = []
+    for k in range(400):
+        first = np.unpackbits(np.frombuffer(shared[k % 2], np.uint8)).copy()
+        first[rng.sample(range(512), 70)] ^= 1
+        second = first.copy()
+        second[rng.sample(range(512), 12)] ^= 1
+        prints += [np.packbits(first).tobytes(), np.packbits(second).tobytes()]
+    limit = 89
+    near = {(a, b) for i, a in enumerate(prints) for b in prints[:i] if (bits(a) ^ bits(b)).bit_count() <= limit}
+    assert 350 <= len(near) <= 1000
+    links = near_copies.find_links(spark.createDataFrame([(f,) for f in prints], "fp binary"), bucket=16)
+    label = {bytes(r.node): bytes(r.label) for r in connected(links).collect()}
+    apart = sum(label.get(a, a) != label.get(b, b) for a, b in zip(prints[::2], prints[1::2]))
+    assert apart <= 4
+
+
 def test_odd_rows_and_empty_table(spark):
     rows = [(4, "A b c d e f"), (2, "a B c d e\tf"), (3, None), (5, ""), (6, " \t\n"), (None, "a b c d e f"),
             (7, "one"), (7, "one"), (8, "x " * 70000), (None, "alone here")]
