@@ -4,8 +4,9 @@
 have a Jaccard similarity of 0.8 differ in about 15 % of their bits; 64 bits cannot tell them from
 texts at 0.5, and no set of exact probes of bounded size finds them. This form of the operator takes
 512 bits over the distinct shingles. Two sets of similarity J agree in a bit with probability
-1 - arccos(2J / (1 + J)) / pi, so the share of bits that differ estimates J; pairs are linked up to the
-share of ``similarity`` plus ``SLACK`` standard errors.
+1 - arccos(2J / (1 + J)) / pi, so the share of bits that differ estimates J. The bits only search: pairs
+up to the share of ``similarity`` plus ``WIDE`` standard errors are candidates, and a candidate is linked
+if the exact similarity of the two shingle sets is ``similarity`` or more.
 
 The pigeonhole is that of ``simhash``, in expectation: the bits are cut into partitions, each gets a
 threshold (-1 skips it, 0 asks for equal bits, 1 leaves one bit out), and dynamic programming picks
@@ -18,7 +19,13 @@ candidates grow slowly; its probes grow with about the 0.24th power of the table
 Copies are folded first: only distinct fingerprints are probed. A bucket of more than ``BUCKET``
 fingerprints is cut by hash into tiles of half that size, and every two tiles meet in a group of their
 own: no task holds the bucket and each two members are compared. Its cost grows with the square of the
-bucket. A bucket or group yields a forest of its links.
+bucket.
+
+Candidates are checked in two rounds, for a crowd of copies has too many. A bucket or group first yields
+a forest of its candidates, the nearest first; those that hold join their texts. Then it yields every
+candidate whose ends are not joined yet. So each candidate is checked or changes nothing. Only texts that
+have a candidate are read again for their shingles. Crowds of texts just below the asked similarity are
+what costs: all their candidates are checked.
 
 Defined results: as in ``simhash``: null, empty and blank texts are alike; fewer words than a shingle
 make one shingle of all of them; an empty table gives no rows.
@@ -44,6 +51,7 @@ SIMILARITY = 0.8
 WORDS = 8  # of 64 bits each
 BITS = 64 * WORDS
 SLACK = 1.5
+WIDE = 3.0  # the same for candidates that are checked on their shingles
 MISS = 0.03
 BUCKET = 1 << 12
 ROUNDS = 8  # times the bits are cut into partitions, each time in another order
@@ -189,8 +197,8 @@ def plan(shares: np.ndarray, n: int, similarity: float = SIMILARITY) -> list[lis
 # ---------------------------------------------------------------- links
 
 
-def probes(distinct: DataFrame, masks: Sequence[Sequence[int]], with_fp: bool = True) -> DataFrame:
-    """``key`` (probe number and its bits) and ``fp``."""
+def probes(distinct: DataFrame, masks: Sequence[Sequence[int]], carry: Sequence[str] = ("fp",)) -> DataFrame:
+    """``key`` (probe number and its bits) and the columns carried."""
     if len(masks) >= 1 << 15 or max(map(len, masks), default=0) > 48:
         raise ValueError("a key holds 15 bits of probe number and 48 of fingerprint")
     weights = [(np.array(m), 1 << np.arange(len(m), dtype=np.int64)) for m in masks]
@@ -203,46 +211,76 @@ def probes(distinct: DataFrame, masks: Sequence[Sequence[int]], with_fp: bool =
                 keys = np.concatenate([
                     (bits[:, at].astype(np.int64) @ power) | (k << 48) for k, (at, power) in enumerate(weights)
                 ])
-                columns = [pa.array(keys)]
-                if with_fp:
-                    columns.append(batch.column("fp").take(pa.array(np.tile(np.arange(len(bits)), len(weights)))))
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "fp"][: len(columns)])
-
-    return distinct.select("fp").mapInArrow(run, "key long, fp binary" if with_fp else "key long")
+                rows = pa.array(np.tile(np.arange(len(bits)), len(weights)))
+                columns = [pa.array(keys), *(batch.column(c).take(rows) for c in carry)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", *carry])
+
+    source = distinct.select("fp", *[c for c in carry if c != "fp"])
+    return source.mapInArrow(run, source.select(F.lit(0).cast("long").alias("key"), *carry).schema)
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of links between n members those of a forest with the same components, the nearest first."""
+    order = np.argsort(differ, kind="stable")
+    a, b, differ = a[order], b[order], differ[order]
+    label, taken, left = np.arange(n), [], np.arange(len(a))
+    while True:
+        left = left[label[a[left]] != label[b[left]]]
+        if not len(left):
+            break
+        best = np.full(n, len(a))
+        np.minimum.at(best, label[a[left]], left)
+        np.minimum.at(best, label[b[left]], left)
+        new = np.unique(best[best < len(a)])
+        taken.append(new)
+        label = forest(n, np.concatenate([np.arange(n), a[new]]), np.concatenate([label, b[new]]))
+    kept = np.concatenate([np.empty(0, np.int64), *taken])
+    return a[kept], b[kept], differ[kept]
 
 
 def _bucket_links(limit: int):
     # Most candidates part ways on the first two words; four standard errors lose none worth naming.
     rough = limit / BITS * 128 + 4 * sqrt(128 * 0.25)
 
-    def links(key: np.ndarray, tile: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    def pairs(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        ends = [
+            pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(x), [None, pa.py_buffer(fp[x])]).cast(pa.binary())
+            for x in (a, b)
+        ]
+        return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+    def links(key: np.ndarray, tile: np.ndarray, fp: np.ndarray, label: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         words, n = fp.view(np.uint64), len(fp)
         fresh = np.ones(n, bool)
         fresh[1:] = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
         starts = np.flatnonzero(fresh)
         ends = np.append(starts[1:], n)
         end = np.repeat(ends, ends - starts)
-        label = np.arange(n)
-        at, step, a, b, held = np.arange(n), 1, [], [], 0
+        none = np.empty(0, np.int64)
+        at, step, held, found = np.arange(n), 1, 0, [(none, none, none)]
         while True:
             at = at[at + step < end[at]]
             if len(at):
-                near = at[np.bitwise_count(words[at, :2] ^ words[at + step, :2]).sum(1) <= rough]
-                close = near[np.bitwise_count(words[near] ^ words[near + step]).sum(1) <= limit]
-                a.append(close)
-                b.append(close + step)
-                held += len(close)
+                near = at if label is None else at[label[at] != label[at + step]]
+                near = near[np.bitwise_count(words[near, :2] ^ words[near + step, :2]).sum(1) <= rough]
+                differ = np.bitwise_count(words[near] ^ words[near + step]).sum(1).astype(np.int64)
+                near, differ = near[differ <= limit], differ[differ <= limit]
+                found.append((near, near + step, differ))
+                held += len(near)
                 step += 1
-            if held > 1 << 20 or not len(at):
-                label = forest(n, np.concatenate([np.arange(n), *a]), np.concatenate([label, *b]))
-                a, b, held = [], [], 0
+            if held > 1 << 18 or not len(at):
+                a, b, differ = (np.concatenate(x) for x in zip(*found))
+                if label is None:
+                    found = [spanning(n, a, b, differ)]
+                else:
+                    for k in range(0, len(a), 1 << 18):
+                        yield pairs(fp, a[k : k + (1 << 18)], b[k : k + (1 << 18)])
+                    found = [(none, none, none)]
+                held = 0
             if not len(at):
                 break
-        moved = np.flatnonzero(label != np.arange(n))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([fp[i].tobytes() for i in moved], pa.binary()),
-             pa.array([fp[i].tobytes() for i in label[moved]], pa.binary())], names=["a", "b"]
-        )
+        if label is None:
+            yield pairs(fp, *found[0][:2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -252,6 +290,7 @@ def _bucket_links(limit: int):
             new = [
                 batch.column("key").to_numpy(zero_copy_only=False),
                 batch.column("tile").to_numpy(zero_copy_only=False), _bytes(batch.column("fp")),
+                *(batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names[3:]),
             ]
             cols = [np.concatenate(x) for x in zip(rest, new)] if rest else new
             # The last bucket may go on in the next batch.
@@ -259,21 +298,24 @@ def _bucket_links(limit: int):
             cut = int(other[-1]) + 1 if len(other) else 0
             rest = [c[cut:] for c in cols]
             if cut:
-                yield links(*[c[:cut] for c in cols])
+                yield from links(*[c[:cut] for c in cols])
         if rest:
-            yield links(*rest)
+            yield from links(*rest)
 
     return run
 
 
-def find_links(distinct: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
-    """Edges (``a``, ``b``) that connect the fingerprints of similar texts."""
-    shares, n = bit_shares(distinct)
-    masks = plan(shares, n, similarity)
+def _limit(similarity: float, slack: float) -> int:
     odds = differing(similarity)
-    limit = int(BITS * odds + SLACK * sqrt(BITS * odds * (1 - odds)))
-    dealt = probes(distinct, masks).withColumn("tile", F.lit(0).cast("long"))
-    counts = probes(distinct, masks, with_fp=False).groupBy("key").agg(F.count("*").alias("n"))
+    return int(BITS * odds + slack * sqrt(BITS * odds * (1 - odds)))
+
+
+def _compared(distinct: DataFrame, masks: Sequence[Sequence[int]], limit: int, bucket: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of ``distinct`` within the limit: a forest of them, or with a column
+    ``label`` all whose labels differ."""
+    carry = [c for c in ("fp", "label") if c in distinct.columns]
+    dealt = probes(distinct, masks, carry).withColumn("tile", F.lit(0).cast("long"))
+    counts = probes(distinct, masks, []).groupBy("key").agg(F.count("*").alias("n"))
     # One bucket in many is full: a short list, whatever the size of those buckets.
     full = materialize(counts.filter(F.col("n") > bucket), "full-buckets").withColumn(
         "tiles", F.ceil(2 * F.col("n") / bucket).cast("long")
@@ -284,14 +326,75 @@ def find_links(distinct: DataFrame, similarity: float = SIMILARITY, bucket: int
         groups = F.transform(others, lambda x: F.least(own, x) * tiles + F.greatest(own, x))
         alone = F.array(F.lit(0).cast("long"))
         dealt = dealt.drop("tile").join(full, "key", "left").select(
-            "key", "fp", F.explode(F.when(tiles.isNull(), alone).otherwise(groups)).alias("tile")
+            "key", *carry, F.explode(F.when(tiles.isNull(), alone).otherwise(groups)).alias("tile")
         )
     return (
-        dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").select("key", "tile", "fp")
+        dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").select("key", "tile", *carry)
         .mapInArrow(_bucket_links(limit), "a binary, b binary")
     )
 
 
+def find_links(distinct: DataFrame, similarity: float = SIMILARITY, bucket: int = BUCKET) -> DataFrame:
+    """Edges (``a``, ``b``) that connect the fingerprints of texts similar by their bits alone."""
+    masks = plan(*bit_shares(distinct), similarity)
+    return _compared(distinct.select("fp"), masks, _limit(similarity, SLACK), bucket)
+
+
+# ---------------------------------------------------------------- exact similarity
+
+
+def shingle_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``fp`` and ``hashes``, the distinct shingles, of rows ``fp`` and ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, 256):
+                batch = whole.slice(first, 256)
+                found = [shingle_hashes(t.as_py(), shingle).view(np.int64) for t in pc.cast(batch.column("text"), pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("fp"), pa.array(found, pa.list_(pa.int64()))], names=["fp", "hashes"]
+                )
+
+    return texts.select("fp", "text").mapInArrow(run, "fp binary, hashes array<long>")
+
+
+def judged(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``a``, ``b`` and ``alike``: whether the Jaccard similarity of their shingles is enough."""
+    both = pairs.select("a", "b")
+    for end in ("a", "b"):
+        both = both.join(sets.select(F.col("fp").alias(end), F.col("hashes").alias(f"of_{end}")), end)
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    either = F.size("of_a") + F.size("of_b") - common
+    return both.select("a", "b", (common / either >= similarity).alias("alike"))
+
+
+def similar_links(
+    distinct: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, bucket: int = BUCKET
+) -> DataFrame:
+    """Edges (``a``, ``b``) between fingerprints of texts whose exact similarity is enough, which connect
+    all such that are candidates. ``distinct`` has ``fp`` and ``rid`` of one row of ``texts`` (``rid``,
+    ``text``) that stands for it."""
+    masks, limit = plan(*bit_shares(distinct), similarity), _limit(similarity, WIDE)
+
+    def tidy(e: DataFrame) -> DataFrame:
+        return e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    first = materialize(tidy(_compared(distinct.select("fp"), masks, limit, bucket)), "candidates")
+    ends = first.select(F.col("a").alias("fp")).unionByName(first.select(F.col("b").alias("fp"))).distinct()
+    members = materialize(distinct.join(ends, "fp").select("fp", "rid"), "candidate-texts")
+    sets = materialize(shingle_sets(texts.join(members, "rid"), shingle), "shingles")
+    checked = materialize(judged(first, sets, similarity), "checked")
+    links = checked.filter("alike")
+    if checked.filter("NOT alike").isEmpty():
+        return links.select("a", "b")
+    joined = connected(links.select("a", "b")).withColumnRenamed("node", "fp")
+    labelled = members.select("fp").join(joined, "fp", "left").select(
+        "fp", F.xxhash64(F.coalesce("label", "fp")).alias("label")
+    )
+    open_pairs = tidy(_compared(materialize(labelled, "labelled"), masks, limit, bucket)).join(checked, ["a", "b"], "left_anti")
+    return links.unionByName(judged(open_pairs, sets, similarity).filter("alike")).select("a", "b")
+
+
 # ---------------------------------------------------------------- the operator
 
 
@@ -299,8 +402,8 @@ def keep_one(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
     shingle: int = SHINGLE,
 ) -> DataFrame:
-    """The input rows without near copies: of each group of texts that are linked, directly or by a
-    chain, the row with the least id stays (a null id counts as the greatest; rows that share an id,
+    """The input rows without near copies: of each group of texts that are linked by exact similarity,
+    directly or by a chain, the row with the least id stays (a null id counts as the greatest; rows that share an id,
     by their place)."""
     named = with_row_id(docs)
     narrow = named.select(
@@ -310,7 +413,8 @@ def keep_one(
     first = F.struct(F.col("row.doc_id").isNull().alias("last"), "row.doc_id", "row.rid")
     # Copies are folded before anything is joined: a text that a third of all rows share is one row.
     distinct = materialize(marked.groupBy("fp").agg(F.min(first).alias("first")), "near-copies")
-    classes = connected(find_links(distinct.select("fp"), similarity)).withColumnRenamed("node", "fp")
+    links = similar_links(distinct.select("fp", "first.rid"), narrow.select("rid", "text"), similarity, shingle)
+    classes = connected(links).withColumnRenamed("node", "fp")
     kept = (
         distinct.join(classes, "fp", "left").groupBy(F.coalesce("label", "fp").alias("class"))
         .agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))

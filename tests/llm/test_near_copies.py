@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from galewire.llm import near_copies
 from galewire.llm.components import connected
@@ -93,6 +94,36 @@ def test_similar_pairs_are_found_and_others_left_alone(spark):
     assert missed <= 2
 
 
+@pytest.mark.parametrize("bucket", [4096, 16])
+def test_links_are_exact(spark, bucket):
+    """Pairs around the asked similarity, and a crowd: no link below it, and its classes are found."""
+    rng = random.Random(11)
+    texts = [t for s in (0.72, 0.76, 0.79, 0.82, 0.86) for _ in range(40) for t in similar(rng, s)]
+    base = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+    for _ in range(150):
+        copy = list(base)
+        for at in rng.sample(range(300), rng.randint(1, 12)):
+            copy[at] = f"y{rng.randrange(10**9)}"
+        texts.append(" ".join(copy))
+    sets = {near_copies.fingerprint(t.encode()): set(map(int, near_copies.shingle_hashes(t.encode()))) for t in texts}
+    rows = [(k, t, near_copies.fingerprint(t.encode())) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "rid long, text string, fp binary")
+    found = near_copies.similar_links(df.select("fp", "rid"), df.select("rid", "text"), bucket=bucket)
+    links = [(bytes(r.a), bytes(r.b)) for r in found.collect()]
+    alike = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in links]
+    assert links and min(alike) >= 0.8
+    label = {bytes(r.node): bytes(r.label) for r in connected(found).collect()}
+    order, parted = sorted(sets), 0
+    for k, a in enumerate(order):
+        for b in order[:k]:
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                parted += label.get(a, a) != label.get(b, b)
+    assert parted <= 4
+    docs = df.select(F.col("rid").alias("doc_id"), "text")
+    kept = {r.doc_id for r in near_copies.keep_one(docs).collect()}
+    assert all(2 * k + 1 in kept for k in range(200) if jaccard(texts[2 * k], texts[2 * k + 1]) < 0.8)
+
+
 @pytest.mark.parametrize("bucket", [4096, 32])
 def test_links_against_all_pairs(spark, bucket):
     """A crowd of near copies of one text among others; small buckets are dealt to tiles."""
