@@ -24,6 +24,7 @@ MEASURES = {
     "AWND": "wind_speed_ms",
 }
 UNIT_DIVISOR = 10.0
+SECOND, MINUTE = 1_000_000, 60_000_000  # in microseconds
 
 WEATHER_COLUMNS = [
     "weather_station_id", "weather_station_name", "weather_station_distance_km",
@@ -136,20 +137,22 @@ def observation_windows(observations: DataFrame) -> DataFrame:
     """Weather per station and post window, made once instead of once per post.
 
     A window is one whole UTC day or two consecutive ones, because the source answers by date.
-    Maximum, minimum, sum and count all combine, so days are rolled up first (with partial
+    Maximum, minimum, sum and count all combine, so minutes and days are rolled up first (with partial
     aggregation) and then joined into the windows. Sums are decimal: order cannot change them.
-    ``times`` holds the distinct observation times of a station and window in microseconds.
+    ``times`` holds the first and last observation time of each minute of a station and window, in
+    microseconds: at most 2880 a day, however many observations there are.
     """
     at = parse_timestamp(F.col("timestamp"))
+    micros = F.unix_micros("_at")
     exact = F.col("value").cast("decimal(18,6)")
 
     def of(code: str) -> Column:
         return F.when(F.col("datatype") == code, exact)
 
-    days = (
+    minutes = (
         observations.where(F.col("value").isNotNull())
         .withColumn("_at", at)
-        .groupBy("station_id", F.to_date("_at").alias("day"))
+        .groupBy("station_id", F.to_date("_at").alias("day"), F.floor(micros / MINUTE).alias("_minute"))
         .agg(
             F.max(of("TMAX")).alias("tmax"),
             F.min(of("TMIN")).alias("tmin"),
@@ -157,10 +160,19 @@ def observation_windows(observations: DataFrame) -> DataFrame:
             F.sum(of("AWND")).alias("wind"),
             F.count(of("AWND")).alias("wind_n"),
             F.count(F.lit(1)).alias("n_obs"),
-            F.collect_set(F.unix_micros("_at")).alias("times"),
+            F.array_distinct(F.array(F.min(micros), F.max(micros))).alias("times"),
         )
         .where(F.col("day").isNotNull())
     )
+    days = minutes.groupBy("station_id", "day").agg(
+        F.max("tmax").alias("tmax"),
+        F.min("tmin").alias("tmin"),
+        F.sum("prcp").alias("prcp"),
+        F.sum("wind").alias("wind"),
+        F.sum("wind_n").alias("wind_n"),
+        F.sum("n_obs").alias("n_obs"),
+        F.flatten(F.collect_list("times")).alias("times"),
+    )
     day = F.col("day")
     spans = F.array(
         F.struct(day.alias("first_day"), day.alias("last_day")),
@@ -211,12 +223,61 @@ def closest_time(times: Column, created_at: Column) -> Column:
     )
 
 
+def nearest_in_minute(posts: DataFrame, observations: DataFrame) -> DataFrame:
+    """``_near``: of the observation times in the minute of each distinct (station_id, created_at),
+    the nearest one in microseconds.
+
+    What lies outside a post's minute is nearest at the ends of a minute, which its window has. Within
+    the minute the ends of its seconds are looked up (at most 120), and only a post's own second is
+    met time by time, by an equality join that is reduced in the task that makes it.
+    """
+    micros = F.unix_micros(parse_timestamp(F.col("timestamp")))
+    seen = (
+        observations.where(F.col("value").isNotNull())
+        .select("station_id", micros.alias("at"))
+        .where(F.col("station_id").isNotNull() & F.col("at").isNotNull())
+        .withColumn("_second", F.floor(F.col("at") / SECOND))
+    )
+    ends = (
+        seen.groupBy("station_id", "_second")
+        .agg(F.min("at").alias("_first"), F.max("at").alias("_last"))
+        .groupBy("station_id", F.floor(F.col("_second") / 60).alias("_minute"))
+        .agg(F.flatten(F.collect_list(F.array("_first", "_last"))).alias("_ends"))
+    )
+    post = F.unix_micros("created_at")
+    keys = (
+        posts.where(F.col("station_id").isNotNull() & F.col("created_at").isNotNull())
+        .select("station_id", "created_at")
+        .distinct()
+        .withColumns({"_second": F.floor(post / SECOND), "_minute": F.floor(post / MINUTE)})
+    )
+    around = keys.join(ends, ["station_id", "_minute"]).select(
+        "station_id", "created_at", closest_time(F.col("_ends"), F.col("created_at")).alias("_c")
+    )
+    within = keys.join(seen.distinct(), ["station_id", "_second"]).select(
+        "station_id", "created_at", F.struct(F.abs(F.col("at") - post).alias("diff"), "at").alias("_c")
+    )
+    return (
+        around.unionByName(within)
+        .groupBy("station_id", "created_at")
+        .agg(F.min("_c").alias("_c"))
+        .select("station_id", "created_at", F.col("_c.at").alias("_near"))
+    )
+
+
 def join_observations(df: DataFrame, observations: DataFrame) -> DataFrame:
-    """Adds the window columns to posts that have ``station_id`` and ``created_at``."""
+    """Adds the window columns to posts that have ``station_id`` and ``created_at``; ``times`` then
+    holds the ends of minutes and the nearest time in the post's own minute."""
     first_day, last_day = window_days(F.col("created_at"))
     keyed = df.withColumns({"first_day": first_day, "last_day": last_day})
     windows = observation_windows(observations)
-    return lookup_join(keyed, windows, ["station_id", "first_day", "last_day"], spread="tweet_id")
+    found = lookup_join(keyed, windows, ["station_id", "first_day", "last_day"], spread="tweet_id")
+    near = nearest_in_minute(df, observations)
+    own = F.when(F.col("_near").isNull(), F.col("times")).otherwise(F.array_append("times", F.col("_near")))
+    return (
+        lookup_join(found, near, ["station_id", "created_at"], spread="tweet_id")
+        .withColumn("times", own).drop("_near")
+    )
 
 
 # ---------------------------------------------------------------- classes

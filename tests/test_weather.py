@@ -116,3 +116,19 @@ def test_closest_observation_below_a_second(spark):
                    "unix_micros(timestamp '2024-05-01 12:00:01.950')) AS times")
     best = at.select(W.closest_time(F.col("times"), F.col("post")).alias("c")).first().c
     assert best.diff == 800_000 and best.at % 1_000_000 == 100_000
+
+
+def test_times_of_a_crowded_station_stay_bounded(spark):
+    """Many times within few minutes: few are gathered, and the nearest one is still exact."""
+    start = dt.datetime(2024, 1, 15, 11, 59)
+    moments = [start + dt.timedelta(microseconds=(k * 7919 * 131) % 150_000_000) for k in range(3000)]
+    rows = observations(spark, [("S1", t.isoformat(timespec="microseconds"), "TMAX", 1.0) for t in moments])
+    assert W.observation_windows(rows).select(F.max(F.size("times"))).first()[0] <= 2 * 3
+    asked = [start + dt.timedelta(microseconds=k * 1_234_567 - 20_000_000) for k in range(160)]
+    posts = spark.createDataFrame(
+        [(str(k), t, "S1") for k, t in enumerate(asked)], "tweet_id string, created_at timestamp, station_id string"
+    )
+    found = W.join_observations(posts, rows).withColumn("c", W.closest_time(F.col("times"), F.col("created_at")))
+    got = {r.tweet_id: r.diff for r in found.select("tweet_id", "c.diff").collect()}
+    want = {str(k): min(abs(t - m) for m in moments) // dt.timedelta(microseconds=1) for k, t in enumerate(asked)}
+    assert got == want
