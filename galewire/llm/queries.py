@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galewire.llm import (
-    decontamination, langid, line_dedup, mixing, ngram_trie, quality_rules, sharding, simhash,
-    token_rollups, warc,
+    byte_cnn, decontamination, langid, line_dedup, mixing, ngram_trie, periodic_runs, phrases,
+    quality_rules, sharding, simhash, token_rollups, warc,
 )
 from galewire.llm.text import table
 from galewire.sources.scratch import materialize, scratch_path
@@ -288,3 +288,136 @@ def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = token_rollups.TokenLedger(spark, scratch_path(spark, "tokens"), versions)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return token_rollups.replayed_history(docs, ledger)
+
+
+# ---------------------------------------------------------------- quality classifier
+
+
+@query
+def op11_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = langid.held_out(F.col("doc_id"))
+    network = byte_cnn.train(docs, table(spark, sf_dir, "labels"), ~held)
+    scored = byte_cnn.score(docs.withColumn("held_out", held), network, ["doc_id", "held_out"])
+    return scored.select(
+        "row.doc_id", "row.held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+# ---------------------------------------------------------------- periodic runs
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_period(table(spark, sf_dir, "documents"))
+    found = periodic_runs.periodic_runs(docs, ["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period")
+    )))
+    return found.select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-best["start"]).alias("start"), best["length"].alias("length"), (-best["period"]).alias("period"),
+        F.floor(1000 * best["length"] / -best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+ORACLES["op12_periodic_runs"] = r"""
+WITH raw AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           -- CRC-32 of the decimal id, bit by bit
+           xor(4294967295, list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda x: ascii(x)::BIGINT), lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0],
+               lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+    FROM documents
+), asked AS (
+    SELECT *, coalesce(h % 10 = 0 AND len(w) > 0, false) AS planted, (h // 10) % greatest(len(w), 1) AS a,
+           1 + (len(w) - (h // 10) % greatest(len(w), 1)) // (3 + (h // 10) % 8) AS p
+    FROM raw
+), word AS (
+    SELECT rid, i, CASE WHEN planted AND i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS x
+    FROM (SELECT *, unnest(range(len(w))) AS i FROM asked)
+), gram AS (
+    -- A run moved by its period agrees with itself over five words at least.
+    SELECT rid, i, hash(x, lead(x, 1) OVER s, lead(x, 2) OVER s, lead(x, 3) OVER s, lead(x, 4) OVER s) AS g,
+           lead(x, 4) OVER s IS NOT NULL AS whole
+    FROM word WINDOW s AS (PARTITION BY rid ORDER BY i)
+), pair AS (
+    SELECT a.rid, b.i - a.i AS q, a.i FROM gram a JOIN gram b ON a.rid = b.rid AND a.g = b.g AND a.i < b.i
+    WHERE a.whole AND b.whole
+), island AS (
+    SELECT rid, q, min(i) AS start, count(*) + 4 + q AS length FROM (
+        SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM pair
+    ) GROUP BY rid, q, k HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+), run AS (
+    SELECT rid, start, length, min(q) AS period FROM island GROUP BY rid, start, length
+), listed AS (
+    SELECT rid, count(*) AS n,
+           string_agg(start::VARCHAR || ',' || length::VARCHAR || ',' || period::VARCHAR || chr(10), ''
+                      ORDER BY start, period) AS t,
+           first({'start': start, 'length': length, 'period': period} ORDER BY length DESC, start, period) AS best
+    FROM run GROUP BY rid
+), gone AS (
+    SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM run
+), kept AS (
+    SELECT rid, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length,
+       best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+       sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM raw LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
+# ---------------------------------------------------------------- phrases
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(phrases.mine(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_phrases"] = r"""
+WITH piece AS (
+    SELECT lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS t
+    FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)
+), numbered AS (
+    SELECT row_number() OVER () AS pid, lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece
+), word AS (
+    SELECT pid, lang, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM numbered
+), grams AS (
+    SELECT lang, x AS w1, x || ' ' || lead(x, 1) OVER s AS w2,
+           x || ' ' || lead(x, 1) OVER s || ' ' || lead(x, 2) OVER s AS w3,
+           x || ' ' || lead(x, 1) OVER s || ' ' || lead(x, 2) OVER s || ' ' || lead(x, 3) OVER s AS w4
+    FROM word WINDOW s AS (PARTITION BY pid ORDER BY i)
+), counted AS (
+    SELECT lang, phrase, len(string_split(phrase, ' ')) AS k, count(*) AS f FROM (
+        SELECT lang, unnest([w1, w2, w3, w4]) AS phrase FROM grams
+    ) WHERE phrase IS NOT NULL GROUP BY lang, phrase HAVING count(*) >= 30
+), cand AS (
+    SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1
+), cut AS (
+    SELECT lang, phrase, a, w, unnest(range(1, k)) AS c FROM cand
+), valued AS (
+    SELECT cut.lang, cut.phrase, a, c, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score
+    FROM cut JOIN counted l ON l.lang = cut.lang AND l.phrase = array_to_string(w[1:c], ' ')
+    JOIN counted r ON r.lang = cut.lang AND r.phrase = array_to_string(w[c + 1:], ' ')
+), lowest AS (
+    SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), inside AS (
+    SELECT lang, array_to_string(w[s:s + n - 1], ' ') AS phrase, max(a) AS longer FROM (
+        SELECT *, unnest(range(1, k - n + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS n FROM cand WHERE k > 2)
+    ) GROUP BY ALL
+), best AS (
+    SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM best JOIN (SELECT lang, count(*) AS n FROM word GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
