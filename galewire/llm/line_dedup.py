@@ -1,17 +1,20 @@
 """Site-relative line dedup: lines that too many pages of one host share are boilerplate.
 
 Pages are grouped by host. For each line the pages of its host that hold it are counted; a line on
-more than ``ratio`` of the host's pages is dropped wherever it stands on that host. Hosts of fewer
-than ``least_pages`` pages are not judged, nor are pages without a host.
+more than ``ratio`` of the host's pages, and on two at least, is dropped wherever it stands on that
+host. So a host with one page keeps all, as do pages without a host.
 
-Column functions only. Lines travel as 64-bit hashes: (host, line) counts are summed before the
-shuffle, and only counts that some judged host could call boilerplate meet the host totals. What a
-host drops is a set of at most (distinct lines of its mean page / ratio) hashes, looked up within
-each page, so no line is shuffled to be dropped and a host of any size is no single task's.
+Column functions only. Pages are parsed and their lines written once. Lines travel as 64-bit hashes:
+(host, line) counts are summed before the shuffle. What a host drops is a set of at most (distinct
+lines of its mean page / ratio) hashes, looked up within each page, so no line is shuffled to be
+dropped. Hosts with more than one in ``HOT_SHARE`` of all pages, of which there are fewer than
+``HOT_SHARE``, are broadcast as a list, and their pages are spread over ``SALTS`` keys; so are pages
+without a host.
 
 Defined results: a null or empty text has no lines; a line counts once for each page, blank lines
-are no lines; lines are compared trimmed. Repeated rows are pages of their own. ``carry`` names
-what of the input travels along in ``row``; other columns are not read.
+are no lines; lines are compared trimmed. A script, style or comment without an end reaches to the
+end of the page; a tag ends before the next one starts. Repeated rows are pages of their own.
+``carry`` names what of the input travels along in ``row``; other columns are not read.
 """
 
 from collections.abc import Sequence
@@ -20,16 +23,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewire.llm.text import BLANKS
+from galewire.sources.scratch import materialize
 
 RATIO = 0.2
-LEAST_PAGES = 5
+LEAST_HOLDING = 2  # pages of a host that must hold a line
+HOT_SHARE = 1000
+SALTS = 64
 
-UNSEEN = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
+# Each pattern is left at its first mismatch or runs to the end once: pages are parsed in linear time.
+UNSEEN = (
+    r"(?is)<script\b[^<>]*>.*?(?:</script>|\z)|<style\b[^<>]*>.*?(?:</style>|\z)|<!--.*?(?:-->|\z)"
+)
 BREAKS = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|"
-    r"li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
+    r"li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^<>]*>"
 )
-TAGS = r"<[^>]*>"
+TAGS = r"<[^<>]*>"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
@@ -58,32 +67,41 @@ def drop_site_lines(
     lines: Column,
     carry: Sequence[str] = ("page_id",),
     ratio: float = RATIO,
-    least_pages: int = LEAST_PAGES,
 ) -> DataFrame:
     """``row``, ``host``, ``host_pages``, ``n_lines``, and ``kept_lines`` in their order."""
-    base = pages.select(
-        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), host.alias("host"), lines.alias("lines")
+    row = F.struct(*[F.col(f"`{c}`") for c in carry])
+    base = materialize(
+        pages.select(row.alias("row"), host.alias("host"), lines.alias("lines")).select(
+            "*", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes")
+        ),
+        "site-lines",
     )
     totals = base.filter("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("host_pages"))
-    hashes = F.array_distinct(F.transform("lines", lambda x: F.xxhash64(x)))
     counts = (
         base.filter("host IS NOT NULL")
-        .select("host", F.explode(hashes).alias("line"))
+        .select("host", F.explode(F.array_distinct("hashes")).alias("line"))
         .groupBy("host", "line")
         .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > ratio * least_pages)
+        .filter(F.col("n") >= LEAST_HOLDING)
     )
     frequent = (
-        counts.join(totals.filter(F.col("host_pages") >= least_pages), "host")
+        counts.join(totals, "host")
         .filter(F.col("n") > F.lit(ratio) * F.col("host_pages"))
         .groupBy("host")
         .agg(F.collect_set("line").alias("frequent"))
     )
-    sites = totals.join(frequent, "host", "left")
+    sites = materialize(totals.join(frequent, "host", "left"), "sites")
+    hot = F.col("host_pages") * HOT_SHARE > F.lit(base.count())
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = F.pmod(F.xxhash64("hashes", "row"), F.lit(SALTS)).cast("int")
+    hosts = F.broadcast(sites.filter(hot).select("host", F.lit(True).alias("_hot")))  # fewer than HOT_SHARE rows
+    salted = base.join(hosts, "host", "left").withColumn(
+        "salt", F.when(F.col("_hot") | F.col("host").isNull(), spread).otherwise(0)
+    )
     kept = F.when(F.col("frequent").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains(F.col("frequent"), F.xxhash64(x)))
     )
-    return base.join(sites, "host", "left").select(
+    return salted.join(sites.withColumn("salt", F.explode(salts)), ["host", "salt"], "left").select(
         "row", "host", F.coalesce("host_pages", F.lit(0)).cast("long").alias("host_pages"),
         F.size("lines").cast("long").alias("n_lines"), kept.alias("kept_lines"),
     )

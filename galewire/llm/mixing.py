@@ -119,18 +119,21 @@ def mix(
     max_repeats: int = MAX_REPEATS,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
+    order_by: Sequence[str] | None = None,
 ) -> Mixture:
-    """The mix of all documents; 100 % of their words, shared by weight."""
+    """The mix of all documents; 100 % of their words, shared by weight. The random order of a source
+    follows from ``order_by`` (unless given: ``carry`` and the text), ties from ``carry``."""
     block = F.lit(block_words)
     src, whole = F.col(f"`{source}`"), F.col(f"`{text}`")
     kept = F.struct(*[F.col(f"`{c}`") for c in carry])
+    by = [kept, F.crc32(whole)] if order_by is None else [F.col(f"`{c}`") for c in order_by]
     sized = materialize(
         docs.select(
             kept.alias("carry"),
             # Code point order with null last: a null gets a key above every string's.
             F.when(src.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), src)).alias("source_key"),
             word_count(whole).alias("size"),
-            order_key(seed, kept, F.crc32(whole)).alias("order"),
+            order_key(seed, *by).alias("order"),
         ),
         "mix-sized",
     )
@@ -197,10 +200,13 @@ def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source")
     ``MAX_REPEATS`` times. Rows without words have no part in the shares and stay as they are."""
     named = with_row_id(docs)
     narrow = named.select(
-        "rid", F.col(f"row.`{text}`").alias("text"), F.col(f"row.`{source}`").alias("source")
+        "rid", "digest", F.col(f"row.`{text}`").alias("text"), F.col(f"row.`{source}`").alias("source")
     )
     times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5))
-    taken = mix(narrow, ["rid"]).documents.select(F.col("carry.rid").alias("rid"), times.cast("int").alias("times"))
+    # Which of two equal rows is taken makes no difference; all others are told apart by content.
+    taken = mix(narrow, ["digest", "rid"], order_by=["digest"]).documents.select(
+        F.col("carry.rid").alias("rid"), times.cast("int").alias("times")
+    )
     return (
         named.join(taken.filter("times > 0"), "rid")
         .select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))))

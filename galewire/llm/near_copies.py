@@ -21,11 +21,13 @@ fingerprints is cut by hash into tiles of half that size, and every two tiles me
 own: no task holds the bucket and each two members are compared. Its cost grows with the square of the
 bucket.
 
-Candidates are checked in two rounds, for a crowd of copies has too many. A bucket or group first yields
-a forest of its candidates, the nearest first; those that hold join their texts. Then it yields every
-candidate whose ends are not joined yet. So each candidate is checked or changes nothing. Only texts that
-have a candidate are read again for their shingles. Crowds of texts just below the asked similarity are
-what costs: all their candidates are checked.
+A bucket or group yields a forest of its candidates only, at most a row less than it has members; the
+forests join the texts to crowds of candidates. The members of a crowd then meet with the hashes of
+their shingles, large crowds in tiles of bounded size, every two of which meet in a task of their own.
+There each two members that the bits and the sizes of their sets allow, and that are not yet joined,
+are compared by exact similarity, and what leaves the task is a forest of the links that hold. Pairs
+that do not hold are never rows. Only texts that have a candidate are read again for their shingles.
+Crowds of texts just below the asked similarity are what costs: all their candidates are compared.
 
 Defined results: as in ``simhash``: null, empty and blank texts are alike; fewer words than a shingle
 make one shingle of all of them; an empty table gives no rows.
@@ -38,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galewire.llm.components import connected
@@ -52,8 +54,9 @@ WORDS = 8  # of 64 bits each
 BITS = 64 * WORDS
 SLACK = 1.5
 WIDE = 3.0  # the same for candidates that are checked on their shingles
-MISS = 0.03
+MISS = 0.01
 BUCKET = 1 << 12
+TILE_HASHES = 1 << 21  # shingles that a tile of a crowd holds, about
 ROUNDS = 8  # times the bits are cut into partitions, each time in another order
 #: Cost of writing and moving one probe, in verified candidates.
 PROBE_COST = 64.0
@@ -238,22 +241,44 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray, differ: np.ndarray) -> tuple[
     return a[kept], b[kept], differ[kept]
 
 
-def _bucket_links(limit: int):
-    # Most candidates part ways on the first two words; four standard errors lose none worth naming.
-    rough = limit / BITS * 128 + 4 * sqrt(128 * 0.25)
+def _pairs(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    ends = [
+        pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(x), [None, pa.py_buffer(np.ascontiguousarray(fp[x]))])
+        .cast(pa.binary())
+        for x in (a, b)
+    ]
+    return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+
+
+def _by_group(batches: Iterator[pa.RecordBatch], read, n_keys: int, body) -> Iterator[pa.RecordBatch]:
+    """``body`` of the columns of whole groups, one after the other in a sorted stream; ``read`` makes
+    a list of arrays of a batch, the first ``n_keys`` of which tell the groups apart."""
+    rest: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = read(batch)
+        cols = [np.concatenate(x) for x in zip(rest, new)] if rest else new
+        # The last group may go on in the next batch.
+        other = np.flatnonzero(np.logical_or.reduce([c != c[-1] for c in cols[:n_keys]]))
+        cut = int(other[-1]) + 1 if len(other) else 0
+        rest = [c[cut:] for c in cols]
+        if cut:
+            yield from body(*[c[:cut] for c in cols])
+    if rest:
+        yield from body(*rest)
+
+
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    fresh = np.ones(len(keys[0]), bool)
+    fresh[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(fresh)
 
-    def pairs(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        ends = [
-            pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(x), [None, pa.py_buffer(fp[x])]).cast(pa.binary())
-            for x in (a, b)
-        ]
-        return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
-    def links(key: np.ndarray, tile: np.ndarray, fp: np.ndarray, label: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def _bucket_links(limit: int):
+    def links(key: np.ndarray, tile: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         words, n = fp.view(np.uint64), len(fp)
-        fresh = np.ones(n, bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
-        starts = np.flatnonzero(fresh)
+        starts = _starts(key, tile)
         ends = np.append(starts[1:], n)
         end = np.repeat(ends, ends - starts)
         none = np.empty(0, np.int64)
@@ -261,48 +286,24 @@ def _bucket_links(limit: int):
         while True:
             at = at[at + step < end[at]]
             if len(at):
-                near = at if label is None else at[label[at] != label[at + step]]
-                near = near[np.bitwise_count(words[near, :2] ^ words[near + step, :2]).sum(1) <= rough]
+                # Half of the bits of most pairs differ in more places than all may.
+                near = at[np.bitwise_count(words[at, : WORDS // 2] ^ words[at + step, : WORDS // 2]).sum(1) <= limit]
                 differ = np.bitwise_count(words[near] ^ words[near + step]).sum(1).astype(np.int64)
                 near, differ = near[differ <= limit], differ[differ <= limit]
                 found.append((near, near + step, differ))
                 held += len(near)
                 step += 1
             if held > 1 << 18 or not len(at):
-                a, b, differ = (np.concatenate(x) for x in zip(*found))
-                if label is None:
-                    found = [spanning(n, a, b, differ)]
-                else:
-                    for k in range(0, len(a), 1 << 18):
-                        yield pairs(fp, a[k : k + (1 << 18)], b[k : k + (1 << 18)])
-                    found = [(none, none, none)]
-                held = 0
+                found, held = [spanning(n, *(np.concatenate(x) for x in zip(*found)))], 0
             if not len(at):
                 break
-        if label is None:
-            yield pairs(fp, *found[0][:2])
+        yield _pairs(fp, *found[0][:2])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = [
-                batch.column("key").to_numpy(zero_copy_only=False),
-                batch.column("tile").to_numpy(zero_copy_only=False), _bytes(batch.column("fp")),
-                *(batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names[3:]),
-            ]
-            cols = [np.concatenate(x) for x in zip(rest, new)] if rest else new
-            # The last bucket may go on in the next batch.
-            other = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
-            cut = int(other[-1]) + 1 if len(other) else 0
-            rest = [c[cut:] for c in cols]
-            if cut:
-                yield from links(*[c[:cut] for c in cols])
-        if rest:
-            yield from links(*rest)
-
-    return run
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tile")]
+        return [*keys, _bytes(batch.column("fp"))]
+
+    return lambda batches: _by_group(batches, read, 2, links)
 
 
 def _limit(similarity: float, slack: float) -> int:
@@ -310,26 +311,29 @@ def _limit(similarity: float, slack: float) -> int:
     return int(BITS * odds + slack * sqrt(BITS * odds * (1 - odds)))
 
 
+def _tiled(rows: DataFrame, tiles: Column, fp: str = "fp") -> DataFrame:
+    """``rows`` with ``own`` (their tile, by hash) and ``tile``: one row for each group of two tiles, or
+    of one with itself, that they are in."""
+    own = F.pmod(F.xxhash64(fp), tiles)
+    every = F.sequence(F.lit(0).cast("long"), tiles - 1)
+    groups = F.transform(every, lambda x: F.least(own, x) * tiles + F.greatest(own, x))
+    return rows.withColumn("own", own).withColumn("tile", F.explode(groups))
+
+
 def _compared(distinct: DataFrame, masks: Sequence[Sequence[int]], limit: int, bucket: int) -> DataFrame:
-    """Pairs (``a``, ``b``) of ``distinct`` within the limit: a forest of them, or with a column
-    ``label`` all whose labels differ."""
-    carry = [c for c in ("fp", "label") if c in distinct.columns]
-    dealt = probes(distinct, masks, carry).withColumn("tile", F.lit(0).cast("long"))
+    """Pairs (``a``, ``b``) of ``distinct`` (fp) within the limit: a forest of each bucket's."""
+    dealt = probes(distinct, masks)
     counts = probes(distinct, masks, []).groupBy("key").agg(F.count("*").alias("n"))
     # One bucket in many is full: a short list, whatever the size of those buckets.
     full = materialize(counts.filter(F.col("n") > bucket), "full-buckets").withColumn(
         "tiles", F.ceil(2 * F.col("n") / bucket).cast("long")
     )
-    if not full.isEmpty():
-        tiles, own = F.col("tiles"), F.pmod(F.xxhash64("fp"), F.col("tiles"))
-        others = F.filter(F.sequence(F.lit(0).cast("long"), tiles - 1), lambda x: x != own)
-        groups = F.transform(others, lambda x: F.least(own, x) * tiles + F.greatest(own, x))
-        alone = F.array(F.lit(0).cast("long"))
-        dealt = dealt.drop("tile").join(full, "key", "left").select(
-            "key", *carry, F.explode(F.when(tiles.isNull(), alone).otherwise(groups)).alias("tile")
-        )
+    if full.isEmpty():
+        dealt = dealt.withColumn("tile", F.lit(0).cast("long"))
+    else:
+        dealt = _tiled(dealt.join(full, "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1).cast("long"))), F.col("tiles"))
     return (
-        dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").select("key", "tile", *carry)
+        dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").select("key", "tile", "fp")
         .mapInArrow(_bucket_links(limit), "a binary, b binary")
     )
 
@@ -344,7 +348,7 @@ def find_links(distinct: DataFrame, similarity: float = SIMILARITY, bucket: int
 
 
 def shingle_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``fp`` and ``hashes``, the distinct shingles, of rows ``fp`` and ``text``."""
+    """``crowd``, ``fp`` and ``hashes``, the distinct shingles, of rows ``crowd``, ``fp`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -352,20 +356,67 @@ def shingle_sets(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 batch = whole.slice(first, 256)
                 found = [shingle_hashes(t.as_py(), shingle).view(np.int64) for t in pc.cast(batch.column("text"), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("fp"), pa.array(found, pa.list_(pa.int64()))], names=["fp", "hashes"]
+                    [batch.column("crowd"), batch.column("fp"), pa.array(found, pa.list_(pa.int64()))],
+                    names=["crowd", "fp", "hashes"],
                 )
 
-    return texts.select("fp", "text").mapInArrow(run, "fp binary, hashes array<long>")
-
-
-def judged(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``a``, ``b`` and ``alike``: whether the Jaccard similarity of their shingles is enough."""
-    both = pairs.select("a", "b")
-    for end in ("a", "b"):
-        both = both.join(sets.select(F.col("fp").alias(end), F.col("hashes").alias(f"of_{end}")), end)
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    either = F.size("of_a") + F.size("of_b") - common
-    return both.select("a", "b", (common / either >= similarity).alias("alike"))
+    return texts.select("crowd", "fp", "text").mapInArrow(run, "crowd long, fp binary, hashes array<long>")
+
+
+def alike_forest(
+    words: np.ndarray, own: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, similarity: float, limit: int
+) -> list[tuple[int, int]]:
+    """A forest over the pairs of a group's members whose exact similarity is enough.
+
+    Of a group of two tiles only pairs across them are compared. ``hashes`` holds the members'
+    distinct shingles one after the other, ``sizes`` how many each has.
+    """
+    n, found = len(sizes), []
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    kinds, ids = np.unique(hashes, return_inverse=True)
+    mark, label = np.zeros(len(kinds), bool), np.arange(n)
+    across = own[0] != own[-1] or (own != own[0]).any()
+    for i in range(n - 1):
+        j = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
+        if across:
+            j = j[own[j] != own[i]]
+        # The smaller set is at least this share of the larger one.
+        j = j[np.minimum(sizes[j], sizes[i]) >= similarity * np.maximum(sizes[j], sizes[i])]
+        j = j[np.bitwise_count(words[j] ^ words[i]).sum(1) <= limit]
+        if not len(j):
+            continue
+        mark[ids[first[i] : first[i + 1]]] = True
+        upto = np.cumsum(sizes[j])
+        at = np.arange(upto[-1]) + np.repeat(first[j] - upto + sizes[j], sizes[j])
+        common = np.add.reduceat(mark[ids[at]].astype(np.int64), upto - sizes[j])
+        mark[ids[first[i] : first[i + 1]]] = False
+        for k in j[common / (sizes[i] + sizes[j] - common) >= similarity].tolist():
+            if label[k] != label[i]:
+                found.append((i, k))
+                label[label == label[k]] = label[i]
+    return found
+
+
+def _crowd_links(similarity: float, limit: int):
+    def links(crowd, tile, own, fp, sizes, sets) -> Iterator[pa.RecordBatch]:
+        starts, words = _starts(crowd, tile), fp.view(np.uint64)
+        a, b = [], []
+        for low, high in zip(starts.tolist(), [*starts[1:].tolist(), len(crowd)]):
+            part = slice(low, high)
+            for i, j in alike_forest(words[part], own[part], sizes[part], np.concatenate(sets[part]), similarity, limit):
+                a.append(low + i)
+                b.append(low + j)
+        yield _pairs(fp, np.array(a, np.int64), np.array(b, np.int64))
+
+    def read(batch: pa.RecordBatch) -> list[np.ndarray]:
+        keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("crowd", "tile", "own")]
+        column = batch.column("hashes")
+        sets = np.empty(len(column), object)
+        for k in range(len(column)):
+            sets[k] = column[k].values.to_numpy(zero_copy_only=False).copy()
+        return [*keys, _bytes(batch.column("fp")), np.fromiter(map(len, sets), np.int64, len(sets)), sets]
+
+    return lambda batches: _by_group(batches, read, 2, links)
 
 
 def similar_links(
@@ -375,24 +426,21 @@ def similar_links(
     all such that are candidates. ``distinct`` has ``fp`` and ``rid`` of one row of ``texts`` (``rid``,
     ``text``) that stands for it."""
     masks, limit = plan(*bit_shares(distinct), similarity), _limit(similarity, WIDE)
-
-    def tidy(e: DataFrame) -> DataFrame:
-        return e.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    first = materialize(tidy(_compared(distinct.select("fp"), masks, limit, bucket)), "candidates")
-    ends = first.select(F.col("a").alias("fp")).unionByName(first.select(F.col("b").alias("fp"))).distinct()
-    members = materialize(distinct.join(ends, "fp").select("fp", "rid"), "candidate-texts")
-    sets = materialize(shingle_sets(texts.join(members, "rid"), shingle), "shingles")
-    checked = materialize(judged(first, sets, similarity), "checked")
-    links = checked.filter("alike")
-    if checked.filter("NOT alike").isEmpty():
-        return links.select("a", "b")
-    joined = connected(links.select("a", "b")).withColumnRenamed("node", "fp")
-    labelled = members.select("fp").join(joined, "fp", "left").select(
-        "fp", F.xxhash64(F.coalesce("label", "fp")).alias("label")
+    crowds = connected(_compared(distinct.select("fp"), masks, limit, bucket))
+    members = distinct.join(crowds.withColumnRenamed("node", "fp"), "fp").select(
+        "fp", "rid", F.xxhash64("label").alias("crowd")
+    )
+    sets = materialize(shingle_sets(texts.join(members, "rid"), shingle), "crowds")
+    sizes = sets.groupBy("crowd").agg(F.count("*").alias("n"), F.sum(F.size("hashes")).alias("hashes"))
+    tiles = F.greatest(F.ceil(2 * F.col("n") / bucket), F.ceil(F.col("hashes") / TILE_HASHES)).cast("long")
+    alone = (F.col("n") <= bucket) & (F.col("hashes") <= 2 * TILE_HASHES)
+    counted = sizes.select("crowd", F.when(alone, 1).otherwise(tiles).cast("long").alias("tiles"))
+    met = _tiled(sets.join(counted, "crowd"), F.col("tiles"))
+    return (
+        met.repartition("crowd", "tile").sortWithinPartitions("crowd", "tile")
+        .select("crowd", "tile", "own", "fp", "hashes")
+        .mapInArrow(_crowd_links(similarity, limit), "a binary, b binary")
     )
-    open_pairs = tidy(_compared(materialize(labelled, "labelled"), masks, limit, bucket)).join(checked, ["a", "b"], "left_anti")
-    return links.unionByName(judged(open_pairs, sets, similarity).filter("alike")).select("a", "b")
 
 
 # ---------------------------------------------------------------- the operator
@@ -403,14 +451,14 @@ def keep_one(
     shingle: int = SHINGLE,
 ) -> DataFrame:
     """The input rows without near copies: of each group of texts that are linked by exact similarity,
-    directly or by a chain, the row with the least id stays (a null id counts as the greatest; rows that share an id,
-    by their place)."""
+    directly or by a chain, the row with the least id stays (a null id counts as the greatest; rows that
+    share an id, by a digest of their content)."""
     named = with_row_id(docs)
     narrow = named.select(
-        "rid", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text")
+        "rid", "digest", F.col(f"row.`{doc_id}`").alias("doc_id"), F.col(f"row.`{text}`").alias("text")
     )
-    marked = fingerprints(narrow, ["rid", "doc_id"], "text", shingle)
-    first = F.struct(F.col("row.doc_id").isNull().alias("last"), "row.doc_id", "row.rid")
+    marked = fingerprints(narrow, ["rid", "doc_id", "digest"], "text", shingle)
+    first = F.struct(F.col("row.doc_id").isNull().alias("last"), "row.doc_id", "row.digest", "row.rid")
     # Copies are folded before anything is joined: a text that a third of all rows share is one row.
     distinct = materialize(marked.groupBy("fp").agg(F.min(first).alias("first")), "near-copies")
     links = similar_links(distinct.select("fp", "first.rid"), narrow.select("rid", "text"), similarity, shingle)

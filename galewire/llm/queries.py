@@ -251,24 +251,27 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORACLES["op3_line_dedup"] = rf"""
-WITH p AS (
+ORACLES["op3_line_dedup"] = r"""
+WITH shown AS (
     SELECT row_number() OVER () AS rid, page_id,
-           nullif(lower(regexp_extract(url, '{line_dedup.HOST}', 1)), '') AS host,
-           list_filter(list_transform(string_split(
-               regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-                   '{line_dedup.UNSEEN}', '', 'g'), '{line_dedup.BREAKS}', chr(10), 'g'), '{line_dedup.TAGS}', '', 'g'),
-               chr(10)), lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')),
-               lambda x: x <> '') AS l
+           nullif(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9.+-]*://([^/?#@]*@)?([^/:?#]+)', 2)), '') AS host,
+           regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+               '<script\b[^<>]*>.*?(</script>|\z)|<style\b[^<>]*>.*?(</style>|\z)|<!--.*?(-->|\z)', '', 'gis'),
+               '</?(html|head|title|body|header|nav|main|article|section|aside|footer|address|div|p|pre|blockquote'
+               || '|ul|ol|li|dl|dt|dd|table|tr|th|td|form|h1|h2|h3|h4|h5|h6|hr|br)\b[^<>]*>', chr(10), 'gi'),
+               '<[^<>]*>', '', 'g') AS t
     FROM pages
+), p AS (
+    SELECT rid, page_id, host, list_filter(list_transform(string_split(t, chr(10)),
+           lambda x: trim(x, E' \t\n\x0b\f\r')), lambda x: x <> '') AS l
+    FROM shown
 ), total AS (
     SELECT host, count(*) AS pages FROM p WHERE host IS NOT NULL GROUP BY host
 ), line AS (
     SELECT rid, host, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM p
 ), often AS (
     SELECT host, x FROM (SELECT DISTINCT rid, host, x FROM line) JOIN total USING (host)
-    WHERE pages >= {line_dedup.LEAST_PAGES}
-    GROUP BY host, x, pages HAVING count(*) > {line_dedup.RATIO}::DOUBLE * pages
+    GROUP BY host, x, pages HAVING count(*) > 0.2::DOUBLE * pages AND count(*) >= 2
 ), kept AS (
     SELECT rid, count(*) AS n, string_agg(x, chr(10) ORDER BY i) AS t
     FROM line ANTI JOIN often USING (host, x) GROUP BY rid

@@ -10,23 +10,33 @@ from galewire.sources.scratch import materialize
 SLICE_ROWS = 1 << 12  # rows a single sort of a ranked group holds, about
 
 
+def _digest(docs: DataFrame) -> Column:
+    """Two hashes of a row's content: equal for rows that are equal in all columns."""
+    # Maps have no hash of their own; a null must not let its neighbours move up.
+    cols = [
+        F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes
+    ]
+    nulls = F.concat_ws("", *[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    return F.struct(*[F.xxhash64(F.lit(seed), nulls, *cols).alias(f"h{seed}") for seed in (1, 2)])
+
+
 def with_row_id(docs: DataFrame) -> DataFrame:
-    """``row`` (a struct of all columns) and ``rid``, unique per row, whatever the rows hold.
+    """``row`` (a struct of all columns), ``digest`` of its content, and ``rid``, unique per row,
+    whatever the rows hold.
 
     A frame read straight from files names each row by file and position. Any other frame is
-    written once, for an id must not change when a lost task runs again.
+    written once, for an id must not change when a lost task runs again. Both change with the place
+    of a row: join by ``rid``, order by ``digest``, with ``rid`` for equal rows only.
     """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    digest = _digest(docs).alias("digest")
     if "_metadata" not in docs.columns:
         try:
-            return docs.select(
-                F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                F.struct("_metadata.file_path", "_metadata.row_index").alias("rid"),
-            )
+            return docs.select(row, digest, F.struct("_metadata.file_path", "_metadata.row_index").alias("rid"))
         except Exception as error:  # noqa: BLE001
             if "UNRESOLVED_COLUMN" not in str(error) and "FIELD_NOT_FOUND" not in str(error):
                 raise
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return materialize(whole.withColumn("rid", F.monotonically_increasing_id()), "rows")
+    return materialize(docs.select(row, digest).withColumn("rid", F.monotonically_increasing_id()), "rows")
 
 
 def order_key(seed: int, *cols: Column) -> Column:

@@ -24,16 +24,16 @@ SEED = 29
 
 
 def interleave(
-    rows: DataFrame, carry: str, source: str, n_shards: int = SHARDS, seed: int = SEED
+    rows: DataFrame, carry: str, source: str, n_shards: int = SHARDS, seed: int = SEED, order_by: str | None = None
 ) -> DataFrame:
     """``carry``, ``shard`` and ``slot`` (from 0 in each shard) for every row.
 
     ``rows`` is read three times: give a written table, narrow, whose ``carry`` tells its rows
-    apart. The random order follows from ``carry`` alone.
+    apart. The random order follows from ``order_by`` (unless given: ``carry``), ties from ``carry``.
     """
     key = F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source)))
     keyed = rows.select(
-        F.col(carry).alias("carry"), key.alias("source_key"), order_key(seed, F.col(carry)).alias("order")
+        F.col(carry).alias("carry"), key.alias("source_key"), order_key(seed, F.col(order_by or carry)).alias("order")
     )
     n = rows.count()
     parts = max(1, math.ceil(n / SLICE_ROWS))
@@ -75,7 +75,9 @@ def write_shards(docs: DataFrame, path: str) -> None:
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS, source: str = "source") -> DataFrame:
     """The input rows with ``shard`` and ``slot``; input columns of these names are replaced."""
     named = with_row_id(docs)
-    rows = materialize(named.select("rid", F.col(f"row.`{source}`").alias("source")), "shard-rows")
-    placed = interleave(rows, "rid", "source", n_shards)
+    # Slots follow from content; equal rows, which only their places tell apart, may trade theirs.
+    place = F.struct("digest", "rid").alias("place")
+    rows = materialize(named.select(place, "digest", F.col(f"row.`{source}`").alias("source")), "shard-rows")
+    placed = interleave(rows, "place", "source", n_shards, order_by="digest")
     kept = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in ("shard", "slot")]
-    return named.join(placed, "rid").select(*kept, "shard", "slot")
+    return named.join(placed.withColumn("rid", F.col("place.rid")), "rid").select(*kept, "shard", "slot")

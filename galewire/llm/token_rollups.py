@@ -2,17 +2,20 @@
 
 A batch of changes (insert, revise, delete) becomes signed rows: the new count of a document with
 +, what the ledger knew of it before with -. Totals by source, language and tokenizer version are
-plain sums of the batches' rollups, so a batch costs what it changes, whatever came before.
+plain sums of the batches' rollups.
 
 A store is a folder: ``ledger`` (signed rows per document), ``rollup`` (their sums) and ``commits``,
 each with a folder for every batch. A batch is numbered; it sees the batches before it only and
 replaces its own folders, and its commit is written last: to commit a batch again, after a failure
-or by mistake, changes nothing.
+or by mistake, changes nothing. The ledger is cut into ``buckets`` by a hash of the id; a commit reads
+the buckets its changes touch, and of these only the touched ids are grouped and summed.
 
 Defined results: a null text counts no tokens; insert and revise both replace what the ledger holds
-of the document; deleting an unknown document does nothing; equal changes repeated in a batch count
-once, different ones of one document all count; documents with a null id are one document; null
-source and language are groups of their own. An empty batch changes nothing.
+of the document before the batch; a batch has no order, so its deletes come first: a document deleted
+and inserted in one batch is there afterwards. Deleting an unknown document does nothing; other ops
+are ignored. Changes equal in id, source, language and text count once in a batch, different ones of
+one document all count, also those whose counts are equal. Documents with a null id are one document;
+null source and language are groups of their own. An empty batch changes nothing.
 """
 
 import base64
@@ -20,9 +23,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from galewire.sources.scratch import materialize
+
+BUCKETS = 64
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published split pattern of this byte-level vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -64,32 +70,38 @@ class Words:
         return len(text.encode("utf-8", "replace").split())
 
 
-KEY = ["doc_id", "source", "lang", "version"]
+KEY = ["doc_id", "source", "lang", "version", "digest"]
+OPS = ("insert", "revise", "delete")
 
 
-def count_tokens(rows: DataFrame, tokenizers: list) -> DataFrame:
-    """``rows`` (doc_id, source, lang, text) with one row per tokenizer version and its count."""
+def count_tokens(changes: DataFrame, tokenizers: list) -> DataFrame:
+    """A row per change and tokenizer version: ``op``, the key columns and ``tokens``; a text travels on
+    as its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column("text")]
             for t in tokenizers:
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("doc_id", "source", "lang")),
+                    [*(batch.column(c) for c in ("op", "doc_id", "source", "lang", "digest")),
                      pa.array([t.version] * len(texts), pa.string()),
                      pa.array([t.count(x) for x in texts], pa.int64())],
-                    names=[*KEY, "tokens"],
+                    names=["op", "doc_id", "source", "lang", "digest", "version", "tokens"],
                 )
 
-    source = rows.select("doc_id", "source", "lang", "text")
-    schema = source.select("doc_id", "source", "lang", F.lit("").alias("version"), F.lit(0).cast("long").alias("tokens")).schema
+    source = changes.filter(F.col("op").isin(*OPS)).select(
+        "op", "doc_id", "source", "lang", F.md5("text").alias("digest"), "text"
+    )
+    schema = source.drop("text").select("*", F.lit("").alias("version"), F.lit(0).cast("long").alias("tokens")).schema
     return source.mapInArrow(run, schema)
 
 
 class TokenLedger:
-    def __init__(self, spark: SparkSession, path: str, tokenizers: list, id_type: str = "bigint"):
-        self.spark, self.path, self.tokenizers = spark, path, tokenizers
-        self.schema = f"doc_id {id_type}, source string, lang string, version string, docs long, tokens long"
+    def __init__(self, spark: SparkSession, path: str, tokenizers: list, id_type: str = "bigint", buckets: int = BUCKETS):
+        self.spark, self.path, self.tokenizers, self.buckets = spark, path, tokenizers, buckets
+        self.schema = (
+            f"doc_id {id_type}, source string, lang string, version string, digest string, docs long, tokens long, bucket int"
+        )
 
     def _read(self, part: str, schema: str, before: int | None = None) -> DataFrame:
         """The committed batches, or those before one."""
@@ -110,21 +122,31 @@ class TokenLedger:
             return []
         return sorted({r["batch"] for r in done.collect()})  # one row per batch
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def known(self, ids: DataFrame, before: int) -> DataFrame:
+        """What the batches before one say of the documents in ``ids`` (doc_id, bucket; both distinct)."""
+        touched = [r["bucket"] for r in ids.select("bucket").distinct().collect()]  # ``buckets`` numbers at most
+        of = ids.select(F.col("doc_id").alias("_id"), F.col("bucket").alias("_bucket"))
+        return (
+            self._read("ledger", self.schema, before=before).filter(F.col("bucket").isin(touched))
+            .join(of, (F.col("bucket") == F.col("_bucket")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+            .groupBy(*KEY, "bucket").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+            .filter("docs <> 0 OR tokens <> 0")
+        )
+
     def commit(self, batch: int, changes: DataFrame) -> None:
         """Apply a numbered batch of changes: doc_id, op, text, source, lang."""
         ledger, rollup = f"{self.path}/ledger/batch={batch}", f"{self.path}/rollup/batch={batch}"
-        fresh = count_tokens(changes.filter("op IN ('insert', 'revise')"), self.tokenizers).distinct()
-        touched = changes.select("doc_id").distinct().withColumnRenamed("doc_id", "_id")
-        known = (
-            self._read("ledger", self.schema, before=batch)
-            .groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-            .filter("docs <> 0 OR tokens <> 0")
+        given = materialize(count_tokens(changes, self.tokenizers).withColumn("bucket", self._bucket()), "token-changes")
+        old = self.known(given.select("doc_id", "bucket").distinct(), batch).select(
+            *KEY, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"), "bucket"
         )
-        old = known.join(touched, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(
-            *KEY, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")
+        new = given.filter("op <> 'delete'").drop("op").distinct().select(
+            *KEY, F.lit(1).cast("long").alias("docs"), "tokens", "bucket"
         )
-        new = fresh.select(*KEY, F.lit(1).cast("long").alias("docs"), "tokens")
-        new.unionByName(old).write.mode("overwrite").parquet(ledger)
+        new.unionByName(old).hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(ledger)
         written = self.spark.read.schema(self.schema).parquet(ledger)
         written.groupBy("source", "lang", "version").agg(
             F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")

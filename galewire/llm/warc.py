@@ -7,21 +7,27 @@ chunked transfer coding; a block above ``segment_bytes`` is cut into a first seg
 a record ends with two line breaks, which is the line separator of the text writer. A file is one
 gzip stream.
 
-Reading: files are parsed record by record by their lengths. Whole responses are decoded at once;
-only segments are shuffled: grouped by origin, put in order of their numbers, checked against the
-total length, joined and decoded. A group is one page's segments. Revisits then look up the record
-they refer to.
+Reading: files are parsed once, record by record by their lengths, and what was found is written.
+Whole responses are decoded at once; only segments are shuffled: grouped by origin, put in order of
+their numbers, checked against the total length, joined and decoded. A group is one page's segments.
+Revisits then look up the record they refer to. An archive is a row of Spark's binary source, so
+2 GB at most, and held uncompressed by its task; archives of this writer have ``RECORDS_PER_FILE``
+records.
 
 Defined results: a null payload is empty; a null url is left out; of rows with one least id and one
 payload, the first by place is the response. ``problem`` says why a record could not be
 reassembled (its payload is then null): a missing segment, a wrong total length, a bad chunk or a
-missing origin; a segment that comes twice counts once. An empty table gives no rows.
+missing origin; a segment that comes twice counts once. Damage costs what it hits: bytes that are no
+record, a record without a usable head and one that is cut off each give a row of type ``damaged``
+whose ``problem`` names it, and reading goes on at the next line that starts a record; so do a broken
+gzip stream, which ends its file, and a foreign file. Records of other types are passed over. An
+empty table gives no rows.
 """
 
 import base64
-import gzip
 import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from galewire.llm.rows import with_row_id
+from galewire.sources.scratch import materialize
 
 SEGMENT_BYTES = 1 << 15
 CHUNK_BYTES = 1 << 12
@@ -128,18 +135,20 @@ def write_archives(
         F.coalesce(F.col(f"row.`{payload}`"), F.lit("")).cast("binary").alias("payload"),
         F.md5(F.to_json(F.struct("rid"))).alias("record"),
         "rid",
-    ).withColumn("_sha", F.sha1("payload"))
-    copies = (
-        named.filter(F.length("payload") >= least_bytes)
-        .groupBy("_sha")
+    )
+    # Digests only: a payload that many pages share, such as an empty one, meets in no task.
+    digests = materialize(
+        named.select("record", "rid", "_null", "_id", F.sha1("payload").alias("_sha"), F.length("payload").alias("_n")),
+        "warc-digests",
+    ).filter(F.col("_n") >= least_bytes)
+    origins = (
+        digests.groupBy("_sha")
         .agg(F.count("*").alias("_n"), F.min(F.struct("_null", "_id", "rid", "record")).alias("_first"))
         .filter("_n > 1")
-        .select("_sha", F.col("_first.record").alias("_origin"))
-    )
-    marked = named.join(copies, "_sha", "left").select(
-        "page_id", "url", "payload", "record",
-        F.when(F.col("_origin") != F.col("record"), F.col("_origin")).alias("refers"),
+        .select("_sha", F.col("_first.record").alias("refers"))
     )
+    again = digests.join(origins, "_sha").filter("refers <> record").select("record", "refers")
+    marked = named.join(again, "record", "left").select("page_id", "url", "payload", "record", "refers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,21 +187,70 @@ def _decoded(block: bytes, with_payload: bool) -> dict:
             "payload": payload if with_payload else None}
 
 
-def _parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    stream: io.BufferedIOBase = io.BytesIO(content)
+class Damaged(ValueError):
+    """Why no record could be read here."""
+
+
+def _one(stream: io.BytesIO, line: bytes) -> tuple[dict[str, str], bytes]:
+    """The record whose first line was read."""
+    fields = {}
+    while (head := stream.readline()) not in (b"\r\n", b"\n", b""):
+        key, _, value = head.decode("utf-8", "replace").partition(":")
+        fields[key.strip().lower()] = value.strip()
+    try:
+        size = int(fields["content-length"])
+        number = fields.get("warc-segment-number")
+        usable = size >= 0 and "warc-type" in fields and "warc-record-id" in fields and (number is None or int(number) > 0)
+        int(fields.get("warc-segment-total-length") or 0)
+    except (KeyError, ValueError):
+        usable = False
+    if not usable:
+        raise Damaged("bad record head")
+    block = stream.read(size)
+    if len(block) < size or stream.read(4) != END.encode():
+        raise Damaged("record cut off")
+    return fields, block
+
+
+def _unzipped(content: bytes) -> tuple[bytes, bool]:
+    """What a file of gzip members holds, as far as it can be read, and whether that is all."""
+    out, inner = [], zlib.decompressobj(31)
+    for k in range(0, len(content), 1 << 16):
+        part = content[k : k + (1 << 16)]
+        while part:
+            if inner.eof:
+                inner = zlib.decompressobj(31)
+            try:
+                out.append(inner.decompress(part))
+            except zlib.error:
+                return b"".join(out), False
+            part = inner.unused_data.lstrip(b"\0") if inner.eof else b""
+    return b"".join(out), inner.eof
+
+
+def _parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes] | str]:
+    """Records, and for each damaged place its problem."""
+    whole = True
     if content[:2] == b"\x1f\x8b":
-        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream), 1 << 20)
+        content, whole = _unzipped(content)
+    stream, lost = io.BytesIO(content), False
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record: {line[:40]!r}")
-        fields = {}
-        while (line := stream.readline()) not in (b"\r\n", b""):
-            key, _, value = line.decode("utf-8", "replace").partition(":")
-            fields[key.strip().lower()] = value.strip()
-        block = stream.read(int(fields["content-length"]))
-        if len(block) < int(fields["content-length"]) or stream.read(4) != b"\r\n\r\n":
-            raise ValueError("a record is cut off")
-        yield fields, block
+            if not lost and line.strip():
+                yield "no WARC record"
+                lost = True
+            continue
+        mark = stream.tell()
+        try:
+            yield _one(stream, line)
+            lost = False
+        except Damaged as why:
+            yield str(why)
+            # The length cannot be trusted: look for a record from the next line on.
+            stream.seek(mark)
+            lost = True
+    if not whole:
+        yield "broken gzip stream"
 
 
 def _bare(urn: str | None) -> str | None:
@@ -214,7 +272,7 @@ def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
-    """One row per response and revisit: ``record``, ``type``, ``page_id``, ``refers``,
+    """One row per response, revisit and damaged place: ``record``, ``type``, ``page_id``, ``refers``,
     ``payload_bytes``, ``payload_digest``, ``payload`` and ``problem``; a revisit's own payload is
     empty."""
 
@@ -222,7 +280,13 @@ def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
         def rows() -> Iterator[dict]:
             for batch in batches:
                 for content in batch.column("content"):
-                    for f, block in _parse(content.as_py()):
+                    for found in _parse(content.as_py()):
+                        if isinstance(found, str):
+                            yield {"type": "damaged", "problem": found}
+                            continue
+                        f, block = found
+                        if f["warc-type"] not in ("response", "revisit", "continuation"):
+                            continue
                         number = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
                         total = f.get("warc-segment-total-length")
                         row = {
@@ -231,8 +295,12 @@ def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
                             "refers": _bare(f.get("warc-refers-to")), "number": number,
                             "total": int(total) if total else None,
                         }
-                        whole = number is None and f["warc-type"] == "response"
-                        yield row | (_decoded(block, with_payload) if whole else {"block": block})
+                        if number is None and f["warc-type"] == "continuation":
+                            yield {"type": "damaged", "problem": "bad record head"}
+                        elif number is None and f["warc-type"] == "response":
+                            yield row | _decoded(block, with_payload)
+                        else:
+                            yield row | {"block": block}
 
         return _batches(rows())
 
@@ -255,7 +323,7 @@ def read_archives(spark, path: str, with_payload: bool = True) -> DataFrame:
         return _batches(rows())
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    parsed = files.mapInArrow(parse, PARSED)
+    parsed = materialize(files.mapInArrow(parse, PARSED), "warc-parsed")
     segments = (
         parsed.filter("number IS NOT NULL")
         .groupBy("record")
@@ -273,7 +341,7 @@ def resolved(records: DataFrame) -> DataFrame:
         F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"),
         F.coalesce("problem", F.lit("")).alias("_problem"),
     )
-    own = records.filter("type = 'response'").withColumn("refers_to", F.lit(None).cast("string"))
+    own = records.filter("type <> 'revisit'").withColumn("refers_to", F.lit(None).cast("string"))
     again = records.filter("type = 'revisit'").join(origin, "refers", "left").select(
         *[c for c in records.columns if c not in ("payload_bytes", "payload_digest", "problem")],
         F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"),

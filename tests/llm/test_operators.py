@@ -1,9 +1,11 @@
 """Operators on odd rows and empty tables, and against plain versions."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -179,9 +181,79 @@ def test_shards_hold_the_mixture(spark, odd, empty):
     assert sharding.shard_documents(empty).collect() == []
 
 
+def test_sharding_query_against_plain(spark):
+    """Ranks, fractions, cuts and slots one by one in Python; only the seeded hash is Spark's."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    struct = F.struct(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
+        F.crc32("text").alias("text_crc32"))
+    keyed = docs.select(struct.alias("d"), "text", "source").withColumn(
+        "key", F.shiftrightunsigned(F.xxhash64(F.lit(sharding.SEED), "d"), 1)).collect()
+    of = defaultdict(list)
+    for r in keyed:
+        of[r.source is None, r.source].append((r.key, r.d.doc_id))
+    spread = []
+    for source, rows in of.items():
+        for rank, (key, i) in enumerate(sorted(rows)):
+            spread.append(((rank + 0.5) / len(rows), source, key, i))
+    n, want, slots = len(spread), {}, Counter()
+    for at, (_, _, _, i) in enumerate(sorted(spread)):
+        shard = at * 16 // n
+        want[i] = (shard, slots[shard])
+        slots[shard] += 1
+    text = {r.d.doc_id: r.text for r in keyed}
+    got = QUERIES["op2_sharding"](spark, FOLDER).collect()
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == want and len(got) == len(keyed)
+    for r in got:
+        raw = text[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "rows", None)
+
+
 # ---------------------------------------------------------------- languages
 
 
+def plain_language_vectors(text, seed=langid.SEED, size=langid.DIMENSIONS, cache={}):
+    """Sum of bound runs of three symbols, letter by letter."""
+    def letter(c):
+        if c not in cache:
+            rng = np.random.default_rng([seed, c])
+            cache[c] = rng.integers(0, 2, size, np.int8).astype(np.int64) * 2 - 1
+        return cache[c]
+
+    symbols = [0]
+    for c in text:
+        low = c.lower() if len(c.lower()) == 1 else c
+        if c.isalpha():
+            symbols.append(ord(low))
+        elif symbols[-1]:
+            symbols.append(0)
+    symbols += [0] if symbols[-1] else []
+    total, seen = np.zeros(size), Counter(zip(symbols, symbols[1:], symbols[2:]))
+    for (a, b, c), n in seen.items():
+        if b:
+            total += n * np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)
+    return total
+
+
+def test_language_query_against_plain(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").collect()
+    vectors = {r.doc_id: plain_language_vectors(r.text) for r in docs}
+    unit = lambda v: v / max(np.linalg.norm(v), 1e-12)
+    known = defaultdict(lambda: np.zeros(langid.DIMENSIONS))
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 5:
+            known[r.lang] += unit(vectors[r.doc_id])
+    got = {r.doc_id: r for r in QUERIES["op4_language_id"](spark, FOLDER).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        cosines = {k: float(unit(v) @ unit(vectors[r.doc_id])) for k, v in known.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        g = got[r.doc_id]
+        assert g.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert g.lang_pred == (best if vectors[r.doc_id].any() else "und")
+        assert g.score == pytest.approx(max(0, cosines[best]), abs=1e-4)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op4_language_id"](spark, "/root/testdata/sf0.01").filter("held_out AND lang_pred <> 'und'")
@@ -247,6 +319,47 @@ def test_broken_segments_are_named(spark):
         warc.unchunked(b"3\r\nabcX\r\n0\r\n\r\n")
 
 
+def test_archive_query_against_plain(spark):
+    pages = [(r.page_id, (r.html or "").encode()) for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()]
+    first = {}
+    for i, raw in sorted(pages):
+        first.setdefault(raw, i)
+    want = {}
+    for i, raw in pages:
+        digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        again = first[raw] != i
+        want[i] = (len(raw), digest, "revisit" if again else "response", first[raw] if again else None, None)
+    got = QUERIES["op6_warc"](spark, FOLDER).collect()
+    assert {r.page_id: tuple(r)[1:] for r in got} == want and len(got) == len(pages)
+
+
+def test_damage_is_named_and_costs_itself(spark, tmp_path):
+    page = lambda k: {"record": f"r{k}", "page_id": str(k), "url": None, "refers": None, "payload": b"p%d" % k}
+    good = [next(warc.records(page(k), 1 << 15)) + b"\r\n\r\n" for k in range(4)]
+    no_type = good[1].replace(b"WARC-Type: response\r\n", b"")
+    wrong = good[1].replace(b"Content-Length: ", b"Content-Length: 9")
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:i>\r\nContent-Length: 1\r\n\r\nx\r\n\r\n"
+    files = {
+        "cut": (good[0] + good[1][:-9], ["record cut off"], "0"),
+        "wrong": (good[0] + wrong + good[2], ["record cut off"], "02"),
+        "garbled": (good[0] + b"\x00\xff junk\r\nmore junk\r\n" + good[2], ["no WARC record"], "02"),
+        "head": (good[0] + no_type + good[2], ["bad record head"], "02"),
+        "number": (good[0].replace(b"Content-Length", b"WARC-Segment-Number: x\r\nContent-Length") + good[3], ["bad record head"], "3"),
+        "foreign": (b"PK\x03\x04 not an archive\n\nat all", ["no WARC record"], ""),
+        "other": (info + good[3], [], "3"),
+        "zipped": (gzip.compress(b"".join(good)), [], "0123"),
+        "torn": (gzip.compress(b"".join(good) + bytes(random.Random(1).randbytes(5000)))[:-2000], None, "0123"),
+        "empty": (b"", [], ""),
+    }
+    for name, (content, problems, pages) in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc").write_bytes(content)
+        got = warc.resolved(warc.read_archives(spark, str(tmp_path / name))).collect()
+        found = [r.problem for r in got if r.type == "damaged"]
+        assert (found == problems) if problems is not None else "broken gzip stream" in found, name
+        assert "".join(sorted(r.page_id for r in got if r.type == "response" and r.problem is None)) == pages, name
+
+
 # ---------------------------------------------------------------- decontamination
 
 
@@ -302,13 +415,25 @@ def test_site_lines(spark):
     df = spark.createDataFrame([(*p, 1, "x") for p in pages], "page_id long, url string, text string, host int, lines string")
     out = line_dedup.drop_site_lines(df, line_dedup.url_host(F.col("url")), line_dedup.text_lines(F.col("text")), ratio=0.6)
     got = {r.row.page_id: (r.host_pages, r.kept_lines) for r in out.collect()}
-    assert got[3] == (11, ["own 3", "footer 1"]) and got[20] == (4, ["menu"])
+    assert got[3] == (11, ["own 3", "footer 1"]) and got[20] == (4, [])
     assert got[30] == (0, ["menu"]) and got[31] == (11, []) and len(got) == len(pages)
     assert line_dedup.drop_site_lines(df.limit(0), F.col("url"), line_dedup.text_lines(F.col("text"))).collect() == []
 
 
-def test_query_drops_lines(spark):
-    assert QUERIES["op3_line_dedup"](spark, "/root/testdata/check_h").agg(F.sum("n_dropped")).first()[0] > 0
+def test_query_drops_lines(spark, tmp_path):
+    """Made pages with known lines, hosts of all sizes, through the query."""
+    head = "<html><head><title>Shop</title><style>\nx{}</style></head><body><nav>Home | About</nav>"
+    pages = [(k, "https://U:p@Big.org:8/a", f"{head}<p>Text <b>number</b> {k}</p><!-- no\nline --><div>(c) Big</div>") for k in range(20)]
+    pages += [(30, "http://two.org/", "<p>Menu</p><p>one</p>"), (31, "http://two.org/x", "<li> Menu\t</li>two")]
+    pages += [(40, "http://one.org/", "<p>Menu</p><p>Menu</p>"), (41, None, "<p>Menu"), (42, "http://big.org/", None)]
+    pages += [(43, "http://big.org/y", "<script>" + "<b>x\n" * 20000 + "<style>tail")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.host, r.host_pages, r.n_lines, r.n_dropped, r.kept_md5) for r in QUERIES["op3_line_dedup"](spark, str(tmp_path)).collect()}
+    md5 = lambda *lines: hashlib.md5("\n".join(lines).encode()).hexdigest()
+    assert got[7] == ("big.org", 22, 4, 3, md5("Text number 7"))
+    assert got[30] == ("two.org", 2, 2, 1, md5("one")) and got[31] == ("two.org", 2, 2, 1, md5("two"))
+    assert got[40] == ("one.org", 1, 2, 0, md5("Menu", "Menu")) and got[41] == (None, 0, 1, 0, md5("Menu"))
+    assert got[42] == ("big.org", 22, 0, 0, md5()) and len(got) == len(pages)
 
 
 def test_rollups_replay_and_revise(spark, odd):
@@ -328,11 +453,33 @@ def test_rollups_replay_and_revise(spark, odd):
     assert totals() == {("t", "en"): (1, 4), ("s", None): (1, 0), (None, "fr"): (1, 1)}
     ledger.commit(3, first.limit(0))
     assert len(totals()) == 3
+    # Texts of equal counts, and documents without an id, are told apart; equal changes are not.
+    ledger.commit(4, change((6, "insert", "a b", "z", "en"), (6, "insert", "c d", "z", "en"), (6, "insert", "c d", "z", "en"),
+                            (None, "insert", "e f", "z", "en"), (None, "insert", "g h", "z", "en")))
+    assert totals()["z", "en"] == (4, 8) and (None, "fr") not in totals()
+    # Deletes of a batch come first; other ops are no changes.
+    ledger.commit(5, change((6, "insert", "x", "z", "en"), (6, "delete", None, None, None), (1, "upsert", "n", "n", "n")))
+    assert totals() == {("t", "en"): (1, 4), ("s", None): (1, 0), ("z", "en"): (3, 5)}
     whole = token_rollups.TokenLedger(spark, scratch_path(spark, "test-tokens"), [token_rollups.ByteBpe.load("b")])
     whole.commit(1, odd.select("doc_id", F.lit("insert").alias("op"), "text", "source", "lang"))
     assert whole.totals().agg(F.sum("n_docs")).first()[0] == len(ROWS) - 1
 
 
+def test_commit_reads_touched_buckets_only(spark):
+    ledger = token_rollups.TokenLedger(spark, scratch_path(spark, "test-tokens"), [token_rollups.Words("w")])
+    rows = spark.range(500).select(
+        F.col("id").alias("doc_id"), F.lit("insert").alias("op"), F.lit("a b").alias("text"),
+        F.lit("s").alias("source"), F.lit("en").alias("lang"))
+    ledger.commit(1, rows)
+    ids = rows.filter("doc_id IN (3, 400)").select("doc_id", ledger._bucket()).distinct()
+    known = ledger.known(ids, 2)
+    assert sorted(r.doc_id for r in known.collect()) == [3, 400]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = known._jdf.queryExecution().optimizedPlan().toString()
+    assert read.index("Join LeftSemi") > read.index("Aggregate")
+
+
 def test_query_totals_against_plain_counts(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
     seen, want = set(), Counter()
@@ -359,6 +506,18 @@ def test_stages_take_odd_rows_and_empty_tables(spark, odd, empty):
             out.collect()
 
 
+def test_pipeline_repeats(spark, tmp_path):
+    """Two runs, and a run over the same rows in other files and another order, give the same rows."""
+    rows = lambda folder: sorted(
+        (r.doc_id, r.text, r.source, r.shard, r.slot) for r in corpus_pipeline.run(spark, folder).collect())
+    once = rows(FOLDER)
+    assert len({(r[3], r[4]) for r in once}) == len(once)
+    spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(7, F.rand(5)).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert rows(str(tmp_path)) == once
+    assert rows(FOLDER) == once
+
+
 def test_pipeline_against_plain_stages(spark):
     """Rules, dedup and decontamination judged one by one in Python over the whole table."""
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
