@@ -7,11 +7,10 @@ all shards exactly. A shard is a set of chunks of coded text; its mining is a gr
 not the work of one task, so the support is lowered by the number of shards, whatever the size.
 
 Mining goes by length: a phrase is looked at only where the two phrases it is made of by leaving out
-its last or first word are candidates themselves. A candidate's bound is what shards reported of it
-plus, for the others, one less than their local support; phrases whose bound is below ``least`` are
-not united. Between the levels candidates travel as 64-bit hashes in a bit table of at most
-``TABLE_BITS`` bits (16 MB), the only thing that is broadcast: a full table lets more phrases
-through, none is lost. The last pass counts the phrases themselves, so hashes decide nothing.
+its last or first word were frequent themselves. Between the levels frequent phrases travel as 64-bit
+hashes in a Bloom filter of at most ``TABLE_BITS`` bits (16 MB), the only thing that is broadcast: a
+full filter lets more phrases through, none is lost. The last pass counts the phrases themselves, so
+hashes decide nothing.
 
 Texts are split into words once and written as word numbers of a chunk with its word list; the
 passes read these. A chunk has about ``CHUNK_WORDS`` words and rows leave it pre-aggregated.
@@ -40,6 +39,7 @@ LONGEST = 4
 SHARDS = 10
 CHUNK_WORDS = 1 << 22
 TABLE_BITS = 1 << 27
+PROBES, STEP = 4, 12
 CLOSED_PERCENT = 80
 SCORE_UNIT = 2_000_000
 TOP = 2000
@@ -131,27 +131,37 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Bits:
-    """A set of hashes by their highest bits: holds all that were put in, and maybe others."""
+    """A Bloom filter of hashes: has all that were put in, and a few others. The places of a hash are
+    ``PROBES`` runs of its own bits, ``size`` bits long and ``STEP`` apart."""
 
-    shift: int
+    size: int
     words: np.ndarray
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        at = keys >> np.uint64(self.shift)
-        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        left = np.arange(len(keys))
+        for probe in range(PROBES):
+            at = (keys[left] >> np.uint64(probe * STEP)) & np.uint64((1 << self.size) - 1)
+            bit = self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))
+            left = left[bit & np.uint64(1) == 1]
+        found = np.zeros(len(keys), bool)
+        found[left] = True
+        return found
 
 
 def bit_table(keys: DataFrame) -> Bits:
-    """The bits of a written table of hashes ``key``; about eight for each, ``TABLE_BITS`` at most."""
+    """The filter of a written table of hashes ``key``; 16 bits or more for each, up to ``TABLE_BITS``."""
     n = keys.count()
-    size = max(10, min(int(math.log2(TABLE_BITS)), math.ceil(math.log2(8 * max(n, 1)))))
-    at = F.shiftrightunsigned("key", 64 - size)
+    size = max(10, min(int(math.log2(TABLE_BITS)), math.ceil(math.log2(16 * max(n, 1)))))
+    mask = F.lit((1 << size) - 1)
+    places = F.array(*[F.shiftrightunsigned("key", p * STEP).bitwiseAND(mask) for p in range(PROBES)])
     one = F.expr("shiftleft(1L, CAST(_at & 63 AS INT))")
-    packed = keys.select(at.alias("_at")).groupBy(F.shiftright("_at", 6).alias("at")).agg(F.bit_or(one).alias("bits"))
+    packed = keys.select(F.explode(places).alias("_at")).groupBy(F.shiftright("_at", 6).alias("at")).agg(
+        F.bit_or(one).alias("bits")
+    )
     words = np.zeros(1 << (size - 6), np.uint64)
     found = packed.toArrow()  # at most TABLE_BITS / 64 rows
     words[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return Bits(64 - size, words)
+    return Bits(size, words)
 
 
 class Chunk:
@@ -225,23 +235,21 @@ class Mined:
 
 
 def local_supports(sizes: DataFrame, least: int) -> DataFrame:
-    """lang, shard, support, slack: the local support of a shard, and what all shards of the language
-    may hold of a phrase that none of them reports."""
-    own = Window.partitionBy("lang")
-    total = F.sum("n_words").over(own)
+    """lang, shard, support: the share of ``least`` that a shard has of its language, rounded up."""
+    total = F.sum("n_words").over(Window.partitionBy("lang"))
     support = F.greatest(F.lit(1), F.ceil(F.lit(least) * F.col("n_words") / total)).cast("long")
-    return sizes.withColumn("support", support).select(
-        "lang", "shard", "support", F.sum(F.col("support") - 1).over(own).alias("slack")
-    )
+    return sizes.select("lang", "shard", support.alias("support"))
 
 
 def united(reported: DataFrame, supports: DataFrame, least: int) -> DataFrame:
-    """``key`` of the phrases that are frequent in a shard and may be so in all, from rows (shard,
-    lang, key, n) of chunks. One exchange: a key's shards lie together."""
+    """``key`` of the phrases that are frequent in a shard, and in all shards together, from rows
+    (shard, lang, key, n) of chunks. One exchange: what all shards hold of a phrase lies together."""
     per_shard = reported.repartition("key").groupBy("key", "lang", "shard").agg(F.sum("n").alias("n"))
-    frequent = per_shard.join(supports, ["lang", "shard"]).filter("n >= support")
-    bound = F.sum(F.col("n") - F.col("support") + 1) + F.first("slack")
-    return frequent.groupBy("key", "lang").agg(bound.alias("bound")).filter(F.col("bound") >= least).select("key")
+    return (
+        per_shard.join(supports, ["lang", "shard"])
+        .groupBy("key", "lang").agg(F.max(F.col("n") >= F.col("support")).alias("local"), F.sum("n").alias("n"))
+        .filter("local").filter(F.col("n") >= least).select("key")
+    )
 
 
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST) -> Mined:
