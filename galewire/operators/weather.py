@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from galewire.functions.geo import cells_within, grid_column, grid_row, haversine_km
 from galewire.functions.text import stable_round
 from galewire.functions.times import iso_seconds, parse_timestamp
+from galewire.operators.asof import SLICE, as_of, sliced
 from galewire.operators.joins import lookup_join
+from galewire.schemas import OBSERVED_ON
+from galewire.sources.scratch import materialize
 
 MAX_DISTANCE_KM = 50.0
 # Search radius and grid cell of each pass: near stations first, then the full radius.
@@ -24,7 +27,8 @@ MEASURES = {
     "AWND": "wind_speed_ms",
 }
 UNIT_DIVISOR = 10.0
-SECOND, MINUTE = 1_000_000, 60_000_000  # in microseconds
+DAY = 86_400_000_000  # in microseconds
+SLICE_MICROS = DAY // 96  # a quarter of an hour
 
 WEATHER_COLUMNS = [
     "weather_station_id", "weather_station_name", "weather_station_distance_km",
@@ -127,32 +131,63 @@ def window_days(created_at: Column) -> tuple[Column, Column]:
 
 def observations_between(observations: DataFrame, first: date, last: date) -> DataFrame:
     """Observations that can matter to posts written between two UTC dates. The condition is on
-    the ISO text, so it reaches the Parquet scan; one more day on each side covers offsets."""
+    the ISO text, so it reaches the Parquet scan; one more day on each side covers offsets. A store
+    cut by date has it on the folders, too."""
     low, high = first - timedelta(days=2), last + timedelta(days=3)
     stamp = F.col("timestamp")
-    return observations.where((stamp >= low.isoformat()) & (stamp < high.isoformat()))
+    bounded = observations.where((stamp >= low.isoformat()) & (stamp < high.isoformat()))
+    if OBSERVED_ON in observations.columns:
+        bounded = bounded.where(F.col(OBSERVED_ON).between(first - timedelta(days=1), last + timedelta(days=1)))
+    return bounded
 
 
-def observation_windows(observations: DataFrame) -> DataFrame:
-    """Weather per station and post window, made once instead of once per post.
+def timed(observations: DataFrame) -> DataFrame:
+    """Observations with a value, a station and a readable time, as ``at`` in microseconds."""
+    return observations.where(F.col("value").isNotNull() & F.col("station_id").isNotNull()).withColumn(
+        "at", F.unix_micros(parse_timestamp(F.col("timestamp")))
+    ).where(F.col("at").isNotNull())
 
-    A window is one whole UTC day or two consecutive ones, because the source answers by date.
-    Maximum, minimum, sum and count all combine, so minutes and days are rolled up first (with partial
-    aggregation) and then joined into the windows. Sums are decimal: order cannot change them.
-    ``times`` holds the first and last observation time of each minute of a station and window, in
-    microseconds: at most 2880 a day, however many observations there are.
+
+def needed_days(posts: DataFrame) -> DataFrame:
+    """Each (station_id, day) that a post (station_id, created_at) looks at, once."""
+    first, last = window_days(F.col("created_at"))
+    return (
+        posts.where(F.col("station_id").isNotNull())
+        .select("station_id", F.explode(F.array_distinct(F.array(first, last))).alias("day"))
+        .where(F.col("day").isNotNull())
+        .distinct()
+    )
+
+
+def observations_needed(observations: DataFrame, needed: DataFrame) -> DataFrame:
+    """The observations of the needed (station_id, day).
+
+    A store cut by ``obs_date`` is pruned at run time: the days that are needed, few as days are, are
+    broadcast, and the scan opens the folders of these days only. Stations are met by a semi-join.
+    """
+    if OBSERVED_ON in observations.columns:
+        days = F.broadcast(needed.groupBy(F.col("day").alias("_day")).agg(F.count("*").alias("_n")).where("_n > 0"))
+        of_days = observations.join(days, F.col(OBSERVED_ON) == F.col("_day"), "left_semi")
+        on = (F.col("o.station_id") == F.col("n.station_id")) & (F.col(f"o.{OBSERVED_ON}") == F.col("n.day"))
+        return of_days.alias("o").join(needed.alias("n"), on, "left_semi")
+    day = F.to_date(parse_timestamp(F.col("o.timestamp")))
+    on = (F.col("o.station_id") == F.col("n.station_id")) & (day == F.col("n.day"))
+    return observations.alias("o").join(needed.alias("n"), on, "left_semi")
+
+
+def observation_slices(observations: DataFrame) -> DataFrame:
+    """One row per station and occupied time slice: sums of the measures, first and last time.
+
+    Maximum, minimum, sum and count all combine; sums are decimal, so order cannot change them.
     """
-    at = parse_timestamp(F.col("timestamp"))
-    micros = F.unix_micros("_at")
     exact = F.col("value").cast("decimal(18,6)")
 
     def of(code: str) -> Column:
         return F.when(F.col("datatype") == code, exact)
 
-    minutes = (
-        observations.where(F.col("value").isNotNull())
-        .withColumn("_at", at)
-        .groupBy("station_id", F.to_date("_at").alias("day"), F.floor(micros / MINUTE).alias("_minute"))
+    return (
+        sliced(timed(observations), "at", SLICE_MICROS)
+        .groupBy("station_id", SLICE)
         .agg(
             F.max(of("TMAX")).alias("tmax"),
             F.min(of("TMIN")).alias("tmin"),
@@ -160,37 +195,37 @@ def observation_windows(observations: DataFrame) -> DataFrame:
             F.sum(of("AWND")).alias("wind"),
             F.count(of("AWND")).alias("wind_n"),
             F.count(F.lit(1)).alias("n_obs"),
-            F.array_distinct(F.array(F.min(micros), F.max(micros))).alias("times"),
+            F.min("at").alias("first_at"),
+            F.max("at").alias("last_at"),
         )
-        .where(F.col("day").isNotNull())
     )
-    days = minutes.groupBy("station_id", "day").agg(
-        F.max("tmax").alias("tmax"),
-        F.min("tmin").alias("tmin"),
-        F.sum("prcp").alias("prcp"),
-        F.sum("wind").alias("wind"),
-        F.sum("wind_n").alias("wind_n"),
-        F.sum("n_obs").alias("n_obs"),
-        F.flatten(F.collect_list("times")).alias("times"),
-    )
-    day = F.col("day")
-    spans = F.array(
-        F.struct(day.alias("first_day"), day.alias("last_day")),
-        F.struct(day.alias("first_day"), F.date_add(day, 1).alias("last_day")),
-        F.struct(F.date_sub(day, 1).alias("first_day"), day.alias("last_day")),
-    )
-    return (
-        days.withColumn("_span", F.explode(spans))
-        .groupBy("station_id", "_span.first_day", "_span.last_day")
-        .agg(
+
+
+def observation_windows(slices: DataFrame) -> DataFrame:
+    """Weather per station and post window, made once instead of once per post.
+
+    A window is one whole UTC day or two consecutive ones, because the source answers by date.
+    """
+    def summed(rows: DataFrame, *keys: Column | str) -> DataFrame:
+        return rows.groupBy(*keys).agg(
             F.max("tmax").alias("tmax"),
             F.min("tmin").alias("tmin"),
             F.sum("prcp").alias("prcp"),
             F.sum("wind").alias("wind"),
             F.sum("wind_n").alias("wind_n"),
             F.sum("n_obs").alias("n_obs"),
-            F.flatten(F.collect_list("times")).alias("times"),
         )
+
+    number = F.floor(F.col(SLICE) / (DAY // SLICE_MICROS)).cast("int")
+    days = summed(slices, "station_id", F.date_add(F.lit(date(1970, 1, 1)), number).alias("day"))
+    day = F.col("day")
+    spans = F.array(
+        F.struct(day.alias("first_day"), day.alias("last_day")),
+        F.struct(day.alias("first_day"), F.date_add(day, 1).alias("last_day")),
+        F.struct(F.date_sub(day, 1).alias("first_day"), day.alias("last_day")),
+    )
+    return summed(
+        days.withColumn("_span", F.explode(spans)), "station_id", "_span.first_day", "_span.last_day"
     )
 
 
@@ -212,72 +247,40 @@ def rollup_columns(divisor: float = UNIT_DIVISOR) -> dict[str, Column]:
     }
 
 
-def closest_time(times: Column, created_at: Column) -> Column:
-    """``{diff, at}``: distance and time of the nearest observation, both in microseconds; the
-    earlier one wins a tie."""
-    post = F.unix_micros(created_at)
-    return F.array_min(
-        F.transform(
-            times, lambda t: F.struct(F.abs(t - post).alias("diff"), t.alias("at"))
-        )
-    )
+def closest(before: Column, after: Column, post: Column, first: Column, last: Column) -> Column:
+    """``{diff, at}``: distance and time of the nearest observation, all in microseconds, between two
+    moments, the last excluded; the earlier one wins a tie."""
+    def candidate(at: Column) -> Column:
+        return F.when((at >= first) & (at < last), F.struct(F.abs(at - post).alias("diff"), at.alias("at")))
 
+    return F.least(candidate(before), candidate(after))
 
-def nearest_in_minute(posts: DataFrame, observations: DataFrame) -> DataFrame:
-    """``_near``: of the observation times in the minute of each distinct (station_id, created_at),
-    the nearest one in microseconds.
-
-    What lies outside a post's minute is nearest at the ends of a minute, which its window has. Within
-    the minute the ends of its seconds are looked up (at most 120), and only a post's own second is
-    met time by time, by an equality join that is reduced in the task that makes it.
-    """
-    micros = F.unix_micros(parse_timestamp(F.col("timestamp")))
-    seen = (
-        observations.where(F.col("value").isNotNull())
-        .select("station_id", micros.alias("at"))
-        .where(F.col("station_id").isNotNull() & F.col("at").isNotNull())
-        .withColumn("_second", F.floor(F.col("at") / SECOND))
-    )
-    ends = (
-        seen.groupBy("station_id", "_second")
-        .agg(F.min("at").alias("_first"), F.max("at").alias("_last"))
-        .groupBy("station_id", F.floor(F.col("_second") / 60).alias("_minute"))
-        .agg(F.flatten(F.collect_list(F.array("_first", "_last"))).alias("_ends"))
-    )
-    post = F.unix_micros("created_at")
-    keys = (
-        posts.where(F.col("station_id").isNotNull() & F.col("created_at").isNotNull())
-        .select("station_id", "created_at")
-        .distinct()
-        .withColumns({"_second": F.floor(post / SECOND), "_minute": F.floor(post / MINUTE)})
-    )
-    around = keys.join(ends, ["station_id", "_minute"]).select(
-        "station_id", "created_at", closest_time(F.col("_ends"), F.col("created_at")).alias("_c")
-    )
-    within = keys.join(seen.distinct(), ["station_id", "_second"]).select(
-        "station_id", "created_at", F.struct(F.abs(F.col("at") - post).alias("diff"), "at").alias("_c")
-    )
-    return (
-        around.unionByName(within)
-        .groupBy("station_id", "created_at")
-        .agg(F.min("_c").alias("_c"))
-        .select("station_id", "created_at", F.col("_c.at").alias("_near"))
-    )
 
+def join_observations(df: DataFrame, observations: DataFrame, slot: str | None = None) -> DataFrame:
+    """Adds the sums of their window and ``closest`` to posts that have ``station_id`` and ``created_at``.
 
-def join_observations(df: DataFrame, observations: DataFrame) -> DataFrame:
-    """Adds the window columns to posts that have ``station_id`` and ``created_at``; ``times`` then
-    holds the ends of minutes and the nearest time in the post's own minute."""
+    Both are looked up once per distinct station and moment; ``slot`` names a place of the
+    intermediate tables to be used again.
+    """
+    station_and_time = F.col("station_id").isNotNull() & F.col("created_at").isNotNull()
     first_day, last_day = window_days(F.col("created_at"))
-    keyed = df.withColumns({"first_day": first_day, "last_day": last_day})
-    windows = observation_windows(observations)
-    found = lookup_join(keyed, windows, ["station_id", "first_day", "last_day"], spread="tweet_id")
-    near = nearest_in_minute(df, observations)
-    own = F.when(F.col("_near").isNull(), F.col("times")).otherwise(F.array_append("times", F.col("_near")))
-    return (
-        lookup_join(found, near, ["station_id", "created_at"], spread="tweet_id")
-        .withColumn("times", own).drop("_near")
+    asked = materialize(
+        df.where(station_and_time).select("station_id", "created_at").distinct()
+        .withColumns({"at": F.unix_micros("created_at"), "first_day": first_day, "last_day": last_day}),
+        "asked", slot,
+    )
+    needed = observations_needed(observations, needed_days(asked))
+    slices = materialize(observation_slices(needed), "slices", slot)
+    moments = as_of(asked, timed(needed), ["station_id"], "at", SLICE_MICROS, slices)
+    start = F.unix_micros(F.col("first_day").cast("timestamp"))
+    end = F.unix_micros(F.date_add("last_day", 1).cast("timestamp"))
+    found = (
+        asked.join(observation_windows(slices), ["station_id", "first_day", "last_day"])
+        .join(moments, ["station_id", "at"])
+        .withColumn("closest", closest(F.col("before"), F.col("after"), F.col("at"), start, end))
+        .drop("before", "after", "at", "first_day", "last_day")
     )
+    return lookup_join(df, found, ["station_id", "created_at"], spread="tweet_id")
 
 
 # ---------------------------------------------------------------- classes
@@ -314,9 +317,10 @@ def enrich_weather(
     observations: DataFrame,
     divisor: float = UNIT_DIVISOR,
     dataset_id: str | None = None,
+    slot: str | None = None,
 ) -> DataFrame:
     """Weather columns for posts with tweet_id, created_at, geo_lat, geo_lon, geo_confidence;
-    with ``dataset_id`` from the stations of that dataset only."""
+    with ``dataset_id`` from the stations of that dataset only. ``slot`` as in ``join_observations``."""
     usable = (F.col("geo_confidence") != "unavailable") & F.col("created_at").isNotNull()
     located = df.withColumns(
         {"lat": F.when(usable, F.col("geo_lat")), "lon": F.when(usable, F.col("geo_lon"))}
@@ -325,23 +329,21 @@ def enrich_weather(
     nearest = nearest_station(points, stations, dataset_id=dataset_id).select(
         "lat", "lon", "station_id", "station_name", "distance_km"
     )
-    placed = lookup_join(located, nearest, ["lat", "lon"], spread="tweet_id")
-    found = join_observations(placed, observations).withColumn(
-        "_closest", closest_time(F.col("times"), F.col("created_at"))
-    )
+    placed = materialize(lookup_join(located, nearest, ["lat", "lon"], spread="tweet_id"), "placed", slot)
+    found = join_observations(placed, observations, slot)
     station, observed = F.col("station_id").isNotNull(), F.col("n_obs").isNotNull()
     rolled = found.withColumns(rollup_columns(divisor))
     event = weather_event(
         F.col("weather_precip_mm"), F.col("weather_wind_speed_ms"), F.col("weather_temp_max_c")
     )
-    quality = match_quality(F.col("distance_km"), F.col("_closest.diff") / 60e6)
+    quality = match_quality(F.col("distance_km"), F.col("closest.diff") / 60e6)
     return rolled.withColumns(
         {
             "weather_station_id": F.col("station_id"),
             "weather_station_name": F.col("station_name"),
             "weather_station_distance_km": F.col("distance_km"),
             "weather_event_type": F.when(observed, event),
-            "weather_observation_time": iso_seconds(F.timestamp_micros("_closest.at")),
+            "weather_observation_time": iso_seconds(F.timestamp_micros("closest.at")),
             "noaa_match_quality": F.when(~station, "no_geolocation")
             .when(~observed, "no_observations")
             .otherwise(quality),

@@ -79,7 +79,7 @@ def add_weather(posts: DataFrame, refs: References, slot: str | None = None) ->
     """
     located = materialize(locate_posts(posts, refs), "located", slot)
     weather = enrich_weather(
-        located, refs.stations, refs.observations, dataset_id=refs.dataset_id
+        located, refs.stations, refs.observations, dataset_id=refs.dataset_id, slot=slot
     )
     return posts.join(weather.drop("created_at", "processing_stage"), "tweet_id", "left")
 
@@ -115,10 +115,14 @@ def store(
     models: TextModels | None = None,
     processing_date: str | None = None,
     only_topic: bool = False,
+    mode: str = "overwrite",
 ) -> DataFrame:
     """Run the chain and write its three outputs under ``out``: the processed table, the raw JSON
     of the posts in it, and the rejected records with their reasons, each by processing date.
 
+    A second run of one date replaces what the first wrote on it; other dates stay. With mode
+    ``append`` it is added, for a date that is filled by several runs on different posts.
+
     Raw JSON skips the chain: it is taken from the raw posts that the written table names (of
     those that share an id, the one written at its time with its text). Returns the written table.
     """
@@ -127,7 +131,7 @@ def store(
     processed = materialize(
         to_processed(run(good, refs, models, only_topic), processing_date), "processed"
     )
-    write_processed(processed, f"{out}/processed")
+    write_processed(processed, f"{out}/processed", mode)
     named = processed.select("tweet_id", "created_at", F.md5("text_original").alias("_text"))
     again = flatten_posts(good).select(
         "tweet_id", parse_timestamp(F.col("created_at")).alias("created_at"),
@@ -135,6 +139,6 @@ def store(
     )
     kept = again.join(named, ["tweet_id", "created_at", "_text"], "left_semi")
     once = kept.groupBy("tweet_id", "created_at").agg(F.min("raw_json").alias("raw_json"))
-    write_raw_json(once.withColumn(PARTITION, today(processing_date)), f"{out}/raw")
-    write_raw_json(chain_rejects(raw).withColumn(PARTITION, today(processing_date)), f"{out}/rejects")
+    write_raw_json(once.withColumn(PARTITION, today(processing_date)), f"{out}/raw", mode)
+    write_raw_json(chain_rejects(raw).withColumn(PARTITION, today(processing_date)), f"{out}/rejects", mode)
     return scan_processed(spark, f"{out}/processed")

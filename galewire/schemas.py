@@ -24,6 +24,9 @@ OBSERVATION = """
     station_id string, timestamp string, datatype string, value double, attributes string
 """
 
+# The date by which a store of observations is cut.
+OBSERVED_ON = "obs_date"
+
 GAZETTEER = "location_key string, lat double, lon double"
 
 LEXICON = "token string, weight double"

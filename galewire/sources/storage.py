@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galewire.functions.times import parse_timestamp
 from galewire.operators.filters import is_quality_row
-from galewire.schemas import ANALYTICS_COLUMNS, PROCESSED
+from galewire.schemas import ANALYTICS_COLUMNS, OBSERVATION, OBSERVED_ON, PROCESSED
 
 PARTITION = "processing_date"
 # A stream's tables are cut by date and, so that a batch can be written again, by batch.
@@ -34,22 +35,41 @@ def to_processed(df: DataFrame, processing_date: str | None = None, source: str
     return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
+def _by_date(df: DataFrame, mode: str, column: str = PARTITION):
+    """A writer by date. ``overwrite`` replaces the dates that the rows hold and leaves the others, so
+    a run that is repeated leaves one copy; ``append`` adds to them."""
+    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(column)
+
+
 def write_processed(
-    df: DataFrame, path: str, mode: str = "append", many_dates: bool = False
+    df: DataFrame, path: str, mode: str = "overwrite", many_dates: bool = False
 ) -> None:
-    """Date-partitioned Parquet.
+    """Date-partitioned Parquet; the dates written are replaced.
 
     A run normally carries one date and is written as it is. Rows of many dates are rebalanced
     first, at the price of a shuffle: large dates are split over several tasks, small ones end up
     in one file, instead of one file per task and date.
     """
     rows = df.hint("rebalance", PARTITION) if many_dates else df
-    rows.write.mode(mode).partitionBy(PARTITION).option("compression", "snappy").parquet(path)
+    _by_date(rows, mode).option("compression", "snappy").parquet(path)
+
+
+def write_raw_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSON line per record and date, for audit; the dates written are replaced."""
+    _by_date(df, mode).json(path)
+
+
+def write_observations(observations: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A store of observations cut by their UTC date, sorted by station inside, so that a read of some
+    days opens their folders only and a read of some stations skips row groups. The dates written are
+    replaced; times that cannot be read have no date."""
+    dated = observations.withColumn(OBSERVED_ON, F.to_date(parse_timestamp(F.col("timestamp"))))
+    rows = dated.hint("rebalance", OBSERVED_ON).sortWithinPartitions(OBSERVED_ON, "station_id")
+    _by_date(rows, mode, OBSERVED_ON).parquet(path)
 
 
-def write_raw_json(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One JSON line per record and date, for audit."""
-    df.write.mode(mode).partitionBy(PARTITION).json(path)
+def scan_observations(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{OBSERVATION}, {OBSERVED_ON} date").parquet(path)
 
 
 def batch_folder(path: str, day: str, batch_id: int) -> str:

@@ -695,6 +695,13 @@ DETAIL = {
             CASE WHEN datatype = 'PRCP' THEN value / 10 END AS precipitation_mm,
             CASE WHEN datatype = 'AWND' THEN value / 10 END AS wind_speed_ms,
             CASE WHEN datatype = 'SNOW' THEN value END AS snowfall_mm FROM observations""",
+    "observations_needed": """
+        SELECT station_id, strftime(obs_at, '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", datatype, value
+        FROM observations o WHERE EXISTS (
+            SELECT 1 FROM stationed s WHERE s.station_id = o.station_id
+                AND s.created_at >= TIMESTAMP '2024-01-08' AND s.created_at < TIMESTAMP '2024-01-15'
+                AND CAST(o.obs_at AS DATE) BETWEEN CAST(s.created_at - INTERVAL 1 HOUR AS DATE)
+                    AND CAST(s.created_at + INTERVAL 1 HOUR AS DATE))""",
     "observation_window_join": """
         SELECT tweet_id, station_id, count(*) AS n_obs FROM windowed GROUP BY tweet_id, station_id""",
     "weather_rollup": """

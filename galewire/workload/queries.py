@@ -456,6 +456,19 @@ def observation_window_join(spark, sf):
     return found.select("tweet_id", "station_id", "n_obs")
 
 
+@query
+def observations_needed(spark, sf):
+    """From a store cut by date, what the posts of one week look at."""
+    path = scratch_path(spark, "observations")
+    storage.write_observations(A.observations(spark, sf), path)
+    week = _stationed(spark, sf).where(
+        (F.col("created_at") >= "2024-01-08") & (F.col("created_at") < "2024-01-15")
+    )
+    store = storage.scan_observations(spark, path)
+    found = weather.observations_needed(store, weather.needed_days(week))
+    return found.select("station_id", "timestamp", "datatype", "value")
+
+
 @query
 def weather_rollup(spark, sf):
     found = _windowed(spark, sf).where(F.col("n_obs").isNotNull())
@@ -465,13 +478,11 @@ def weather_rollup(spark, sf):
 
 @query
 def closest_observation(spark, sf):
-    found = _windowed(spark, sf).withColumn(
-        "c", weather.closest_time(F.col("times"), F.col("created_at"))
-    )
+    found = _windowed(spark, sf)
     return found.where(F.col("n_obs").isNotNull()).select(
         "tweet_id",
-        iso_seconds(F.timestamp_micros("c.at")).alias("weather_observation_time"),
-        F.round(F.col("c.diff") / 60e6, 6).alias("minutes"),
+        iso_seconds(F.timestamp_micros("closest.at")).alias("weather_observation_time"),
+        F.round(F.col("closest.diff") / 60e6, 6).alias("minutes"),
     )
 
 

@@ -29,10 +29,30 @@ def test_partitioned_write_read_prune(spark, processed, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(processing_date" in plan and "LessThan(sentiment_score,0.0)" in plan
     assert "text_clean" not in plan.split("ReadSchema")[1]
-    storage.write_processed(processed, path)
+    # Dates that are written again are replaced, others stay; append adds.
+    storage.write_processed(processed.where("processing_date = '2024-01-02'"), path)
+    assert storage.scan_processed(spark, path).count() == processed.count()
+    storage.write_processed(processed, path, mode="append")
     assert storage.scan_processed(spark, path).count() == 2 * processed.count()
 
 
+def test_repeated_run_of_a_date_leaves_one_copy(spark, tmp_path):
+    from galewire.plans.enrich import store
+    out, refs = str(tmp_path / "out"), A.references(spark, FOLDER)
+    raw = A.faulty_posts(spark, FOLDER).drop("_key")
+
+    def counts():
+        return {part: spark.read.json(f"{out}/{part}").groupBy("processing_date").count().collect() for part in ("raw", "rejects")} | {
+            "processed": storage.scan_processed(spark, f"{out}/processed").groupBy("processing_date").count().collect()}
+
+    store(raw, refs, out, processing_date="2024-01-30")
+    once = counts()
+    store(raw, refs, out, processing_date="2024-01-31")
+    store(raw, refs, out, processing_date="2024-01-31")
+    for part, rows in counts().items():
+        assert len(once[part]) == 1 and {r["count"] for r in rows} == {once[part][0]["count"]} and len(rows) == 2
+
+
 def test_tables_answer_plain_sql(spark, processed, tmp_path):
     path = str(tmp_path / "processed")
     storage.write_processed(processed, path)

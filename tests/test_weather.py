@@ -1,10 +1,13 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from galewire.operators import weather as W
+from galewire.operators.asof import as_of
 from galewire.schemas import OBSERVATION, STATION
+from galewire.sources import storage
 
 POST = "tweet_id string, created_at timestamp, geo_lat double, geo_lon double, geo_confidence string"
 NOON = dt.datetime(2024, 1, 15, 12, 0)
@@ -110,25 +113,89 @@ def test_observations_of_the_days_around(spark):
     assert [r.timestamp for r in kept.collect()] == stamps[1:4]
 
 
+def joined(spark, asked, rows):
+    posts = spark.createDataFrame(
+        [(str(k), t, "S1") for k, t in enumerate(asked)], "tweet_id string, created_at timestamp, station_id string"
+    )
+    return W.join_observations(posts, rows)
+
+
 def test_closest_observation_below_a_second(spark):
-    at = spark.sql("SELECT timestamp '2024-05-01 12:00:00.900' AS post, "
-                   "array(unix_micros(timestamp '2024-05-01 12:00:00.100'), "
-                   "unix_micros(timestamp '2024-05-01 12:00:01.950')) AS times")
-    best = at.select(W.closest_time(F.col("times"), F.col("post")).alias("c")).first().c
+    rows = observations(spark, [("S1", "2024-05-01T12:00:00.100000", "TMAX", 1.0),
+                                ("S1", "2024-05-01T12:00:01.950000", "TMAX", 1.0)])
+    best = joined(spark, [dt.datetime(2024, 5, 1, 12, 0, 0, 900_000)], rows).first().closest
     assert best.diff == 800_000 and best.at % 1_000_000 == 100_000
 
 
-def test_times_of_a_crowded_station_stay_bounded(spark):
-    """Many times within few minutes: few are gathered, and the nearest one is still exact."""
+def test_nearest_time_of_a_crowded_station_is_exact(spark):
+    """Many times within few minutes, posts inside, before and after them."""
     start = dt.datetime(2024, 1, 15, 11, 59)
     moments = [start + dt.timedelta(microseconds=(k * 7919 * 131) % 150_000_000) for k in range(3000)]
     rows = observations(spark, [("S1", t.isoformat(timespec="microseconds"), "TMAX", 1.0) for t in moments])
-    assert W.observation_windows(rows).select(F.max(F.size("times"))).first()[0] <= 2 * 3
     asked = [start + dt.timedelta(microseconds=k * 1_234_567 - 20_000_000) for k in range(160)]
-    posts = spark.createDataFrame(
-        [(str(k), t, "S1") for k, t in enumerate(asked)], "tweet_id string, created_at timestamp, station_id string"
-    )
-    found = W.join_observations(posts, rows).withColumn("c", W.closest_time(F.col("times"), F.col("created_at")))
-    got = {r.tweet_id: r.diff for r in found.select("tweet_id", "c.diff").collect()}
+    asked += [start + dt.timedelta(hours=h) for h in (-9, -2, 3, 11)]
+    got = {r.tweet_id: r.diff for r in joined(spark, asked, rows).select("tweet_id", "closest.diff").collect()}
     want = {str(k): min(abs(t - m) for m in moments) // dt.timedelta(microseconds=1) for k, t in enumerate(asked)}
     assert got == want
+
+
+def test_observation_outside_the_window_is_not_the_closest(spark):
+    """The nearest time is on the day before, which the post's window leaves out."""
+    rows = observations(spark, [("S1", "2024-01-14T23:59:59", "TMAX", 1.0), ("S1", "2024-01-15T20:00:00", "TMIN", 2.0)])
+    row = joined(spark, [dt.datetime(2024, 1, 15, 1, 0, 1), dt.datetime(2024, 1, 15, 0, 59)], rows).orderBy("tweet_id").collect()
+    assert [r.closest.diff // 1_000_000 for r in row] == [18 * 3600 + 59 * 60 + 59, 3541]
+    assert [r.n_obs for r in row] == [1, 2]
+
+
+@pytest.mark.parametrize("width", [1, 7, 50, 10_000])
+def test_as_of_against_plain_search(spark, width):
+    rng = random.Random(width)
+    seen = [(rng.choice("ab"), rng.randrange(-300, 300)) for _ in range(120)] + [("c", 5)]
+    asked = sorted({(rng.choice("abcd"), rng.randrange(-350, 350)) for _ in range(150)})
+    got = as_of(spark.createDataFrame(asked, "k string, at long"), spark.createDataFrame(seen, "k string, at long"), ["k"], "at", width)
+    rows = {(r.k, r.at): (r.before, r.after) for r in got.collect()}
+    assert rows == {
+        (k, t): (max((x for s, x in seen if s == k and x <= t), default=None),
+                 min((x for s, x in seen if s == k and x >= t), default=None)) for k, t in asked
+    }
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_plan_has_no_arrays_of_times(spark):
+    found = joined(spark, [NOON], observations(spark, BASIC))
+    text = plan_of(found)
+    assert "Window" in text
+    for word in ("collect_list", "collect_set", "array_min", "array_append"):
+        assert word not in text
+
+
+def test_store_by_date_opens_needed_days_only(spark, tmp_path):
+    """The plan prunes at run time, and a broken file of another day is not noticed."""
+    days = [dt.datetime(2024, 1, d, 12) for d in range(1, 20)]
+    rows = observations(spark, [(s, t.isoformat(), "TMAX", float(t.day)) for t in days for s in ("S1", "S2")])
+    path = f"{tmp_path}/store"
+    storage.write_observations(rows, path)
+    for k in (1, 5, 6, 8, 19):
+        for file in (tmp_path / "store" / f"obs_date=2024-01-{k:02}").glob("*.parquet"):
+            file.write_bytes(b"broken")
+    posts = spark.createDataFrame([("1", dt.datetime(2024, 1, 7, 9), "S1"), ("2", dt.datetime(2024, 1, 14, 23, 30), "S2"),
+                                   ("3", None, "S1"), ("4", NOON, None)],
+                                  "tweet_id string, created_at timestamp, station_id string")
+    found = W.observations_needed(storage.scan_observations(spark, path), W.needed_days(posts))
+    assert sorted((r.station_id, r.value) for r in found.collect()) == [("S1", 7.0), ("S2", 14.0), ("S2", 15.0)]
+    assert "dynamicpruning" in plan_of(found)
+    best = W.join_observations(posts, storage.scan_observations(spark, path))
+    assert {r.tweet_id: r.n_obs for r in best.collect()} == {"1": 1, "2": 2, "3": None, "4": None}
+
+
+def test_store_of_observations_keeps_other_days(spark, tmp_path):
+    path = f"{tmp_path}/store"
+    storage.write_observations(observations(spark, BASIC), path)
+    storage.write_observations(observations(spark, BASIC[-1:]), path)
+    assert storage.scan_observations(spark, path).count() == len(BASIC)
+    storage.write_observations(observations(spark, [("S1", "2024-01-16T09:00:00Z", "PRCP", 1.0)]), path)
+    left = storage.scan_observations(spark, path)
+    assert left.count() == len(BASIC) and left.where("obs_date = '2024-01-16'").first().value == 1.0
