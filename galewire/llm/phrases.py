@@ -38,6 +38,7 @@ LEAST = 30
 LONGEST = 4
 SHARDS = 10
 CHUNK_WORDS = 1 << 22
+BUCKET_CHUNKS = 4
 TABLE_BITS = 1 << 27
 PROBES, STEP = 4, 12
 CLOSED_PERCENT = 80
@@ -191,8 +192,9 @@ class Chunk:
                 at, key = at[good], key[good]
         return at, key
 
-    def counted(self, at: np.ndarray, length: int) -> tuple[pa.Array, np.ndarray]:
-        """The distinct phrases of ``length`` words that start at these places, and how often."""
+    def counted(self, at: np.ndarray, length: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """The distinct phrases of ``length`` words that start at these places: the index of one place
+        of each, its words, and how often it is there."""
         dense = self.codes[at].astype(np.int64)
         for k in range(1, length):
             dense = dense * (len(self.words) + 1) + self.codes[at + k]
@@ -200,7 +202,7 @@ class Chunk:
                 dense = np.unique(dense, return_inverse=True)[1]
         _, first, n = np.unique(dense, return_index=True, return_counts=True)
         parts = [self.words.take(pa.array(self.codes[at[first] + k] - 1)) for k in range(length)]
-        return (pc.binary_join_element_wise(*parts, " ") if length > 1 else parts[0]), n
+        return first, pc.binary_join_element_wise(*parts, " "), n
 
 
 def _over_chunks(chunks: DataFrame, body: Callable[[Chunk], Iterator[list]], schema: str, names: list[str]) -> DataFrame:
@@ -294,15 +296,41 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
 
     sent = spark.sparkContext.broadcast(tables)
 
+    # A chunk's phrases leave it in one row for each bucket of hashes; a bucket holds about what
+    # BUCKET_CHUNKS chunks have, however many chunks there are.
+    buckets = max(1, chunks.count() // BUCKET_CHUNKS)
+
     def exact(chunk: Chunk) -> Iterator[list]:
+        keys, phrases, counts, lengths = [], [], [], []
         for length in range(2, longest + 1):
-            phrase, n = chunk.counted(chunk.places(sent.value[:length], length)[0], length)
-            yield [phrase, n.astype(np.int64), np.full(len(n), length, np.int32)]
-
-    counted = _over_chunks(chunks, exact, "phrase string, f long, length int", ["phrase", "f", "length"])
+            at, key = chunk.places(sent.value[:length], length)
+            first, phrase, n = chunk.counted(at, length)
+            keys.append(key[first] % np.uint64(buckets))
+            phrases.append(phrase)
+            counts.append(n)
+            lengths.append(np.full(len(n), length, np.int32))
+        bucket = np.concatenate(keys).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        offsets = pa.array(np.append(edge, len(order)).astype(np.int32))
+        columns = [pa.concat_arrays(phrases).take(pa.array(order)),
+                   *(pa.array(np.concatenate(x)[order]) for x in (counts, lengths))]
+        if len(order):
+            yield [bucket[order[edge]], *(pa.ListArray.from_arrays(offsets, c) for c in columns)]
+
+    def added(group: pa.Table) -> pa.Table:
+        flat = pa.table({c: pc.list_flatten(group.column(c)) for c in ("phrase", "f", "length")})
+        total = flat.group_by(["phrase", "length"]).aggregate([("f", "sum")])
+        total = total.filter(pc.greater_equal(total.column("f_sum"), least))
+        lang = pa.array([group.column("lang")[0].as_py()] * len(total), pa.string())
+        return pa.table({"lang": lang, "phrase": total.column("phrase"), "f": total.column("f_sum"), "length": total.column("length")})
+
+    packed = _over_chunks(
+        chunks, exact, "bucket int, phrase array<string>, f array<long>, length array<int>",
+        ["bucket", "phrase", "f", "length"],
+    ).drop("shard")
     phrases = materialize(
-        counted.groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f")).filter(F.col("f") >= least),
-        "phrases",
+        packed.groupBy("lang", "bucket").applyInArrow(added, "lang string, phrase string, f long, length int"), "phrases"
     )
     return Mined(totals, words, phrases)
 
