@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galewire.functions.text import chunks, pytrim
+from galewire.operators.joins import lookup_join
 
 Detector = Callable[[Column], Column]
 
@@ -24,6 +25,8 @@ FALLBACK_CONFIDENCE = 0.3
 
 # The log-probability (in thousandths, like all weights here) of an n-gram outside the profile.
 FLOOR = -12000
+# Rows of a profile table that travels with a function, at most.
+CARRIED_ROWS = 2_000_000
 
 PRIMARY_METHOD = "ngram_profile"
 SECONDARY_METHOD = "second_detector"
@@ -62,21 +65,30 @@ def _gram_code(a, b, c):
     return (a << 42) | (b << 21) | c
 
 
-def profile_detector(profiles: DataFrame) -> Detector:
+def _gram_codes(grams: list[str]) -> np.ndarray:
+    points = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    a, b, c = points.reshape(-1, 3).T
+    return _gram_code(a, b, c)
+
+
+def profile_detector(profiles: DataFrame, most: int = CARRIED_ROWS) -> Detector:
     """Naive Bayes over the trigram profiles.
 
-    A profile table has a row for each trigram of a language, which grows with its alphabet and
-    not with the posts, so it travels with the function.
-    The trigrams of a text are looked up as one sorted-array search; exploding them into rows
-    costs ten times the CPU. Weights are whole numbers: sums are exact in any order.
+    The profiles travel with the function, so they may have ``most`` rows at most (some megabytes);
+    ``profile_language`` takes tables of any size. The trigrams of a text are looked up as one
+    sorted-array search; exploding them into rows costs ten times the CPU. Weights are whole
+    numbers: sums are exact in any order.
     """
-    rows = profiles.select("lang", "gram", "weight").collect()
-    langs = sorted({row.lang for row in rows})
-    codes = [_gram_code(*map(ord, row.gram)) for row in rows]
-    grams = np.unique(np.array(codes, dtype=np.int64))
+    rows = profiles.select("lang", "gram", "weight").limit(most + 1).toArrow()
+    if len(rows) > most:
+        raise ValueError(f"profiles of over {most} rows are not carried: use profile_language")
+    names = rows.column("lang").to_pylist()
+    langs = sorted(set(names))
+    codes = _gram_codes(rows.column("gram").to_pylist())
+    grams = np.unique(codes)
     weights = np.zeros((len(grams), len(langs)), dtype=np.int64)
-    for row, code in zip(rows, codes):
-        weights[np.searchsorted(grams, code), langs.index(row.lang)] = row.weight
+    place = {name: k for k, name in enumerate(langs)}
+    weights[np.searchsorted(grams, codes), [place[n] for n in names]] = rows.column("weight").to_numpy()
 
     def scored(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Best language (-1: none) and its probability, for texts taken together."""
@@ -120,6 +132,48 @@ def profile_detector(profiles: DataFrame) -> Detector:
     return detector
 
 
+def profile_language(df: DataFrame, profiles: DataFrame, name: str = "detected", text: str = "text_clean") -> DataFrame:
+    """``df`` with the answer of ``profile_detector`` under ``name``, for profiles of any size.
+
+    The distinct trigrams of a text are counted in the task that reads it and meet the profiles in a
+    join on the trigram, spread over its hash; sums of a text are started in the task that made them.
+    Answers belong to texts: each is scored once and found again by its digest.
+    """
+    counted = T.ArrayType(T.StructType().add("gram", T.StringType()).add("n", T.LongType()))
+
+    @F.pandas_udf(counted)
+    def gram_counts(texts: pd.Series) -> pd.Series:
+        def of(text: str) -> list[dict]:
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            found, n = np.unique(_gram_code(points[:-2], points[1:-1], points[2:]), return_counts=True)
+            low = 0x1FFFFF
+            return [
+                {"gram": chr(c >> 42) + chr(c >> 21 & low) + chr(c & low), "n": k}
+                for c, k in zip(found.tolist(), n.tolist())
+            ]
+
+        return texts.map(lambda t: of(t) if t is not None and len(t) >= 3 else None)
+
+    keyed = df.withColumn("_text_key", F.sha2(text, 256))
+    texts = keyed.where("_text_key IS NOT NULL").groupBy("_text_key").agg(F.min(text).alias("_text"))
+    grams = texts.select("_text_key", F.inline(gram_counts(F.lower("_text"))))
+    sums = (
+        grams.join(profiles.select("gram", "lang", "weight"), "gram")
+        .groupBy("_text_key", "lang").agg(F.sum(F.col("n") * F.col("weight")).alias("_score"))
+        .where("_score <> 0")
+    )
+    own = Window.partitionBy("_text_key")
+    best = (
+        sums.withColumn("_top", F.max(F.struct("_score", "lang")).over(own))
+        .groupBy("_text_key", F.col("_top.lang").alias("_lang"))
+        .agg(F.sum(F.exp((F.col("_score") - F.col("_top._score")) / 1000.0)).alias("_odds"))
+    )
+    answer = F.struct(F.col("_lang").alias("lang"), F.round(1 / F.col("_odds"), 3).alias("confidence"))
+    return lookup_join(keyed, best, ["_text_key"], spread="tweet_id").withColumn(name, answer).drop(
+        "_text_key", "_lang", "_odds"
+    )
+
+
 def detect_language(
     df: DataFrame, primary: Detector | None = None, secondary: Detector | None = None
 ) -> DataFrame:

