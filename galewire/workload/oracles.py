@@ -790,6 +790,35 @@ DETAIL = {
         SELECT sentiment_label, count(*) AS tweet_count, {avg('sentiment_score', 3)} AS avg_score,
             {avg('sentiment_confidence', 3)} AS avg_confidence FROM enriched GROUP BY sentiment_label""",
     "stream_daily_trend": TREND.format(avg=avg("sentiment_score", 6)),
+    "stream_sliding_trend": f"""
+        SELECT w AS window_start, w + INTERVAL 6 HOUR AS window_end, count(*) AS tweet_count,
+            {avg("score", 6)} AS avg_sentiment, count(*) FILTER (score > 0.3) AS positive_count,
+            count(*) FILTER (score BETWEEN -0.3 AND 0.3) AS neutral_count,
+            count(*) FILTER (score < -0.3) AS negative_count
+        FROM (SELECT score, unnest(generate_series(date_trunc('hour', ts) - INTERVAL 5 HOUR,
+                date_trunc('hour', ts), INTERVAL 1 HOUR)) AS w
+              FROM (SELECT {_time('doc_id')} AS ts, (doc_id * 17 % 2001 - 1000) / 1000.0::DOUBLE AS score FROM documents))
+        GROUP BY w""",
+    "stream_sessions": f"""
+        SELECT author_id, min(ts) AS first_at, max(ts) AS last_at, count(*) AS tweet_count, {avg("score", 6)} AS avg_sentiment
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY author_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island
+              FROM (SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY author_id ORDER BY ts) + INTERVAL 90 MINUTE
+                        THEN 0 ELSE 1 END AS fresh
+                    FROM (SELECT CAST(doc_id % 10 AS VARCHAR) AS author_id, {_time('doc_id')} AS ts,
+                            (doc_id * 17 % 2001 - 1000) / 1000.0::DOUBLE AS score FROM documents)))
+        GROUP BY author_id, island""",
+    # A memory of the keys used last holds a key if fewer others were used since.
+    "stream_dedup_lru": f"""
+        WITH seen AS (
+            SELECT doc_id AS n, CAST(doc_id * doc_id % 97 AS VARCHAR) AS text,
+                row_number() OVER (ORDER BY {_time('doc_id')}, doc_id) AS i FROM documents),
+        turn AS (SELECT *, coalesce(lag(i) OVER (PARTITION BY text ORDER BY i), 0) AS before FROM seen)
+        SELECT n, text FROM turn t WHERE before = 0 OR 32 <= (
+            SELECT count(*) FROM turn o WHERE o.i > t.before AND o.i < t.i AND o.before <= t.before)""",
+    "late_of_stream": f"""
+        WITH arrived AS (SELECT doc_id, {_time('doc_id')} AS ts, doc_id % 4 AS part FROM documents)
+        SELECT doc_id, CASE WHEN ts <= (SELECT max(o.ts) - INTERVAL 10 DAY FROM arrived o WHERE o.part < p.part)
+            THEN 'late' ELSE 'in_time' END AS output FROM arrived p""",
     "stream_dedup_posts": f"SELECT DISTINCT {text_hash('text')} AS text_hash FROM documents",
     "stream_enriched": """
         SELECT detected_lang, sentiment_label, count(*) AS n,

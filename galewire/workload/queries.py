@@ -20,8 +20,9 @@ from galewire.sources import posts as post_files
 from galewire.sources import storage
 from galewire.sources.scratch import scratch_path
 from galewire.streaming import run as stream_run
+from galewire.streaming import bounded, late
 from galewire.streaming.dedup import stream_dedup
-from galewire.streaming.trend import daily_trend
+from galewire.streaming.trend import author_sessions, daily_trend, sliding_trend
 from galewire.workload import adapter as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -785,6 +786,66 @@ def stream_daily_trend(spark, sf):
     return spark.read.parquet(out)
 
 
+def _scored_stream(spark, sf) -> DataFrame:
+    """Documents as scored posts of ten authors."""
+    k = F.col("doc_id")
+    return _documents_stream(spark, sf).select(
+        (k % 10).cast("string").alias("author_id"), A.post_time(k).alias("created_at"),
+        ((k * 17 % 2001 - 1000) / 1000.0).alias("sentiment_score"),
+    ).withColumn("sentiment_label", F.when(F.col("sentiment_score") > 0.3, "positive")
+                 .when(F.col("sentiment_score") < -0.3, "negative").otherwise("neutral"))
+
+
+def _complete(spark, result: DataFrame, name: str) -> DataFrame:
+    """A stream's result table, replaced with every batch."""
+    out = scratch_path(spark, name)
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    _finish(result.writeStream.outputMode("complete").foreachBatch(replace), spark, f"{name}-log")
+    return spark.read.parquet(out)
+
+
+@query
+def stream_sliding_trend(spark, sf):
+    return _complete(spark, sliding_trend(_scored_stream(spark, sf)), "sliding")
+
+
+@query
+def stream_sessions(spark, sf):
+    return _complete(spark, author_sessions(_scored_stream(spark, sf), "90 minutes"), "sessions")
+
+
+@query
+def stream_dedup_lru(spark, sf):
+    """What a memory of 32 texts lets pass."""
+    k = F.col("doc_id")
+    posts = _documents_stream(spark, sf).select(
+        A.post_time(k).alias("created_at"), (k * k % 97).cast("string").alias("text"), k.alias("n"),
+    )
+    out = scratch_path(spark, "stream-lru")
+    kept = bounded.first_of_key(posts, "text", ["created_at", "n"], 32, 1).select("n", "text")
+    _finish(kept.writeStream.format("parquet").option("path", out), spark, "lru-log")
+    return spark.read.schema("n bigint, text string").parquet(out)
+
+
+@query
+def late_of_stream(spark, sf):
+    """Documents that arrive in four files, one batch each: which come after the watermark."""
+    source, out = scratch_path(spark, "late-in"), scratch_path(spark, "late-out")
+    k = F.col("doc_id")
+    posts = A.table(spark, sf, "documents").select(k, A.post_time(k).alias("created_at"))
+    for part in range(4):
+        posts.where(k % 4 == part).coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    late.start_split(
+        late.marked_late(arriving, "created_at", "10 days", "doc_id"), out, scratch_path(spark, "late-log")
+    ).awaitTermination()
+    found = [spark.read.parquet(f"{out}/{x}").select("doc_id", F.lit(x).alias("output")) for x in ("in_time", "late")]
+    return found[0].unionByName(found[1])
+
+
 @query
 def stream_dedup_posts(spark, sf):
     """Which texts a stream keeps; of equal texts any one may arrive first."""

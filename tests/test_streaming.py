@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import random
 import time
 
 import pytest
@@ -13,7 +14,9 @@ from galewire.schemas import RAW_POST
 from galewire.sources.posts import save_posts, stream_posts
 from galewire.sources.storage import batch_date
 from galewire.streaming import run as R
+from galewire.streaming.bounded import first_of_key, stream_dedup_lru
 from galewire.streaming.dedup import SALTS, stream_dedup
+from galewire.streaming.late import marked_late, start_split
 from galewire.streaming.metrics import StageTotals, count_stage
 from galewire.workload import adapter as A
 
@@ -179,3 +182,110 @@ def test_stage_counters(spark, tmp_path):
     finally:
         spark.streams.removeListener(totals)
     assert totals.totals["flatten"] == {"processed": 3, "reposts": 1}
+
+
+# ---------------------------------------------------------------- bounded memory, late rows, windows
+
+
+POST = "tweet_id string, created_at timestamp, text string, retweet_status boolean"
+
+
+def put(spark, folder, n, rows, schema=POST):
+    """File number n of a stream, read after those before it."""
+    part = folder / f"tmp{n}"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(part))
+    source = folder / "in"
+    source.mkdir(exist_ok=True)
+    file = next(part.glob("*.parquet"))
+    target = source / f"{n}.parquet"
+    target.write_bytes(file.read_bytes())
+    os.utime(target, (1_700_000_000 + n, 1_700_000_000 + n))
+    return str(source)
+
+
+def plain_last_used(keys, most):
+    used, passed = {}, []
+    for k in keys:
+        passed.append(k not in used)
+        used.pop(k, None)
+        used[k] = None
+        if len(used) > most:
+            del used[next(iter(used))]
+    return passed
+
+
+def test_last_used_keys_over_batches_and_a_restart(spark, tmp_path):
+    """One shard: the same rows pass as with a plain memory, though the stream stops after each file."""
+    rng = random.Random(2)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(str(k), start + dt.timedelta(seconds=k), f"t{rng.randrange(14)}", False) for k in range(120)]
+    want = [r[0] for r, ok in zip(rows, plain_last_used([r[2] for r in rows], 8)) if ok]
+    out = str(tmp_path / "out")
+    for n in range(3):
+        source = put(spark, tmp_path, n, rng.sample(rows[n * 40:(n + 1) * 40], 40))
+        stream = spark.readStream.schema(POST).option("maxFilesPerTrigger", 1).parquet(source)
+        kept = first_of_key(stream, "text", ["created_at", "tweet_id"], 8, 1)
+        drain(kept.writeStream.format("parquet").option("path", out), tmp_path / "log")
+    got = [r.tweet_id for r in spark.read.parquet(out).collect()]
+    assert sorted(got, key=int) == want and len(want) > 40
+
+
+def test_memory_by_count_drops_ids_texts_and_reposts(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1)
+    rows = [("1", at, "a", False), ("1", at + dt.timedelta(1), "b", False), ("2", at, " A ", False), ("3", at, "c", True),
+            (None, at, "d", False), (None, at + dt.timedelta(1), "e", False), ("4", at, None, False), ("5", at, "f", False)]
+    stream = spark.readStream.schema(POST).parquet(put(spark, tmp_path, 0, rows))
+    out = str(tmp_path / "out")
+    drain(stream_dedup_lru(stream).writeStream.format("parquet").option("path", out), tmp_path / "log")
+    got = sorted(repr(r.text) for r in spark.read.schema(POST).parquet(out).collect())
+    assert got in ([repr("a"), repr("d"), repr("f"), "None"], sorted([repr(" A "), repr("d"), repr("f"), "None"]),
+                   sorted([repr("a"), repr("d"), repr("f"), "None"]))
+
+
+def test_each_row_is_in_time_or_late(spark, tmp_path):
+    day = lambda d: dt.datetime(2024, 1, d)
+    batches = [[("a", day(10)), ("b", day(2)), ("n", None)], [("c", day(9)), ("d", day(7)), ("e", day(8)), ("f", day(20))],
+               [("g", day(18)), ("h", day(19)), ("i", None)]]
+    out = str(tmp_path / "out")
+    for n, rows in enumerate(batches):
+        source = put(spark, tmp_path, n, rows, "k string, at timestamp")
+        stream = spark.readStream.schema("k string, at timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+        start_split(marked_late(stream, "at", "2 days", "k", 4), out, str(tmp_path / "log")).awaitTermination()
+    read = lambda x: sorted(r.k for r in spark.read.schema("k string, at timestamp").parquet(f"{out}/{x}").collect())
+    # After the first batch the watermark is the 8th, after the second the 18th.
+    assert read("late") == ["d", "e", "g"] and read("in_time") == ["a", "b", "c", "f", "h", "i", "n"]
+
+
+def test_timed_trigger_goes_on_after_a_restart(spark, refs, tmp_path):
+    """The chain on a clock: it takes a file that comes while it runs, stops, and goes on from its
+    checkpoint with files that came meanwhile."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+
+    def start():
+        return R.start(spark, str(source), refs, out, str(tmp_path / "log"), interval="1 second", models=text_models(refs))
+
+    def written():
+        try:
+            return R.read_output(spark, out).count()
+        except Exception:  # noqa: BLE001  a batch is just being written
+            return 0
+
+    def wait(n):
+        for _ in range(240):
+            if (found := written()) >= n:
+                return found
+            time.sleep(0.5)
+        return -1
+
+    arrive(source, 0, line(1, "first text here"), line(2, "second text here"))
+    query = start()
+    assert wait(2) == 2
+    arrive(source, 1, line(3, "third text here"), line(1, "first text here"))
+    assert wait(3) == 3
+    query.stop()
+    arrive(source, 2, line(4, "fourth text here"), line(5, "second text here"))
+    query = start()
+    assert wait(4) == 4
+    query.stop()
+    assert sorted(r.tweet_id for r in R.read_output(spark, out).collect()) == ["1", "2", "3", "4"]
