@@ -5,12 +5,16 @@ the shuffle, so a key that holds a large share of all rows sends at most one row
 partition.
 """
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from galewire.functions.text import text_hash
 from galewire.operators.filters import drop_reposts
-from galewire.sources.scratch import materialize, scratch_path
+from galewire.operators.groups import components
+from galewire.sources.scratch import materialize
 
 
 def _first_per(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -90,44 +94,82 @@ def dedup_outcomes(df: DataFrame) -> DataFrame:
     )
 
 
-def greedy_pairs(pairs: DataFrame) -> DataFrame:
+PLACE = ["created_at", "tweet_id", "text_hash"]
+# Pairs that one task walks through at most.
+TASK_PAIRS = 100_000
+
+
+def _settled(alive: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs that are the earliest of both their id and their text, and what they leave alive."""
+    place = F.min(F.struct(*PLACE)).alias("p")
+    first_of_id = alive.groupBy("tweet_id").agg(place).select("p.*")
+    first_of_text = alive.groupBy("text_hash").agg(place).select("p.*")
+    settled = materialize(first_of_id.join(first_of_text, PLACE), "settled")
+    left = alive.join(settled.select("tweet_id"), "tweet_id", "left_anti").join(
+        settled.select("text_hash"), "text_hash", "left_anti"
+    )
+    return settled, materialize(left, "pairs")
+
+
+def _walked(groups: DataFrame) -> DataFrame:
+    """The pairs that a pass in time order keeps, of rows with a ``_group`` each; no id and no text is
+    in two groups."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, ids, texts = None, set(), set()
+        for batch in batches:
+            keep = []
+            columns = [batch.column(c).to_pylist() for c in ("_group", "tweet_id", "text_hash")]
+            for of, tweet_id, text in zip(*columns):
+                if of != group:
+                    group, ids, texts = of, set(), set()
+                keep.append(tweet_id not in ids and text not in texts)
+                if keep[-1]:
+                    ids.add(tweet_id)
+                    texts.add(text)
+            yield batch.filter(pa.array(keep, pa.bool_())).select(PLACE)
+
+    rows = groups.repartition("_group").sortWithinPartitions("_group", *PLACE).select("_group", *PLACE)
+    return rows.mapInArrow(walk, rows.drop("_group").schema)
+
+
+def greedy_pairs(pairs: DataFrame, task_pairs: int = TASK_PAIRS) -> DataFrame:
     """The (tweet_id, text_hash) pairs a row-by-row pass in time order would keep.
 
     Such a pass keeps a row when neither its id nor its text belongs to a row kept earlier: a
-    maximal matching between ids and texts, greedy in time order. A pair that is the earliest
-    alive one for both its id and its text is always kept, and rules out every other pair of
-    that id or text; repeating this until nothing is alive gives the same set without ever
-    gathering a group. Each round is two pre-aggregated group-bys and two anti joins. Kept pairs are
-    appended to one table in the shared folder and the rest is written anew, so the plan does not
-    grow with the rounds.
+    maximal matching between ids and texts, greedy in time order. A pair that is the earliest of
+    both its id and its text is always kept and rules out the others of either; nearly all pairs
+    settle in this first step. What is left falls into components of ids and texts that touch each
+    other, which do not depend on one another: each is walked through in time order by the task it
+    lies in. Only components of over ``task_pairs`` pairs go on step by step. If no more than that is
+    left in all, one task walks through it without a search for components.
     """
-    alive = materialize(
-        pairs.groupBy("tweet_id", "text_hash").agg(F.min("created_at").alias("created_at")),
-        "pairs",
+    alive = pairs.groupBy("tweet_id", "text_hash").agg(F.min("created_at").alias("created_at")).select(*PLACE)
+    kept, left = _settled(materialize(alive.where("tweet_id IS NOT NULL AND text_hash IS NOT NULL"), "pairs"))
+    n = left.count()
+    if not n:
+        return kept
+    if n <= task_pairs:
+        return kept.unionByName(_walked(left.withColumn("_group", F.lit(0).cast("long"))))
+    ends = [F.xxhash64(F.lit(k), c).alias(x) for k, (c, x) in enumerate((("tweet_id", "a"), ("text_hash", "b")))]
+    labels = components(left.select(*ends)).select(F.col("node").alias("_node"), F.col("label").alias("_group"))
+    grouped = materialize(left.withColumn("_node", ends[0]).join(labels, "_node").drop("_node"), "grouped")
+    large = materialize(
+        grouped.groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") > task_pairs).select("_group"),
+        "large-groups",
     )
-    place = F.struct("created_at", "tweet_id", "text_hash")
-    spark, kept = pairs.sparkSession, scratch_path(pairs.sparkSession, "kept-pairs")
-    while True:
-        first_of_id = alive.groupBy("tweet_id").agg(F.min(place).alias("p")).select("p.*")
-        first_of_text = alive.groupBy("text_hash").agg(F.min(place).alias("p")).select("p.*")
-        settled = materialize(
-            first_of_id.join(first_of_text, ["tweet_id", "text_hash", "created_at"]), "settled"
-        )
-        settled.write.mode("append").parquet(kept)
-        if settled.isEmpty():
-            return spark.read.schema(settled.schema).parquet(kept)
-        alive = materialize(
-            alive.join(settled.select("tweet_id"), "tweet_id", "left_anti").join(
-                settled.select("text_hash"), "text_hash", "left_anti"
-            ),
-            "pairs",
-        )
+    kept = kept.unionByName(_walked(grouped.join(large, "_group", "left_anti")))
+    alive = materialize(grouped.join(large, "_group", "left_semi").select(*PLACE), "pairs")
+    while not alive.isEmpty():
+        settled, alive = _settled(alive)
+        kept = kept.unionByName(settled)
+    return kept
 
 
 def dedup_greedy(df: DataFrame) -> DataFrame:
     """Exact row-by-row semantics: a row dropped for its text does not use up its id.
 
-    Equal to ``dedup_chain`` whenever an id always carries one text. Runs one small job per round.
+    Equal to ``dedup_chain`` whenever an id always carries one text.
     """
     fresh = drop_reposts(df).withColumn("text_hash", text_hash(F.col("text")))
     kept = greedy_pairs(fresh.select("tweet_id", "text_hash", "created_at"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from galewire.functions.text import text_hash
 from galewire.operators import dedup
+from galewire.operators.groups import components
 from galewire.plans.quality import dedup_report
 
 SCHEMA = "tweet_id string, created_at timestamp, text string, retweet_status boolean"
@@ -74,6 +75,47 @@ def test_greedy_equals_row_by_row_pass(spark, seed):
     assert pairs(dedup.dedup_greedy(posts(spark, rows))) == walk(rows)
 
 
+@pytest.mark.parametrize("task_pairs", [0, 3, 20])
+def test_greedy_by_components_equals_row_by_row_pass(spark, task_pairs):
+    """Components of all sizes: some are walked through, larger ones settle step by step."""
+    rng = random.Random(9)
+    rows = [(f"{k}-{rng.randrange(n)}", t, f"text {k}-{rng.randrange(n)}")
+            for t, (k, n) in enumerate((k, n) for _ in range(12) for k, n in enumerate((1, 2, 3, 5, 8)))]
+    kept = dedup.greedy_pairs(posts(spark, rows).select("tweet_id", F.col("text").alias("text_hash"), "created_at"), task_pairs)
+    assert sorted((r.tweet_id, r.text_hash) for r in kept.collect()) == walk(rows)
+
+
+def test_greedy_chain_takes_few_jobs(spark):
+    """Pairs that each touch the next one: what is left after the first step is one pass."""
+    rows = [(str((t + 1) // 2), t, f"text {t // 2}") for t in range(1000)]
+    df = posts(spark, rows).select("tweet_id", F.col("text").alias("text_hash"), "created_at").persist()
+    df.count()
+    spark.sparkContext.setJobGroup("chain", "chain")
+    kept = dedup.greedy_pairs(df)
+    found = sorted((r.tweet_id, r.text_hash) for r in kept.collect())
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("chain")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == walk(rows) and len(jobs) <= 40
+
+
+def test_components_against_plain_search(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(-400, 400), rng.randrange(-400, 400)) for _ in range(330)] + [(k, k + 1) for k in range(1000, 1200)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_greedy_of_nothing(spark):
     assert dedup.dedup_greedy(posts(spark, [("1", 0, "RT @a: b")])).count() == 0
 
