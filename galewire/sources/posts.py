@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from galewire.operators.parse import CORRUPT
 from galewire.schemas import RAW_POST
+from galewire.sources.arrays import array_elements
 
 
 def _record(value: Column) -> Column:
@@ -14,15 +15,19 @@ def _record(value: Column) -> Column:
     return F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
-def read_posts(spark: SparkSession, path: str, json_array: bool = False) -> DataFrame:
+def read_posts(
+    spark: SparkSession, path: str, json_array: bool = False, chunk_bytes: int | None = None
+) -> DataFrame:
     """Raw posts from JSON Lines (splittable), or from files that each hold one array or object.
 
     Unreadable records come back with only ``_corrupt_record`` filled. An array is taken apart
     first and each element is read alone, so a bad one costs itself only; an empty array holds no
-    post. An array file is one record of Spark's text reader (2 GB at most); larger sets belong
-    in JSON Lines.
+    post. An array file is one record of Spark's text reader (2 GB at most); with ``chunk_bytes`` it
+    is cut into ranges of that size and read by many tasks (``arrays.array_elements``).
     """
-    if json_array:
+    if json_array and chunk_bytes:
+        lines = array_elements(spark, path, chunk_bytes)
+    elif json_array:
         whole = spark.read.option("wholetext", True).text(path).where(F.trim("value") != "")
         elements = F.when(F.ltrim("value").startswith("["), F.from_json("value", "array<string>"))
         lines = whole.select(F.explode(F.coalesce(elements, F.array("value"))).alias("value"))

@@ -613,6 +613,7 @@ DETAIL = {
     "scan_json": """
         SELECT id, created_at, author_id, lang, user_location, md5(text) AS text_md5, place_id,
             pt_lon AS lon, CAST(len(hashtags) AS INTEGER) AS n_tags, retweet_count FROM posts""",
+    "scan_json_array": "SELECT id, created_at, lang, md5(text) AS text_md5 FROM posts",
     "incremental_since_id": """
         SELECT id, author_id, created_at FROM posts
         WHERE k > (SELECT max(conv_id) FROM conversations)""",
@@ -856,5 +857,6 @@ DETAIL = {
 }
 
 DETAIL["lexicon_sentiment_joined"] = DETAIL["lexicon_sentiment"]
+DETAIL["stream_since_id"] = DETAIL["incremental_since_id"]
 DETAIL["lang_profile_score_joined"] = DETAIL["lang_profile_score"]
 ORACLES: dict[str, str] = {name: _q(sql) for name, sql in (DETAIL | REPORTS).items()}

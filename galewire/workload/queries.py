@@ -17,7 +17,7 @@ from galewire.plans import quality, reports
 from galewire.plans.enrich import GEO_COLUMNS, locate_posts, run, store
 from galewire.schemas import RAW_POST
 from galewire.sources import posts as post_files
-from galewire.sources import storage
+from galewire.sources import since, storage
 from galewire.sources.scratch import scratch_path
 from galewire.streaming import run as stream_run
 from galewire.streaming import bounded, late
@@ -66,6 +66,30 @@ def incremental_since_id(spark, sf):
     return fresh.select("id", "author_id", "created_at")
 
 
+@query
+def stream_since_id(spark, sf):
+    """The same as a stream that begins after the mark."""
+    seen = A.table(spark, sf, "conversations").agg(F.max("conv_id")).first()[0]
+    source, out = scratch_path(spark, "numbered"), scratch_path(spark, "since-out")
+    fields = "id string, author_id string, created_at string"
+    since.save_numbered(A.raw_posts(spark, sf).select("id", "author_id", "created_at"), source)
+    fresh = since.stream_since(spark, source, fields, since=seen)
+    _finish(fresh.writeStream.format("parquet").option("path", out), spark, "since-log")
+    return spark.read.schema(fields).parquet(out)
+
+
+@query
+def scan_json_array(spark, sf):
+    """Posts in eight array files, each cut into ranges of 64 kB."""
+    path = scratch_path(spark, "arrays")
+    posts = A.raw_posts(spark, sf)
+    texts = posts.select((F.col("id").cast("long") % 8).alias("file"), F.to_json(F.struct(*posts.columns)).alias("post"))
+    arrays = texts.groupBy("file").agg(F.array_join(F.collect_list("post"), ",\n").alias("all"))
+    arrays.select(F.concat(F.lit("["), "all", F.lit("]"))).write.text(path)
+    good, _ = post_files.split_corrupt(post_files.read_posts(spark, path, json_array=True, chunk_bytes=1 << 16))
+    return good.select("id", "created_at", "lang", F.md5("text").alias("text_md5"))
+
+
 @query
 def high_water_mark(spark, sf):
     return filters.next_high_water_mark(A.raw_posts(spark, sf))

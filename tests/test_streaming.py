@@ -12,6 +12,7 @@ from galewire.operators.dedup import dedup_chain
 from galewire.plans.enrich import run, text_models
 from galewire.schemas import RAW_POST
 from galewire.sources.posts import save_posts, stream_posts
+from galewire.sources.since import save_numbered, stream_since
 from galewire.sources.storage import batch_date
 from galewire.streaming import run as R
 from galewire.streaming.bounded import first_of_key, stream_dedup_lru
@@ -289,3 +290,21 @@ def test_timed_trigger_goes_on_after_a_restart(spark, refs, tmp_path):
     assert wait(4) == 4
     query.stop()
     assert sorted(r.tweet_id for r in R.read_output(spark, out).collect()) == ["1", "2", "3", "4"]
+
+
+def test_stream_since_id_goes_on_after_a_restart(spark, tmp_path):
+    fields = "id string, text string"
+    post = lambda *ids: spark.createDataFrame([(str(i), f"t{i}") for i in ids], fields)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def drained():
+        stream = stream_since(spark, source, fields, since=9)
+        drain(stream.writeStream.format("parquet").option("path", out), tmp_path / "log")
+        return sorted(int(r.id) for r in spark.read.schema(fields).parquet(out).collect())
+
+    save_numbered(post(3, 9, 10, 100, 11, 70), source)
+    save_numbered(spark.createDataFrame([("x", "no number"), (None, "none")], fields), source)
+    assert drained() == [10, 11, 70, 100]
+    save_numbered(post(50, 101, 4000000000000), source)
+    assert drained() == [10, 11, 70, 100, 101, 4000000000000]
+    assert drained() == [10, 11, 70, 100, 101, 4000000000000]
