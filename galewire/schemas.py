@@ -31,6 +31,10 @@ GAZETTEER = "location_key string, lat double, lon double"
 
 LEXICON = "token string, weight double"
 
+USER = "id string, location string"
+
+PROFILE = "lang string, gram string, weight bigint"
+
 # Column names and order of the two report tables.
 PROCESSED = """
     tweet_id string, author_id string, created_at timestamp, created_at_str string,

@@ -3,10 +3,12 @@
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from galewire.functions.emoji import base_weights
-from galewire.schemas import GAZETTEER, LEXICON, OBSERVATION, PLACE, STATION
+from galewire.schemas import GAZETTEER, LEXICON, OBSERVATION, OBSERVED_ON, PLACE, PROFILE, STATION, USER
+from galewire.sources.storage import scan_observations
 
 
 @dataclass(frozen=True)
@@ -54,13 +56,30 @@ def emoji_lexicon(spark: SparkSession, strict_codepoint: bool = False) -> DataFr
     return lexicon_table(spark, base_weights(strict_codepoint))
 
 
+def _optional(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A table, or None where there is no such folder."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_references(spark: SparkSession, folder: str, **options) -> References:
-    """The tables of a run from Parquet folders named after them; options set the other parts."""
+    """The tables of a run from Parquet folders named after them; options set the other parts. Places,
+    users and profiles are optional; observations may be a store cut by date."""
+    observed = f"{folder}/observations"
+    dated = OBSERVED_ON in spark.read.parquet(observed).columns
     return References(
         stations=read_stations(spark, f"{folder}/stations"),
-        observations=read_observations(spark, f"{folder}/observations"),
+        observations=scan_observations(spark, observed) if dated else read_observations(spark, observed),
         gazetteer=read_gazetteer(spark, f"{folder}/gazetteer"),
         lexicon=read_lexicon(spark, f"{folder}/lexicon"),
-        places=read_places(spark, f"{folder}/places"),
+        **{
+            name: _optional(spark, f"{folder}/{name}", schema)
+            for name, schema in (("places", PLACE), ("users", USER), ("profiles", PROFILE))
+            if name not in options
+        },
         **options,
     )

@@ -166,7 +166,14 @@ def test_references_from_folders(spark, tmp_path):
         want = getattr(A, name)(spark, FOLDER)
         assert getattr(refs, name).exceptAll(want).isEmpty() and getattr(refs, name).count() == want.count()
     assert {r.token: r.weight for r in refs.lexicon.collect()} == base_weights()
-    assert refs.users is None and refs.dataset_id == "GHCND"
+    assert refs.users is None and refs.profiles is None and refs.dataset_id == "GHCND"
+    # Users and profiles where there are any, and a store of observations cut by date.
+    A.users(spark, FOLDER).write.parquet(str(tmp_path / "users"))
+    A.profiles(spark, FOLDER).write.parquet(str(tmp_path / "profiles"))
+    storage.write_observations(A.observations(spark, FOLDER), str(tmp_path / "observations"))
+    more = read_references(spark, str(tmp_path))
+    assert more.users.count() == A.users(spark, FOLDER).count() and more.profiles.count() > 100
+    assert set(more.users.columns) == {"id", "location"} and "obs_date" in more.observations.columns
 
 
 def test_only_stations_of_the_dataset_count(spark):
