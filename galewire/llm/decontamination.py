@@ -9,8 +9,9 @@ shuffle, and a lost task repeats its own shards only.
 The array leaves out suffixes that no window can begin at: those in a run of words, each known to
 some test item, that is shorter than the shortest window. Nothing found is lost by that.
 
-Test items are held by the tasks in blocks of at most ``block_bytes`` of text; further blocks are
-further passes over the same rows, so a test set of any size is searched whole.
+Test items are held by the tasks in blocks of at most ``block_bytes`` of text (or one item, if that
+is longer), and one block at a time passes the driver; further blocks are further passes over the same
+rows, whose findings are written in between, so a test set of any size is searched whole.
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered. Defined results:
 null and empty texts have no words and are never hit; items without words match nothing; rows that
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galewire.sources.scratch import materialize
+
 WINDOW = 13
 SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 32 << 20
@@ -277,7 +280,9 @@ def find_matches(
         T.StructField("longest_item", T.StringType()),
     ])
     out = docs.select(row, *whole, F.lit(None).cast(found).alias("found"))
-    for items in test_blocks(tests, item_id, text, block_bytes):
+    for k, items in enumerate(test_blocks(tests, item_id, text, block_bytes)):
+        if k:
+            out = materialize(out, "matches")
         out = out.mapInArrow(_pass(Suffixes(items, window), inner), out.schema)
     return out.select("row", "found")
 
