@@ -7,7 +7,7 @@ all shards exactly. A shard is a set of chunks of coded text; its mining is a gr
 not the work of one task, so the support is lowered by the number of shards, whatever the size.
 
 Mining goes by length: a phrase is looked at only where the two phrases it is made of by leaving out
-its last or first word were frequent themselves. Between the levels frequent phrases travel as 64-bit
+its last or first word were frequent themselves. Between the levels frequent phrases travel as 48-bit
 hashes in a Bloom filter of at most ``TABLE_BITS`` bits (16 MB), the only thing that is broadcast: a
 full filter lets more phrases through, none is lost. The last pass counts the phrases themselves, so
 hashes decide nothing.
@@ -40,7 +40,8 @@ SHARDS = 10
 CHUNK_WORDS = 1 << 22
 BUCKET_CHUNKS = 4
 TABLE_BITS = 1 << 27
-PROBES, STEP = 4, 12
+PROBES, STEP = 4, 7
+KEY_SHIFT = 16  # hashes travel as their first 48 bits
 CLOSED_PERCENT = 80
 SCORE_UNIT = 2_000_000
 TOP = 2000
@@ -179,7 +180,7 @@ class Chunk:
     def places(self, tables: list[Bits], length: int) -> tuple[np.ndarray, np.ndarray]:
         """Where phrases of ``length`` words start all whose shorter parts are in the tables, of one
         word, two and so on, and the hashes of these phrases."""
-        known = np.concatenate(([False], tables[0].has(self.word_keys)))
+        known = np.concatenate(([False], tables[0].has(self.word_keys >> np.uint64(KEY_SHIFT))))
         keys = np.concatenate(([np.uint64(0)], self.word_keys))
         at = np.flatnonzero(known[self.codes])
         key = keys[self.codes[at]]
@@ -188,7 +189,7 @@ class Chunk:
             at = at[pair]
             key = _mixed(key[pair] * np.uint64(0x9E3779B97F4A7C15) + keys[self.codes[at + k - 1]])
             if k <= len(tables):
-                good = tables[k - 1].has(key)
+                good = tables[k - 1].has(key >> np.uint64(KEY_SHIFT))
                 at, key = at[good], key[good]
         return at, key
 
@@ -281,14 +282,15 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
             seeds |= {x: xxhash.xxh64_intdigest(x.encode(), SEED) for x in set(langs) - set(seeds)}
             spelled = pc.cast(batch.column("phrase"), pa.binary()).to_pylist()
             keys = [xxhash.xxh64_intdigest(w, seeds[x]) for x, w in zip(langs, spelled)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], names=["key"])
+            short = np.array(keys, np.uint64) >> np.uint64(KEY_SHIFT)
+            yield pa.RecordBatch.from_arrays([pa.array(short.view(np.int64))], names=["key"])
 
     tables = [bit_table(materialize(words.select("lang", "phrase").mapInArrow(word_keys, "key long"), "phrase-keys"))]
     for length in range(2, longest + 1):
         sent = spark.sparkContext.broadcast(tables)
 
         def local(chunk: Chunk, length: int = length, sent=sent) -> Iterator[list]:
-            key, n = np.unique(chunk.places(sent.value, length)[1], return_counts=True)
+            key, n = np.unique(chunk.places(sent.value, length)[1] >> np.uint64(KEY_SHIFT), return_counts=True)
             yield [key.view(np.int64), n.astype(np.int64)]
 
         reported = _over_chunks(chunks, local, "key long, n long", ["key", "n"])
@@ -309,11 +311,13 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
             phrases.append(phrase)
             counts.append(n)
             lengths.append(np.full(len(n), length, np.int32))
-        bucket = np.concatenate(keys).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        # In order of their words, phrases that lie together share their beginnings.
+        together = pa.concat_arrays(phrases)
+        bucket, words = np.concatenate(keys).astype(np.int32), pc.sort_indices(together).to_numpy()
+        order = words[np.argsort(bucket[words], kind="stable")]
         edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         offsets = pa.array(np.append(edge, len(order)).astype(np.int32))
-        columns = [pa.concat_arrays(phrases).take(pa.array(order)),
+        columns = [together.take(pa.array(order)),
                    *(pa.array(np.concatenate(x)[order]) for x in (counts, lengths))]
         if len(order):
             yield [bucket[order[edge]], *(pa.ListArray.from_arrays(offsets, c) for c in columns)]
