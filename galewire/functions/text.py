@@ -11,6 +11,11 @@ from pyspark.sql.types import StringType
 # The URL pattern, and the control characters that count as white space.
 URL_PATTERN = r"https?://\S+|www\.\S+"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
+# All white space of Unicode, and the separators above.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r " + SEPARATORS + "\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # English contractions, applied in this order; groups keep the case of the first letters.
 CONTRACTIONS = [
@@ -53,7 +58,7 @@ def _plain_spaces(c: Column) -> Column:
 
 def pytrim(c: Column) -> Column:
     """Strip every kind of white space at both ends, not only blanks."""
-    return F.regexp_replace(_plain_spaces(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def normalize_ws(c: Column) -> Column:

@@ -17,7 +17,7 @@ from galewire.operators.groups import components
 from galewire.sources.scratch import materialize
 
 
-def _first_per(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def _first_per(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
@@ -169,9 +169,9 @@ def greedy_pairs(pairs: DataFrame, task_pairs: int = TASK_PAIRS) -> DataFrame:
 def dedup_greedy(df: DataFrame) -> DataFrame:
     """Exact row-by-row semantics: a row dropped for its text does not use up its id.
 
-    Equal to ``dedup_chain`` whenever an id always carries one text.
+    Equal to ``dedup_chain`` whenever an id always carries one text. Wide rows are shuffled once: one
+    per id, time and text and input partition, to meet the kept ones, of which an id has one.
     """
     fresh = drop_reposts(df).withColumn("text_hash", text_hash(F.col("text")))
     kept = greedy_pairs(fresh.select("tweet_id", "text_hash", "created_at"))
-    rows = fresh.join(kept, ["tweet_id", "text_hash", "created_at"], "left_semi")
-    return _first_per(rows, "tweet_id", ["created_at", "text"]).drop("text_hash")
+    return _first_per(fresh, PLACE, ["text"]).join(kept, PLACE, "left_semi").drop("text_hash")

@@ -4,10 +4,11 @@ A detector turns a text column into ``struct<lang: string, confidence: double>``
 null. Detectors run in the row, so tagging shuffles nothing.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,8 @@ FALLBACK_CONFIDENCE = 0.3
 FLOOR = -12000
 # Rows of a profile table that travels with a function, at most.
 CARRIED_ROWS = 2_000_000
+# Counted trigrams that a task holds before it hands them on.
+HELD_GRAMS = 4_000_000
 
 PRIMARY_METHOD = "ngram_profile"
 SECONDARY_METHOD = "second_detector"
@@ -43,13 +46,79 @@ def char_trigrams(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TRIGRAM), F.lit(1))
 
 
+def _gram_code(a, b, c):
+    """One number for three code points of 21 bits each."""
+    return (a << 42) | (b << 21) | c
+
+
+def _gram_text(code: int) -> str:
+    low = (1 << 21) - 1
+    return chr(code >> 42) + chr(code >> 21 & low) + chr(code & low)
+
+
+def _gram_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of texts taken together: their codes, and the number of the text each is in."""
+    joined = "".join(texts).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(joined, np.uint32).astype(np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    inside = owner[:-2] == owner[2:]
+    return _gram_code(points[:-2], points[1:-1], points[2:])[inside], owner[:-2][inside]
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of the texts a task reads, each gram of a language once or a few times."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def compact() -> int:
+        for lang, parts in held.items():
+            codes, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+            n = np.bincount(back, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+            held[lang] = [(codes, n)]
+        return sum(len(parts[0][0]) for parts in held.values())
+
+    def out() -> Iterator[pa.RecordBatch]:
+        compact()
+        for lang, ((codes, n),) in held.items():
+            grams = [_gram_text(c) for c in codes.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()), pa.array(n)],
+                names=["lang", "gram", "n"],
+            )
+        held.clear()
+
+    waiting = 0
+    for batch in batches:
+        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+        chosen = [k for k, text in enumerate(texts) if text is not None and langs[k] is not None and len(text) > 2]
+        for run in chunks([len(texts[k]) for k in chosen]):
+            own = chosen[run]
+            codes, owner = _gram_runs([texts[k] for k in own])
+            names = np.array([langs[k] for k in own], object)
+            for lang in set(names.tolist()):
+                found, n = np.unique(codes[(names == lang)[owner]], return_counts=True)
+                held.setdefault(lang, []).append((found, n))
+                waiting += len(found)
+            if waiting > HELD_GRAMS:
+                waiting = compact()
+                if waiting > HELD_GRAMS // 2:
+                    yield from out()
+                    waiting = 0
+    yield from out()
+
+
 def train_profiles(labelled: DataFrame, size: int | None = None) -> DataFrame:
     """Trigrams per language with their weight, from (text, lang) rows: all of them, or the
-    ``size`` most frequent where a model of fixed size is wanted."""
+    ``size`` most frequent where a model of fixed size is wanted.
+
+    A trigram is three code points in a row of the lower-cased text, at every position. They are
+    counted in the task that reads the texts, so what is shuffled grows with the distinct trigrams
+    of a task, not with its characters. Rows without text or language teach nothing.
+    """
     counts = (
-        labelled.select("lang", F.explode(char_trigrams(F.col("text"))).alias("gram"))
+        labelled.select("lang", F.lower("text").alias("text"))
+        .mapInArrow(_count_grams, "lang string, gram string, n long")
         .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     top = counts
@@ -60,11 +129,6 @@ def train_profiles(labelled: DataFrame, size: int | None = None) -> DataFrame:
     return top.join(totals, "lang").select("lang", "gram", (log_p - FLOOR).alias("weight"))
 
 
-def _gram_code(a, b, c):
-    """One number for three code points of 21 bits each."""
-    return (a << 42) | (b << 21) | c
-
-
 def _gram_codes(grams: list[str]) -> np.ndarray:
     points = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     a, b, c = points.reshape(-1, 3).T
@@ -92,14 +156,10 @@ def profile_detector(profiles: DataFrame, most: int = CARRIED_ROWS) -> Detector:
 
     def scored(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Best language (-1: none) and its probability, for texts taken together."""
-        sizes = np.array([len(t) for t in texts])
-        joined = "".join(texts).encode("utf-32-le", "surrogatepass")
-        points = np.frombuffer(joined, np.uint32).astype(np.int64)
-        seen = _gram_code(points[:-2], points[1:-1], points[2:])
-        owner = np.repeat(np.arange(len(texts)), sizes)
+        seen, owner = _gram_runs(texts)
         at = np.minimum(np.searchsorted(grams, seen), len(grams) - 1)
-        hit = (grams[at] == seen) & (owner[:-2] == owner[2:])
-        at, owner = at[hit], owner[:-2][hit]
+        hit = grams[at] == seen
+        at, owner = at[hit], owner[hit]
         # Sums of whole numbers: exact in doubles, in any order.
         scores = np.stack(
             [np.bincount(owner, weights[at, k], minlength=len(texts)) for k in range(len(langs))], axis=1
@@ -146,11 +206,7 @@ def profile_language(df: DataFrame, profiles: DataFrame, name: str = "detected",
         def of(text: str) -> list[dict]:
             points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
             found, n = np.unique(_gram_code(points[:-2], points[1:-1], points[2:]), return_counts=True)
-            low = 0x1FFFFF
-            return [
-                {"gram": chr(c >> 42) + chr(c >> 21 & low) + chr(c & low), "n": k}
-                for c, k in zip(found.tolist(), n.tolist())
-            ]
+            return [{"gram": _gram_text(c), "n": k} for c, k in zip(found.tolist(), n.tolist())]
 
         return texts.map(lambda t: of(t) if t is not None and len(t) >= 3 else None)
 

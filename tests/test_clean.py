@@ -33,6 +33,12 @@ def test_urls(spark):
 def test_white_space(spark):
     assert one(spark, X.normalize_ws, "\tdry   \n heat ", "p\x1cq\u3000r", "") == ["dry heat", "p q r", ""]
     assert one(spark, X.pytrim, "  x y \x1d\n") == ["x y"]
+    every = "".join(map(chr, range(0x3100)))
+    blank = [c for c in every if c.isspace()]
+    assert one(spark, X.pytrim, "".join(blank) + "x\x1cy" + "".join(blank), *blank, "", None) == (
+        ["x\x1cy"] + [""] * len(blank) + ["", None])
+    assert one(spark, X.pytrim, *[c + "x" for c in every if not c.isspace()]) == [
+        c + "x" for c in every if not c.isspace()]
     assert one(spark, X.is_blank, " \t　\x1f", "", "a") == [True, True, False]
 
 

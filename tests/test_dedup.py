@@ -143,3 +143,14 @@ def test_hot_text_is_cut_before_the_shuffle(spark):
     assert "row_number(), 1, Partial" in plan and "row_number(), 1, Final" in plan
     assert kept.count() == 1334 + 1
     assert kept.where("text = 'same'").first().tweet_id == "1"
+
+
+def test_greedy_keeps_one_of_equal_rows_and_shuffles_wide_rows_once(spark):
+    rows = [("1", 0, "Storm"), ("1", 0, "storm "), ("1", 0, "STORM"), ("1", 0, "STORM"), ("2", 1, "storm"),
+            ("2", 2, "rain"), (None, 0, "hail"), ("3", 1, None)]
+    df = spark.createDataFrame([(i, at(t), x, False) for i, t, x in rows], SCHEMA)
+    got = dedup.dedup_greedy(df)
+    assert pairs(got) == [("1", "STORM"), ("2", "rain")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # The window is below the join, on the same three columns.
+    assert plan.index("Join LeftSemi") < plan.index("Window [row_number()")

@@ -1,11 +1,14 @@
 import random
 import re
+from collections import Counter
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from galewire.functions.text import chunks
 from galewire.operators import lang as L
 from galewire.operators import sentiment as S
 from galewire.sources.tables import lexicon_table
@@ -222,3 +225,28 @@ def test_joined_profiles_give_the_same_answers(spark):
     answers = [sorted((repr(r.text_clean), r.d.lang, r.d.confidence) for r in x.collect())
                for x in (carried, L.profile_language(df, profiles, "d"))]
     assert answers[0] == answers[1] and {a[1] for a in answers[0]} == {"en", "fr", "de", None}
+
+
+@pytest.mark.parametrize("held", [3, 4_000_000])
+def test_counted_trigrams_against_plain(monkeypatch, held):
+    monkeypatch.setattr(L, "HELD_GRAMS", held)
+    monkeypatch.setattr(L, "chunks", lambda sizes: chunks(sizes, 10))
+    rows = [("x", "ab😢c ab😢c"), ("y", "abc\0\0"), ("x", None), (None, "abcd"), ("x", ""), ("y", "ab"), ("y", "ﬁne abc"),
+            ("x", "aaaa" * 20)]
+    plain = Counter(
+        (lang, text[i : i + 3]) for lang, text in rows if lang and text for i in range(len(text) - 2)
+    )
+    batches = [
+        pa.RecordBatch.from_pydict({"lang": [r[0] for r in part], "text": [r[1] for r in part]}, pa.schema(
+            [("lang", pa.string()), ("text", pa.string())]))
+        for part in (rows[:3], rows[3:], [])
+    ]
+    got = Counter()
+    for batch in L._count_grams(iter(batches)):
+        for row in batch.to_pylist():
+            got[row["lang"], row["gram"]] += row["n"]
+    assert got == plain
+
+
+def test_profiles_of_nothing(spark):
+    assert L.train_profiles(spark.createDataFrame([(None, "x"), ("ab", "x"), ("abc", None)], "text string, lang string")).count() == 0
