@@ -470,6 +470,12 @@ CTES = {
         FROM survivors p JOIN cleaned c USING (id) JOIN lang_tags l ON l.tweet_id = p.id
             JOIN geo g ON g.tweet_id = p.id JOIN weather w ON w.tweet_id = p.id
             JOIN sentiments t ON t.tweet_id = p.id""",
+    "chain_posts": """
+        SELECT *, 'lexicon' AS sentiment_method, '2024-01-31' AS processing_date FROM enriched""",
+    "chain_analytics": """
+        SELECT * FROM chain_posts
+        WHERE geo_confidence IN ('high', 'medium') AND weather_station_id IS NOT NULL
+            AND sentiment_confidence > 0.5 AND text_length > 10""",
 }
 
 
@@ -856,6 +862,27 @@ DETAIL = {
             SELECT o.tweet_id, o.created_at, o.h AS text_hash FROM ordered o JOIN final USING (tweet_id, h))""",
 }
 
+# The reports over the chain's posts: the same SQL, with another source and the group in one column.
+CHAIN_REPORTS = {
+    "locations": ("q2_negative_locations", "concat(CAST(round(lat * 100) AS BIGINT), '|', "
+                  "CAST(round(lon * 100) AS BIGINT), '|', coalesce(place_name, '-'))"),
+    "events": ("q3_sentiment_by_event", "weather_event_type"),
+    "days": ("q4_daily_trend", "processing_date"),
+    "languages": ("q5_language_distribution", "concat(detected_lang, '|', sentiment_method)"),
+    "tiers": ("q6_geo_quality", "geo_confidence"),
+    "matches": ("q7_match_quality", "noaa_match_quality"),
+    "emoji": ("q8_emoji_buckets", "emoji_category"),
+    "severity": ("q9_weather_severity", "concat(temp_category, '|', precip_category)"),
+}
+
+
+def _chain_report(name: str, report: str, group: str) -> str:
+    body = REPORTS[report].replace("FROM analytics", "FROM chain_analytics").replace("FROM processed", "FROM chain_posts")
+    size = "negative_tweet_count" if name == "locations" else "tweet_count"
+    return f"SELECT '{name}' AS report, {group} AS of_group, {size} AS tweet_count, avg_sentiment FROM ({body})"
+
+
+DETAIL["enriched_reports"] = " UNION ALL ".join(_chain_report(name, *made) for name, made in CHAIN_REPORTS.items())
 DETAIL["lexicon_sentiment_joined"] = DETAIL["lexicon_sentiment"]
 DETAIL["stream_since_id"] = DETAIL["incremental_since_id"]
 DETAIL["lang_profile_score_joined"] = DETAIL["lang_profile_score"]

@@ -1,5 +1,6 @@
 """One Spark query per operator, over the tables of a benchmark folder."""
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from galewire.plans.enrich import GEO_COLUMNS, locate_posts, run, store
 from galewire.schemas import RAW_POST
 from galewire.sources import posts as post_files
 from galewire.sources import since, storage
-from galewire.sources.scratch import scratch_path
+from galewire.sources.scratch import materialize, scratch_path
 from galewire.streaming import run as stream_run
 from galewire.streaming import bounded, late
 from galewire.streaming.dedup import stream_dedup
@@ -668,6 +669,35 @@ def enriched_distribution(spark, sf):
     return reports.sentiment_distribution(stored)
 
 
+@query
+def enriched_reports(spark, sf):
+    """The reports over what the chain makes, from one run of it: group, size and mean of each."""
+    processed = materialize(storage.to_processed(enriched(spark, sf), "2024-01-31"), "processed")
+    analytics = storage.quality_rows(processed)
+    made = {
+        "locations": (reports.negative_locations(analytics), ["lat", "lon", "place_name"]),
+        "events": (reports.sentiment_by_event(analytics), ["weather_event_type"]),
+        "days": (reports.daily_trend(analytics), ["processing_date"]),
+        "languages": (reports.language_distribution(analytics), ["detected_lang", "sentiment_method"]),
+        "tiers": (reports.geo_quality(processed), ["geo_confidence"]),
+        "matches": (reports.match_quality(processed), ["noaa_match_quality"]),
+        "emoji": (reports.emoji_buckets(analytics), ["emoji_category"]),
+        "severity": (reports.weather_severity(analytics), ["temp_category", "precip_category"]),
+    }
+
+    def plain(name: str, report: DataFrame, keys: list[str]) -> DataFrame:
+        # Positions as whole hundredths: numbers are spelled alike everywhere.
+        spelled = [F.round(F.col(c) * 100).cast("long") if c in ("lat", "lon") else F.col(c) for c in keys]
+        group = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("-")) for c in spelled])
+        size = "negative_tweet_count" if name == "locations" else "tweet_count"
+        return report.select(
+            F.lit(name).alias("report"), group.alias("of_group"), F.col(size).alias("tweet_count"), "avg_sentiment"
+        )
+
+    parts = [plain(name, *made_of) for name, made_of in made.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 # ---------------------------------------------------------------- reports
 
 
