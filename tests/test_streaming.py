@@ -20,6 +20,7 @@ from galewire.streaming.dedup import SALTS, stream_dedup
 from galewire.streaming.late import marked_late, start_split
 from galewire.streaming.metrics import StageTotals, count_stage
 from galewire.workload import adapter as A
+from galewire.workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -308,3 +309,15 @@ def test_stream_since_id_goes_on_after_a_restart(spark, tmp_path):
     save_numbered(post(50, 101, 4000000000000), source)
     assert drained() == [10, 11, 70, 100, 101, 4000000000000]
     assert drained() == [10, 11, 70, 100, 101, 4000000000000]
+
+
+STREAMS = ["stream_daily_trend", "stream_sliding_trend", "stream_sessions", "stream_dedup_lru", "stream_dedup_posts"]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_stream_reads_a_table_of_several_files(spark, tmp_path, name):
+    """A table may be a folder of part files, whose names do not say what table they belong to."""
+    whole = A.table(spark, FOLDER, "documents")
+    whole.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want = QUERIES[name](spark, FOLDER).collect()
+    assert want and sorted(QUERIES[name](spark, str(tmp_path)).collect()) == sorted(want)
