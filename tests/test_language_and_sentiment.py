@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from galewire.functions.text import chunks
+from galewire.functions.text import CHUNK_CHARS, chunks
 from galewire.operators import lang as L
 from galewire.operators import sentiment as S
 from galewire.sources.tables import lexicon_table
@@ -250,3 +250,34 @@ def test_counted_trigrams_against_plain(monkeypatch, held):
 
 def test_profiles_of_nothing(spark):
     assert L.train_profiles(spark.createDataFrame([(None, "x"), ("ab", "x"), ("abc", None)], "text string, lang string")).count() == 0
+
+
+def many_texts(n=400, words=400):
+    pick = random.Random(5)
+    vocabulary = [f"{a}{b}é{c}" for a in "abcdef" for b in "uvwxyz" for c in "stormflid"]
+    return [" ".join(pick.choice(vocabulary) for _ in range(words)) for _ in range(n)]
+
+
+def test_joined_profiles_meet_texts_by_buckets(spark):
+    """However many buckets a table of profiles has, the answers are those of the carried one."""
+    some = many_texts(60, 80) + ["", "ab", None, "zzzz", "a😢bc"]
+    learned = spark.createDataFrame([(t, "xyz"[k % 3]) for k, t in enumerate(some)], "text string, lang string")
+    profiles = L.train_profiles(learned).localCheckpoint()
+    df = texts(spark, *[(t, "en") for t in [*some, *some[:5]]])
+    carried = df.select("tweet_id", L.profile_detector(profiles)(F.col("text_clean")).alias("d"))
+    want = {r.tweet_id: (r.d.lang, r.d.confidence) for r in carried.collect()}
+    for held in (1_000_000, 100):
+        got = L.profile_language(df, profiles, "d", held=held).collect()
+        assert {r.tweet_id: (r.d.lang, r.d.confidence) if r.d.lang else (None, None) for r in got} == want
+
+
+def test_trigrams_of_a_batch_are_packed_run_by_run():
+    """A batch of 400 texts (0.9 million characters) leaves a task in rows of bounded size, as it is read."""
+    some = many_texts()
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([bytes(28) + k.to_bytes(4, "big") for k in range(len(some))]), pa.array(some)], names=["_text_key", "_text"]
+    )
+    rows = list(L._pack_texts(1, 4)(iter([batch])))
+    assert len(rows) >= 3 and sum(len(r.column("keys")[0].as_py()) for r in rows) == 32 * len(some)
+    most = max(len(r.column("numbers")[0].as_py()) // 8 for r in rows)
+    assert most <= CHUNK_CHARS
