@@ -281,3 +281,28 @@ def test_trigrams_of_a_batch_are_packed_run_by_run():
     assert len(rows) >= 3 and sum(len(r.column("keys")[0].as_py()) for r in rows) == 32 * len(some)
     most = max(len(r.column("numbers")[0].as_py()) // 8 for r in rows)
     assert most <= CHUNK_CHARS
+
+
+def test_joined_scorer_makes_its_posts_once(spark):
+    """Posts are needed for their words and for their answers, and cost a cleaning each."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def cleaned(text):
+        made.add(1)
+        return text
+
+    df = spark.range(40).select(
+        F.col("id").cast("string").alias("tweet_id"), cleaned(F.concat(F.lit("good day "), F.col("id"))).alias("text_clean")
+    )
+    scored_rows = S.joined_lexicon_scorer(lexicon(spark))(df, "s", F.lit(True)).collect()
+    assert len(scored_rows) == 40 and made.value == 40
+
+
+def test_texts_cross_to_python_as_arrow():
+    """Whole batches are not turned into objects: workers take a run of texts out of Arrow at a time."""
+    from pyspark.util import PythonEvalType
+
+    from galewire.functions.text import _nfkc
+
+    assert _nfkc.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
