@@ -120,3 +120,36 @@ def test_steps_are_not_copied(spark):
     df = spark.createDataFrame([("1", "x", [], 0, 0, 0)], SCHEMA)
     plan = clean_posts(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("https?") == 1
+
+
+def test_rules_are_tried_only_on_texts_that_hold_what_they_need(spark):
+    texts = [
+        "I WON’T say she'd go", "y'all shan't, ma’am", "won't've let's", "'tis at six o'clock, 'cause",
+        "gonna WANNA gotta Gimme Anna comme", "no rule here", "ain’t it? they're, I'm, who’ll", "", None, "'em n’t",
+    ]
+
+    def every(c):
+        for pattern, replacement in X.CONTRACTIONS:
+            c = F.regexp_replace(c, pattern, replacement)
+        return c
+
+    assert one(spark, X.expand_contractions, *texts) == one(spark, every, *texts)
+    # A rule whose need is not met is not tried, and one without a need always is.
+    rules = [("needed", "x"), ("free", "y")]
+    gated = one(spark, lambda c: X.expand_contractions(c, rules, ".", {"needed": "!"}), "needed free", "needed free!")
+    assert gated == ["needed y", "x y!"]
+
+
+def test_even_white_space_is_left_alone(spark):
+    texts = ["a b  c", " a  b\n", "a\x1c\x1d b \t", "　", "a b c", "x  y z", None]
+    tidy = [None if t is None else " ".join(t.split()) for t in texts]
+    assert one(spark, X.normalize_ws, *texts) == tidy
+    # Only runs that are no single blank are replaced.
+    touched = one(spark, lambda c: F.regexp_replace(c, X.UNEVEN_SPACE, "#"), "a b c", "a  b \t", "a\x1cb")
+    assert touched == ["a b c", "a#b#", "a#b"]
+
+
+def test_length_without_outer_white_space(spark):
+    texts = ["", " \t ", "a", "123456789", " 123456789 ", "1 3 5 7 9 ", "　1 3 5 7 90\x1f", "a\n\n\n\n\n\n\n\nb",
+             "a" + " " * 5000, "😢" * 9, "😢" * 10, "x" * 4000]
+    assert one(spark, lambda c: X.stripped_length_is(c, 10), *texts) == [len(t.strip()) >= 10 for t in texts]

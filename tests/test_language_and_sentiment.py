@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
@@ -306,3 +307,44 @@ def test_texts_cross_to_python_as_arrow():
     from galewire.functions.text import _nfkc
 
     assert _nfkc.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+
+
+def test_emphasis_is_worked_out_once_a_post(spark):
+    texts = ["fine", "fine!", "fine!!!!!!", "fine?", "fine??", "fine???", "fine????? !", "bad!?!?"]
+    df = spark.createDataFrame([(t,) for t in texts], "text_clean string")
+    extra = [r[0] for r in df.select(S.emphasis(F.col("text_clean"))).collect()]
+    bangs, asked = [t.count("!") for t in texts], [t.count("?") for t in texts]
+    assert extra == [
+        min(b, S.MOST_EXCLAMATIONS) * S.EXCLAMATION
+        + (0 if a < 2 else a * S.QUESTION if a < 4 else S.MANY_QUESTIONS)
+        for b, a in zip(bangs, asked)
+    ]
+    scored_posts = S.lexicon_scorer(lexicon(spark))(df, "s", F.lit(True))
+    plan = scored_posts._jdf.queryExecution().optimizedPlan().toString()
+    # Its text is searched for each mark in one place of the plan.
+    assert plan.count("replace(") == 2
+
+
+def test_trigrams_that_share_a_slot_are_told_apart():
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(0, 1 << 62, 5000))
+    table = L._gram_slots(grams)
+    # A full table: every slot is shared.
+    crowded = np.full(16, len(grams), np.int32)
+    crowded[L._slots(grams, 4)] = np.arange(len(grams))
+    seen = np.concatenate([grams, grams + 1, rng.integers(0, 1 << 62, 2000)])
+    at = np.minimum(np.searchsorted(grams, seen), len(grams) - 1)
+    expected = np.where(grams[at] == seen, at, len(grams))
+    assert (L._gram_places(seen, grams, table) == expected).all()
+    assert (L._gram_places(seen, grams, crowded) == expected).all()
+
+
+def test_scores_do_not_depend_on_the_pieces_texts_are_added_in(spark, monkeypatch):
+    rows = [(i % 3 and "the river runs over the bank " * (i % 5 + 1) or "le vent du nord est froid " * 3, ["en", "fr"][i % 3 == 0])
+            for i in range(30)]
+    posts = spark.createDataFrame(rows, "text string, lang string")
+    profiles = L.train_profiles(posts).localCheckpoint()
+    found = [r.d for r in posts.select(L.profile_detector(profiles)(F.col("text")).alias("d")).collect()]
+    monkeypatch.setattr(L, "ADDED", 7)
+    again = [r.d for r in posts.select(L.profile_detector(profiles)(F.col("text")).alias("d")).collect()]
+    assert found == again and [d.lang for d in found] == [lang for _, lang in rows]
