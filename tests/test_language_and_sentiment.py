@@ -348,3 +348,29 @@ def test_scores_do_not_depend_on_the_pieces_texts_are_added_in(spark, monkeypatc
     monkeypatch.setattr(L, "ADDED", 7)
     again = [r.d for r in posts.select(L.profile_detector(profiles)(F.col("text")).alias("d")).collect()]
     assert found == again and [d.lang for d in found] == [lang for _, lang in rows]
+
+
+def test_workers_of_the_chain_take_small_batches(spark):
+    from galewire.session import configure
+    from galewire.workload import adapter
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    adapter.table(spark, "/root/testdata/sf0.001", "nation")
+    try:
+        n = [r.n for r in spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        configure(spark)
+    assert sum(n) == 5000 and max(n) <= 1000
+
+
+def test_words_are_counted_once_a_post(spark):
+    from galewire.operators.clean import clean_posts
+
+    df = spark.createDataFrame([("1", "a b  c", [], 0)], "tweet_id string, text string, hashtags array<string>, url_count int")
+    plan = clean_posts(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("replace(text_clean") == 1
+    assert clean_posts(df).first().word_count == 3
