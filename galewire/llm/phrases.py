@@ -3,7 +3,7 @@
 A phrase with ``least`` occurrences in a language has at least its proportional share of them in one
 of ``SHARDS`` shards of the corpus. So each shard is mined completely for phrases of that lower
 support, the locally frequent phrases of all shards are united, and every one of them is counted over
-all shards exactly. A shard is a set of chunks of coded text; its mining is a grouping over chunks,
+all shards exactly. A shard is a set of slices of coded text; its mining is a grouping over slices,
 not the work of one task, so the support is lowered by the number of shards, whatever the size.
 
 Mining goes by length: a phrase is looked at only where the two phrases it is made of by leaving out
@@ -12,12 +12,13 @@ hashes in a Bloom filter of at most ``TABLE_BITS`` bits (16 MB), the only thing
 full filter lets more phrases through, none is lost. The last pass counts the phrases themselves, so
 hashes decide nothing.
 
-Texts are split into words once and written as word numbers of a chunk with its word list; the
-passes read these. A chunk has about ``CHUNK_WORDS`` words and rows leave it pre-aggregated.
+Texts are split into words once and written as word numbers of a slice with its word list; the
+passes read these. A slice has about ``SLICE_WORDS`` words, so no row of the table is large, and what
+a pass counts is added up over the slices of a task, up to ``HELD_ROWS`` rows, before it leaves it.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated rows count
-each time; ties are broken by the order stated; an empty table gives no rows. A piece without
-punctuation is never cut, so a chunk is as long as its longest piece.
+each time; ties are broken by the order stated; an empty table gives no rows. A text is never cut, so
+a slice is as long as its longest text.
 """
 
 import math
@@ -37,8 +38,11 @@ from galewire.sources.scratch import materialize, scratch_path
 LEAST = 30
 LONGEST = 4
 SHARDS = 10
-CHUNK_WORDS = 1 << 22
-BUCKET_CHUNKS = 4
+SLICE_WORDS = 1 << 18
+SLICE_SPELLED = 3 << 14  # different words after which a slice ends, to stay below 1 << 16 mostly
+TEXT_BYTES = 1 << 19  # texts split at once
+HELD_ROWS = 1 << 21
+BUCKET_WORDS = 1 << 21
 TABLE_BITS = 1 << 27
 PROBES, STEP = 4, 7
 KEY_SHIFT = 16  # hashes travel as their first 48 bits
@@ -54,7 +58,7 @@ TABLE = bytes.maketrans(
 )
 
 
-# ---------------------------------------------------------------- coded chunks
+# ---------------------------------------------------------------- coded slices
 
 
 class _Numbers(dict):
@@ -73,52 +77,67 @@ def tokens(texts: list[bytes]) -> list[bytes]:
     return BREAK.join([*texts, b""]).translate(TABLE).replace(BREAK, b" \xff ").split()
 
 
-CODED = "shard int, lang string, n_words long, words array<string>, codes binary"
+CODED = "shard int, lang string, n_words long, words string, codes binary"
+
+
+def code_type(spelled: int) -> type:
+    """Of the word numbers of a slice with so many different words."""
+    return np.uint16 if spelled < 1 << 16 else np.int32
 
 
 def coded(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Chunks of one language each, written once: word list, word numbers, and their shard."""
+    """Slices of one language each, written once: different words joined by spaces, word numbers, and
+    their shard."""
 
-    def chunk(lang: str, shard: int, numbers: _Numbers, codes: list[np.ndarray]) -> pa.RecordBatch:
+    def sliced(shard: int, lang: str, numbers: _Numbers, codes: list[np.ndarray]) -> pa.RecordBatch:
         flat = np.concatenate(codes)
-        words = pc.cast(pa.array(list(numbers)[1:], pa.binary()), pa.string())
+        words = b" ".join(list(numbers)[1:])
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([shard], pa.int32()), pa.array([lang]), pa.array([int(np.count_nonzero(flat))]),
-                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                pa.array([flat.tobytes()], pa.binary()),
+                pc.cast(pa.array([words], pa.binary()), pa.string()),
+                pa.array([flat.astype(code_type(len(numbers) - 1)).tobytes()], pa.binary()),
             ],
             names=["shard", "lang", "n_words", "words", "codes"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, total = TaskContext.get().partitionId() % SHARDS, {}, 0
+        shard = TaskContext.get().partitionId() % SHARDS
+        waiting: dict[str, list] = {}  # texts to be split, and their bytes
+        held: dict[str, list] = {}  # word numbers, codes, and how many
+
+        def split(name: str) -> None:
+            found = tokens(waiting.pop(name)[0])
+            part = held.setdefault(name, [_Numbers(), [], 0])
+            part[1].append(np.fromiter(map(part[0].__getitem__, found), np.int32, len(found)))
+            part[2] += len(found)
+
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
-                batch, by = whole.slice(first, 256), {}
+                batch = whole.slice(first, 256)
                 texts = pc.cast(batch.column("text"), pa.binary())
                 for name, value in zip(batch.column("lang").to_pylist(), texts):
-                    by.setdefault(name, []).append(value.as_py() or b"")
-                for name, some in by.items():
-                    numbers, codes = held.setdefault(name, (_Numbers(), []))
-                    found = tokens(some)
-                    codes.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
-                    total += len(found)
-                if total >= CHUNK_WORDS:
-                    for name, (numbers, codes) in held.items():
-                        yield chunk(name, shard, numbers, codes)
-                    shard, held, total = (shard + 1) % SHARDS, {}, 0
-        for name, (numbers, codes) in held.items():
-            yield chunk(name, shard, numbers, codes)
+                    some, value = waiting.setdefault(name, [[], 0]), value.as_py() or b""
+                    some[0].append(value)
+                    some[1] += len(value)
+                    if some[1] >= TEXT_BYTES:
+                        split(name)
+                        if held[name][2] >= SLICE_WORDS or len(held[name][0]) >= SLICE_SPELLED:
+                            yield sliced(shard, name, *held.pop(name)[:2])
+        for name in list(waiting):
+            split(name)
+        for name, (numbers, codes, _) in held.items():
+            yield sliced(shard, name, numbers, codes)
 
     source = docs.select(
         F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text}`").alias("text")
     )
     path = scratch_path(docs.sparkSession, "phrases-coded")
-    # Rows are large: the writer looks at its size after each of them.
-    source.mapInArrow(run, CODED).write.option("parquet.block.size.row.check.min", 1).option(
-        "parquet.block.size.row.check.max", 8
-    ).option("parquet.page.size.row.check.min", 1).parquet(path)
+    # A reader holds a row group: these are small, and the writer looks at its size every few rows.
+    source.mapInArrow(run, CODED).write.options(**{
+        "parquet.block.size": 4 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 4,
+        "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false",
+    }).parquet(path)
     return docs.sparkSession.read.schema(CODED).parquet(path)
 
 
@@ -166,14 +185,14 @@ def bit_table(keys: DataFrame) -> Bits:
     return Bits(size, words)
 
 
-class Chunk:
-    """A chunk's places and the hashes of the phrases that start there."""
+class Slice:
+    """A slice's places and the hashes of the phrases that start there."""
 
-    def __init__(self, lang: str, words: pa.Array, codes: bytes):
-        self.words = words
-        self.codes = np.frombuffer(codes, np.int32)
+    def __init__(self, lang: str, words: str, codes: bytes):
+        spelled = words.encode().split(b" ") if words else []
+        self.words = pc.cast(pa.array(spelled, pa.binary()), pa.string())
+        self.codes = np.frombuffer(codes, code_type(len(spelled)))
         seed = xxhash.xxh64_intdigest(lang.encode(), SEED)
-        spelled = pc.cast(words, pa.binary()).to_pylist()
         digest = xxhash.xxh64_intdigest
         self.word_keys = np.fromiter((digest(w, seed) for w in spelled), np.uint64, len(spelled))
 
@@ -206,25 +225,71 @@ class Chunk:
         return first, pc.binary_join_element_wise(*parts, " "), n
 
 
-def _over_chunks(chunks: DataFrame, body: Callable[[Chunk], Iterator[list]], schema: str, names: list[str]) -> DataFrame:
-    """Rows (shard, lang and what ``body`` makes of each chunk)."""
+Columns = list[np.ndarray | pa.Array]
+
+
+def _added_keys(parts: list[Columns]) -> Columns:
+    """key, n of parts that have them, none empty: each key once, in order."""
+    if len(parts) == 1:
+        return parts[0]
+    key, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    return [key[edge], np.add.reduceat(n[order], edge)]
+
+
+def _added_phrases(parts: list[Columns]) -> Columns:
+    """phrase, n and what depends on the phrase, of parts that have them: each phrase once."""
+    if len(parts) == 1:
+        return parts[0]
+    names = [f"c{i}" for i in range(len(parts[0]))]
+    table = pa.concat_tables([pa.table(dict(zip(names, part))) for part in parts])
+    found = table.group_by([x for x in names if x != "c1"], use_threads=False).aggregate([("c1", "sum")])
+    return [found.column("c1_sum" if x == "c1" else x).combine_chunks() for x in names]
+
+
+def _over_slices(
+    slices: DataFrame, body: Callable[[Slice], Columns], add: Callable[[list[Columns]], Columns], schema: str,
+    names: list[str], packed: Callable[[Columns], Columns] = list,
+) -> DataFrame:
+    """Rows (shard, lang and what ``body`` counts in the slices), added up in a task by ``add`` while they
+    are few enough; they leave it as ``packed`` makes them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, str], list[Columns]] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            while held:
+                (shard, lang), parts = held.popitem()
+                columns = packed(add(parts))
+                for first in range(0, len(columns[0]), 1 << 16):
+                    some = [c[first : first + (1 << 16)] for c in columns]
+                    n = len(some[0])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, shard, np.int32)), pa.array([lang] * n, pa.string()),
+                         *(pa.array(c) if isinstance(c, np.ndarray) else c for c in some)],
+                        names=["shard", "lang", *names],
+                    )
+
+        rows = 0
         for batch in batches:
             for k in range(batch.num_rows):
                 shard, lang = batch.column("shard")[k].as_py(), batch.column("lang")[k].as_py()
-                chunk = Chunk(lang, batch.column("words")[k].values, batch.column("codes")[k].as_buffer())
-                for columns in body(chunk):
-                    for first in range(0, len(columns[0]), 1 << 16):
-                        some = [c[first : first + (1 << 16)] for c in columns]
-                        n = len(some[0])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, shard, np.int32)), pa.array([lang] * n, pa.string()),
-                             *(pa.array(c) if isinstance(c, np.ndarray) else c for c in some)],
-                            names=["shard", "lang", *names],
-                        )
-
-    return chunks.select("shard", "lang", "words", "codes").mapInArrow(run, f"shard int, lang string, {schema}")
+                part = body(Slice(lang, batch.column("words")[k].as_py(), batch.column("codes")[k].as_buffer()))
+                if len(part[0]):
+                    held.setdefault((shard, lang), []).append(part)
+                rows += len(part[0])
+                if rows >= HELD_ROWS:
+                    for at, parts in held.items():
+                        held[at] = [add(parts)]
+                    rows = sum(len(parts[0][0]) for parts in held.values())
+                    if rows >= HELD_ROWS * 3 // 4:
+                        yield from out()
+                        rows = 0
+        yield from out()
+
+    return slices.select("shard", "lang", "words", "codes").mapInArrow(run, f"shard int, lang string, {schema}")
 
 
 # ---------------------------------------------------------------- mining
@@ -246,7 +311,7 @@ def local_supports(sizes: DataFrame, least: int) -> DataFrame:
 
 def united(reported: DataFrame, supports: DataFrame, least: int) -> DataFrame:
     """``key`` of the phrases that are frequent in a shard, and in all shards together, from rows
-    (shard, lang, key, n) of chunks. One exchange: what all shards hold of a phrase lies together."""
+    (shard, lang, key, n) of slices. One exchange: what all shards hold of a phrase lies together."""
     per_shard = reported.repartition("key").groupBy("key", "lang", "shard").agg(F.sum("n").alias("n"))
     return (
         per_shard.join(supports, ["lang", "shard"])
@@ -258,19 +323,19 @@ def united(reported: DataFrame, supports: DataFrame, least: int) -> DataFrame:
 def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST) -> Mined:
     """All phrases of up to ``longest`` words with at least ``least`` occurrences in a language."""
     spark = docs.sparkSession
-    chunks = coded(docs, text, lang)
+    slices = coded(docs, text, lang)
     sizes = materialize(
-        chunks.groupBy("lang", "shard").agg(F.sum("n_words").alias("n_words")), "phrase-shards"
+        slices.groupBy("lang", "shard").agg(F.sum("n_words").alias("n_words")), "phrase-shards"
     )
     supports = materialize(local_supports(sizes.filter("n_words > 0"), least), "phrase-supports")
     totals = sizes.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
-    def word_counts(chunk: Chunk) -> Iterator[list]:
-        n = np.bincount(chunk.codes, minlength=len(chunk.words) + 1)[1:]
-        yield [chunk.words, n.astype(np.int64)]
+    def word_counts(part: Slice) -> Columns:
+        n = np.bincount(part.codes, minlength=len(part.words) + 1)[1:]
+        return [part.words, n.astype(np.int64)]
 
     words = materialize(
-        _over_chunks(chunks, word_counts, "phrase string, f long", ["phrase", "f"])
+        _over_slices(slices, word_counts, _added_phrases, "phrase string, f long", ["phrase", "f"])
         .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least),
         "phrase-words",
     )
@@ -289,38 +354,38 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
     for length in range(2, longest + 1):
         sent = spark.sparkContext.broadcast(tables)
 
-        def local(chunk: Chunk, length: int = length, sent=sent) -> Iterator[list]:
-            key, n = np.unique(chunk.places(sent.value, length)[1] >> np.uint64(KEY_SHIFT), return_counts=True)
-            yield [key.view(np.int64), n.astype(np.int64)]
+        def local(part: Slice, length: int = length, sent=sent) -> Columns:
+            key, n = np.unique(part.places(sent.value, length)[1] >> np.uint64(KEY_SHIFT), return_counts=True)
+            return [key.view(np.int64), n.astype(np.int64)]
 
-        reported = _over_chunks(chunks, local, "key long, n long", ["key", "n"])
+        reported = _over_slices(slices, local, _added_keys, "key long, n long", ["key", "n"])
         tables = [*tables, bit_table(materialize(united(reported, supports, least), "phrase-keys"))]
 
     sent = spark.sparkContext.broadcast(tables)
 
-    # A chunk's phrases leave it in one row for each bucket of hashes; a bucket holds about what
-    # BUCKET_CHUNKS chunks have, however many chunks there are.
-    buckets = max(1, chunks.count() // BUCKET_CHUNKS)
+    # Phrases leave a task in one row for each bucket of hashes; a bucket holds about what BUCKET_WORDS
+    # words have, however many words there are.
+    buckets = max(1, (sizes.agg(F.sum("n_words")).first()[0] or 0) // BUCKET_WORDS)
 
-    def exact(chunk: Chunk) -> Iterator[list]:
-        keys, phrases, counts, lengths = [], [], [], []
+    def exact(part: Slice) -> Columns:
+        phrases, counts, lengths, keys = [], [], [], []
         for length in range(2, longest + 1):
-            at, key = chunk.places(sent.value[:length], length)
-            first, phrase, n = chunk.counted(at, length)
-            keys.append(key[first] % np.uint64(buckets))
+            at, key = part.places(sent.value[:length], length)
+            first, phrase, n = part.counted(at, length)
             phrases.append(phrase)
             counts.append(n)
             lengths.append(np.full(len(n), length, np.int32))
+            keys.append((key[first] % np.uint64(buckets)).astype(np.int32))
+        return [pa.concat_arrays(phrases), *(pa.array(np.concatenate(x)) for x in (counts, lengths, keys))]
+
+    def by_bucket(columns: Columns) -> Columns:
         # In order of their words, phrases that lie together share their beginnings.
-        together = pa.concat_arrays(phrases)
-        bucket, words = np.concatenate(keys).astype(np.int32), pc.sort_indices(together).to_numpy()
+        bucket, words = columns[3].to_numpy(), pc.sort_indices(columns[0]).to_numpy()
         order = words[np.argsort(bucket[words], kind="stable")]
         edge = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         offsets = pa.array(np.append(edge, len(order)).astype(np.int32))
-        columns = [together.take(pa.array(order)),
-                   *(pa.array(np.concatenate(x)[order]) for x in (counts, lengths))]
-        if len(order):
-            yield [bucket[order[edge]], *(pa.ListArray.from_arrays(offsets, c) for c in columns)]
+        flat = [c.take(pa.array(order)) for c in columns[:3]]
+        return [bucket[order[edge]], *(pa.ListArray.from_arrays(offsets, c) for c in flat)]
 
     def added(group: pa.Table) -> pa.Table:
         flat = pa.table({c: pc.list_flatten(group.column(c)) for c in ("phrase", "f", "length")})
@@ -329,9 +394,9 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = L
         lang = pa.array([group.column("lang")[0].as_py()] * len(total), pa.string())
         return pa.table({"lang": lang, "phrase": total.column("phrase"), "f": total.column("f_sum"), "length": total.column("length")})
 
-    packed = _over_chunks(
-        chunks, exact, "bucket int, phrase array<string>, f array<long>, length array<int>",
-        ["bucket", "phrase", "f", "length"],
+    packed = _over_slices(
+        slices, exact, _added_phrases, "bucket int, phrase array<string>, f array<long>, length array<int>",
+        ["bucket", "phrase", "f", "length"], by_bucket,
     ).drop("shard")
     phrases = materialize(
         packed.groupBy("lang", "bucket").applyInArrow(added, "lang string, phrase string, f long, length int"), "phrases"

@@ -180,6 +180,32 @@ def test_full_bit_table_loses_nothing(spark, monkeypatch):
     assert sorted(map(tuple, got)) == plain_phrases(rows, 9)
 
 
+def test_rows_of_coded_text_stay_small(spark):
+    """However much text a task reads, no row it writes holds more than a slice."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").coalesce(1)
+    sizes = phrases.coded(docs).select("lang", "n_words", F.length("codes").alias("n")).collect()
+    assert sum(r.n_words for r in sizes) > 4_000_000
+    assert max(r.n for r in sizes) < 1 << 20
+
+
+def test_phrases_of_small_slices(spark, monkeypatch):
+    """Slices of some texts, and counts that leave a task many times, give the same."""
+    for name, value in (("SLICE_WORDS", 1 << 10), ("TEXT_BYTES", 1 << 11), ("HELD_ROWS", 1 << 10), ("BUCKET_WORDS", 1 << 12)):
+        monkeypatch.setattr(phrases, name, value)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = [(r.text, r.lang) for r in docs.select("text", "lang").collect()]
+    got = phrases.top_phrases(phrases.mine(docs.repartition(3), least=9)).collect()
+    assert sorted(map(tuple, got)) == plain_phrases(rows, 9)
+
+
+def test_phrases_of_a_slice_with_many_words(spark):
+    """Word numbers of more than 16 bits."""
+    text = " ".join(f"w{i}" for i in range(70_000))
+    rows = [(text, "en"), (f"{text} w69999 w69998", "en"), (" w69998 w69999", "en")]
+    got = phrases.top_phrases(phrases.mine(spark.createDataFrame(rows, "text string, lang string"), least=2)).collect()
+    assert sorted(map(tuple, got)) == plain_phrases(rows, 2)
+
+
 # ---------------------------------------------------------------- the byte network
 
 
