@@ -41,7 +41,7 @@ SHARDS = 10
 SLICE_WORDS = 1 << 18
 SLICE_SPELLED = 3 << 14  # different words after which a slice ends, to stay below 1 << 16 mostly
 TEXT_BYTES = 1 << 19  # texts split at once
-HELD_ROWS = 1 << 21
+HELD_ROWS = 1 << 20
 BUCKET_WORDS = 1 << 21
 TABLE_BITS = 1 << 27
 PROBES, STEP = 4, 7
@@ -229,14 +229,16 @@ Columns = list[np.ndarray | pa.Array]
 
 
 def _added_keys(parts: list[Columns]) -> Columns:
-    """key, n of parts that have them, none empty: each key once, in order."""
+    """key, n of parts that have them, none empty: each key once, in order. The parts are let go."""
     if len(parts) == 1:
         return parts[0]
     key, n = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
     order = np.argsort(key, kind="stable")
-    key = key[order]
+    key, n = key[order], n[order]
+    del order
     edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return [key[edge], np.add.reduceat(n[order], edge)]
+    return [key[edge], np.add.reduceat(n, edge)]
 
 
 def _added_phrases(parts: list[Columns]) -> Columns:
@@ -288,6 +290,7 @@ def _over_slices(
                         yield from out()
                         rows = 0
         yield from out()
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     return slices.select("shard", "lang", "words", "codes").mapInArrow(run, f"shard int, lang string, {schema}")
 
