@@ -38,6 +38,36 @@ def dedup_chain(df: DataFrame) -> DataFrame:
     return dedup_by_text(dedup_by_id(drop_reposts(df)))
 
 
+def dedup_chain_rows(posts: DataFrame, row: str, carried: list[str]) -> DataFrame:
+    """The rows that ``dedup_chain`` keeps, without their texts: tweet_id, created_at, ``row`` and the
+    ``carried`` columns. Of posts as ``parse_posts`` makes them (id, time and text are filled), with a
+    column ``row`` that differs wherever two posts differ in anything.
+
+    Texts do not travel: rows of an id, a time and a text hash that spell the text differently, of which
+    the first spelling counts, are looked up by themselves, if there are any. Rows that have the text in
+    common as well are put in order by ``row``.
+    """
+    fresh = drop_reposts(posts).withColumn("_hash", text_hash(F.col("text")))
+    place = ["tweet_id", "created_at", "_hash"]
+    spelled = F.unhex(F.md5("text")).alias("_text")
+    narrow = materialize(fresh.select(*place, spelled, row, *carried), "narrow", codec="zstd")
+    spellings = narrow.groupBy(*place).agg(F.min("_text").alias("_low"), F.max("_text").alias("_high"))
+    tied = materialize(spellings.where("_low != _high").select(*place), "tied")
+    if not tied.isEmpty():
+        texts = fresh.select(*place, "text").join(tied, place, "left_semi")
+        first = texts.groupBy(*place).agg(F.unhex(F.md5(F.min("text"))).alias("_first"))
+        narrow = narrow.join(first, place, "left").where("_first IS NULL OR _first = _text").drop("_first")
+    by_id = _first_per(narrow, "tweet_id", ["created_at", "_hash", row])
+    by_text = _first_per(by_id, "_hash", ["created_at", "tweet_id"])
+    return by_text.select("tweet_id", "created_at", row, *carried)
+
+
+def whole_rows(posts: DataFrame, row: str, kept: DataFrame) -> DataFrame:
+    """The posts of ``kept`` (tweet_id and ``row``, once each) in full, with the other columns of ``kept``.
+    Full rows are shuffled once, one for each different post and input partition."""
+    return _first_per(posts, ["tweet_id", row], ["tweet_id"]).join(kept, ["tweet_id", row])
+
+
 def dedup_vs_history(df: DataFrame, history: DataFrame) -> DataFrame:
     """Rows whose id and text were not seen before. ``history`` has tweet_id and text_hash."""
     hashed = df.withColumn("text_hash", text_hash(F.col("text")))

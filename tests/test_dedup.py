@@ -154,3 +154,26 @@ def test_greedy_keeps_one_of_equal_rows_and_shuffles_wide_rows_once(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     # The window is below the join, on the same three columns.
     assert plan.index("Join LeftSemi") < plan.index("Window [row_number()")
+
+
+def test_rows_of_the_chain_are_those_of_the_wide_one(spark):
+    """Same ids, times and texts up to case, in many spellings and with other fields that differ."""
+    rng = random.Random(7)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(str(rng.randrange(40)), start + dt.timedelta(hours=rng.randrange(3)),
+             rng.choice(["Aa", "aA", " aa", "aa"]) + str(rng.randrange(12)), rng.random() < 0.1, rng.randrange(3))
+            for _ in range(1500)]
+    posts = spark.createDataFrame(rows, "tweet_id string, created_at timestamp, text string, retweet_status boolean, n int")
+    posts = posts.withColumn("_row", F.md5(F.concat_ws("|", "created_at", "text", "retweet_status", "n")))
+    narrow = dedup.dedup_chain_rows(posts, "_row", ["n"])
+    assert "text" not in narrow.columns
+    got = dedup.whole_rows(posts.drop("n"), "_row", narrow.drop("created_at")).select("tweet_id", "created_at", "text").collect()
+    want = dedup.dedup_chain(posts).select("tweet_id", "created_at", "text").collect()
+    assert sorted(got) == sorted(want) and len(got) > 3
+
+
+def test_whole_rows_shuffles_texts_once(spark):
+    posts = spark.range(10).select(F.col("id").cast("string").alias("tweet_id"), F.lit("x").alias("text"), F.md5(F.col("id").cast("string")).alias("_row"))
+    kept = posts.select("tweet_id", "_row")
+    plan = dedup.whole_rows(posts, "_row", kept)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning(tweet_id") <= 2

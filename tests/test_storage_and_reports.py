@@ -1,11 +1,12 @@
 import datetime as dt
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from galewire.plans import quality, reports
-from galewire.schemas import ANALYTICS_COLUMNS, PROCESSED
+from galewire.schemas import ANALYTICS_COLUMNS, PROCESSED, RAW_POST
 from galewire.sources import storage
 from galewire.sources.scratch import materialize, shared_dir
 from galewire.workload import adapter as A
@@ -202,3 +203,47 @@ def test_processing_date_is_given_or_the_day_of_the_run(spark, processed):
     assert day.g == "2024-01-31" and day.d == dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
     assert trigger_options(True, "5 seconds") == {"availableNow": True}
     assert trigger_options(False, "5 seconds") == {"processingTime": "5 seconds"}
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_store_holds_texts_once_on_scratch_and_no_shuffle_files(spark, tmp_path, monkeypatch):
+    from galewire.plans.enrich import store
+    from galewire.sources import scratch
+    monkeypatch.setattr(scratch, "shared_dir", lambda _: f"{tmp_path}/scratch")
+    refs, raw = A.references(spark, FOLDER), A.raw_posts(spark, FOLDER)
+    before = _shuffle_files(spark)
+    store(raw, refs, f"{tmp_path}/out", processing_date="2024-01-31")
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    texts = {"text", "text_clean", "text_original", "raw_json"}
+    held = [c for t in os.listdir(tmp_path / "scratch") for c in spark.read.parquet(f"{tmp_path}/scratch/{t}").columns if c in texts]
+    assert held == ["text"]
+    files = [f for _, _, names in os.walk(tmp_path / "out" / "raw") for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_raw_copies_are_those_of_the_posts_kept(spark, tmp_path):
+    """Raw posts of one id, time and text: the copy is that of the post in the table, field for field."""
+    from galewire.plans.enrich import store
+    raw = A.raw_posts(spark, FOLDER)
+    other = raw.withColumns({"author_id": F.lit(None).cast("string"), "text": F.upper("text")})
+    late = raw.withColumn("author_id", F.concat(F.lit("v"), F.col("id")))
+    out = f"{tmp_path}/out"
+    stored = store(raw.unionByName(late).unionByName(other), A.references(spark, FOLDER), out, processing_date="2024-01-31")
+    copies = spark.read.schema("tweet_id string, created_at timestamp, raw_json string").json(f"{out}/raw")
+    copies = copies.withColumn("p", F.from_json("raw_json", RAW_POST))
+    pairs = stored.join(copies, "tweet_id", "full").select(
+        "text_original", "p.text", "author_id", F.coalesce("p.author_id", F.lit("unknown")), "created_at_str", "p.created_at").collect()
+    assert len(pairs) > 50 and all(tuple(r)[::2] == tuple(r)[1::2] for r in pairs)
+    given = {r[0] for r in raw.select(F.to_json(F.struct(*raw.columns))).collect()}
+    alone = store(raw, A.references(spark, FOLDER), f"{tmp_path}/alone", processing_date="2024-01-31").count()
+    kept = {r.raw_json for r in spark.read.json(f"{tmp_path}/alone/raw").collect()}
+    assert len(kept) == alone and kept < given
