@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from galewire.functions.text import text_hash
 from galewire.operators.dedup import dedup_chain
-from galewire.plans.enrich import run, text_models
+from galewire.plans.enrich import add_weather, run, text_models
 from galewire.schemas import RAW_POST
 from galewire.sources.posts import save_posts, stream_posts
+from galewire.sources.scratch import forget_shuffles, materialize
 from galewire.sources.since import save_numbered, stream_since
 from galewire.sources.storage import batch_date
 from galewire.streaming import run as R
@@ -321,3 +322,73 @@ def test_stream_reads_a_table_of_several_files(spark, tmp_path, name):
     whole.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     want = QUERIES[name](spark, FOLDER).collect()
     assert want and sorted(QUERIES[name](spark, str(tmp_path)).collect()) == sorted(want)
+
+
+def test_files_are_grouped_by_rows():
+    assert R.file_groups({}) == []
+    assert R.file_groups({"a": 3, "b": 4, "c": 9, "d": 1, "e": 1, "f": 5}, 7) == [["a", "b"], ["c"], ["d", "e", "f"]]
+
+
+def test_weather_meets_a_batch_part_by_part(spark, refs, tmp_path, monkeypatch):
+    """No text is shuffled, whatever the number of parts, and the posts are those of one join."""
+    posts = dedup_chain(R.parse_posts(R.flatten_posts(A.raw_posts(spark, FOLDER), rest=True)))
+    tagged = R.tag_texts(R.clean_posts(posts), text_models(refs))
+    path, out = f"{tmp_path}/a staged", f"{tmp_path}/out"
+    tagged.drop("raw_rest").repartition(5).write.parquet(path)
+    staged = spark.read.parquet(path)
+    monkeypatch.setattr(R.file_groups, "__defaults__", (60,))
+    parts = list(R.with_weather(staged, refs, "unit"))
+    assert len(parts) > 2
+    for part in parts:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    files = [r._file for r in staged.selectExpr(R.FILE).distinct().collect()]
+    some = R.of_files(staged, files[:2]).select("text")._jdf.queryExecution().executedPlan()
+    some.executeCollect()
+    assert len(files) == 5 and some.collectLeaves().apply(0).metrics().apply("numFiles").value() == 2
+    want = R.to_processed(add_weather(staged, refs), "2024-01-31").drop("processing_ts", "processing_date")
+    R.write_batch(tagged, refs, out, 0)
+    got = R.read_output(spark, out).drop("processing_ts", "processing_date")
+    assert got.count() == want.count() > 100 and got.select(*want.columns).exceptAll(want).isEmpty()
+    given = {r[0] for r in A.raw_posts(spark, FOLDER).select(F.to_json(F.struct("*"))).collect()}
+    kept = {r.raw_json for r in spark.read.json(f"{out}/raw").collect()}
+    assert len(kept) == got.count() and kept <= given
+    files = [f for _, _, names in os.walk(f"{out}/raw") for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_an_empty_batch_leaves_a_table_without_rows(spark, refs, tmp_path):
+    posts = dedup_chain(R.parse_posts(R.flatten_posts(A.raw_posts(spark, FOLDER).where("id < '0'"))))
+    R.write_batch(R.tag_texts(R.clean_posts(posts), text_models(refs)), refs, f"{tmp_path}/out", 0)
+    assert R.read_output(spark, f"{tmp_path}/out").count() == 0
+
+
+def test_shuffle_files_of_a_batch_go_before_its_end(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    arrive(source, 0, *[line(i, f"text {i}", i) for i in range(50)])
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    seen = []
+
+    def shuffles():
+        found = files.getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    def write(batch, _):
+        rows = materialize(batch, "unit").count()
+        left = shuffles() - before
+        forget_shuffles(batch)
+        for _ in range(50):
+            if not (shuffles() & left):
+                break
+            time.sleep(0.1)
+        # The batch can still be read, if it must be.
+        seen.append((rows, len(left), len(shuffles() & left), batch.count()))
+
+    before = shuffles()
+    kept = R.cleaned_stream(stream_posts(spark, str(source)))
+    assert "raw_json" not in kept.columns and kept.columns.count("text") == 1
+    drain(kept.select("tweet_id", "text_clean").writeStream.foreachBatch(write), tmp_path / "log")
+    rows, left, after, again = seen[0]
+    assert (rows, after, again) == (50, 0, 50) and left >= 3
