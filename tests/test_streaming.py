@@ -392,3 +392,13 @@ def test_shuffle_files_of_a_batch_go_before_its_end(spark, tmp_path):
     drain(kept.select("tweet_id", "text_clean").writeStream.foreachBatch(write), tmp_path / "log")
     rows, left, after, again = seen[0]
     assert (rows, after, again) == (50, 0, 50) and left >= 3
+
+
+def test_packed_posts_come_in_as_they_were(spark, tmp_path):
+    raw, source, out = A.raw_posts(spark, FOLDER), f"{tmp_path}/in", f"{tmp_path}/out"
+    save_posts(raw, source, codec="gzip")
+    assert all(f.endswith(".json.gz") for f in os.listdir(source) if f.startswith("part-"))
+    drain(stream_posts(spark, source).select(*raw.columns).writeStream.format("parquet").option("path", out), tmp_path / "log")
+    assert spark.read.schema(raw.schema).parquet(out).exceptAll(raw).isEmpty()
+    assert spark.read.parquet(out).count() == raw.count()
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate") == "false"
